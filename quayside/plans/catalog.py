@@ -385,7 +385,7 @@ def q_config_removed(spark, sf):
 def _landed_query(spark, sf, codec):
     r = routing.decoded(_day(records(spark, sf)).withColumn("h", F.date_format("timestamp", "HH")), 0)
     path = scratch_path(spark, "landed")
-    text.write_text(r, path, "line", codec, partition_by=["topic", "d", "h"])
+    text.write_text(r, path, "line", codec, partition_by=["topic", "d", "h"], cluster_order="offset")
     return text.read_landed(spark, path, "topic string, d string, h string").select("value", "topic", "d", "h")
 
 
@@ -409,7 +409,7 @@ def q_concat_bytes(spark, sf):
     bucket = F.concat(F.lit("topic="), "topic", F.lit("/d="), F.date_format("timestamp", "yyyy-MM-dd"),
                       F.lit("/h="), F.date_format("timestamp", "HH"))
     path = scratch_path(spark, "raw")
-    raw.write_raw(r.select(bucket.alias("bucket"), F.col("value").alias("data")), path)
+    raw.write_raw(r.select(bucket.alias("bucket"), F.col("value").alias("data"), "offset"), path)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     pat = r"topic=([^/]+)/d=([^/]+)/h=([^/]+)/"
     return (files.select(F.regexp_extract("path", pat, 1).alias("topic"),
@@ -423,7 +423,8 @@ def q_stream_landing(spark, sf):
     from ..streaming.landing import land_stream_available_now
 
     out = land_stream_available_now(spark, sf, "events.parquet")
-    return text.read_landed(spark, out, "topic string, d string, h string").select("value", "topic", "d", "h")
+    return (text.read_landed(spark, out, "topic string, d string, h string, batch_id string")
+            .select("value", "topic", "d", "h"))
 
 
 # ---------------------------------------------------------------- functions

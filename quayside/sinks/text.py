@@ -18,7 +18,7 @@ PARTITION_COLUMNS = ["d", "h"]
 def write_text(df: DataFrame, path: str, text_col: str = "text", codec: str | None = None,
                partition_by: list[str] = PARTITION_COLUMNS, mode: str = "append",
                max_records_per_file: int | None = None, cluster_order: str | None = "offset",
-               num_partitions: int | None = None) -> None:
+               num_partitions: int | None = None, dynamic_overwrite: bool = False) -> None:
     """Land one text column, one line per record (``\\n`` separated).
 
     Rows are range-partitioned on (bucket columns, ``cluster_order``): the
@@ -43,6 +43,8 @@ def write_text(df: DataFrame, path: str, text_col: str = "text", codec: str | No
         w = w.option("compression", spark_codec)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    if dynamic_overwrite:
+        w = w.option("partitionOverwriteMode", "dynamic")
     w.text(path)
 
 

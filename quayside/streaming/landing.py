@@ -20,12 +20,14 @@ from ..sources.records import events_as_records, replay_stream
 PARTITIONS = ["topic", "d", "h"]
 
 
-def bucketed_lines(records: DataFrame, clock: str = "timestamp") -> DataFrame:
-    """Good records as (value, topic, d, h); the text sink adds the line break."""
+def bucketed_lines(records: DataFrame, clock: str = "timestamp", with_offset: bool = False) -> DataFrame:
+    """Good records as (value, topic, d, h[, offset]); the text sink adds
+    the line break."""
     r = decoded(records, 0)
+    extra = ["offset"] if with_offset else []
     return (r.filter(F.col("status") == "ok")
             .select(F.col("line").alias("value"), "topic",
-                    F.date_format(clock, "yyyy-MM-dd").alias("d"), F.date_format(clock, "HH").alias("h")))
+                    F.date_format(clock, "yyyy-MM-dd").alias("d"), F.date_format(clock, "HH").alias("h"), *extra))
 
 
 def start_landing(records: DataFrame, out_path: str, checkpoint: str, codec: str | None = None,
@@ -52,6 +54,34 @@ def start_landing(records: DataFrame, out_path: str, checkpoint: str, codec: str
     return q
 
 
+def start_landing_batches(records: DataFrame, out_path: str, checkpoint: str, codec: str | None = None,
+                          trigger: dict | None = None, partition_by=PARTITIONS,
+                          dead_letter_path: str | None = None) -> StreamingQuery:
+    """Land each micro-batch with the batch writer into ``batch_id=N``
+    folders under every bucket, overwriting only that batch's partitions:
+    a replayed batch rewrites exactly its own files (idempotent), and the
+    batch writer can range-cluster rows by bucket."""
+    from ..functions.text import record_status
+    from ..sinks.text import write_text
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        b = batch.withColumn("_status", record_status("value")).persist()
+        try:
+            good = bucketed_lines(b.filter(F.col("_status") == "ok").drop("_status"), with_offset=True)
+            write_text(good.withColumn("batch_id", F.lit(batch_id)), out_path, "value", codec,
+                       partition_by=[*partition_by, "batch_id"], mode="overwrite", dynamic_overwrite=True)
+            if dead_letter_path:
+                (b.filter(F.col("_status") != "ok").withColumnRenamed("_status", "reason")
+                 .withColumn("batch_id", F.lit(batch_id))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch_id").parquet(dead_letter_path))
+        finally:
+            b.unpersist()
+
+    return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "20 seconds"})).start())
+
+
 def land_stream_available_now(spark: SparkSession, folder: str, glob: str = "events*.parquet",
                               out_path: str | None = None, codec: str | None = None,
                               max_files_per_trigger: int | None = None) -> str:
@@ -62,7 +92,7 @@ def land_stream_available_now(spark: SparkSession, folder: str, glob: str = "eve
     ckpt = scratch_path(spark, "stream-ckpt")
     schema = (spark.read.option("pathGlobFilter", glob).parquet(folder)).schema
     src = replay_stream(spark, folder, schema, max_files_per_trigger=max_files_per_trigger, glob=glob)
-    q = start_landing(events_as_records(src), out, ckpt, codec, {"availableNow": True})
+    q = start_landing_batches(events_as_records(src), out, ckpt, codec, {"availableNow": True})
     q.awaitTermination()
     if q.exception():
         raise q.exception()
