@@ -25,10 +25,9 @@ def _col(c) -> Column:
 
 
 def path_date(clock, fmt=DEFAULT_PATH_FORMAT) -> Column:
-    fmt_c = F.lit(fmt) if isinstance(fmt, str) else fmt
     if isinstance(fmt, str):
         return F.date_format(_col(clock), fmt)
-    return F.date_format(_col(clock), fmt_c)
+    return F.call_function("date_format", _col(clock), fmt)
 
 
 def hour_of(clock) -> Column:

@@ -40,7 +40,9 @@ def bucket_columns(clock="timestamp", base_path=None, fmt=DEFAULT_PATH_FORMAT,
     """
     clock_c = F.col(clock) if isinstance(clock, str) else clock
     fmt_c = fmt if isinstance(fmt, Column) else F.lit(fmt)
-    d = path_date(clock_c, fmt) if isinstance(fmt, str) else F.date_format(clock_c, fmt_c)
+    # a per-feed pattern column goes through the SQL function (formatters are
+    # cached per pattern by Spark)
+    d = path_date(clock_c, fmt) if isinstance(fmt, str) else F.call_function("date_format", clock_c, fmt_c)
     h = hour_of(clock_c)
     base = _lit_or_col(base_path)
     hour_mode = _lit_or_col(mode).eqNullSafe(HOUR_MODE)
