@@ -423,7 +423,7 @@ def q_stream_landing(spark, sf):
     from ..streaming.landing import land_stream_available_now
 
     out = land_stream_available_now(spark, sf, "events.parquet")
-    return (text.read_landed(spark, out, "topic string, d string, h string, batch_id string")
+    return (text.read_landed(spark, out, "batch_id string, topic string, d string, h string")
             .select("value", "topic", "d", "h"))
 
 

@@ -54,29 +54,33 @@ def start_landing(records: DataFrame, out_path: str, checkpoint: str, codec: str
     return q
 
 
-def start_landing_batches(records: DataFrame, out_path: str, checkpoint: str, codec: str | None = None,
-                          trigger: dict | None = None, partition_by=PARTITIONS,
-                          dead_letter_path: str | None = None) -> StreamingQuery:
-    """Land each micro-batch with the batch writer into ``batch_id=N``
-    folders under every bucket, overwriting only that batch's partitions:
-    a replayed batch rewrites exactly its own files (idempotent), and the
-    batch writer can range-cluster rows by bucket."""
+def land_micro_batch(batch: DataFrame, batch_id: int, out_path: str, codec: str | None = None,
+                     partition_by=PARTITIONS, dead_letter_path: str | None = None) -> None:
+    """Land one micro-batch into its own ``batch_id=N`` folder, overwriting
+    that folder: a replayed batch rewrites exactly its own files."""
     from ..functions.text import record_status
     from ..sinks.text import write_text
 
+    b = batch.withColumn("_status", record_status("value")).persist()
+    try:
+        good = bucketed_lines(b.filter(F.col("_status") == "ok").drop("_status"), with_offset=True)
+        write_text(good, f"{out_path.rstrip('/')}/batch_id={batch_id}", "value", codec,
+                   partition_by=list(partition_by), mode="overwrite")
+        if dead_letter_path:
+            (b.filter(F.col("_status") != "ok").withColumnRenamed("_status", "reason")
+             .write.mode("overwrite").parquet(f"{dead_letter_path.rstrip('/')}/batch_id={batch_id}"))
+    finally:
+        b.unpersist()
+
+
+def start_landing_batches(records: DataFrame, out_path: str, checkpoint: str, codec: str | None = None,
+                          trigger: dict | None = None, partition_by=PARTITIONS,
+                          dead_letter_path: str | None = None) -> StreamingQuery:
+    """Land each micro-batch with the batch writer (``land_micro_batch``):
+    idempotent on replay, readers see ``batch_id`` as one more partition
+    column, and the batch writer can range-cluster rows by bucket."""
     def land(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("_status", record_status("value")).persist()
-        try:
-            good = bucketed_lines(b.filter(F.col("_status") == "ok").drop("_status"), with_offset=True)
-            write_text(good.withColumn("batch_id", F.lit(batch_id)), out_path, "value", codec,
-                       partition_by=[*partition_by, "batch_id"], mode="overwrite", dynamic_overwrite=True)
-            if dead_letter_path:
-                (b.filter(F.col("_status") != "ok").withColumnRenamed("_status", "reason")
-                 .withColumn("batch_id", F.lit(batch_id))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(dead_letter_path))
-        finally:
-            b.unpersist()
+        land_micro_batch(batch, batch_id, out_path, codec, partition_by, dead_letter_path)
 
     return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "20 seconds"})).start())

@@ -73,11 +73,13 @@ def test_dead_letter_and_landing(spark, scratch):
 
 
 def test_foreach_batch_replay_is_idempotent(spark, scratch):
-    from quayside.sinks.text import write_text
+    from quayside.streaming.landing import land_micro_batch
 
-    lines = bucketed_lines(_events(spark), with_offset=True).withColumn("batch_id", F.lit(7))
+    recs = _events(spark)
+    out, dead = os.path.join(scratch, "out"), os.path.join(scratch, "dead")
     for _ in range(2):  # the same micro-batch delivered twice
-        write_text(lines, scratch, "value", None, partition_by=["topic", "d", "h", "batch_id"],
-                   mode="overwrite", dynamic_overwrite=True)
-    back = text.read_landed(spark, scratch, "topic string, d string, h string, batch_id string")
-    assert back.count() == lines.count()
+        land_micro_batch(recs, 7, out, dead_letter_path=dead)
+    land_micro_batch(recs.limit(5), 8, out, dead_letter_path=dead)
+    back = text.read_landed(spark, out, "batch_id string, topic string, d string, h string")
+    assert back.filter("batch_id = '7'").count() == recs.count()
+    assert back.filter("batch_id = '8'").count() == 5

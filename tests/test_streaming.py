@@ -42,7 +42,7 @@ def test_idle_sessions_stream_is_subset_of_batch(spark):
 
 def test_stream_landing_roundtrip(spark, scratch):
     out = land_stream_available_now(spark, SF001, "events.parquet", out_path=os.path.join(scratch, "out"))
-    back = text.read_landed(spark, out, "topic string, d string, h string, batch_id string")
+    back = text.read_landed(spark, out, "batch_id string, topic string, d string, h string")
     src = read_table(spark, SF001, "events")
     assert back.count() == src.count()
     assert back.select("value").exceptAll(src.selectExpr("props AS value")).count() == 0
