@@ -42,26 +42,36 @@ def route(records: DataFrame, feeds: DataFrame, clock: str = "timestamp") -> Dat
 
 
 def land_batch(records: DataFrame, feeds: DataFrame, out_root: str, dead_letter_path: str | None = None,
-               clock: str = "timestamp") -> DataFrame:
-    """Land a batch; return the manifest (lazy) of what was written."""
+               clock: str = "timestamp", transform=None, mode: str = "append") -> DataFrame:
+    """Land a batch; return the manifest (lazy) of what was written.
+
+    ``transform`` is the per-record hook: a function DataFrame -> DataFrame
+    applied to the routed good rows (column ``text`` is what lands).
+    ``mode="overwrite"`` replaces ``out_root`` (one folder per micro-batch).
+    """
     routed = route(records, feeds, clock)
     good = routed.filter(F.col("status") == "ok")
+    if transform is not None:
+        good = transform(good)
     # config is small: the distinct (codec, line-break) groups drive the writes
     groups = [(r["codec"], r["isWriteLineBreaks"]) for r in
               valid_feeds(feeds).select("codec", "isWriteLineBreaks").distinct().collect()]
+    groups.sort(key=lambda g: (g[1] != 1, g[0] or ""))  # text groups first: they may overwrite
     for codec, breaks in groups:
         part = good.filter(F.col("codec").eqNullSafe(F.lit(codec)) & (F.col("isWriteLineBreaks") == breaks))
         part = part.withColumn("feed", F.col("feed_id").cast("string"))
         if breaks == 1:
-            text.write_text(part, out_root, "text", codec, partition_by=["feed", "d", "h"])
+            text.write_text(part, out_root, "text", codec, partition_by=["feed", "d", "h"], mode=mode)
+            mode = "append"  # later codec groups add to the same folder
         else:
             raw.write_raw(part.select(F.concat_ws("/", F.concat(F.lit("feed="), "feed"),
                                                   F.concat(F.lit("d="), "d"), F.concat(F.lit("h="), "h"))
-                                      .alias("bucket"), F.col("text").cast("binary").alias("data")),
-                          out_root)
+                                      .alias("bucket"), F.col("text").cast("binary").alias("data"), "offset"),
+                          out_root, mode=mode)
+            mode = "append"
     if dead_letter_path:
         (records.withColumn("reason", record_status("value")).filter(F.col("reason") != "ok")
-         .write.mode("append").parquet(dead_letter_path))
+         .write.mode("overwrite" if mode == "overwrite" else "append").parquet(dead_letter_path))
     framed = good.withColumn("line", F.when(F.col("isWriteLineBreaks") == 1, F.concat("text", F.lit("\n")))
                              .otherwise(F.col("text")))
     return bucket_manifest(framed, clock)

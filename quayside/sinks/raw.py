@@ -2,8 +2,9 @@
 
 Spark's text sink refuses an empty line separator, so feeds that do not ask
 for line breaks land through this Python data source (batch and stream).
-Each task writes one ``.tmp`` file per bucket; the driver renames them in
-``commit`` and deletes them in ``abort``.  File names carry the batch id and
+Each task writes one ``.tmp`` file per bucket under a hidden ``_tmp-<tag>``
+folder (readers skip ``_`` paths); the driver renames them in ``commit``
+and drops the folder in ``abort``.  File names carry the batch id and
 the task's partition id, so a replayed micro-batch rewrites the same names.
 
 Input columns: ``bucket`` (relative folder) and ``data`` (binary).
@@ -53,9 +54,10 @@ def _write_task(root: str, rows, tag: str) -> _Files:
             s = streams.get(bucket)
             if s is None:
                 folder = f"{base}/{bucket}".rstrip("/")
-                fs.create_dir(folder, recursive=True)
+                staging = f"{base}/_tmp-{tag}/{bucket}".rstrip("/")
+                fs.create_dir(staging, recursive=True)
                 final = f"{folder}/part-{tag}-{part:05d}"
-                tmp = f"{folder}/.part-{tag}-{part:05d}-{uuid.uuid4().hex[:8]}.tmp"
+                tmp = f"{staging}/part-{tag}-{part:05d}-{uuid.uuid4().hex[:8]}.tmp"
                 s = streams[bucket] = fs.open_output_stream(tmp)
                 msg.moves.append((tmp, final))
             s.write(bytes(data))
@@ -67,39 +69,53 @@ def _write_task(root: str, rows, tag: str) -> _Files:
     return msg
 
 
-def _commit(root: str, messages) -> None:
-    fs, _ = _fs(root)
+def _commit(root: str, messages, tag: str, overwrite: bool = False) -> None:
+    """Publish: (overwrite: clear the old contents first), rename every
+    staged file to its final name, drop the staging folder."""
+    import pyarrow.fs as pafs
+
+    fs, base = _fs(root)
+    staging = f"{base}/_tmp-{tag}"
+    if overwrite:
+        for info in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
+            if info.path.rstrip("/") == staging:
+                continue
+            if info.type == pafs.FileType.Directory:
+                fs.delete_dir(info.path)
+            else:
+                fs.delete_file(info.path)
     for m in messages:
         if m is None:
             continue
         for tmp, final in m.moves:
+            fs.create_dir(final.rsplit("/", 1)[0], recursive=True)
             fs.move(tmp, final)
+    try:
+        fs.delete_dir(staging)
+    except (FileNotFoundError, OSError):
+        pass
 
 
-def _abort(root: str, messages) -> None:
-    fs, _ = _fs(root)
-    for m in messages:
-        if m is None:
-            continue
-        for tmp, _final in m.moves:
-            try:
-                fs.delete_file(tmp)
-            except (FileNotFoundError, OSError):
-                pass
+def _abort(root: str, tag: str) -> None:
+    fs, base = _fs(root)
+    try:
+        fs.delete_dir(f"{base}/_tmp-{tag}")
+    except (FileNotFoundError, OSError):
+        pass
 
 
 class _BatchWriter(DataSourceWriter):
-    def __init__(self, root: str, tag: str):
-        self.root, self.tag = root, tag
+    def __init__(self, root: str, tag: str, overwrite: bool):
+        self.root, self.tag, self.overwrite = root, tag, overwrite
 
     def write(self, iterator):
         return _write_task(self.root, iterator, self.tag)
 
     def commit(self, messages):
-        _commit(self.root, messages)
+        _commit(self.root, messages, self.tag, self.overwrite)
 
     def abort(self, messages):
-        _abort(self.root, messages)
+        _abort(self.root, self.tag)
 
 
 class _StreamWriter(DataSourceStreamWriter):
@@ -114,10 +130,10 @@ class _StreamWriter(DataSourceStreamWriter):
         return _write_task(self.root, iterator, f"b{int(batch or 0):010d}")
 
     def commit(self, messages, batchId):
-        _commit(self.root, messages)
+        _commit(self.root, messages, f"b{batchId:010d}")
 
     def abort(self, messages, batchId):
-        _abort(self.root, messages)
+        _abort(self.root, f"b{batchId:010d}")
 
 
 class RawConcatDataSource(DataSource):
@@ -130,7 +146,7 @@ class RawConcatDataSource(DataSource):
 
     def writer(self, schema, overwrite):
         tag = self.options.get("tag") or uuid.uuid4().hex[:12]
-        return _BatchWriter(self.options["path"], tag)
+        return _BatchWriter(self.options["path"], tag, overwrite)
 
     def streamWriter(self, schema, overwrite):
         return _StreamWriter(self.options["path"])
@@ -141,7 +157,8 @@ def register(spark) -> None:
 
 
 def write_raw(df, path: str, bucket_col: str = "bucket", data_col: str = "data", tag: str | None = None,
-              cluster_order: str | None = "offset", num_partitions: int | None = None) -> None:
+              cluster_order: str | None = "offset", num_partitions: int | None = None,
+              mode: str = "append") -> None:
     """Range-cluster rows on (bucket, order) like the text sink, so a bucket
     gets one file per task range and a hot bucket is cut over tasks."""
     from pyspark.sql import functions as F
@@ -153,7 +170,7 @@ def write_raw(df, path: str, bucket_col: str = "bucket", data_col: str = "data",
         d = df.repartitionByRange(n, bucket_col, cluster_order)
     w = (d.select(F.col(bucket_col).alias("bucket"), F.col(data_col).cast("binary").alias("data"))
          .sortWithinPartitions("bucket")
-         .write.format(FORMAT).mode("append").option("path", path))
+         .write.format(FORMAT).mode(mode).option("path", path))
     if tag:
         w = w.option("tag", tag)
     w.save()

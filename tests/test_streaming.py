@@ -46,3 +46,56 @@ def test_stream_landing_roundtrip(spark, scratch):
     src = read_table(spark, SF001, "events")
     assert back.count() == src.count()
     assert back.select("value").exceptAll(src.selectExpr("props AS value")).count() == 0
+
+
+def test_feed_reload_per_batch(spark, scratch):
+    """Three micro-batches; the config changes before the second and the
+    read fails before the third (the running feeds stay)."""
+    from pyspark.sql import functions as F
+
+    from quayside.sources.feeds import feeds_from_nation
+    from quayside.streaming.reload import FeedReloader, start_feed_landing
+
+    src_dir = os.path.join(scratch, "src")
+    ev = read_table(spark, SF001, "events")
+    (ev.withColumn("part", F.floor(F.col("event_id") * 3 / ev.count()))
+     .repartition(1).write.partitionBy("part").parquet(src_dir))
+    files = []
+    for p in range(3):
+        files += [os.path.join(src_dir, f"part={p}", f) for f in os.listdir(os.path.join(src_dir, f"part={p}"))
+                  if f.endswith(".parquet")]
+    flat = os.path.join(scratch, "flat")
+    os.makedirs(flat)
+    for i, f in enumerate(files):
+        os.link(f, os.path.join(flat, f"events-{i}.parquet"))
+
+    nation = read_table(spark, SF001, "nation")
+    calls = {"n": 0}
+
+    def read(sp):
+        calls["n"] += 1
+        feeds = feeds_from_nation(nation)
+        if calls["n"] == 2:
+            return feeds.withColumn("filePathMode", F.lit("day"))  # every feed changes -> restart
+        if calls["n"] >= 3:
+            raise RuntimeError("config database unreachable")
+        return feeds
+
+    seen = []
+    reloader = FeedReloader(read, [seen.append])
+    stream = events_as_records(replay_stream(spark, flat, ev.schema, max_files_per_trigger=1, glob="*.parquet"))
+    out, man = os.path.join(scratch, "out"), os.path.join(scratch, "manifest")
+    q = start_feed_landing(stream, reloader, out, os.path.join(scratch, "ckpt"), manifest_path=man,
+                           trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    assert calls["n"] == 3
+    assert {a for _, a in seen[0]} == {"start"} and {a for _, a in seen[1]} == {"restart"}
+    assert len(seen) == 2  # the failed read changed nothing
+    m = spark.read.parquet(man)
+    assert m.select("batch_id").distinct().count() == 3
+    # each record lands once per enabled feed of its topic
+    fan = spark.read.parquet(man).agg(F.sum("n_records")).first()[0]
+    from quayside.operators.routing import fan_out
+
+    assert fan == fan_out(events_as_records(ev), feeds_from_nation(nation)).count()
