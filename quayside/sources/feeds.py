@@ -37,11 +37,16 @@ def read_feeds_jdbc(spark: SparkSession, url: str, table: str = CONFIG_TABLE,
 
 
 def read_feed_list_xml(spark: SparkSession, path: str) -> DataFrame:
-    """``<topic name=... consumerThreadCountForTopic=... isContainLineBreaks=...>``"""
-    return (spark.read.format("xml").option("rowTag", "topic").load(path)
-            .select(F.col("_name").alias("topics"),
-                    F.col("consumerThreadCountForTopic").cast("int").alias("numThreads"),
-                    F.col("isContainLineBreaks").cast("boolean").cast("int").alias("isWriteLineBreaks")))
+    """``<topic name=... consumerThreadCountForTopic=... isContainLineBreaks=...>``
+    (attributes, which the XML source prefixes with ``_``, or child elements)."""
+    df = spark.read.format("xml").option("rowTag", "topic").load(path)
+
+    def field(name: str) -> F.Column:
+        return F.col(f"_{name}") if f"_{name}" in df.columns else F.col(name)
+
+    return df.select(field("name").alias("topics"),
+                     field("consumerThreadCountForTopic").cast("int").alias("numThreads"),
+                     field("isContainLineBreaks").cast("boolean").cast("int").alias("isWriteLineBreaks"))
 
 
 def normalize_feeds(df: DataFrame) -> DataFrame:

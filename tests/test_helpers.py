@@ -1,0 +1,99 @@
+"""Sources and helpers without an oracle query: XML feed list, table
+create/exists, compaction, observed metrics, streaming dedup."""
+
+import glob
+import os
+from datetime import datetime
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import SF001
+from quayside.operators import tables
+from quayside.sinks import text
+from quayside.sinks.compaction import compact_hour
+from quayside.sources.feeds import read_feed_list_xml
+from quayside.sources.records import events_as_records
+from quayside.sources.tables import read_table
+
+
+def test_xml_feed_list(spark, scratch):
+    path = os.path.join(scratch, "topics.xml")
+    with open(path, "w") as fh:
+        fh.write('<topics>\n'
+                 '  <topic name="click" consumerThreadCountForTopic="3" isContainLineBreaks="true"/>\n'
+                 '  <topic name="view" consumerThreadCountForTopic="1" isContainLineBreaks="false"/>\n'
+                 '</topics>\n')
+    got = sorted(tuple(r) for r in read_feed_list_xml(spark, path).collect())
+    assert got == [("click", 3, 1), ("view", 1, 0)]
+
+
+def test_create_table_and_exists(spark, scratch):
+    name = "qs_feed_copy"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    schema = T.StructType([T.StructField("topic", T.StringType()), T.StructField("n", T.LongType())])
+    ddl = tables.create_table_ddl(name, schema)
+    assert "updateTime TIMESTAMP" in ddl and ddl.startswith(f"CREATE TABLE IF NOT EXISTS {name} (id BIGINT")
+    assert not tables.table_exists(spark, name)
+    spark.sql(ddl.replace("USING parquet", f"USING parquet LOCATION '{scratch}/t'"))
+    assert tables.table_exists(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_compaction_keeps_every_line(spark, scratch):
+    lines = (events_as_records(read_table(spark, SF001, "events"))
+             .select(F.col("value").cast("string").alias("value"), "offset",
+                     F.date_format("timestamp", "yyyy-MM-dd").alias("d"),
+                     F.date_format("timestamp", "HH").alias("h")))
+    landed = os.path.join(scratch, "landed")
+    text.write_text(lines.repartition(4), landed, "value", partition_by=["d", "h"], cluster_order=None)
+    text.write_text(lines.repartition(4), landed, "value", partition_by=["d", "h"], cluster_order=None)
+    d, h = "2024-01-01", "00"
+    before = glob.glob(f"{landed}/d={d}/h={h}/part-*")
+    out = compact_hour(spark, landed, d, h, os.path.join(scratch, "v2"))
+    after = glob.glob(f"{out}/part-*")
+    assert len(after) == 1 and len(before) >= 2
+    want = text.read_landed(spark, landed).filter((F.col("d") == d) & (F.col("h") == h)).select("value")
+    got = spark.read.text(out)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_observed_metrics_in_stream(spark, scratch):
+    from quayside.session import scratch_path
+    from quayside.sources.records import replay_stream
+    from quayside.streaming.windows import observed
+
+    schema = read_table(spark, SF001, "events").schema
+    s = observed(events_as_records(replay_stream(spark, SF001, schema, glob="events.parquet")))
+    q = (s.writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "obs"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    metrics = [p["observedMetrics"]["landing"] for p in q.recentProgress if p.get("observedMetrics")]
+    n = read_table(spark, SF001, "events").count()
+    assert sum(int(m["messages"]) for m in metrics) == n
+
+
+def test_dedup_stream_drops_replayed_offsets(spark, scratch):
+    from quayside.operators.offsets import dedup_stream
+    from quayside.session import scratch_path
+
+    ev = read_table(spark, SF001, "events")
+    src = os.path.join(scratch, "twice")
+    ev.write.parquet(os.path.join(src, "a"))
+    ev.write.parquet(os.path.join(src, "b"))
+    s = events_as_records(spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(src))
+    q = (dedup_stream(s, "1 hour").writeStream.format("memory").queryName("dedup_once")
+         .option("checkpointLocation", scratch_path(spark, "dedup")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.table("dedup_once").count() == ev.count()
+
+
+def test_null_value_and_hour_edges_route(spark):
+    from quayside.operators.routing import route_bucket
+
+    rows = [(None, "a", 0, 1, datetime(2024, 1, 1, 0, 59, 59, 999999)),
+            (b"x", "a", 0, 2, datetime(2024, 1, 1, 1, 0, 0)),
+            (b"y", "a", 0, 3, datetime(2024, 1, 2, 0, 0, 0))]
+    df = spark.createDataFrame(rows, "value binary, topic string, partition int, offset long, timestamp timestamp")
+    got = [r.bucket_dir for r in route_bucket(df, "/b").orderBy("offset").collect()]
+    assert got == ["/b/a/2024-01-01/00", "/b/a/2024-01-01/01", "/b/a/2024-01-02/00"]
