@@ -39,14 +39,21 @@ def flow_per_second(decoded: DataFrame, clock: str = "timestamp") -> DataFrame:
             .withColumn("flow_size", flow_size("n_chars")))
 
 
-def running_totals(per_second: DataFrame) -> DataFrame:
+def running_totals(per_second: DataFrame, materialize: bool = True) -> DataFrame:
     """Cumulative messages and chars per topic, in second order.
 
     A single window over a topic would put the whole topic in one task.
     Instead: day totals -> prefix over days (a few rows per topic) -> running
     sum inside (topic, day) (at most 86,400 rows) + the prefix.  The join and
-    the inner window share one exchange on (topic, day).
+    the inner window share one exchange on (topic, day).  The per-second
+    table (bounded by seconds x topics, not by volume) feeds both sides, so
+    it is checkpointed once instead of scanning the records twice.
     """
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(per_second.sparkSession)
+        per_second = per_second.checkpoint(eager=True)
     s = per_second.withColumn("_day", F.date_trunc("day", F.col("second")))
     days = s.groupBy("topic", "_day").agg(F.sum("qps").alias("_dn"), F.sum("n_chars").alias("_dc"))
     before = Window.partitionBy("topic").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
