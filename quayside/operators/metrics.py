@@ -14,11 +14,11 @@ from ..functions.text import utf16_length
 MIB = 1024 * 1024
 
 
-def bucket_manifest(routed: DataFrame, clock: str = "timestamp") -> DataFrame:
-    """One row per (topic, bucket directory, bucket hour): records, chars
-    (UTF-16 units, as the old counters), bytes and the offset range."""
-    return (routed.groupBy("topic", "bucket_dir",
-                           F.date_trunc("hour", F.col(clock)).alias("bucket_start"))
+def bucket_manifest(routed: DataFrame, clock: str = "timestamp",
+                    keys: tuple[str, ...] = ("topic", "bucket_dir")) -> DataFrame:
+    """One row per (keys, bucket hour): records, chars (UTF-16 units, as the
+    old counters), bytes and the offset range."""
+    return (routed.groupBy(*keys, F.date_trunc("hour", F.col(clock)).alias("bucket_start"))
             .agg(F.count(F.lit(1)).alias("n_records"),
                  F.sum(utf16_length("line")).cast("bigint").alias("n_chars"),
                  F.sum(F.octet_length("line")).cast("bigint").alias("n_bytes"),

@@ -122,6 +122,26 @@ def q_fan_out(spark, sf):
                                                              "offset")
 
 
+@query("feed_manifest", f"""WITH {REC}, f AS ({FEEDS_FROM_NATION_SQL}),
+ft0 AS (SELECT id AS feed_id, filePath, filePathMode, unnest(string_split(topics, ',')) AS topic
+        FROM f WHERE isEnabled = 1),
+ft AS (SELECT feed_id, filePath, filePathMode, trim(topic) AS topic FROM ft0)
+SELECT ft.feed_id, r.topic,
+       ft.filePath || '/' || {D} || CASE WHEN ft.filePathMode = 'hour' THEN '/' || {H} ELSE '' END AS bucket_dir,
+       date_trunc('hour', ts) AS bucket_start, count(*) AS n_records,
+       CAST(sum(length(value) + 1) AS BIGINT) AS n_chars, CAST(sum(strlen(value) + 1) AS BIGINT) AS n_bytes,
+       min("offset") AS first_offset, max("offset") AS last_offset
+FROM rec r JOIN ft ON r.topic = ft.topic
+GROUP BY 1, 2, 3, 4""")
+def q_feed_manifest(spark, sf):
+    from .landing import feed_manifest, route
+
+    feeds = feeds_from_nation(read_table(spark, sf, "nation"))
+    good = route(records(spark, sf), feeds).filter(F.col("status") == "ok")
+    return feed_manifest(good).select("feed_id", "topic", "bucket_dir", _ntz("bucket_start"), "n_records",
+                                      "n_chars", "n_bytes", "first_offset", "last_offset")
+
+
 @query("group_split", f"""WITH {REC}, {FEEDS_N},
 m AS (SELECT *, row_number() OVER (PARTITION BY group_id, topic ORDER BY feed_id) - 1 AS member,
              count(*) OVER (PARTITION BY group_id, topic) AS n_members FROM ft),

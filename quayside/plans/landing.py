@@ -72,6 +72,11 @@ def land_batch(records: DataFrame, feeds: DataFrame, out_root: str, dead_letter_
     if dead_letter_path:
         (records.withColumn("reason", record_status("value")).filter(F.col("reason") != "ok")
          .write.mode("overwrite" if mode == "overwrite" else "append").parquet(dead_letter_path))
-    framed = good.withColumn("line", F.when(F.col("isWriteLineBreaks") == 1, F.concat("text", F.lit("\n")))
-                             .otherwise(F.col("text")))
-    return bucket_manifest(framed, clock)
+    return feed_manifest(good, clock)
+
+
+def feed_manifest(routed_good: DataFrame, clock: str = "timestamp") -> DataFrame:
+    """Per feed and bucket: what lands (records, chars, bytes, offsets)."""
+    framed = routed_good.withColumn(
+        "line", F.when(F.col("isWriteLineBreaks") == 1, F.concat("text", F.lit("\n"))).otherwise(F.col("text")))
+    return bucket_manifest(framed, clock, ("feed_id", "topic", "bucket_dir"))

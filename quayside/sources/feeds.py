@@ -143,6 +143,8 @@ SELECT CAST(n_nationkey AS BIGINT) AS id,
                  ['click','error','purchase','signup','view'][(n_nationkey + 2) % 5 + 1]
             ELSE ['click','error','purchase','signup','view'][n_nationkey % 5 + 1] END AS topics,
        'grp-' || CAST(n_nationkey // 10 AS VARCHAR) AS groupID,
+       '/logs/' || lower(n_name) AS filePath,
+       CASE WHEN n_nationkey < 13 THEN 'hour' ELSE 'day' END AS filePathMode,
        CASE WHEN n_nationkey = 24 THEN 0 ELSE 1 END AS isEnabled
 FROM nation
 """
