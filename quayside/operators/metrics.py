@@ -75,5 +75,17 @@ def line_bytes(records: DataFrame) -> DataFrame:
                  (F.sum(F.octet_length("value")) + F.count(F.lit(1))).cast("bigint").alias("bytes_with_breaks")))
 
 
+def landing_size(framed: DataFrame, keys: tuple[str, ...] = ("topic",)) -> DataFrame:
+    """What whole framed lines add up to once landed: records, text lines
+    (embedded line breaks are not escaped, so one record may be many lines),
+    UTF-16 chars and bytes."""
+    newlines = F.length("line") - F.length(F.replace(F.col("line"), F.lit("\n"), F.lit("")))
+    return (framed.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("n_records"),
+                 F.sum(newlines).cast("bigint").alias("n_lines"),
+                 F.sum(utf16_length("line")).cast("bigint").alias("n_chars"),
+                 F.sum(F.octet_length("line")).cast("bigint").alias("n_bytes")))
+
+
 def status_counts(records_with_status: DataFrame) -> DataFrame:
     return records_with_status.groupBy("topic", "status").agg(F.count(F.lit(1)).alias("n_records"))

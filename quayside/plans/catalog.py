@@ -201,6 +201,20 @@ def q_line_bytes(spark, sf):
     return metrics.line_bytes(records(spark, sf))
 
 
+@query("text_landing_size", """WITH t AS (SELECT source, text || chr(10) AS line FROM documents)
+SELECT source AS topic, count(*) AS n_records,
+       CAST(sum(length(line) - length(replace(line, chr(10), ''))) AS BIGINT) AS n_lines,
+       CAST(sum(length(line) + length(regexp_replace(line, '[^\\x{10000}-\\x{10FFFF}]', '', 'g'))) AS BIGINT)
+         AS n_chars,
+       CAST(sum(strlen(line)) AS BIGINT) AS n_bytes
+FROM t GROUP BY 1""")
+def q_text_landing_size(spark, sf):
+    """Whole documents as one feed per source (value = text, line breaks on)."""
+    docs = read_table(spark, sf, "documents").select(
+        F.col("source").alias("topic"), F.col("text").cast("binary").alias("value"))
+    return metrics.landing_size(routing.decoded(docs, 1))
+
+
 # ---------------------------------------------------------------- offsets
 
 @query("commit_offsets", f"""WITH {REC}
