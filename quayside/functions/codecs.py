@@ -24,7 +24,7 @@ EXTENSIONS = {
 NO_CODEC = "none"
 
 
-def _spellings() -> dict[str, str]:
+def codec_spellings() -> dict[str, str]:
     """Case-insensitive names: simple class name and the name without
     ``Codec``, all lower-cased."""
     out = {}
@@ -42,7 +42,7 @@ def resolve_codec_py(name: str | None) -> str | None:
         return None
     if name in CODEC_CLASSES:
         return CODEC_CLASSES[name]
-    hit = _spellings().get(name.lower())
+    hit = codec_spellings().get(name.lower())
     if hit is None:
         raise ValueError(f"unsupported compression codec {name!r}; choose from "
                          f"None, {', '.join(sorted(c.rsplit('.', 1)[1] for c in CODEC_CLASSES))}")
@@ -57,7 +57,7 @@ def resolve_codec(name) -> Column:
     """Column form: Spark codec name; null for null/'None'; ``?`` when unknown."""
     c = F.col(name) if isinstance(name, str) else name
     hit = F.coalesce(F.element_at(_map(CODEC_CLASSES), c),
-                     F.element_at(_map(_spellings()), F.lower(c)))
+                     F.element_at(_map(codec_spellings()), F.lower(c)))
     return (F.when(c.isNull() | (F.lower(c) == NO_CODEC), F.lit(None).cast("string"))
             .otherwise(F.coalesce(hit, F.lit("?"))))
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codecs import CODEC_CLASSES, _spellings
+from ..functions.codecs import CODEC_CLASSES, codec_spellings
 from ..functions.naming import to_camel, to_snake
 from ..functions.coerce import null_defaults
 from ..functions.text import fill_template as fill_template_col
@@ -345,7 +345,7 @@ def q_enabled_feeds(spark, sf):
 
 def _codec_case(col: str) -> str:
     exact = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in sorted(CODEC_CLASSES.items()))
-    ci = " ".join(f"WHEN lower({col}) = '{k}' THEN '{v}'" for k, v in sorted(_spellings().items()))
+    ci = " ".join(f"WHEN lower({col}) = '{k}' THEN '{v}'" for k, v in sorted(codec_spellings().items()))
     return f"CASE WHEN {col} IS NULL OR lower({col}) = 'none' THEN NULL {exact} {ci} ELSE '?' END"
 
 
