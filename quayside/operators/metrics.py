@@ -18,12 +18,14 @@ def bucket_manifest(routed: DataFrame, clock: str = "timestamp",
                     keys: tuple[str, ...] = ("topic", "bucket_dir")) -> DataFrame:
     """One row per (keys, bucket hour): records, chars (UTF-16 units, as the
     old counters), bytes and the offset range."""
-    return (routed.groupBy(*keys, F.date_trunc("hour", F.col(clock)).alias("bucket_start"))
-            .agg(F.count(F.lit(1)).alias("n_records"),
-                 F.sum(utf16_length("line")).cast("bigint").alias("n_chars"),
-                 F.sum(F.octet_length("line")).cast("bigint").alias("n_bytes"),
-                 F.min("offset").alias("first_offset"),
-                 F.max("offset").alias("last_offset")))
+    aggs = [F.count(F.lit(1)).alias("n_records"),
+            F.sum(utf16_length("line")).cast("bigint").alias("n_chars"),
+            F.sum(F.octet_length("line")).cast("bigint").alias("n_bytes"),
+            F.min("offset").alias("first_offset"),
+            F.max("offset").alias("last_offset")]
+    if "late" in routed.columns:  # event-time mode: rows behind the watermark
+        aggs.append(F.sum(F.col("late").cast("int")).cast("bigint").alias("n_late"))
+    return routed.groupBy(*keys, F.date_trunc("hour", F.col(clock)).alias("bucket_start")).agg(*aggs)
 
 
 def flow_size(chars_col) -> F.Column:

@@ -56,17 +56,47 @@ class FeedReloader:
         return new
 
 
+class LateTracker:
+    """Event-time watermark for late counting, moved like Spark's: the
+    watermark used for batch N is (max event time of batches < N) - delay.
+    Late rows still land in their own hour; the manifest counts them."""
+
+    def __init__(self, delay_seconds: int, clock: str = "timestamp"):
+        self.delay = delay_seconds
+        self.clock = clock
+        self.max_seen = None
+
+    def mark(self, batch: DataFrame) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        c = F.col(self.clock).cast("timestamp")
+        if self.max_seen is None:
+            marked = batch.withColumn("late", F.lit(False))
+        else:
+            wm = F.lit(self.max_seen) - F.make_interval(secs=F.lit(self.delay))
+            marked = batch.withColumn("late", F.coalesce(c < wm, F.lit(False)))
+        top = batch.agg(F.max(c)).first()[0]  # one scalar per batch
+        if top is not None and (self.max_seen is None or top > self.max_seen):
+            self.max_seen = top
+        return marked
+
+
 def start_feed_landing(records: DataFrame, reloader: FeedReloader, out_path: str, checkpoint: str,
                        manifest_path: str | None = None, dead_letter_path: str | None = None,
-                       trigger: dict | None = None, transform=None) -> StreamingQuery:
+                       trigger: dict | None = None, transform=None,
+                       late_delay_seconds: int | None = None) -> StreamingQuery:
     """Stream landing with per-batch config reload.  Batch N lands into
     ``out_path/batch_id=N`` (overwritten on replay); its manifest goes to
-    ``manifest_path/batch_id=N``."""
+    ``manifest_path/batch_id=N``.  With ``late_delay_seconds`` the manifest
+    gets ``n_late``: rows older than the event-time watermark."""
     root = out_path.rstrip("/")
+    late = LateTracker(late_delay_seconds) if late_delay_seconds is not None else None
 
     def land(batch: DataFrame, batch_id: int) -> None:
         feeds = reloader.refresh(batch.sparkSession)
         dead = f"{dead_letter_path.rstrip('/')}/batch_id={batch_id}" if dead_letter_path else None
+        if late is not None:
+            batch = late.mark(batch)
         manifest = land_batch(batch, feeds, f"{root}/batch_id={batch_id}", dead, transform=transform,
                               mode="overwrite")
         if manifest_path:

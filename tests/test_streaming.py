@@ -99,3 +99,36 @@ def test_feed_reload_per_batch(spark, scratch):
     from quayside.operators.routing import fan_out
 
     assert fan == fan_out(events_as_records(ev), feeds_from_nation(nation)).count()
+
+
+def test_late_rows_land_and_are_counted(spark, scratch):
+    import time as _time
+
+    from pyspark.sql import functions as F
+
+    from quayside.sources.feeds import feeds_from_nation
+    from quayside.streaming.reload import FeedReloader, start_feed_landing
+
+    ev = read_table(spark, SF001, "events")
+    from datetime import datetime
+
+    mid = F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz")  # events span 2024-01-01 .. 01-30
+    src = os.path.join(scratch, "src")
+    ev.filter(F.col("ts") >= mid).coalesce(1).write.parquet(os.path.join(src, "a"))
+    _time.sleep(1.1)  # the file source orders files by modification time
+    ev.filter(F.col("ts") < mid).coalesce(1).write.parquet(os.path.join(src, "b"))
+    stream = events_as_records(spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true")
+                               .option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.parquet")
+                               .parquet(src))
+    nation = read_table(spark, SF001, "nation")
+    reloader = FeedReloader(lambda sp: feeds_from_nation(nation))
+    man = os.path.join(scratch, "manifest")
+    q = start_feed_landing(stream, reloader, os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"),
+                           manifest_path=man, trigger={"availableNow": True}, late_delay_seconds=3600)
+    q.awaitTermination()
+    m = spark.read.parquet(man)
+    by_batch = {r.batch_id: (r.n, r.late) for r in
+                m.groupBy("batch_id").agg(F.sum("n_records").alias("n"), F.sum("n_late").alias("late")).collect()}
+    assert by_batch[0][1] == 0
+    # every row of the older file is behind max(newer file) - 1 hour: all late, all landed
+    assert by_batch[1][1] == by_batch[1][0] > 0
