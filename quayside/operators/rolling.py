@@ -91,6 +91,9 @@ def _greedy_kernel(keys: list[str], kind: str, limit: int, measure: str):
 def greedy_roll(df: DataFrame, keys: list[str], order: list[str], measure: str,
                 kind: str, limit: int) -> DataFrame:
     """Cluster by bucket, sort, then stream the Arrow kernel."""
+    from ..session import ship_package
+
+    ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField("roll_seq", T.LongType(), False)])
     return (df.repartition(*keys)
             .sortWithinPartitions(*keys, *order)

@@ -1,6 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from quayside.operators import feeds as feed_ops
 from quayside.operators import offsets, routing
