@@ -1,24 +1,45 @@
-"""Small-file compaction for completed hours.
+"""Small-file compaction of completed hours, as one distributed job.
 
 Each task lands its own file per bucket, so an hour may hold many small
-files.  Once an hour is complete, rewrite it into ``target_files`` files in
-a new versioned folder; readers switch to the new version through the
-manifest.  Only one hour is read (partition pruning on ``d``/``h``).
+files.  Completed hours are rewritten into a new versioned folder: rows are
+range-clustered by (d, h) so an hour ends up in one file (a hot hour is cut
+over several tasks), and only the selected hours are read (partition
+pruning on ``d``/``h``).  Readers switch to the new version via the manifest.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import read_landed
 
+PARTS = ["d", "h"]
 
-def compact_hour(spark, landed_root: str, d: str, h: str, out_root: str, target_files: int = 1,
-                 codec: str | None = None) -> str:
-    src = read_landed(spark, landed_root).filter((F.col("d") == d) & (F.col("h") == h))
-    out = f"{out_root.rstrip('/')}/d={d}/h={h}"
-    w = src.select("value").coalesce(target_files).write.mode("overwrite")
+
+def compact_hours(spark, landed_root: str, out_root: str, where: Column | None = None,
+                  codec: str | None = None, num_partitions: int | None = None) -> str:
+    """Rewrite the landed hours selected by ``where`` (a filter on d/h; all
+    hours when None) into ``out_root``, about one file per hour."""
+    src = read_landed(spark, landed_root)
+    if where is not None:
+        src = src.filter(where)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = (src.withColumn("_k", F.monotonically_increasing_id())  # splits a hot hour between tasks
+         .repartitionByRange(n, *PARTS, "_k").drop("_k").sortWithinPartitions(*PARTS))
+    w = d.write.mode("overwrite").partitionBy(*PARTS)
     if codec:
         w = w.option("compression", codec)
-    w.text(out)
-    return out
+    w.text(out_root)
+    return out_root
+
+
+def complete_before(cutoff_d: str, cutoff_h: str) -> Column:
+    """Hours strictly before (cutoff_d, cutoff_h): the completed ones."""
+    return (F.col("d") < cutoff_d) | ((F.col("d") == cutoff_d) & (F.col("h") < cutoff_h))
+
+
+def compact_hour(spark, landed_root: str, d: str, h: str, out_root: str, codec: str | None = None) -> str:
+    """One hour only (a filter on the same job)."""
+    compact_hours(spark, landed_root, out_root, (F.col("d") == d) & (F.col("h") == h), codec, 1)
+    return f"{out_root.rstrip('/')}/d={d}/h={h}"

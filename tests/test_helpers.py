@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from conftest import SF001
 from quayside.operators import tables
 from quayside.sinks import text
-from quayside.sinks.compaction import compact_hour
+from quayside.sinks.compaction import compact_hour, compact_hours, complete_before
 from quayside.sources.feeds import read_feed_list_xml
 from quayside.sources.records import events_as_records
 from quayside.sources.tables import read_table
@@ -58,6 +58,46 @@ def test_compaction_keeps_every_line(spark, scratch):
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
+def test_compact_all_complete_hours(spark, scratch):
+    lines = (events_as_records(read_table(spark, SF001, "events"))
+             .select(F.col("value").cast("string").alias("value"),
+                     F.date_format("timestamp", "yyyy-MM-dd").alias("d"),
+                     F.date_format("timestamp", "HH").alias("h")))
+    landed = os.path.join(scratch, "landed")
+    for _ in range(2):
+        text.write_text(lines.repartition(4), landed, "value", partition_by=["d", "h"], cluster_order=None)
+    out = compact_hours(spark, landed, os.path.join(scratch, "v2"), complete_before("2024-01-20", "00"))
+    got = text.read_landed(spark, out)
+    want = text.read_landed(spark, landed).filter(complete_before("2024-01-20", "00"))
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    hours = {(r.d, r.h) for r in want.select("d", "h").distinct().collect()}
+    files = glob.glob(f"{out}/d=*/h=*/part-*")
+    assert len(files) <= len(hours) + 8  # about one file per hour (+ range boundaries)
+
+
+def test_raw_sink_stream(spark, scratch):
+    from quayside.session import scratch_path
+    from quayside.sinks.raw import FORMAT, register
+    from quayside.sources.records import replay_stream
+
+    register(spark)
+    ev = read_table(spark, SF001, "events")
+    s = events_as_records(replay_stream(spark, SF001, ev.schema, glob="events.parquet"))
+    out = os.path.join(scratch, "raw")
+    q = (s.select(F.concat(F.lit("topic="), "topic").alias("bucket"), F.col("value").alias("data"))
+         .writeStream.format(FORMAT).option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "rawstream")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert not glob.glob(f"{out}/_tmp-*")
+    on_disk = {}
+    for f in glob.glob(f"{out}/topic=*/part-*"):
+        t = f.split("topic=")[1].split("/")[0]
+        on_disk[t] = on_disk.get(t, 0) + os.path.getsize(f)
+    want = {r.event_type: r.n for r in
+            ev.groupBy("event_type").agg(F.sum(F.octet_length("props")).alias("n")).collect()}
+    assert on_disk == want
+
+
 def test_observed_metrics_in_stream(spark, scratch):
     from quayside.session import scratch_path
     from quayside.sources.records import replay_stream
