@@ -39,3 +39,17 @@ def allowed_value(c, allowed: list[str], case_sensitive: bool = True) -> Column:
     if case_sensitive:
         return col.isin(allowed)
     return F.lower(col).isin([a.lower() for a in allowed])
+
+
+def try_int(c) -> Column:
+    """Text -> int, null when it does not parse (never an error)."""
+    col = F.col(c) if isinstance(c, str) else c
+    return col.try_cast("int")
+
+
+def first_failure(checks: list[tuple[Column, str]]) -> Column:
+    """Name of the first failed check (a False or null condition), else null."""
+    out = F.lit(None).cast("string")
+    for ok, name in reversed(checks):
+        out = F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)).otherwise(out)
+    return out

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codecs import CODEC_CLASSES, codec_spellings
 from ..functions.naming import to_camel, to_snake
-from ..functions.coerce import null_defaults
+from ..functions.coerce import allowed_value, first_failure, null_defaults, try_int
 from ..functions.text import fill_template as fill_template_col
 from ..functions.timefmt import BAD_LETTER_CLASS, iso_utc
 from ..operators import feeds as feed_ops
@@ -515,6 +515,44 @@ def q_null_defaults(spark, sf):
     return null_defaults(docs.join(labels, "doc_id", "left"), ["quality", "toxic"])
 
 
+# The order enums (status letters, priority names).
+ORDER_STATUS = ["F", "O", "P"]
+PRIORITY_NAMES = ["URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW"]
+
+
+def _sql_list(xs):
+    return ", ".join(f"'{x}'" for x in xs)
+
+
+@query("coerce_types", f"""WITH c AS (
+  SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS order_date,
+         TRY_CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) AS priority_rank,
+         split_part(o_orderpriority, '-', 2) AS priority_name,
+         coalesce(o_totalprice, 0.0) AS total_price, o_orderstatus
+  FROM orders)
+SELECT o_orderkey, order_date, priority_rank, priority_name, total_price,
+       CASE WHEN priority_rank IS NULL THEN 'priority_not_a_number'
+            WHEN coalesce(priority_name IN ({_sql_list(PRIORITY_NAMES)}), false) = false THEN 'unknown_priority'
+            WHEN coalesce(o_orderstatus IN ({_sql_list(ORDER_STATUS)}), false) = false THEN 'unknown_status'
+       END AS reject_reason
+FROM c""")
+def q_coerce_types(spark, sf):
+    """Bean-style coercion: date kind narrowed, enum names matched exactly,
+    numbers parsed without errors, nulls to primitive zero; the first broken
+    rule is reported instead of failing the row."""
+    o = read_table(spark, sf, "orders")
+    pr = F.col("o_orderpriority")
+    c = o.select("o_orderkey", F.col("o_orderdate").cast("date").cast("timestamp_ntz").alias("order_date"),
+                 try_int(F.split_part(pr, F.lit("-"), F.lit(1))).alias("priority_rank"),
+                 F.split_part(pr, F.lit("-"), F.lit(2)).alias("priority_name"),
+                 F.coalesce(F.col("o_totalprice"), F.lit(0.0)).alias("total_price"), "o_orderstatus")
+    reason = first_failure([(F.col("priority_rank").isNotNull(), "priority_not_a_number"),
+                            (allowed_value("priority_name", PRIORITY_NAMES), "unknown_priority"),
+                            (allowed_value("o_orderstatus", ORDER_STATUS), "unknown_status")])
+    return c.select("o_orderkey", "order_date", "priority_rank", "priority_name", "total_price",
+                    reason.alias("reject_reason"))
+
+
 # ---------------------------------------------------------------- table helpers
 
 @query("page", f"""SELECT * FROM orders ORDER BY o_orderkey LIMIT {PAGE_SIZE} OFFSET {(PAGE_NO - 1) * PAGE_SIZE}""")

@@ -71,3 +71,16 @@ def test_utf16_length_beyond_bmp(spark):
     df = spark.createDataFrame([("a😀b",), ("abc",), ("",)], "s string")
     assert [r[0] for r in df.select(utf16_length("s")).collect()] == [4, 3, 0]
     assert [r[0] for r in df.select(F.length("s")).collect()] == [3, 3, 0]
+
+
+def test_first_failure_and_try_int(spark):
+    from quayside.functions.coerce import allowed_value, first_failure, try_int
+
+    df = spark.createDataFrame([("1-URGENT", "F"), ("x-HIGH", "O"), ("2-SOON", "O"), ("3-LOW", "Q"), (None, "F")],
+                               "p string, s string")
+    rank = try_int(F.split_part("p", F.lit("-"), F.lit(1)))
+    reason = first_failure([(rank.isNotNull(), "nan"),
+                            (allowed_value(F.split_part("p", F.lit("-"), F.lit(2)), ["URGENT", "HIGH", "LOW"]),
+                             "enum"),
+                            (allowed_value("s", ["F", "O"]), "status")])
+    assert [r[0] for r in df.select(reason).collect()] == [None, "nan", "enum", "status", "nan"]
