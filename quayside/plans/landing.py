@@ -42,12 +42,15 @@ def route(records: DataFrame, feeds: DataFrame, clock: str = "timestamp") -> Dat
 
 
 def land_batch(records: DataFrame, feeds: DataFrame, out_root: str, dead_letter_path: str | None = None,
-               clock: str = "timestamp", transform=None, mode: str = "append") -> DataFrame:
+               clock: str = "timestamp", transform=None, mode: str = "append",
+               cluster: str = "range") -> DataFrame:
     """Land a batch; return the manifest (lazy) of what was written.
 
     ``transform`` is the per-record hook: a function DataFrame -> DataFrame
     applied to the routed good rows (column ``text`` is what lands).
     ``mode="overwrite"`` replaces ``out_root`` (one folder per micro-batch).
+    ``cluster``: ``"range"`` for batch/backfill, ``"none"`` for live
+    micro-batches (see ``sinks.text.write_text``).
     """
     routed = route(records, feeds, clock)
     good = routed.filter(F.col("status") == "ok")
@@ -61,13 +64,14 @@ def land_batch(records: DataFrame, feeds: DataFrame, out_root: str, dead_letter_
         part = good.filter(F.col("codec").eqNullSafe(F.lit(codec)) & (F.col("isWriteLineBreaks") == breaks))
         part = part.withColumn("feed", F.col("feed_id").cast("string"))
         if breaks == 1:
-            text.write_text(part, out_root, "text", codec, partition_by=["feed", "d", "h"], mode=mode)
+            text.write_text(part, out_root, "text", codec, partition_by=["feed", "d", "h"], mode=mode,
+                            cluster=cluster)
             mode = "append"  # later codec groups add to the same folder
         else:
             raw.write_raw(part.select(F.concat_ws("/", F.concat(F.lit("feed="), "feed"),
                                                   F.concat(F.lit("d="), "d"), F.concat(F.lit("h="), "h"))
                                       .alias("bucket"), F.col("text").cast("binary").alias("data"), "offset"),
-                          out_root, mode=mode)
+                          out_root, mode=mode, cluster=cluster)
             mode = "append"
     if dead_letter_path:
         (records.withColumn("reason", record_status("value")).filter(F.col("reason") != "ok")

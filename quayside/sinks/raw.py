@@ -191,14 +191,14 @@ def register(spark) -> None:
 
 def write_raw(df, path: str, bucket_col: str = "bucket", data_col: str = "data", tag: str | None = None,
               cluster_order: str | None = "offset", num_partitions: int | None = None,
-              mode: str = "append") -> None:
+              mode: str = "append", cluster: str = "range") -> None:
     """Range-cluster rows on (bucket, order) like the text sink, so a bucket
     gets one file per task range and a hot bucket is cut over tasks."""
     from pyspark.sql import functions as F
 
     register(df.sparkSession)
     d = df
-    if cluster_order and cluster_order in df.columns:
+    if cluster == "range" and cluster_order and cluster_order in df.columns:
         n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         d = df.repartitionByRange(n, bucket_col, cluster_order)
     w = (d.select(F.col(bucket_col).alias("bucket"), F.col(data_col).cast("binary").alias("data"))

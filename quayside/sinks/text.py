@@ -18,24 +18,31 @@ PARTITION_COLUMNS = ["d", "h"]
 def write_text(df: DataFrame, path: str, text_col: str = "text", codec: str | None = None,
                partition_by: list[str] = PARTITION_COLUMNS, mode: str = "append",
                max_records_per_file: int | None = None, cluster_order: str | None = "offset",
-               num_partitions: int | None = None, dynamic_overwrite: bool = False) -> None:
+               num_partitions: int | None = None, dynamic_overwrite: bool = False,
+               cluster: str = "range") -> None:
     """Land one text column, one line per record (``\\n`` separated).
 
-    Rows are range-partitioned on (bucket columns, ``cluster_order``): the
-    small buckets of a task are contiguous, so a bucket gets one file rather
-    than one per input split, and a hot bucket's offset range is cut over
-    several tasks instead of landing in one.  ``num_partitions`` defaults to
-    ``spark.sql.shuffle.partitions``.  Without an order column the AQE
-    ``REBALANCE`` hint is used (it also splits skewed buckets).
+    ``cluster`` says how rows meet their bucket's writer:
+
+    * ``"range"`` (batch, replays of history): range-partition on (bucket
+      columns, ``cluster_order``) - a bucket gets one file rather than one per
+      input split, and a hot bucket's offset range is cut over several tasks.
+      ``num_partitions`` defaults to ``spark.sql.shuffle.partitions``.
+    * ``"rebalance"``: AQE ``REBALANCE`` hint (sized by bytes, splits skew).
+    * ``"none"`` (live micro-batches): no shuffle.  A micro-batch of one
+      Kafka partition spans one or two hours, so each task already writes
+      about one file per bucket; compaction merges completed hours later.
+
+    Inside a task rows are sorted by bucket so one writer is open at a time.
     """
     spark_codec = resolve_codec_py(codec) if codec else None
-    if cluster_order and cluster_order in df.columns and partition_by:
+    if cluster == "range" and cluster_order and cluster_order in df.columns and partition_by:
         n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         d = (df.select(F.col(text_col).alias("value"), *partition_by, cluster_order)
              .repartitionByRange(n, *partition_by, cluster_order).drop(cluster_order))
     else:
         d = df.select(F.col(text_col).alias("value"), *partition_by)
-        if partition_by:
+        if cluster in ("range", "rebalance") and partition_by:
             d = d.hint("rebalance", *partition_by)
     w = (d.sortWithinPartitions(*partition_by)
          .write.mode(mode).partitionBy(*partition_by))

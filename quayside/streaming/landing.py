@@ -55,7 +55,8 @@ def start_landing(records: DataFrame, out_path: str, checkpoint: str, codec: str
 
 
 def land_micro_batch(batch: DataFrame, batch_id: int, out_path: str, codec: str | None = None,
-                     partition_by=PARTITIONS, dead_letter_path: str | None = None) -> None:
+                     partition_by=PARTITIONS, dead_letter_path: str | None = None,
+                     cluster: str = "none") -> None:
     """Land one micro-batch into its own ``batch_id=N`` folder, overwriting
     that folder: a replayed batch rewrites exactly its own files."""
     from ..functions.text import record_status
@@ -65,7 +66,7 @@ def land_micro_batch(batch: DataFrame, batch_id: int, out_path: str, codec: str
     try:
         good = bucketed_lines(b.filter(F.col("_status") == "ok").drop("_status"), with_offset=True)
         write_text(good, f"{out_path.rstrip('/')}/batch_id={batch_id}", "value", codec,
-                   partition_by=list(partition_by), mode="overwrite")
+                   partition_by=list(partition_by), mode="overwrite", cluster=cluster)
         if dead_letter_path:
             (b.filter(F.col("_status") != "ok").withColumnRenamed("_status", "reason")
              .write.mode("overwrite").parquet(f"{dead_letter_path.rstrip('/')}/batch_id={batch_id}"))
@@ -75,12 +76,12 @@ def land_micro_batch(batch: DataFrame, batch_id: int, out_path: str, codec: str
 
 def start_landing_batches(records: DataFrame, out_path: str, checkpoint: str, codec: str | None = None,
                           trigger: dict | None = None, partition_by=PARTITIONS,
-                          dead_letter_path: str | None = None) -> StreamingQuery:
+                          dead_letter_path: str | None = None, cluster: str = "none") -> StreamingQuery:
     """Land each micro-batch with the batch writer (``land_micro_batch``):
     idempotent on replay, readers see ``batch_id`` as one more partition
     column, and the batch writer can range-cluster rows by bucket."""
     def land(batch: DataFrame, batch_id: int) -> None:
-        land_micro_batch(batch, batch_id, out_path, codec, partition_by, dead_letter_path)
+        land_micro_batch(batch, batch_id, out_path, codec, partition_by, dead_letter_path, cluster)
 
     return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "20 seconds"})).start())
@@ -96,7 +97,9 @@ def land_stream_available_now(spark: SparkSession, folder: str, glob: str = "eve
     ckpt = scratch_path(spark, "stream-ckpt")
     schema = (spark.read.option("pathGlobFilter", glob).parquet(folder)).schema
     src = replay_stream(spark, folder, schema, max_files_per_trigger=max_files_per_trigger, glob=glob)
-    q = start_landing_batches(events_as_records(src), out, ckpt, codec, {"availableNow": True})
+    # a replay of history is a backfill: micro-batches are not time-clustered,
+    # so cluster rows by bucket before writing
+    q = start_landing_batches(events_as_records(src), out, ckpt, codec, {"availableNow": True}, cluster="range")
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -84,7 +84,7 @@ class LateTracker:
 def start_feed_landing(records: DataFrame, reloader: FeedReloader, out_path: str, checkpoint: str,
                        manifest_path: str | None = None, dead_letter_path: str | None = None,
                        trigger: dict | None = None, transform=None,
-                       late_delay_seconds: int | None = None) -> StreamingQuery:
+                       late_delay_seconds: int | None = None, cluster: str = "none") -> StreamingQuery:
     """Stream landing with per-batch config reload.  Batch N lands into
     ``out_path/batch_id=N`` (overwritten on replay); its manifest goes to
     ``manifest_path/batch_id=N``.  With ``late_delay_seconds`` the manifest
@@ -98,7 +98,7 @@ def start_feed_landing(records: DataFrame, reloader: FeedReloader, out_path: str
         if late is not None:
             batch = late.mark(batch)
         manifest = land_batch(batch, feeds, f"{root}/batch_id={batch_id}", dead, transform=transform,
-                              mode="overwrite")
+                              mode="overwrite", cluster=cluster)
         if manifest_path:
             manifest.write.mode("overwrite").parquet(f"{manifest_path.rstrip('/')}/batch_id={batch_id}")
 

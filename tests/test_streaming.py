@@ -85,8 +85,9 @@ def test_feed_reload_per_batch(spark, scratch):
     reloader = FeedReloader(read, [seen.append])
     stream = events_as_records(replay_stream(spark, flat, ev.schema, max_files_per_trigger=1, glob="*.parquet"))
     out, man = os.path.join(scratch, "out"), os.path.join(scratch, "manifest")
+    # replaying weeks of history per micro-batch is a backfill: cluster by bucket
     q = start_feed_landing(stream, reloader, out, os.path.join(scratch, "ckpt"), manifest_path=man,
-                           trigger={"availableNow": True})
+                           trigger={"availableNow": True}, cluster="range")
     q.awaitTermination()
     assert q.exception() is None
     assert calls["n"] == 3
@@ -124,7 +125,8 @@ def test_late_rows_land_and_are_counted(spark, scratch):
     reloader = FeedReloader(lambda sp: feeds_from_nation(nation))
     man = os.path.join(scratch, "manifest")
     q = start_feed_landing(stream, reloader, os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"),
-                           manifest_path=man, trigger={"availableNow": True}, late_delay_seconds=3600)
+                           manifest_path=man, trigger={"availableNow": True}, late_delay_seconds=3600,
+                           cluster="range")
     q.awaitTermination()
     m = spark.read.parquet(man)
     by_batch = {r.batch_id: (r.n, r.late) for r in
