@@ -89,7 +89,7 @@ def fan_out(records: DataFrame, feeds: DataFrame, max_feed_rows: int = 100_000)
     """
     ft = explode_feed_topics(feeds.filter(F.col("isEnabled") == 1))
     ft = bounded_broadcast(ft.select(F.col("id").alias("feed_id"), F.col("groupID").alias("group_id"),
-                                     "topic"), max_feed_rows)
+                                     "topic"), max_feed_rows, materialize=False)
     return records.join(ft, "topic")
 
 

@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codecs import resolve_codec
-from ..functions.text import decode_value, record_status
+from ..functions.text import decode_value, record_status, utf16_length
 from ..operators.feeds import reject_reason
-from ..operators.metrics import bucket_manifest
 from ..operators.routing import bucket_columns, explode_feed_topics
 from ..plans.sizing import bounded_broadcast
 from ..sinks import raw, text
@@ -34,11 +33,15 @@ def route(records: DataFrame, feeds: DataFrame, clock: str = "timestamp") -> Dat
     ft = explode_feed_topics(valid_feeds(feeds)).select(
         F.col("id").alias("feed_id"), "topic", "topics", "filePath", "filePathFormat", "filePathMode",
         "isWriteLineBreaks", "codec")
-    ft = bounded_broadcast(ft, MAX_FEED_ROWS)
-    j = records.join(ft, "topic")
+    ft = bounded_broadcast(ft, MAX_FEED_ROWS, materialize=False)  # a config read: counting is enough
+    # decode and size each record once, before the fan-out multiplies rows
+    # (unused size columns are pruned by Catalyst)
+    r = records.withColumns({"status": record_status("value"), "text": decode_value("value")})
+    r = r.withColumns({"_text_chars": utf16_length("text"), "_text_bytes": F.octet_length("text")})
+    j = r.join(ft, "topic")
     cols = bucket_columns(clock, F.col("filePath"), F.col("filePathFormat"), F.col("filePathMode"),
                           topics="topics")
-    return j.withColumns({"status": record_status("value"), "text": decode_value("value"), **cols})
+    return j.withColumns(cols)
 
 
 def land_batch(records: DataFrame, feeds: DataFrame, out_root: str, dead_letter_path: str | None = None,
@@ -80,7 +83,16 @@ def land_batch(records: DataFrame, feeds: DataFrame, out_root: str, dead_letter_
 
 
 def feed_manifest(routed_good: DataFrame, clock: str = "timestamp") -> DataFrame:
-    """Per feed and bucket: what lands (records, chars, bytes, offsets)."""
-    framed = routed_good.withColumn(
-        "line", F.when(F.col("isWriteLineBreaks") == 1, F.concat("text", F.lit("\n"))).otherwise(F.col("text")))
-    return bucket_manifest(framed, clock, ("feed_id", "topic", "bucket_dir"))
+    """Per feed and bucket: what lands (records, chars incl. the line break,
+    bytes, offsets), from the per-record sizes computed before the fan-out."""
+    brk = (F.col("isWriteLineBreaks") == 1).cast("bigint")
+    aggs = [F.count(F.lit(1)).alias("n_records"),
+            F.sum(F.col("_text_chars") + brk).cast("bigint").alias("n_chars"),
+            F.sum(F.col("_text_bytes") + brk).cast("bigint").alias("n_bytes"),
+            F.min("offset").alias("first_offset"),
+            F.max("offset").alias("last_offset")]
+    if "late" in routed_good.columns:
+        aggs.append(F.sum(F.col("late").cast("int")).cast("bigint").alias("n_late"))
+    return (routed_good.groupBy("feed_id", "topic", "bucket_dir",
+                                F.date_trunc("hour", F.col(clock)).alias("bucket_start"))
+            .agg(*aggs))

@@ -1,10 +1,12 @@
 """Broadcast only what has a checked size.
 
-``bounded_broadcast`` materialises a small side once (a reliable
-checkpoint in the shared ``spark.checkpoint.dir``, so executor loss does not
-recompute the upstream scan), counts it, and only then marks it for
-broadcast.  Beyond the bound the plain DataFrame is returned and Spark
-plans a shuffle join.
+``bounded_broadcast`` counts a small side and only then marks it for
+broadcast; beyond the bound the plain DataFrame is returned and Spark plans
+a shuffle join.  When the small side is derived from the big one (maxima
+per partition, say) it is first materialised as a reliable checkpoint in
+the shared ``spark.checkpoint.dir``, so the records are scanned once and
+executor loss does not recompute the scan.  A config table is cheap to
+re-read: ``materialize=False`` just counts it.
 """
 
 from __future__ import annotations
