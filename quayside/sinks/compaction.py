@@ -12,22 +12,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import read_landed
 
-PARTS = ["d", "h"]
+
+def landed_with_keys(spark, landed_root: str):
+    """Landed lines with every partition key of the layout as exact text
+    (taken from the file path: inference would turn ``h=05`` into 5)."""
+    src = spark.read.text(landed_root)
+    keys = [c for c in src.columns if c != "value"]
+    path = F.col("_metadata.file_path")
+    return src.select("value", *[F.regexp_extract(path, f"/{k}=([^/]*)/", 1).alias(k) for k in keys]), keys
 
 
 def compact_hours(spark, landed_root: str, out_root: str, where: Column | None = None,
                   codec: str | None = None, num_partitions: int | None = None) -> str:
-    """Rewrite the landed hours selected by ``where`` (a filter on d/h; all
-    hours when None) into ``out_root``, about one file per hour."""
-    src = read_landed(spark, landed_root)
+    """Rewrite the landed hours selected by ``where`` (a filter on the
+    partition keys, e.g. d/h; all hours when None) into ``out_root``, keeping
+    the layout (feed=/topic=/d=/h=...) with about one file per bucket."""
+    src, keys = landed_with_keys(spark, landed_root)
     if where is not None:
         src = src.filter(where)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = (src.withColumn("_k", F.monotonically_increasing_id())  # splits a hot hour between tasks
-         .repartitionByRange(n, *PARTS, "_k").drop("_k").sortWithinPartitions(*PARTS))
-    w = d.write.mode("overwrite").partitionBy(*PARTS)
+    d = (src.withColumn("_k", F.monotonically_increasing_id())  # splits a hot bucket between tasks
+         .repartitionByRange(n, *keys, "_k").drop("_k").sortWithinPartitions(*keys))
+    w = d.write.mode("overwrite").partitionBy(*keys)
     if codec:
         w = w.option("compression", codec)
     w.text(out_root)
