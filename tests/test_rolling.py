@@ -14,13 +14,13 @@ from quayside.operators import metrics, rolling
 from quayside.operators.sequence import chunked_row_number
 
 
-def _rows(n, keys=("a", "b", "c"), seed=7):
+def _rows(n, keys=("a", "b", "c"), seed=7, min_size=1):
     rnd = random.Random(seed)
     base = datetime(2024, 1, 1)
     out = []
     for i in range(n):
         k = rnd.choice(keys)
-        out.append((k, rnd.randint(0, 2), i * 3 + rnd.randint(0, 2), rnd.randint(1, 60),
+        out.append((k, rnd.randint(0, 2), i * 3 + rnd.randint(0, 2), rnd.randint(min_size, 60),
                     base + timedelta(seconds=rnd.randint(0, 3 * 86400))))
     return out
 
@@ -70,6 +70,18 @@ def test_roll_by_size_matches_greedy(spark, small_batches, limit):
     assert got == _greedy_size(rows, limit)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_roll_by_size_with_empty_records(spark, small_batches, seed):
+    """Zero-byte records (empty value, no line break) never open a file on
+    their own, and one that follows a full file starts the next one."""
+    rows = _rows(300, seed=seed, min_size=0)
+    rows = [(t, p, o, 0 if o % 4 == 0 else sz, ts) for t, p, o, sz, ts in rows]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.topic, r.partition, r.offset): r.roll_seq
+           for r in rolling.roll_by_size(df, 90, ["topic"]).collect()}
+    assert got == _greedy_size(rows, 90)
+
+
 def test_roll_by_size_exact_boundary(spark):
     # 3 records of 100 bytes, limit 200: the 2nd reaches the limit exactly,
     # so the 3rd opens a new file
