@@ -8,7 +8,8 @@
   Greedy rolls are sequential inside a bucket; rows are clustered by bucket,
   sorted, and streamed through an Arrow kernel that carries (bucket, seq,
   fill) across batches - constant memory per task.
-* ``idle_sessions`` - a file idles out ``gap`` after its last write.
+* ``idle_sessions`` - a file idles out ``gap`` after its last write
+  (time slices, linked chunk by chunk: no window over a whole key).
 * ``hours_complete`` - hours the watermark has passed.
 """
 
@@ -111,25 +112,45 @@ def roll_by_interval(df: DataFrame, seconds: int, keys: list[str], clock: str =
     return greedy_roll(d, keys, ["_us", *order], "_us", "interval", seconds * 1_000_000).drop("_us")
 
 
+DAY_US = 86_400 * 1_000_000
+
+
 def idle_sessions(records: DataFrame, gap_seconds: int, keys: list[str] = ("topic",),
-                  clock: str = "timestamp") -> DataFrame:
+                  clock: str = "timestamp", slices_per_chunk: int | None = None) -> DataFrame:
     """Sessions closed by ``gap`` of silence (a gap equal to ``gap`` starts a
     new one); ``session_end`` = last record + gap, when the idle close fires.
 
-    Two records less than ``gap`` apart share a session, so every
-    (key, floor(t / gap)) slice lies in one session.  Slices are a partial
-    aggregate; only the slice rows (at most span / gap per key) go through
-    the ordered window that links slices into sessions.
+    1. Two records less than ``gap`` apart share a session, so every
+       (key, floor(t / gap)) slice lies in one session: a partial aggregate.
+    2. Slices are linked in chunks of ``slices_per_chunk`` (a day's worth by
+       default): inside a chunk by ``lag``; the first slice of a chunk takes
+       the previous chunk's last time from a per-chunk table (days per key).
+    3. Session ids are a two-level prefix sum of "new session" flags.
+
+    No window ever holds more than one chunk of one key.
     """
     keys = list(keys)
     g = gap_seconds * 1_000_000
+    per = slices_per_chunk or max(1, DAY_US // g)
     us = F.unix_micros(F.col(clock).cast("timestamp"))
     slices = (records.groupBy(*keys, F.floor(us / F.lit(g)).alias("_slice"))
-              .agg(F.min(us).alias("_first"), F.max(us).alias("_last"), F.count(F.lit(1)).alias("_n")))
-    w = Window.partitionBy(*keys).orderBy("_slice")
-    prev = F.lag("_last").over(w)
-    flagged = slices.withColumn("_new", F.when(prev.isNull() | (F.col("_first") - prev >= g), 1).otherwise(0))
-    sid = flagged.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+              .agg(F.min(us).alias("_first"), F.max(us).alias("_last"), F.count(F.lit(1)).alias("_n"))
+              .withColumn("_chunk", F.floor(F.col("_slice") / F.lit(per))))
+    # previous chunk's last time, per chunk (a small table: chunks per key)
+    chunks = slices.groupBy(*keys, "_chunk").agg(F.max("_last").alias("_chunk_last"))
+    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
+    chunks = chunks.select(*keys, "_chunk", F.lag("_chunk_last").over(by_chunk).alias("_before"))
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_slice")
+    linked = (slices.join(chunks, [*keys, "_chunk"])
+              .withColumn("_prev", F.coalesce(F.lag("_last").over(w), F.col("_before"))))
+    flagged = linked.withColumn(
+        "_new", F.when(F.col("_prev").isNull() | (F.col("_first") - F.col("_prev") >= g), 1).otherwise(0))
+    # session id = flags before this chunk + running flags inside it
+    counts = flagged.groupBy(*keys, "_chunk").agg(F.sum("_new").alias("_cn"))
+    counts = counts.select(*keys, "_chunk", F.coalesce(
+        F.sum("_cn").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    sid = (flagged.join(counts, [*keys, "_chunk"])
+           .withColumn("_sid", F.col("_base") + F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
     return (sid.groupBy(*keys, "_sid")
             .agg(F.min("_first").alias("_s"), F.max("_last").alias("_e"), F.sum("_n").alias("n_records"))
             .select(*keys,

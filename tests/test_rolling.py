@@ -139,12 +139,14 @@ def _sessions(rows, gap):
     return sorted(out)
 
 
-@pytest.mark.parametrize("gap", [60, 600, 1800, 7200])
-def test_idle_sessions_brute_force(spark, gap):
+@pytest.mark.parametrize("gap,per", [(60, None), (600, None), (1800, None), (7200, None),
+                                     (600, 1), (600, 3), (1800, 2), (60, 7)])
+def test_idle_sessions_brute_force(spark, gap, per):
+    """``per`` forces tiny chunks so sessions are linked across many chunks."""
     rows = _rows(500)
     df = spark.createDataFrame(rows, SCHEMA)
     got = sorted((r.topic, r.session_start, r.last_record, r.n_records)
-                 for r in rolling.idle_sessions(df, gap).collect())
+                 for r in rolling.idle_sessions(df, gap, slices_per_chunk=per).collect())
     assert got == _sessions(rows, gap)
 
 
