@@ -116,7 +116,8 @@ DAY_US = 86_400 * 1_000_000
 
 
 def idle_sessions(records: DataFrame, gap_seconds: int, keys: list[str] = ("topic",),
-                  clock: str = "timestamp", slices_per_chunk: int | None = None) -> DataFrame:
+                  clock: str = "timestamp", slices_per_chunk: int | None = None,
+                  materialize: bool = True) -> DataFrame:
     """Sessions closed by ``gap`` of silence (a gap equal to ``gap`` starts a
     new one); ``session_end`` = last record + gap, when the idle close fires.
 
@@ -127,7 +128,9 @@ def idle_sessions(records: DataFrame, gap_seconds: int, keys: list[str] = ("topi
        the previous chunk's last time from a per-chunk table (days per key).
     3. Session ids are a two-level prefix sum of "new session" flags.
 
-    No window ever holds more than one chunk of one key.
+    No window ever holds more than one chunk of one key.  The slice table
+    (bounded by span / gap per key, not by volume) is used three times, so it
+    is checkpointed once and the records are scanned once.
     """
     keys = list(keys)
     g = gap_seconds * 1_000_000
@@ -136,6 +139,11 @@ def idle_sessions(records: DataFrame, gap_seconds: int, keys: list[str] = ("topi
     slices = (records.groupBy(*keys, F.floor(us / F.lit(g)).alias("_slice"))
               .agg(F.min(us).alias("_first"), F.max(us).alias("_last"), F.count(F.lit(1)).alias("_n"))
               .withColumn("_chunk", F.floor(F.col("_slice") / F.lit(per))))
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(records.sparkSession)
+        slices = slices.checkpoint(eager=True)
     # previous chunk's last time, per chunk (a small table: chunks per key)
     chunks = slices.groupBy(*keys, "_chunk").agg(F.max("_last").alias("_chunk_last"))
     by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
