@@ -112,3 +112,39 @@ def test_bucket_columns_modes(spark):
     assert hour.bucket_name == day.bucket_name == "2024-01-01_23_a_p2"
     nxt = routing.route_bucket(spark.createDataFrame([("a", 2, 1, b"x", datetime(2024, 1, 2))], REC), "/base")
     assert nxt.first().bucket_dir == "/base/a/2024-01-02/00"
+
+
+def _range_assign(n_parts, members):
+    """Kafka's range assignor for one topic: sorted members, contiguous ranges,
+    the first n % c members take one extra partition."""
+    q, r = divmod(n_parts, len(members))
+    out, p = {}, 0
+    for i, m in enumerate(sorted(members)):
+        take = q + (1 if i < r else 0)
+        for _ in range(take):
+            out[p] = m
+            p += 1
+    return out
+
+
+def test_group_split_matches_range_assignor(spark):
+    feeds, recs, want = [], [], set()
+    fid = 1
+    for members in range(1, 6):
+        group = f"g{members}"
+        ids = list(range(fid, fid + members))
+        fid += members
+        for i in ids:
+            feeds.append(_feed(i, ",".join(f"t{n}" for n in range(1, 8)), group=group))
+    for n in range(1, 8):
+        for p in range(n):
+            recs.append((f"t{n}", p, 1000 * n + p, b"x"))
+    for members in range(1, 6):
+        group = f"g{members}"
+        ids = [f[0] for f in feeds if f[2] == group]
+        for n in range(1, 8):
+            for p, m in _range_assign(n, ids).items():
+                want.add((group, f"t{n}", p, m))
+    got = {(r.group_id, r.topic, r.partition, r.feed_id)
+           for r in routing.group_split(_recs(spark, recs), _feeds(spark, feeds)).collect()}
+    assert got == want
