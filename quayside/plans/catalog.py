@@ -311,6 +311,47 @@ def q_hours_complete(spark, sf):
     return rolling.hours_complete(records(spark, sf), HOUR_DELAY_S)
 
 
+def _replayed_events(spark, sf):
+    from ..sources.records import replay_stream
+
+    configure(spark)
+    schema = read_table(spark, sf, "events").schema
+    return events_as_records(replay_stream(spark, sf, schema, glob="events.parquet"))
+
+
+@query("hours_complete_stream", f"""WITH {REC},
+h AS (SELECT topic, date_trunc('hour', ts) AS hour_start, count(*) AS n_records FROM rec GROUP BY 1, 2)
+SELECT topic, hour_start, hour_start + INTERVAL 1 HOUR AS hour_end, n_records FROM h
+WHERE hour_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM rec) - INTERVAL {HOUR_DELAY_S} SECOND""")
+def q_hours_complete_stream(spark, sf):
+    """Structured Streaming: watermark + tumbling hour, append mode."""
+    from ..streaming.windows import hours_complete_stream, run_available_now
+
+    out = run_available_now(hours_complete_stream(_replayed_events(spark, sf), f"{HOUR_DELAY_S} seconds"),
+                            scratch_path(spark, "hours-stream"), scratch_path(spark, "hours-stream-ckpt"))
+    return spark.read.parquet(out)
+
+
+@query("idle_sessions_stream", f"""WITH {REC},
+a AS (SELECT topic, ts, lag(ts) OVER (PARTITION BY topic ORDER BY ts) AS prev FROM rec),
+b AS (SELECT *, CASE WHEN prev IS NULL OR ts - prev >= INTERVAL {IDLE_MINUTES} MINUTE THEN 1 ELSE 0 END AS new
+      FROM a),
+c AS (SELECT *, sum(new) OVER (PARTITION BY topic ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             AS sid FROM b),
+s AS (SELECT topic, min(ts) AS session_start, max(ts) AS last_record,
+             max(ts) + INTERVAL {IDLE_MINUTES} MINUTE AS session_end, count(*) AS n_records
+      FROM c GROUP BY topic, sid)
+SELECT * FROM s WHERE session_end <= (SELECT max(ts) FROM rec) - INTERVAL {HOUR_DELAY_S} SECOND""")
+def q_idle_sessions_stream(spark, sf):
+    """Structured Streaming: watermark + session window, append mode (a
+    session is published once the watermark passes its idle close)."""
+    from ..streaming.windows import idle_sessions_stream, run_available_now
+
+    s = idle_sessions_stream(_replayed_events(spark, sf), f"{IDLE_MINUTES} minutes", f"{HOUR_DELAY_S} seconds")
+    out = run_available_now(s, scratch_path(spark, "sessions-stream"), scratch_path(spark, "sessions-stream-ckpt"))
+    return spark.read.parquet(out)
+
+
 @query("file_names", f"""WITH {REC},
 r AS (SELECT topic, {D} AS d, {H} AS h, "offset",
              row_number() OVER (PARTITION BY topic, {D}, {H} ORDER BY "offset", "partition") AS rn FROM rec)

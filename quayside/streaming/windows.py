@@ -35,3 +35,15 @@ def observed(records: DataFrame, name: str = "landing") -> DataFrame:
     read them from ``query.lastProgress['observedMetrics']``."""
     return records.observe(name, F.count(F.lit(1)).alias("messages"),
                            F.sum(F.length(F.col("value").cast("string"))).alias("chars"))
+
+
+def run_available_now(df: DataFrame, out_path: str, checkpoint: str) -> str:
+    """Run an append-mode streaming result into parquet until the source is
+    drained (the final no-data batch publishes what the watermark passed)."""
+    q = (df.writeStream.format("parquet").outputMode("append")
+         .option("path", out_path).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return out_path

@@ -84,3 +84,41 @@ def test_first_failure_and_try_int(spark):
                              "enum"),
                             (allowed_value("s", ["F", "O"]), "status")])
     assert [r[0] for r in df.select(reason).collect()] == [None, "nan", "enum", "status", "nan"]
+
+
+def _snake_spec(s):
+    if s is None or s.strip() == "":
+        return s
+    out = []
+    for i, ch in enumerate(s):
+        prev = s[i - 1] if i else ""
+        if "A" <= ch <= "Z" and "a" <= prev <= "z":
+            out.append("_")
+        out.append(ch.lower() if "A" <= ch <= "Z" else ch)
+    return "".join(out)
+
+
+def _camel_spec(s):
+    if s is None or s.strip() == "":
+        return s
+    out = []
+    for i, ch in enumerate(s):
+        prev = s[i - 1] if i else ""
+        if ch == "_":
+            continue
+        out.append(ch.upper() if prev == "_" and "a" <= ch <= "z" else ch)
+    return "".join(out)
+
+
+def test_naming_against_spec(spark):
+    import random
+
+    rnd = random.Random(11)
+    alphabet = "aBcDxYz_ _9É"
+    words = [None, "", "   "] + ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 12)))
+                                  for _ in range(400)]
+    df = spark.createDataFrame([(w,) for w in words], "s string")
+    got = df.select("s", to_snake("s").alias("sn"), to_camel("s").alias("cm")).collect()
+    for r in got:
+        assert r.sn == _snake_spec(r.s), r.s
+        assert r.cm == _camel_spec(r.s), r.s
