@@ -352,6 +352,20 @@ def q_idle_sessions_stream(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("dedup_offsets_stream", f"""WITH {REC}
+SELECT DISTINCT topic, "partition", "offset", value FROM rec""")
+def q_dedup_offsets_stream(spark, sf):
+    """Every record delivered twice (two replays of the same files, one
+    stream); state bounded by the watermark drops the second copy."""
+    from ..streaming.windows import run_available_now
+
+    twice = _replayed_events(spark, sf).unionByName(_replayed_events(spark, sf))
+    d = offsets.dedup_stream(twice, f"{HOUR_DELAY_S} seconds").select(
+        "topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+    out = run_available_now(d, scratch_path(spark, "dedup-stream"), scratch_path(spark, "dedup-stream-ckpt"))
+    return spark.read.parquet(out)
+
+
 @query("file_names", f"""WITH {REC},
 r AS (SELECT topic, {D} AS d, {H} AS h, "offset",
              row_number() OVER (PARTITION BY topic, {D}, {H} ORDER BY "offset", "partition") AS rn FROM rec)
