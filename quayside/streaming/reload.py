@@ -59,25 +59,76 @@ class FeedReloader:
 class LateTracker:
     """Event-time watermark for late counting, moved like Spark's: the
     watermark used for batch N is (max event time of batches < N) - delay.
-    Late rows still land in their own hour; the manifest counts them."""
+    Late rows still land in their own hour; the manifest counts them.
 
-    def __init__(self, delay_seconds: int, clock: str = "timestamp"):
+    With ``state_path`` (a file next to the stream checkpoint, on the shared
+    file system) the state survives a driver restart, and the watermark used
+    by each recent batch id is kept, so a replayed batch is classified the
+    same way again.
+    """
+
+    KEEP_BATCHES = 16
+
+    def __init__(self, delay_seconds: int, clock: str = "timestamp", state_path: str | None = None):
         self.delay = delay_seconds
         self.clock = clock
+        self.state_path = state_path
         self.max_seen = None
+        self.used: dict[int, object] = {}
+        self._load()
+
+    def _load(self) -> None:
+        if not self.state_path:
+            return
+        import datetime as dt
+        import json
+
+        from ..sinks.raw import _fs
+
+        fs, path = _fs(self.state_path)
+        try:
+            with fs.open_input_stream(path) as fh:
+                st = json.loads(fh.read().decode())
+        except (FileNotFoundError, OSError):
+            return
+        conv = (lambda v: dt.datetime.fromisoformat(v) if v else None)
+        self.max_seen = conv(st.get("max_seen"))
+        self.used = {int(k): conv(v) for k, v in st.get("used", {}).items()}
+
+    def _save(self) -> None:
+        if not self.state_path:
+            return
+        import json
+
+        from ..sinks.raw import _fs
+
+        fs, path = _fs(self.state_path)
+        keep = sorted(self.used)[-self.KEEP_BATCHES:]
+        st = {"max_seen": self.max_seen.isoformat() if self.max_seen else None,
+              "used": {str(k): (self.used[k].isoformat() if self.used[k] else None) for k in keep}}
+        tmp = path + ".tmp"
+        with fs.open_output_stream(tmp) as fh:
+            fh.write(json.dumps(st).encode())
+        fs.move(tmp, path)
+
+    def mark(self, batch: DataFrame, batch_id: int | None = None) -> DataFrame:
+        import datetime as dt
 
-    def mark(self, batch: DataFrame) -> DataFrame:
         from pyspark.sql import functions as F
 
         c = F.col(self.clock).cast("timestamp")
-        if self.max_seen is None:
-            marked = batch.withColumn("late", F.lit(False))
+        if batch_id is not None and batch_id in self.used:
+            wm = self.used[batch_id]  # a replayed batch: same watermark as before
         else:
-            wm = F.lit(self.max_seen) - F.make_interval(secs=F.lit(self.delay))
-            marked = batch.withColumn("late", F.coalesce(c < wm, F.lit(False)))
+            wm = self.max_seen - dt.timedelta(seconds=self.delay) if self.max_seen is not None else None
+        marked = (batch.withColumn("late", F.lit(False)) if wm is None
+                  else batch.withColumn("late", F.coalesce(c < F.lit(wm), F.lit(False))))
         top = batch.agg(F.max(c)).first()[0]  # one scalar per batch
         if top is not None and (self.max_seen is None or top > self.max_seen):
             self.max_seen = top
+        if batch_id is not None:
+            self.used[batch_id] = wm
+        self._save()
         return marked
 
 
@@ -90,13 +141,14 @@ def start_feed_landing(records: DataFrame, reloader: FeedReloader, out_path: str
     ``manifest_path/batch_id=N``.  With ``late_delay_seconds`` the manifest
     gets ``n_late``: rows older than the event-time watermark."""
     root = out_path.rstrip("/")
-    late = LateTracker(late_delay_seconds) if late_delay_seconds is not None else None
+    late = (LateTracker(late_delay_seconds, state_path=f"{checkpoint.rstrip('/')}-late.json")
+            if late_delay_seconds is not None else None)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         feeds = reloader.refresh(batch.sparkSession)
         dead = f"{dead_letter_path.rstrip('/')}/batch_id={batch_id}" if dead_letter_path else None
         if late is not None:
-            batch = late.mark(batch)
+            batch = late.mark(batch, batch_id)
         manifest = land_batch(batch, feeds, f"{root}/batch_id={batch_id}", dead, transform=transform,
                               mode="overwrite", cluster=cluster)
         if manifest_path:
