@@ -82,7 +82,10 @@ def run_land(spark, a) -> object:
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
-    a = _parser().parse_args(argv)
+    parser = _parser()
+    a = parser.parse_args(argv)
+    if a.cmd == "land" and a.bootstrap and not a.topics:
+        parser.error("--topics is required with --bootstrap")
     from .session import build_session, configure
 
     spark = configure(spark) if spark is not None else build_session(app="quayside-" + a.cmd)

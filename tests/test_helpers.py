@@ -165,3 +165,17 @@ def test_cli_land_replay_and_compact(spark, scratch):
     want = spark.read.text(batch_dir).filter(F.col("d") < "2024-01-10")
     assert got.count() == want.count() > 0
     assert glob.glob(f"{v2}/feed=*/d=2024-01-0*/h=0*/part-*")  # layout and zero-padded hours kept
+
+
+def test_kafka_reader_is_wired_to_the_kafka_source(spark):
+    """No connector jar here: the reader must fail on the missing 'kafka'
+    source itself, after building a valid subscription."""
+    import pytest
+
+    from quayside.sources.records import START_POLICY, kafka_records
+
+    assert START_POLICY["largest"] == "latest" and START_POLICY["smallest"] == "earliest"
+    with pytest.raises(Exception) as e:
+        kafka_records(spark, "localhost:9", ["click", "view"], group_id="g1", min_partitions=4,
+                      max_offsets_per_trigger=1000)
+    assert "kafka" in str(e.value).lower()
