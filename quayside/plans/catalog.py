@@ -130,16 +130,20 @@ SELECT ft.feed_id, r.topic,
        ft.filePath || '/' || {D} || CASE WHEN ft.filePathMode = 'hour' THEN '/' || {H} ELSE '' END AS bucket_dir,
        date_trunc('hour', ts) AS bucket_start, count(*) AS n_records,
        CAST(sum(length(value) + 1) AS BIGINT) AS n_chars, CAST(sum(strlen(value) + 1) AS BIGINT) AS n_bytes,
-       min("offset") AS first_offset, max("offset") AS last_offset
+       min("offset") AS first_offset, max("offset") AS last_offset,
+       date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM rec) - INTERVAL {HOUR_DELAY_S} SECOND
+         AS complete
 FROM rec r JOIN ft ON r.topic = ft.topic
 GROUP BY 1, 2, 3, 4""")
 def q_feed_manifest(spark, sf):
-    from .landing import feed_manifest, route
+    from .landing import feed_manifest, route, watermark_of
 
     feeds = feeds_from_nation(read_table(spark, sf, "nation"))
-    good = route(records(spark, sf), feeds).filter(F.col("status") == "ok")
-    return feed_manifest(good).select("feed_id", "topic", "bucket_dir", _ntz("bucket_start"), "n_records",
-                                      "n_chars", "n_bytes", "first_offset", "last_offset")
+    recs = records(spark, sf)
+    good = route(recs, feeds).filter(F.col("status") == "ok")
+    m = feed_manifest(good, watermark=watermark_of(recs, HOUR_DELAY_S))
+    return m.select("feed_id", "topic", "bucket_dir", _ntz("bucket_start"), "n_records", "n_chars", "n_bytes",
+                    "first_offset", "last_offset", "complete")
 
 
 @query("group_split", f"""WITH {REC}, {FEEDS_N},

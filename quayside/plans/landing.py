@@ -79,12 +79,20 @@ def land_batch(records: DataFrame, feeds: DataFrame, out_root: str, dead_letter_
     if dead_letter_path:
         (records.withColumn("reason", record_status("value")).filter(F.col("reason") != "ok")
          .write.mode("overwrite" if mode == "overwrite" else "append").parquet(dead_letter_path))
-    return feed_manifest(good, clock)
+    return feed_manifest(good, clock, watermark_of(records, 3600, clock))
 
 
-def feed_manifest(routed_good: DataFrame, clock: str = "timestamp") -> DataFrame:
+def watermark_of(records: DataFrame, delay_seconds: int = 3600, clock: str = "timestamp"):
+    """max(clock) - delay as a scalar subquery (reads only the clock column)."""
+    return records.agg(F.max(F.col(clock).cast("timestamp"))
+                       - F.make_interval(secs=F.lit(delay_seconds))).scalar()
+
+
+def feed_manifest(routed_good: DataFrame, clock: str = "timestamp", watermark=None) -> DataFrame:
     """Per feed and bucket: what lands (records, chars incl. the line break,
-    bytes, offsets), from the per-record sizes computed before the fan-out."""
+    bytes, offsets), from the per-record sizes computed before the fan-out.
+    With a ``watermark`` the manifest says which buckets are ``complete``:
+    their hour ended at or before it (later rows for them count as late)."""
     brk = (F.col("isWriteLineBreaks") == 1).cast("bigint")
     aggs = [F.count(F.lit(1)).alias("n_records"),
             F.sum(F.col("_text_chars") + brk).cast("bigint").alias("n_chars"),
@@ -93,6 +101,9 @@ def feed_manifest(routed_good: DataFrame, clock: str = "timestamp") -> DataFrame
             F.max("offset").alias("last_offset")]
     if "late" in routed_good.columns:
         aggs.append(F.sum(F.col("late").cast("int")).cast("bigint").alias("n_late"))
-    return (routed_good.groupBy("feed_id", "topic", "bucket_dir",
-                                F.date_trunc("hour", F.col(clock)).alias("bucket_start"))
-            .agg(*aggs))
+    m = (routed_good.groupBy("feed_id", "topic", "bucket_dir",
+                             F.date_trunc("hour", F.col(clock)).alias("bucket_start"))
+         .agg(*aggs))
+    if watermark is not None:
+        m = m.withColumn("complete", (F.col("bucket_start") + F.expr("INTERVAL 1 HOUR")) <= watermark)
+    return m
