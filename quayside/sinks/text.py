@@ -36,6 +36,21 @@ def write_text(df: DataFrame, path: str, text_col: str = "text", codec: str | No
     Inside a task rows are sorted by bucket so one writer is open at a time.
     """
     spark_codec = resolve_codec_py(codec) if codec else None
+    d = prepare_for_write(df, text_col, partition_by, cluster_order, num_partitions, cluster)
+    w = d.write.mode(mode).partitionBy(*partition_by)
+    if spark_codec:
+        w = w.option("compression", spark_codec)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    if dynamic_overwrite:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.text(path)
+
+
+def prepare_for_write(df: DataFrame, text_col: str = "text", partition_by: list[str] = PARTITION_COLUMNS,
+                      cluster_order: str | None = "offset", num_partitions: int | None = None,
+                      cluster: str = "range") -> DataFrame:
+    """The rows exactly as the text writer receives them (see ``write_text``)."""
     if cluster == "range" and cluster_order and cluster_order in df.columns and partition_by:
         n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         d = (df.select(F.col(text_col).alias("value"), *partition_by, cluster_order)
@@ -44,15 +59,7 @@ def write_text(df: DataFrame, path: str, text_col: str = "text", codec: str | No
         d = df.select(F.col(text_col).alias("value"), *partition_by)
         if cluster in ("range", "rebalance") and partition_by:
             d = d.hint("rebalance", *partition_by)
-    w = (d.sortWithinPartitions(*partition_by)
-         .write.mode(mode).partitionBy(*partition_by))
-    if spark_codec:
-        w = w.option("compression", spark_codec)
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", str(max_records_per_file))
-    if dynamic_overwrite:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.text(path)
+    return d.sortWithinPartitions(*partition_by)
 
 
 def read_landed(spark, path: str, partition_types: str = "d string, h string") -> DataFrame:

@@ -83,3 +83,24 @@ def test_foreach_batch_replay_is_idempotent(spark, scratch):
     back = text.read_landed(spark, out, "batch_id string, topic string, d string, h string")
     assert back.filter("batch_id = '7'").count() == recs.count()
     assert back.filter("batch_id = '8'").count() == 5
+
+
+def test_live_micro_batch_lands_without_shuffle(spark, scratch):
+    """Live mode (cluster="none"): no exchange before the writer, every good
+    record lands once, dead letters go to their own folder."""
+    from quayside.streaming.landing import bucketed_lines, land_micro_batch
+
+    recs = _events(spark)
+    out, dead = os.path.join(scratch, "out"), os.path.join(scratch, "dead")
+    land_micro_batch(recs, 0, out, dead_letter_path=dead, cluster="none")
+    back = text.read_landed(spark, out, "batch_id string, topic string, d string, h string")
+    assert back.count() == recs.count()
+    # the rows the writer receives: no shuffle in live mode, a range exchange for backfills
+    from quayside.sinks.text import prepare_for_write
+
+    lines = bucketed_lines(recs, with_offset=True)
+    parts = ["topic", "d", "h"]
+    live = prepare_for_write(lines, "value", parts, cluster="none")._jdf.queryExecution().executedPlan().toString()
+    back_fill = prepare_for_write(lines, "value", parts, cluster="range")._jdf.queryExecution().executedPlan()
+    assert "Exchange" not in live
+    assert "rangepartitioning" in back_fill.toString()
