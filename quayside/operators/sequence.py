@@ -37,7 +37,3 @@ def chunked_row_number(df: DataFrame, keys: list[str], order: list[str],
 
 def offset_chunk(col: str = "offset", chunk: int = DEFAULT_CHUNK) -> Column:
     return F.floor(F.col(col) / F.lit(chunk))
-
-
-def time_chunk(col: str = "timestamp", seconds: int = 3600) -> Column:
-    return F.floor(F.unix_micros(F.col(col).cast("timestamp")) / F.lit(seconds * 1_000_000))

@@ -68,6 +68,14 @@ def param_query(spark: SparkSession, sql: str, args: list | dict, **frames) -> D
     return spark.sql(sql, args=args, **frames)
 
 
+def struct_from_bean_types(fields: dict[str, str]) -> T.StructType:
+    """Bean field types (string, int, long, float, double, boolean, date,
+    enum) -> a Spark schema; unknown types become strings."""
+    from ..schemas import TYPE_MAP
+
+    return T.StructType([T.StructField(n, TYPE_MAP.get(t.lower(), T.StringType())) for n, t in fields.items()])
+
+
 def create_table_ddl(name: str, schema: T.StructType, key: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS`` from a schema plus an ``updateTime``
     column; a surrogate ``id`` when no key is given."""

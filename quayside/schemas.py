@@ -44,8 +44,3 @@ TYPE_MAP = {
     "boolean": T.BooleanType(),
     "date": T.TimestampType(),
 }
-
-MANIFEST_COLUMNS = [
-    "topic", "bucket_start", "bucket_dir", "bucket_name", "n_records",
-    "n_chars", "n_bytes", "first_offset", "last_offset",
-]

@@ -179,3 +179,23 @@ def test_kafka_reader_is_wired_to_the_kafka_source(spark):
         kafka_records(spark, "localhost:9", ["click", "view"], group_id="g1", min_partitions=4,
                       max_offsets_per_trigger=1000)
     assert "kafka" in str(e.value).lower()
+
+
+def test_bean_types_update_time_and_views(spark):
+    from pyspark.sql import types as T
+
+    from quayside.functions.codecs import codec_extension
+    from quayside.sources.tables import register_views
+
+    st = tables.struct_from_bean_types({"id": "long", "name": "String", "ratio": "float",
+                                        "amount": "double", "ok": "boolean", "at": "Date", "kind": "enum"})
+    assert [f.dataType for f in st.fields] == [T.LongType(), T.StringType(), T.DecimalType(10, 4),
+                                              T.DecimalType(13, 4), T.BooleanType(), T.TimestampType(),
+                                              T.StringType()]
+    assert "updateTime TIMESTAMP" in tables.create_table_ddl("t", st, key="id")
+    df = tables.with_update_time(spark.range(2))
+    assert df.filter(F.col("updateTime").isNull()).count() == 0
+    ext = spark.createDataFrame([("gzip",), ("bzip2",), (None,)], "c string").select(codec_extension("c"))
+    assert [r[0] for r in ext.collect()] == [".txt.gz", ".txt.bz2", ".txt"]
+    register_views(spark, SF001, ["region", "nation"])
+    assert spark.sql("SELECT count(*) FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey").first()[0] == 25
