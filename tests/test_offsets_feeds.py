@@ -1,5 +1,6 @@
 from datetime import datetime
 
+from pyspark.sql import functions as F
 
 from quayside.operators import feeds as feed_ops
 from quayside.operators import offsets, routing
@@ -148,3 +149,22 @@ def test_group_split_matches_range_assignor(spark):
     got = {(r.group_id, r.topic, r.partition, r.feed_id)
            for r in routing.group_split(_recs(spark, recs), _feeds(spark, feeds)).collect()}
     assert got == want
+
+
+def test_insert_rows_keys_with_tiny_chunks(spark):
+    """Generated keys are max(key) + 1, + 2, ... in order, also when the
+    numbering crosses many chunks (no partition key: the global path)."""
+    from conftest import SF001
+    from quayside.operators.tables import insert_rows
+    from quayside.sources.tables import read_table
+
+    s = read_table(spark, SF001, "supplier")
+    c = read_table(spark, SF001, "customer").select(
+        "c_custkey", F.col("c_name").alias("s_name"), F.col("c_nationkey").alias("s_nationkey"),
+        F.col("c_acctbal").alias("s_acctbal"))
+    top = s.agg(F.max("s_suppkey")).first()[0]
+    out = insert_rows(s, c, "s_suppkey", "c_custkey", chunk=2)
+    new = out.filter(F.col("s_suppkey") > top).select("s_suppkey", "s_name").collect()
+    names = [r.c_name for r in read_table(spark, SF001, "customer").orderBy("c_custkey").collect()]
+    assert sorted((r.s_suppkey, r.s_name) for r in new) == [(top + i + 1, n) for i, n in enumerate(names)]
+    assert out.count() == s.count() + len(names)
