@@ -122,3 +122,14 @@ def test_naming_against_spec(spark):
     for r in got:
         assert r.sn == _snake_spec(r.s), r.s
         assert r.cm == _camel_spec(r.s), r.s
+
+
+def test_cli_argument_checks():
+    import pytest
+
+    from quayside.__main__ import main
+
+    with pytest.raises(SystemExit):  # Kafka needs topics
+        main(["land", "--bootstrap", "h:9092", "--feeds-parquet", "/x", "--out", "/o", "--checkpoint", "/c"])
+    with pytest.raises(SystemExit):  # a feed source is required
+        main(["land", "--replay", "/r", "--out", "/o", "--checkpoint", "/c"])
