@@ -17,7 +17,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.feeds import config_diff
+from pyspark.sql import functions as F
+
+from ..operators.feeds import config_diff, feed_validation
 from ..plans.landing import land_batch
 from ..schemas import FEED_COLUMNS
 from ..session import ensure_checkpoint_dir
@@ -49,6 +51,12 @@ class FeedReloader:
             changes = [(r["id"], "start") for r in new.select("id").collect()]
         else:
             changes = [(r["id"], r["action"]) for r in config_diff(self.current, new).collect()]
+        # started or restarted feeds that cannot be landed: say why (they are skipped)
+        touched = [i for i, a in changes if a in ("start", "restart")]
+        if touched:
+            bad = (feed_validation(new).filter(F.col("reject_reason").isNotNull() & F.col("id").isin(touched))
+                   .select("id", "reject_reason").collect())
+            changes += [(r["id"], f"reject:{r['reject_reason']}") for r in bad]
         self.current = new
         if changes:
             for w in self.watchers:

@@ -168,3 +168,14 @@ def test_insert_rows_keys_with_tiny_chunks(spark):
     names = [r.c_name for r in read_table(spark, SF001, "customer").orderBy("c_custkey").collect()]
     assert sorted((r.s_suppkey, r.s_name) for r in new) == [(top + i + 1, n) for i, n in enumerate(names)]
     assert out.count() == s.count() + len(names)
+
+
+def test_reloader_reports_rejected_feeds(spark):
+    from quayside.streaming.reload import FeedReloader
+
+    seen = []
+    FeedReloader(lambda sp: _feeds(sp), [seen.append]).refresh(spark)
+    rejects = sorted((i, a) for i, a in seen[0] if a.startswith("reject:"))
+    assert rejects == [(5, "reject:codec_required"), (6, "reject:unknown_codec"), (7, "reject:codec_on_plain"),
+                       (8, "reject:codec_required"), (9, "reject:unknown_file_type"),
+                       (10, "reject:path_required"), (11, "reject:bad_path_format")]
