@@ -6,12 +6,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 from ..sources.tables import read_table
-from . import token_files, url_rules
+from . import langid, token_files, url_rules, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -72,3 +72,36 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_rules.judge_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"), url_rules.rules_table(spark, URL_RULES))
     default = F.when(F.col("host") == "", url_rules.BLOCK).otherwise(url_rules.ALLOW)
     return judged.select("page_id", "host", "path", "rule", F.coalesce("verdict", default).alias("verdict"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+k AS (SELECT payload_digest, max(page_id) AS kept FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CAST(CASE WHEN page_id < kept THEN kept END AS BIGINT) AS refers_to
+FROM p LEFT JOIN k USING (payload_digest)
+"""
+
+
+@query("op5_warc", WARC_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_warc(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return (warc.read_warc(files, with_payload=False)
+            .select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to"))
+
+
+def held_out(doc_id: Column) -> Column:
+    """crc32(doc_id as text) mod 5 = 0; null for a null doc_id."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Learned from the text and language of documents that aren't held out."""
+    return langid.train(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang", F.col("doc_id").alias("key")))
+
+
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
