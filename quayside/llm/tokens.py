@@ -21,9 +21,9 @@ from array import array
 import numpy as np
 
 # Distinct pieces that one worker keeps before it starts its cache anew.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 800_000
 # Text bytes that are split and gathered at once.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 2 << 20
 
 # Letters that lower-case one to one and are the same in any normal form, then
 # signs (no apostrophe, which takes letters along, and no bracketed special token).
