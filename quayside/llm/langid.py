@@ -131,9 +131,12 @@ def train(rows: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG, max_words: in
     """A model of ``rows`` (text, lang, key): ``key`` is any column that tells
     rows apart, its hash draws the sample."""
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows_of_lang"))
+    sizes = rows.groupBy("lang").count().collect()     # a row for each language of the model
+    if not sizes:
+        return Model([], {}, np.zeros((0, 0)), [{}] * (MAX_GRAM + 1), np.zeros((0, 0)))
+    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], sample_per_lang / r["count"])))
     draw = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(sizes, "lang").filter(draw < sample_per_lang / F.col("rows_of_lang")).select("lang", "text")
+    sample = rows.filter(draw < share[F.col("lang")]).select("lang", "text")
     counts = sample.mapInPandas(_count, "lang string, size int, piece string, n bigint").groupBy("lang", "size", "piece").agg(F.sum("n").alias("n")).checkpoint()
     totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
     by_count = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "piece")

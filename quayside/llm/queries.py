@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 from ..sources.tables import read_table
-from . import langid, license_scan, token_files, url_rules, warc
+from . import langid, license_scan, minhash, token_files, url_rules, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -110,3 +110,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_licenses", license_scan.duckdb_sql())
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query("op8_near_duplicates")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
