@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 from ..sources.tables import read_table
-from . import langid, license_scan, minhash, token_files, url_rules, warc
+from . import langid, license_scan, minhash, repeats, token_files, url_rules, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -116,3 +116,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query("op10_repeated_passages")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.explode("removed").alias("span")).select("doc_id", "span.*")
