@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 from ..sources.tables import read_table
-from . import langid, license_scan, minhash, repeats, token_files, url_rules, warc
+from . import decontaminate, langid, license_scan, minhash, repeats, token_files, url_rules, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -122,3 +122,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.explode("removed").alias("span")).select("doc_id", "span.*")
+
+
+@query("op4_contamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", "item_id", "start_word", "n_words", "similarity")
