@@ -14,6 +14,7 @@ cut it; all others go through the whole tokenizer.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
@@ -23,7 +24,7 @@ import numpy as np
 # Distinct pieces that one worker keeps before it starts its cache anew.
 CACHE_PIECES = 800_000
 # Text bytes that are split and gathered at once.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 
 # Letters that lower-case one to one and are the same in any normal form, then
 # signs (no apostrophe, which takes letters along, and no bracketed special token).
@@ -61,32 +62,36 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
+        self.parts: dict[str, tuple[int, ...]] = {"": ()}
         self._reset()
         # The short way is for tokenizers that lower-case and cut as assumed above.
         probe = ["Aé", "Zürich,", "THE!?", "x*", "ñandú...", "Stop.;"]
         whole = [e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
-        self.plain = [self._parts(*PLAIN.fullmatch(p).groups()) for p in probe] == whole
+        self.plain = [list(self._parts(*PLAIN.fullmatch(p).groups())) for p in probe] == whole
 
     def _reset(self) -> None:
         self.slot: dict[str, int] = {"": 0}
-        self.parts: dict[str, list[int]] = {"": []}
         self.start = np.zeros(1, np.int64)
         self.length = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str) -> tuple[int, ...]:
         if (ids := self.parts.get(part)) is None:
             spelt = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
-            ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(spelt)]
+            ids = self.parts[part] = tuple([t.id for t in self.tokenizer.model.tokenize(spelt)])
         return ids
 
-    def _parts(self, letters: str, signs: str) -> list[int]:
-        return self._part(letters.lower()) + self._part(signs)
+    def _parts(self, letters: str, signs: str) -> tuple[int, ...]:
+        ids = self._part(letters.lower())
+        return ids + self._part(signs) if signs else ids
 
-    def _encode(self, pieces: list[str]) -> list[list[int]]:
+    def _encode(self, pieces: list[str]) -> list:
         if not self.plain:
             return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        found = [self._parts(*m.groups()) if (m := PLAIN.fullmatch(p)) else None for p in pieces]
+        if len(self.parts) > CACHE_PIECES:
+            self.parts = {"": ()}
+        match, parts = PLAIN.fullmatch, self._parts
+        found = [parts(*m.groups()) if (m := match(p)) else None for p in pieces]
         others = [i for i, x in enumerate(found) if x is None]
         for i, e in zip(others, self.tokenizer.encode_batch_fast([pieces[i] for i in others], add_special_tokens=False)):
             found[i] = e.ids
@@ -98,7 +103,9 @@ class PieceEncoder:
         slots = [self.slot.get(p) for p in pieces]
         new = [p for p, s in zip(pieces, slots) if s is None]
         if new:
+            gc.disable()     # many small objects and no cycles
             ids = self._encode(new)
+            gc.enable()
             lens = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = array("I")
             for x in ids:
