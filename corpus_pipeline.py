@@ -1,14 +1,65 @@
-"""The corpus pipeline: documents to packed training batches."""
+"""The corpus pipeline: documents to packed training batches.
+
+Language identification drops texts without a language, near-duplicate
+removal keeps one document of each group, repeated passages are cut out,
+documents that hold benchmark items go, and what is left is packed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quayside.llm import decontaminate, langid, minhash, packing, queries, repeats
 from quayside.session import configure, scratch_path
 from quayside.sources.tables import read_table
 
-STAGES: list = []
-ORACLE_SQL = None
+# Score below which a language is a guess: with four languages, hardly better than chance.
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts that are null, have no letter, or whose language is a guess."""
+    configure(spark)
+    found = docs.select(*docs.columns, langid.language(docs, queries.language_model(docs)).alias("_lang"))
+    known = (F.col("_lang.lang_pred") != langid.UND) & (F.col("_lang.score") >= MIN_LANGUAGE_SCORE)
+    return found.filter(known).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates."""
+    configure(spark)
+    return minhash.keep_one(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages out that an earlier document (or the same, earlier on)
+    holds; documents of which nothing but blanks is left go."""
+    configure(spark)
+    left = repeats.remove_repeats(docs).filter(F.col("text").rlike(r"\S"))
+    return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    configure(spark)
+    return decontaminate.remove_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Batches of pieces in length buckets."""
+    configure(spark)
+    return packing.pack(packing.token_pieces(docs, queries.tokenizer_path()))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", decontamination),
+    ("packing", packed),
+]
+ORACLE_SQL = None     # learned languages, MinHash and a tokenizer; tested against a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

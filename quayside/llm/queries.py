@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 from ..sources.tables import read_table
-from . import decontaminate, langid, license_scan, minhash, repeats, token_files, url_rules, warc
+from . import decontaminate, langid, license_scan, minhash, packing, repeats, token_files, url_rules, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -128,3 +128,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select("doc_id", "item_id", "start_word", "n_words", "similarity")
+
+
+@query("op3_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(read_table(spark, sf_dir, "documents"), tokenizer_path()))
