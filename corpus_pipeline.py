@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import decontaminate, langid, minhash, packing, queries, repeats
-from quayside.session import configure, scratch_path
+from quayside.session import scratch_path
 from quayside.sources.tables import read_table
 
 # Score below which a language is a guess: with four languages, hardly better than chance.
@@ -20,7 +20,7 @@ MIN_LANGUAGE_SCORE = 0.4
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that are null, have no letter, or whose language is a guess."""
-    configure(spark)
+    queries.prepared(spark)
     found = docs.select(*docs.columns, langid.language(docs, queries.language_model(docs)).alias("_lang"))
     known = (F.col("_lang.lang_pred") != langid.UND) & (F.col("_lang.score") >= MIN_LANGUAGE_SCORE)
     return found.filter(known).select(*docs.columns)
@@ -28,27 +28,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates."""
-    configure(spark)
+    queries.prepared(spark)
     return minhash.keep_one(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages out that an earlier document (or the same, earlier on)
     holds; documents of which nothing but blanks is left go."""
-    configure(spark)
+    queries.prepared(spark)
     left = repeats.remove_repeats(docs).filter(F.col("text").rlike(r"\S"))
     return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    configure(spark)
+    queries.prepared(spark)
     return decontaminate.remove_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Batches of pieces in length buckets."""
-    configure(spark)
+    queries.prepared(spark)
     return packing.pack(packing.token_pieces(docs, queries.tokenizer_path()))
 
 
@@ -65,7 +65,7 @@ ORACLE_SQL = None     # learned languages, MinHash and a tokenizer; tested again
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to ``documents``; each stage's rows are written as
     Parquet in the shared folder and reread as the next one's input."""
-    configure(spark)
+    queries.prepared(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         out = scratch_path(spark, f"pipeline-{name}")

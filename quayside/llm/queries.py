@@ -18,10 +18,20 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+# Rows of an Arrow batch: whole texts are long, so the default of 10,000 would be tens of megabytes.
+BATCH_ROWS = 1000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with what the operators rely on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return configure(spark)
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark), sf_dir)
+            return fn(prepared(spark), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:

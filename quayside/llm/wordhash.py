@@ -13,8 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-SEGMENT = 1 << 20          # bytes hashed at once
-BLOCK_BYTES = 4 << 20      # text bytes of a block of documents
+SEGMENT = 1 << 18          # bytes hashed at once
+BLOCK_BYTES = 1 << 20      # text bytes of a block of documents
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse mod 2**64
 
