@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 from ..sources.tables import read_table
-from . import decontaminate, langid, license_scan, minhash, packing, repeats, token_files, url_rules, warc
+from . import decontaminate, langid, license_scan, minhash, neighbours, packing, repeats, token_files, url_rules, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -143,3 +143,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(read_table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+@query("op6_neighbours")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
