@@ -13,8 +13,8 @@ every block, a block of queries at a time.  In a cell (vectors x queries):
    rehashing widens all windows step by step, and each step only counts the
    vectors that have just come in;
 3. a vector whose collisions (windows that hold it) reach ``THRESHOLD`` of the
-   projections is a candidate; widening ends with ``top`` + ``VERIFY`` of the
-   block as candidates, or when the windows hold the whole block;
+   projections is a candidate; widening ends with ``VERIFY_TOP * top`` plus a
+   ``VERIFY`` share of the block as candidates, or when the windows hold all;
 4. candidates are verified: their exact inner product in double precision on
    the original vectors.
 
@@ -38,7 +38,7 @@ VECTOR_BLOCK = 16_384
 QUERY_BLOCK = 1024
 PROJECTIONS = 64           # at least; whole rotations of low-dimensional vectors
 THRESHOLD = 0.7            # share of the windows that must hold a candidate
-VERIFY = 0.07              # share of a block that may be verified
+VERIFY_TOP, VERIFY = 25, 0.07   # candidates that end the widening: so many times ``top``, and a share of the block
 FIRST, STEP = 0.9, 0.08   # half-width of the windows, in deviations of the projections
 
 ANSWER = "query_id bigint, vec_id bigint, score double"
@@ -74,7 +74,7 @@ class Block:
     def candidates(self, queries: np.ndarray, top: int):
         """(query, places of the vectors that collide often enough with it)."""
         n, m = len(self.ids), len(self.axes)
-        enough, width = min(n, top + int(VERIFY * n)), FIRST
+        enough, width = min(n, VERIFY_TOP * top + int(VERIFY * n)), FIRST
         centre = queries * (self.largest / np.sqrt((queries ** 2).sum(axis=1)))[:, None] @ self.axes[:, :-1].T
         active = np.arange(len(queries))
         counts: dict[int, np.ndarray] = {}
