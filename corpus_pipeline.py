@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import decontaminate, langid, minhash, packing, queries, repeats
+from quayside.llm.columns import packed, quoted, unpacked
 from quayside.session import scratch_path
 from quayside.sources.tables import read_table
 
@@ -21,9 +22,9 @@ MIN_LANGUAGE_SCORE = 0.4
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that are null, have no letter, or whose language is a guess."""
     queries.prepared(spark)
-    found = docs.select(*docs.columns, langid.language(docs, queries.language_model(docs)).alias("_lang"))
-    known = (F.col("_lang.lang_pred") != langid.UND) & (F.col("_lang.score") >= MIN_LANGUAGE_SCORE)
-    return found.filter(known).select(*docs.columns)
+    found = docs.select(packed(docs), langid.language(docs, queries.language_model(docs)).alias("found"))
+    known = (F.col("found.lang_pred") != langid.UND) & (F.col("found.score") >= MIN_LANGUAGE_SCORE)
+    return unpacked(found.filter(known))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +37,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Cuts passages out that an earlier document (or the same, earlier on)
     holds; documents of which nothing but blanks is left go."""
     queries.prepared(spark)
-    left = repeats.remove_repeats(docs).filter(F.col("text").rlike(r"\S"))
-    return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    found = repeats.remove_repeats(docs)
+    left = found.filter(F.col("text").rlike(r"\S"))
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.length("text").cast("bigint"))
+    return left.select(*map(quoted, docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

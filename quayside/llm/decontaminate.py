@@ -34,7 +34,9 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .columns import packed, unpacked
 from .wordhash import LETTERS, Words, blocks, hash_runs, hash_words, mix
 
 SHINGLE = 5
@@ -45,7 +47,7 @@ ITEMS_A_PASS = 4000
 REGION = 1 << 16                      # shingles whose bit sums are held at once
 FILTER_BITS = 20
 
-FOUND = "item bigint, start_word bigint, n_words bigint, similarity double"
+FOUND = [T.StructField("item", T.LongType()), T.StructField("start_word", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("similarity", T.DoubleType())]
 
 
 def _bits(hashes: np.ndarray) -> np.ndarray:
@@ -177,14 +179,13 @@ def _search(batches, index: Index):
 
     units = list(index.known)
     for batch in batches:
-        rest = [c for c in batch.schema.names if c != "_text"]
-        for a, b in blocks(batch.column("_text")):
+        for a, b in blocks(batch.column("text")):
             rows = batch.slice(a, b - a)
-            w = hash_words(rows.column("_text"), LETTERS)
+            w = hash_words(rows.column("text"), LETTERS)
             found = [(i, *m) for i in _suspects(w, index, units) for m in index.search(w.hash[w.first[i]:w.first[i + 1]])]
             take = pa.array([f[0] for f in found], pa.int64())
             columns = [pa.array([f[k] for f in found], t) for k, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.int64()), (4, pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*(rows.column(c).take(take) for c in rest), *columns], [*rest, "item", "start_word", "n_words", "similarity"])
+            yield pa.RecordBatch.from_arrays([rows.column("row").take(take), *columns], ["row", "item", "start_word", "n_words", "similarity"])
 
 
 def _suspects(w: Words, index: Index, units: list[int]) -> list[int]:
@@ -206,16 +207,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> Data
     best window, similarity."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema]
+    rows = docs.select(packed(docs.select(*keep)), F.col("text").cast("string").alias("text"))
+    schema = T.StructType([rows.schema["row"], *FOUND])
     out = None
     for part in _passes(items):
         index = spark.sparkContext.broadcast(Index([(i, r["text"]) for i, r in enumerate(part)]))
         ids = spark.createDataFrame([(i, r["item_id"]) for i, r in enumerate(part)], "item bigint, item_id bigint")
-        found = (rows.mapInArrow(lambda batches, index=index: _search(batches, index.value), ", ".join([*fields, FOUND]))
-                 .join(ids, "item").drop("item"))
+        found = (rows.mapInArrow(lambda batches, index=index: _search(batches, index.value), schema).join(ids, "item"))
         out = found if out is None else out.unionByName(found)
-    return out
+    return unpacked(out, "item_id", "start_word", "n_words", "similarity")
 
 
 def _passes(items: DataFrame):
@@ -233,7 +233,6 @@ def _passes(items: DataFrame):
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` (all columns) without the documents that hold an item."""
-    rows = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
-    bad = (contaminated(rows, benchmark, ["doc_id", "_hash"]).select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_text")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
-    return rows.join(bad, same, "left_anti").drop("_hash")
+    rows = docs.select(packed(docs), "doc_id", "text", F.xxhash64(F.col("text").cast("string")).alias("hash"))
+    bad = contaminated(rows, benchmark, ["doc_id", "hash"]).select(F.col("doc_id").alias("id"), F.col("hash").alias("bad")).distinct()
+    return unpacked(rows.join(bad, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("bad")), "left_anti"))

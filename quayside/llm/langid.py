@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .columns import packed, quoted, unpacked
+
 UND = "und"
 MAX_GRAM = 4
 SAMPLE_PER_LANG = 4000
@@ -178,11 +180,11 @@ def language(docs: DataFrame, model: Model, text: str = "text") -> Column:
         m = shared.value
         return pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    return predict(F.col(text).cast("string"))
+    return predict(quoted(text).cast("string"))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` put beside its columns
     (columns of these names are replaced)."""
-    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    return docs.select(*kept, language(docs, model, text).alias("_lang")).select(*kept, "_lang.lang_pred", "_lang.score")
+    found = docs.select(packed(docs, ("lang_pred", "score")), language(docs, model, text).alias("found"))
+    return unpacked(found, "found.lang_pred", "found.score")

@@ -29,8 +29,10 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
+from .columns import packed, unpacked
 from .wordhash import LETTERS, Words, blocks, hash_runs, hash_words, mix
 
 UNIT_WORDS = 4             # shorter units are no evidence, but may stand inside a run
@@ -38,7 +40,7 @@ RUN_WORDS = 10
 NO_ID = (1 << 63) - 1      # stands for a null doc_id: the last in rank
 ENDS = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 
-SPAN = "struct<start:bigint,stop:bigint,n_words:bigint,kept_doc_id:bigint>"
+SPAN = T.StructType([T.StructField(c, T.LongType()) for c in ("start", "stop", "n_words", "kept_doc_id")])
 
 
 @dataclass
@@ -124,11 +126,10 @@ def _excise(batches):
 
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("n_words", pa.int64()), ("kept_doc_id", pa.int64())]))
     for batch in batches:
-        rest = [c for c in batch.schema.names if c not in ("_text", "_doc", "_marks")]
-        for a, b in blocks(batch.column("_text")):
+        for a, b in blocks(batch.column("text")):
             rows = batch.slice(a, b - a)
-            u = cut(rows.column("_text"))
-            marks = rows.column("_marks").combine_chunks() if isinstance(rows.column("_marks"), pa.ChunkedArray) else rows.column("_marks")
+            u = cut(rows.column("text"))
+            marks = rows.column("marks").combine_chunks() if isinstance(rows.column("marks"), pa.ChunkedArray) else rows.column("marks")
             marked = np.repeat(np.arange(b - a), marks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             flat = marks.flatten()
             marks_of = _of_text(marked, flat.field("d1").to_numpy(zero_copy_only=False).view(np.uint64))
@@ -136,7 +137,7 @@ def _excise(batches):
             order = np.argsort(marks_of)
 
             long, row, digest, _ = _digested(u)
-            own = rows.column("_doc").to_numpy(zero_copy_only=False)
+            own = rows.column("doc").to_numpy(zero_copy_only=False)
             key = _of_text(row, digest)
             _, first_at = np.unique(key, return_index=True)
             again = np.ones(len(key), bool)
@@ -150,9 +151,8 @@ def _excise(batches):
             keeper[long[known]] = keepers[order[place[known]]] if len(order) else 0
 
             lo, hi, n_words = _runs(flagged, np.diff(u.word), u.first[:-1][u.first[:-1] < u.first[1:]])
-            spans, cleaned = _cut_out(u, lo, hi, n_words, keeper[lo], rows.column("_text"))
-            yield pa.RecordBatch.from_arrays(
-                [*(rows.column(c) for c in rest), pa.array(cleaned, pa.string()), pa.array(spans, span)], [*rest, "_cleaned", "_spans"])
+            spans, cleaned = _cut_out(u, lo, hi, n_words, keeper[lo], rows.column("text"))
+            yield pa.RecordBatch.from_arrays([rows.column("row"), pa.array(cleaned, pa.string()), pa.array(spans, span)], ["row", "cleaned", "spans"])
 
 
 def _cut_out(u: Units, lo, hi, n_words, keeper, texts) -> tuple[list[list], list]:
@@ -195,10 +195,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) with ``text`` freed of repeated passages, and
     ``removed``: their spans in the original text (characters, words) with the
     doc_id in which the passage stays.  A column named so is replaced."""
-    marks = repeated_digests(docs).select(F.col("doc").alias("_doc"), F.col("marks").alias("_marks"))
-    kept = [c for c in docs.columns if c.lower() not in ("text", "removed")]
-    rows = (docs.select(*kept, F.col("text").cast("string").alias("_text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("_doc"))
-            .join(marks, "_doc", "left"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema]
-    out = rows.select(*kept, "_text", "_doc", "_marks").mapInArrow(_excise, ", ".join([*fields, "_cleaned string", f"_spans array<{SPAN}>"]))
-    return out.select(*[F.col("_cleaned").alias("text") if c == "text" else c for c in docs.columns if c.lower() != "removed"], F.col("_spans").alias("removed"))
+    rows = (docs.select(packed(docs, ["removed"]), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"))
+            .join(repeated_digests(docs), "doc", "left").select("row", "text", "doc", "marks"))
+    schema = T.StructType([rows.schema["row"], T.StructField("cleaned", T.StringType()), T.StructField("spans", T.ArrayType(SPAN))])
+    out = rows.mapInArrow(_excise, schema)
+    return unpacked(out.withColumn("row", F.col("row").withField("text", F.col("cleaned"))), F.col("spans").alias("removed"))

@@ -28,13 +28,14 @@ duplicates are dropped; of an allow and a block twin the block stays).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .columns import packed, quoted, unpacked
+
 ALLOW, BLOCK = "allow", "block"
 SAMPLE_KEYS = 20_000       # keys that choose the split points
 SLICES = 4                 # slices for each partition, so that partitions come out even
@@ -106,9 +107,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url",
     where no rule fits) put beside its columns; columns of ``pages`` with
     these names are replaced."""
     n = partitions or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    added = ["host", "path", "rule", "verdict"]
-    host, path = url_parts(F.col(url).cast("string"))
-    pages = pages.select(*[c for c in pages.columns if c.lower() not in added], host.alias("host"), path.alias("path"))
+    host, path = url_parts(quoted(url).cast("string"))
+    pages = pages.select(packed(pages, ["host", "path", "rule", "verdict"]), host.alias("host"), path.alias("path"))
 
     labels = F.reverse(F.split("host", r"\."))
     levels = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, F.lit(1), k), "."))
@@ -132,4 +132,4 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url",
              .mapInPandas(_sweep, "host string, path string, size int, host_size int, rule string, verdict string"))
     best = (swept.groupBy("host", "path").agg(F.max(F.struct("size", "host_size", "rule", "verdict")).alias("best"))
             .select("host", "path", "best.rule", "best.verdict"))
-    return pages.join(best, ["host", "path"], "left").select(*[c for c in pages.columns if c not in ("host", "path")], *added)
+    return unpacked(pages.join(best, ["host", "path"], "left"), "host", "path", "rule", "verdict")

@@ -198,7 +198,9 @@ def _candidates(batches):
                 elif after in leaves:
                     leaves[at] = leaves[after]
             n = len(leaves)
-            yield pa.RecordBatch.from_pydict({"path": [path] * n, "offset": pa.array(leaves, pa.int64()), "leaves": pa.array(leaves.values(), pa.int64()), "hi": [hi] * n})
+            yield pa.RecordBatch.from_pydict({
+                "path": pa.array([path] * n, pa.string()), "offset": pa.array(leaves, pa.int64()),
+                "leaves": pa.array(leaves.values(), pa.int64()), "hi": pa.array([hi] * n, pa.int64())})
 
 
 def chain_entries(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
