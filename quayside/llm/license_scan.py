@@ -29,9 +29,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import packed, quoted, unpacked
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"                   # on text with A-Z lowered
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same words on raw text
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"   # on text with A-Z lowered
+SAME_WORD = r"[a-z0-9\x80-\x{10FFFF}]+"         # the same set, which Java's matcher tells faster
+# Other letters whose lower case has an ASCII letter: Kelvin sign, I with dot.
+ODD_LETTERS = ("\u212a", "\u0130")
 MIN_COVERAGE = 0.6
 NAME_SCORE = 0.5           # score of a licence's bare name
 
@@ -79,14 +83,22 @@ def vocabulary(templates: list[Template]) -> list[str]:
 
 
 def lowered(text: Column) -> Column:
-    return F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
+    """The text with A-Z lowered, and perhaps letters beyond ASCII too: no
+    word is cut otherwise, and none becomes a template's."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    odd = F.contains(text, F.lit(ODD_LETTERS[0])) | F.contains(text, F.lit(ODD_LETTERS[1]))
+    return F.when(odd, F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
+
+
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(SAME_WORD), F.lit(0))
 
 
 def inverse_frequency(docs: DataFrame, templates: list[Template], text: str = "text") -> dict[str, float]:
     """IDF over all documents of the templates' words (a fixed vocabulary, so
     what reaches the driver doesn't grow with the documents)."""
     vocab = vocabulary(templates)
-    words = F.array_intersect(F.regexp_extract_all(lowered(F.col(text)), F.lit(WORD), F.lit(0)), F.array(*map(F.lit, vocab)))
+    words = F.array_intersect(words_of(lowered(quoted(text))), F.array(*map(F.lit, vocab)))
     counts = (docs.select(F.explode(F.concat(words, F.array(F.lit("")))).alias("word"))   # "" counts the documents
               .groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect())
     n = {r["word"]: r["n"] for r in counts}
@@ -104,31 +116,30 @@ def scan_licenses(docs: DataFrame, names: list[Template] = NAMES, notices: list[
     index_words = sorted({t.key_words[i] for t, i in rare.items()})
 
     added = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    kept = [c for c in docs.columns if c.lower() not in added]
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    held = body.rlike("(?i)" + "|".join(index_words))
-    words = F.when(held, F.regexp_extract_all(lowered(body), F.lit(WORD), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = docs.select(*map(_quoted, kept), F.size(F.regexp_extract_all(body, F.lit(ANY_CASE_WORD), F.lit(0))).cast("bigint").alias("n_words"), words.alias("_words"))
-
+    rows = docs.select(packed(docs, added), lowered(quoted(text)).alias("body"))
+    held = F.lit(False)
+    for w in index_words:
+        held |= F.contains("body", F.lit(w))
+    rows = rows.select("row", held.alias("held"), words_of(F.col("body")).alias("words"))
     # The rare words of the row: (word, place).
-    placed = F.filter(F.transform("_words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(index_words))
-    rows = rows.withColumn("_rare", placed)
+    placed = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(index_words))
+    rows = rows.select("row", F.size("words").cast("bigint").alias("n_words"), "words", F.when(F.col("held"), placed).otherwise(F.array().cast("array<struct<w:string,i:int>>")).alias("rare"))
 
     def starts(t: Template) -> Column:
         """Where the template begins, by its verified proposals."""
-        proposed = F.transform(F.filter("_rare", lambda x: x["w"] == t.key_words[rare[t]]), lambda x: x["i"] - (t.key + rare[t]))
+        proposed = F.transform(F.filter("rare", lambda x: x["w"] == t.key_words[rare[t]]), lambda x: x["i"] - (t.key + rare[t]))
 
         def verified(s: Column) -> Column:
             ok = F.lit(True)
             for j, w in enumerate(t.key_words):
-                ok &= F.coalesce(F.get("_words", s + (t.key + j)) == w, F.lit(False))
+                ok &= F.coalesce(F.get("words", s + (t.key + j)) == w, F.lit(False))
             return ok
 
         return F.filter(proposed, verified)
 
     def coverage(t: Template, s: Column) -> Column:
         total = sum(idf[w] for w in t.words)
-        at = lambda j, w: F.when(F.get("_words", s + j) == w, idf[w]).otherwise(0.0)
+        at = lambda j, w: F.when(F.get("words", s + j) == w, idf[w]).otherwise(0.0)
         found = at(0, t.words[0])
         for j, w in enumerate(t.words[1:], 1):
             found = found + at(j, w)
@@ -138,24 +149,20 @@ def scan_licenses(docs: DataFrame, names: list[Template] = NAMES, notices: list[
         return F.coalesce(F.array_max(F.transform(starts(t), lambda s: coverage(t, s))), F.lit(0.0))
 
     rows = rows.select(
-        *map(_quoted, kept), "n_words",
-        F.array(*(F.struct(F.lit(t.label).alias("label"), starts(t).alias("starts")) for t in names)).alias("_names"),
-        F.array(*(F.struct(F.lit(t.label).alias("label"), best_coverage(t).alias("best")) for t in notices)).alias("_notices"))
-    places = F.flatten(F.transform("_names", lambda x: x["starts"]))
-    base = F.transform(F.filter("_names", lambda x: F.size(x["starts"]) > 0), lambda x: x["label"])
-    own = F.transform(F.filter("_notices", lambda x: x["best"] >= MIN_COVERAGE), lambda x: x["label"])
-    best = F.array_max(F.transform("_notices", lambda x: x["best"]))
-    rows = rows.select(*map(_quoted, kept), "n_words", places.alias("_places"), base.alias("_base"), own.alias("_own"), best.alias("_best"))
-    return rows.select(
-        *map(_quoted, kept), "n_words", F.size("_places").cast("bigint").alias("n_base"),
-        F.array_min("_places").cast("bigint").alias("first_word"), F.array_max("_places").cast("bigint").alias("last_word"),
-        F.array_join(F.array_sort("_base"), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_distinct(F.concat("_base", "_own"))), ",").alias("labels"),
-        F.greatest("_best", F.when(F.size("_base") > 0, NAME_SCORE).otherwise(0.0)).alias("score"))
-
-
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+        "row", "n_words",
+        F.array(*(F.struct(F.lit(t.label).alias("label"), starts(t).alias("starts")) for t in names)).alias("names"),
+        F.array(*(F.struct(F.lit(t.label).alias("label"), best_coverage(t).alias("best")) for t in notices)).alias("notices"))
+    places = F.flatten(F.transform("names", lambda x: x["starts"]))
+    base = F.transform(F.filter("names", lambda x: F.size(x["starts"]) > 0), lambda x: x["label"])
+    own = F.transform(F.filter("notices", lambda x: x["best"] >= MIN_COVERAGE), lambda x: x["label"])
+    best = F.array_max(F.transform("notices", lambda x: x["best"]))
+    rows = rows.select("row", "n_words", places.alias("places"), base.alias("base"), own.alias("own"), best.alias("best"))
+    return unpacked(
+        rows, "n_words", F.size("places").cast("bigint").alias("n_base"),
+        F.array_min("places").cast("bigint").alias("first_word"), F.array_max("places").cast("bigint").alias("last_word"),
+        F.array_join(F.array_sort("base"), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat("base", "own"))), ",").alias("labels"),
+        F.greatest("best", F.when(F.size("base") > 0, NAME_SCORE).otherwise(0.0)).alias("score"))
 
 
 def duckdb_sql(names: list[Template] = NAMES, notices: list[Template] = NOTICES) -> str:
