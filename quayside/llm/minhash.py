@@ -9,13 +9,15 @@
 3. **Banding.**  ``BANDS`` bands of ``ROWS`` coordinates; a pair with Jaccard
    0.75 shares no band with probability (1 - 0.75^ROWS)^BANDS = 5e-6.
 4. **Exact Jaccard on full sets** decides every link.  In a bucket all members
-   are first compared with one centre.  While a bucket still holds more than
-   one component, members of different components are compared: more and more
-   members (1, 8, 64 … in expectation, until all) serve as probes against the
-   bucket's other components.  What is linked already is never compared again,
-   so a group of near copies costs about its size, not its square; only
-   members that remain apart are compared with all others, and no bucket is
-   capped.
+   are first compared with one centre: the member that shares most buckets
+   with most others, in a group of edited copies the text they come from.
+   While a bucket still holds more than one component, members of different
+   components are compared: more and more members (1, 32, 1024 … in
+   expectation, until all) serve as probes against the bucket's other
+   components.  Members that remain apart must be compared with all others of
+   their bucket, and no bucket is capped; but a sketch of the set (a bit for
+   each shingle's hash class) bounds the similarity from above, and pairs that
+   the bound rules out are never made.
 5. **Components** of the verified links; the smallest doc_id names each.
 
 Nulls and the like: texts without words have an empty set, are linked with
@@ -27,10 +29,11 @@ doc_ids alone has a null id and its rows are all kept.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .columns import packed, unpacked
 from .components import connected_components
 from .wordhash import BLANKS, blocks, hash_words, mix, shingles
 
@@ -38,7 +41,8 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 PERCENT = 75
 CHUNK = 1 << 16            # shingles whose coordinates are made at once
-GROWTH = 8                 # probes of a round to those of the one before
+GROWTH = 32                # probes of a round to those of the one before
+SKETCH_BITS = 4096
 
 
 def permuted(x: np.ndarray, a: int, b: int) -> np.ndarray:
@@ -111,6 +115,13 @@ def _sign(batches):
                 "bands": pa.array(bands, pa.list_(pa.int64()))})
 
 
+def sketches(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A row of bits for each set: which of the hash classes it has shingles in."""
+    bits = np.zeros((len(first) - 1, SKETCH_BITS), bool)
+    bits[np.repeat(np.arange(len(bits)), np.diff(first)), (sets % np.uint64(SKETCH_BITS)).astype(np.int64)] = True
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
 def _sets(batches):
     import pyarrow as pa
 
@@ -119,7 +130,8 @@ def _sets(batches):
             rows = batch.slice(a, b - a)
             sets, first = shingle_sets(rows.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(sets.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(node_keys(sets, first), pa.binary()), lists], ["node", "found", "hashes"])
+            classes = pa.array(list(sketches(sets, first)), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(node_keys(sets, first), pa.binary()), lists, classes], ["node", "found", "hashes", "sketch"])
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -138,39 +150,49 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .filter(100 * both >= PERCENT * (F.size("hu") + F.size("hv") - both)).select("u", "v"))
 
 
-def _alike_in_size(a, b):
+def _alike_in_size(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def _possible(a: Column, na: Column, b: Column, nb: Column) -> Column:
+    """Whether the sketches allow the similarity: a class of A without
+    shingles of B holds a shingle of A alone."""
+    alone = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda s, x: s + x)
+    both = F.least(na - alone, nb)
+    return 100 * both >= PERCENT * (na + nb - both)
+
+
 def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Verified links that connect every two alike members of a bucket;
-    members: band, node, n, centre, centre_n, size."""
-    stars = (members.filter("node <> centre").filter(_alike_in_size(F.col("n"), F.col("centre_n")))
-             .select(F.col("node").alias("u"), F.col("centre").alias("v")).distinct())
+    members: band, node, n, size."""
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    centres = members.join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", "node", "n")).alias("c"))
+    stars = (members.join(centres, "band").filter("node <> c.node").filter(_alike_in_size(F.col("n"), F.col("c.n")))
+             .select(F.col("node").alias("u"), F.col("c.node").alias("v")).distinct())
     links = _written(_verified(stars, sets), "stars")
-    before, now = F.lit(0.0), 1.0
     # Place of a node among the probes: the same in all rounds, from 0 to 1.
     place = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) / float(1 << 40)
-    wide = members.filter("size > 2").select("band", "node", "n", "size", place.alias("place"))
-    largest = wide.agg(F.max("size")).first()[0] or 0
-    while largest > now / GROWTH:
+    wide = members.filter("size > 2").withColumn("place", place)
+    before, now = 0.0, 1.0
+    while largest := wide.agg(F.max("size")).first()[0]:
         component = connected_components(links, "u", "v")
         own = wide.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
         open_ = own.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
-        wide_open = _written(own.join(open_, "band", "left_semi"), "open")
-        largest = wide_open.agg(F.max("size")).first()[0] or 0
-        if not largest:
-            break
-        share = F.lit(now) / F.col("size")
-        probes = (wide_open.filter((F.col("place") < share) & (F.col("place") >= before / F.col("size")))
-                  .select("band", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("place").alias("pu"), F.col("component").alias("cu")))
+        wide = _written(own.join(open_, "band", "left_semi"), "open")
+        seen = wide.join(sets.select("node", "sketch"), "node")
+        asks, asked = F.lit(now) / F.col("size"), F.lit(before) / F.col("size")
+        probes = (seen.filter((F.col("place") < asks) & (F.col("place") >= asked))
+                  .select("band", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"), F.col("sketch").alias("su")))
         # Earlier probes have met every other member, and of two new probes one asks.
-        met = (F.col("place") < before / F.col("size")) | ((F.col("place") < share) & (F.col("node") <= F.col("u")))
-        pairs = (probes.join(wide_open, "band").filter((F.col("component") != F.col("cu")) & ~met & _alike_in_size(F.col("n"), F.col("nu")))
+        met = (F.col("place") < asked) | ((F.col("place") < asks) & (F.col("node") <= F.col("u")))
+        apart = (F.col("component") != F.col("cu")) & ~met & _alike_in_size(F.col("n"), F.col("nu"))
+        pairs = (probes.join(seen, (probes["band"] == seen["band"]) & apart & _possible(F.col("su"), F.col("nu"), F.col("sketch"), F.col("n")))
                  .select("u", F.col("node").alias("v")).distinct())
         links = links.unionByName(_written(_verified(pairs, sets), "links"))
-        wide = wide_open.drop("component")
-        before, now = F.lit(now), now * GROWTH
+        wide = wide.drop("component")
+        if now >= largest:
+            break
+        before, now = now, now * GROWTH
     return links
 
 
@@ -184,14 +206,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = _written(signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
 
     banded = nodes.select(F.explode("bands").alias("band"), "node", "n")
-    shared = (banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("c")).filter("size > 1")
-              .select("band", "size", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n")))
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = _written(banded.join(shared, "band"), "members")
 
     wanted = members.select("node").distinct().join(nodes.select("node", F.col("doc_id").alias("wanted")), "node")
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted"))).select("node", "text")
-    sets = _written(texts.mapInArrow(_sets, "node binary, found binary, hashes array<bigint>")
-                    .filter("node = found").select("node", "hashes").dropDuplicates(["node"]), "sets")
+    sets = _written(texts.mapInArrow(_sets, "node binary, found binary, hashes array<bigint>, sketch array<bigint>")
+                    .filter("node = found").drop("found").dropDuplicates(["node"]), "sets")
 
     component = connected_components(_links(members, sets), "u", "v")
     labelled = nodes.select("node", "doc_id").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -210,16 +231,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     kept = (found.filter("n_shingles > 0").groupBy("component").agg(smallest.alias("k")).select("k.doc_id", "k.text_hash")
             .unionByName(found.filter("n_shingles = 0").select("doc_id", "text_hash")))
-    rows = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    rows = docs.select(packed(docs), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("hash"))
 
     def matching(keys: DataFrame) -> DataFrame:
-        keys = keys.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"))
-        same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
-        return rows.join(keys, same, "left_semi")
+        keys = keys.select(F.col("doc_id").alias("id"), "text_hash")
+        return rows.join(keys, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("text_hash")), "left_semi")
 
     repeated = found.groupBy(F.col("doc_id").alias("r"), F.col("text_hash").alias("t")).agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     again = F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("text_hash") == F.col("t"))
     if repeated.isEmpty():
-        return matching(kept).drop("_hash")
-    once = matching(kept.join(repeated, again, "left_semi")).dropDuplicates(["doc_id", "_hash"])
-    return matching(kept.join(repeated, again, "left_anti")).unionByName(once).drop("_hash")
+        return unpacked(matching(kept))
+    once = matching(kept.join(repeated, again, "left_semi")).dropDuplicates(["doc_id", "hash"])
+    return unpacked(matching(kept.join(repeated, again, "left_anti")).unionByName(once))
