@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import written
+
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -31,11 +33,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """node, component (its smallest node) of every node with an edge to
-    another.  Each round is checkpointed."""
-    now = (edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct().checkpoint())
+    another.  Each round's edges are written to the shared folder."""
+    now = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct()
+    now = written(now, "edges")
     size = F.struct(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")), F.lit(0)).alias("sum"))
     before = None
     while before != (mark := now.agg(size.alias("s")).first()["s"]) and mark["n"]:
-        before, now = mark, _small_star(_large_star(now)).checkpoint()
+        before, now = mark, written(_small_star(_large_star(now)), "edges")
     return (now.select(F.col("a").alias("node"), F.col("b").alias("component"))
             .unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct())

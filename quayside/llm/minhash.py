@@ -32,9 +32,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from .columns import packed, unpacked
 from .components import connected_components
+from .storage import written
 from .wordhash import BLANKS, blocks, hash_words, mix, shingles
 
 SHINGLE = 5
@@ -134,13 +134,6 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(node_keys(sets, first), pa.binary()), lists, classes], ["node", "found", "hashes", "sketch"])
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """The rows from a table in the shared folder: lineage ends there."""
-    path = scratch_path(df.sparkSession, f"minhash-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose full sets have the Jaccard similarity asked for."""
     left = sets.select(F.col("node").alias("u"), F.col("hashes").alias("hu"))
@@ -169,7 +162,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
     centres = members.join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", "node", "n")).alias("c"))
     stars = (members.join(centres, "band").filter("node <> c.node").filter(_alike_in_size(F.col("n"), F.col("c.n")))
              .select(F.col("node").alias("u"), F.col("c.node").alias("v")).distinct())
-    links = _written(_verified(stars, sets), "stars")
+    links = written(_verified(stars, sets), "stars")
     # Place of a node among the probes: the same in all rounds, from 0 to 1.
     place = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) / float(1 << 40)
     wide = members.filter("size > 2").withColumn("place", place)
@@ -178,7 +171,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
         component = connected_components(links, "u", "v")
         own = wide.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
         open_ = own.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
-        wide = _written(own.join(open_, "band", "left_semi"), "open")
+        wide = written(own.join(open_, "band", "left_semi"), "open")
         seen = wide.join(sets.select("node", "sketch"), "node")
         asks, asked = F.lit(now) / F.col("size"), F.lit(before) / F.col("size")
         probes = (seen.filter((F.col("place") < asks) & (F.col("place") >= asked))
@@ -188,7 +181,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
         apart = (F.col("component") != F.col("cu")) & ~met & _alike_in_size(F.col("n"), F.col("nu"))
         pairs = (probes.join(seen, (probes["band"] == seen["band"]) & apart & _possible(F.col("su"), F.col("nu"), F.col("sketch"), F.col("n")))
                  .select("u", F.col("node").alias("v")).distinct())
-        links = links.unionByName(_written(_verified(pairs, sets), "links"))
+        links = links.unionByName(written(_verified(pairs, sets), "links"))
         wide = wide.drop("component")
         if now >= largest:
             break
@@ -201,17 +194,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows of equal doc_id apart), n_shingles, component (its least node; null
     for an empty set) and component_id."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = _written(rows.withColumn("text_hash", F.xxhash64("text"))
+    signed = written(rows.withColumn("text_hash", F.xxhash64("text"))
                       .mapInArrow(_sign, "doc_id bigint, text_hash bigint, n bigint, node binary, bands array<bigint>"), "signed")
-    nodes = _written(signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
+    nodes = written(signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
 
     banded = nodes.select(F.explode("bands").alias("band"), "node", "n")
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = _written(banded.join(shared, "band"), "members")
+    members = written(banded.join(shared, "band"), "members")
 
     wanted = members.select("node").distinct().join(nodes.select("node", F.col("doc_id").alias("wanted")), "node")
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted"))).select("node", "text")
-    sets = _written(texts.mapInArrow(_sets, "node binary, found binary, hashes array<bigint>, sketch array<bigint>")
+    sets = written(texts.mapInArrow(_sets, "node binary, found binary, hashes array<bigint>, sketch array<bigint>")
                     .filter("node = found").drop("found").dropDuplicates(["node"]), "sets")
 
     component = connected_components(_links(members, sets), "u", "v")
@@ -227,7 +220,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that stay when one of each component
     does: that with the smallest doc_id (then text_hash), once if the row is
     repeated.  Rows with an empty set stay."""
-    found = _written(near_duplicates(docs), "found")
+    found = written(near_duplicates(docs), "found")
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     kept = (found.filter("n_shingles > 0").groupBy("component").agg(smallest.alias("k")).select("k.doc_id", "k.text_hash")
             .unionByName(found.filter("n_shingles = 0").select("doc_id", "text_hash")))

@@ -11,6 +11,18 @@ from __future__ import annotations
 import contextlib
 import uuid
 
+from pyspark.sql import DataFrame
+
+from ..session import scratch_path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a table in the shared folder: lineage ends there, its
+    size is known, and many small parts are read as a few."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def filesystem(uri: str):
     """(pyarrow filesystem, path) of a Spark path."""
