@@ -50,7 +50,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.remove_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Batches of pieces in length buckets."""
     queries.prepared(spark)
     return packing.pack(packing.token_pieces(docs, queries.tokenizer_path()))
@@ -61,7 +61,7 @@ STAGES = [
     ("near_duplicates", near_duplicates),
     ("repeated_passages", repeated_passages),
     ("decontamination", decontamination),
-    ("packing", packed),
+    ("packing", pack_batches),
 ]
 ORACLE_SQL = None     # learned languages, MinHash and a tokenizer; tested against a brute-force version
 

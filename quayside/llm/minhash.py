@@ -12,8 +12,8 @@
    are first compared with one centre: the member that shares most buckets
    with most others, in a group of edited copies the text they come from.
    While a bucket still holds more than one component, members of different
-   components are compared: more and more members (1, 32, 1024 … in
-   expectation, until all) serve as probes against the bucket's other
+   components are compared: more and more members (1, 256, 65536 …
+   in expectation, until all) serve as probes against the bucket's other
    components.  Members that remain apart must be compared with all others of
    their bucket, and no bucket is capped; but a sketch of the set (a bit for
    each shingle's hash class) bounds the similarity from above, and pairs that
@@ -41,8 +41,10 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 PERCENT = 75
 CHUNK = 1 << 16            # shingles whose coordinates are made at once
-GROWTH = 32                # probes of a round to those of the one before
-SKETCH_BITS = 4096
+GROWTH = 256               # probes of a round to those of the one before
+TILE = 4096                # members of a bucket that meet its probes in one task
+SKETCH_BITS = 2048
+LONGS = SKETCH_BITS // 64
 
 
 def permuted(x: np.ndarray, a: int, b: int) -> np.ndarray:
@@ -147,11 +149,14 @@ def _alike_in_size(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def _possible(a: Column, na: Column, b: Column, nb: Column) -> Column:
-    """Whether the sketches allow the similarity: a class of A without
-    shingles of B holds a shingle of A alone."""
-    alone = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda s, x: s + x)
-    both = F.least(na - alone, nb)
+def _possible(a: list[Column], na: Column, b: list[Column], nb: Column) -> Column:
+    """Whether the sketches (as longs) allow the similarity: a class of A
+    without shingles of B holds a shingle of A alone.  Plain columns, so the
+    test is compiled into the join."""
+    terms = [F.bit_count(x.bitwiseAND(F.bitwise_not(y))) for x, y in zip(a, b)]
+    while len(terms) > 1:
+        terms = [sum(terms[i + 1:i + 2], terms[i]) for i in range(0, len(terms), 2)]
+    both = F.least(na - terms[0], nb)
     return 100 * both >= PERCENT * (na + nb - both)
 
 
@@ -166,27 +171,37 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
     # Place of a node among the probes: the same in all rounds, from 0 to 1.
     place = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) / float(1 << 40)
     wide = members.filter("size > 2").withColumn("place", place)
-    before, now = 0.0, 1.0
-    while largest := wide.agg(F.max("size")).first()[0]:
-        component = connected_components(links, "u", "v")
-        own = wide.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_ = own.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
-        wide = written(own.join(open_, "band", "left_semi"), "open")
-        seen = wide.join(sets.select("node", "sketch"), "node")
+    before, now, since = 0.0, 1.0, None
+    while True:
+        # Components only spare work, so they are made anew when many links have come.
+        if since is None or 20 * since > apart_now:
+            component = connected_components(links, "u", "v")
+            own = wide.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            open_ = own.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
+            own = written(own.join(open_, "band", "left_semi"), "open")
+            largest, apart_now = own.agg(F.max("size"), F.count(F.lit(1))).first()
+            wide, since = own.drop("component"), 0
+            longs = [F.coalesce(F.get("sketch", F.lit(i)), F.lit(0)).alias(f"s{i}") for i in range(LONGS)]
+            tiles = F.ceil(F.col("size") / TILE)
+            seen = own.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), tiles)).join(sets.select("node", *longs), "node")
+        if (largest or 0) <= before:
+            return links
         asks, asked = F.lit(now) / F.col("size"), F.lit(before) / F.col("size")
         probes = (seen.filter((F.col("place") < asks) & (F.col("place") >= asked))
-                  .select("band", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"), F.col("sketch").alias("su")))
+                  .select("band", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)).alias("tile"), F.col("node").alias("u"),
+                          F.col("n").alias("nu"), F.col("component").alias("cu"), *[F.col(f"s{i}").alias(f"u{i}") for i in range(LONGS)]))
         # Earlier probes have met every other member, and of two new probes one asks.
         met = (F.col("place") < asked) | ((F.col("place") < asks) & (F.col("node") <= F.col("u")))
         apart = (F.col("component") != F.col("cu")) & ~met & _alike_in_size(F.col("n"), F.col("nu"))
-        pairs = (probes.join(seen, (probes["band"] == seen["band"]) & apart & _possible(F.col("su"), F.col("nu"), F.col("sketch"), F.col("n")))
-                 .select("u", F.col("node").alias("v")).distinct())
-        links = links.unionByName(written(_verified(pairs, sets), "links"))
-        wide = wide.drop("component")
-        if now >= largest:
-            break
+        sketches_allow = _possible([F.col(f"u{i}") for i in range(LONGS)], F.col("nu"), [F.col(f"s{i}") for i in range(LONGS)], F.col("n"))
+        # Tiles bound what meets in a task, so the sides are dealt here and not split again.
+        parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        probes, met_by = probes.repartition(parts, "band", "tile"), seen.repartition(parts, "band", "tile")
+        same = (probes["band"] == met_by["band"]) & (probes["tile"] == met_by["tile"])
+        pairs = probes.join(met_by, same & apart & sketches_allow).select("u", F.col("node").alias("v")).distinct()
+        new = written(_verified(pairs, sets), "links")
+        links, since = links.unionByName(new), since + new.count()
         before, now = now, now * GROWTH
-    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
