@@ -1,14 +1,14 @@
 """Command line: run a landing stream, or compact completed hours.
 
-    python -m quayside land --replay DIR | --bootstrap HOSTS --topics a,b
+    python -m quayside land --replay DIR | --bootstrap HOSTS
                             --feeds-jdbc URL | --feeds-parquet PATH
                             --out PATH --checkpoint PATH [--manifest PATH]
                             [--dead-letter PATH] [--ack-mode BATCH|TIME|COUNT|COUNT_TIME]
                             [--trigger-seconds N | --available-now] [--late-delay S]
-    python -m quayside compact --landed PATH --out PATH [--before-day D --before-hour H]
+    python -m quayside compact --manifest PATH | --landed PATH [--before-day D --before-hour H] --out PATH
 
-The feed table is re-read every micro-batch; a failed read keeps the
-running feeds.  Stop with Ctrl-C: the checkpoint makes a restart safe.
+The topics are those of the feeds.  The feed table is re-read every
+micro-batch; a failed read keeps the running feeds.  Stop with Ctrl-C: the checkpoint makes a restart safe.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from .sources.feeds import CONFIG_TABLE
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="quayside")
@@ -24,13 +26,12 @@ def _parser() -> argparse.ArgumentParser:
     src = land.add_mutually_exclusive_group(required=True)
     src.add_argument("--replay", help="folder of recorded events (parquet) to replay")
     src.add_argument("--bootstrap", help="Kafka bootstrap servers")
-    land.add_argument("--topics", help="comma list (Kafka)")
     land.add_argument("--group-id")
     land.add_argument("--start", default="largest", help="largest/smallest (Kafka)")
     feeds = land.add_mutually_exclusive_group(required=True)
     feeds.add_argument("--feeds-jdbc", help="JDBC URL of the feed table")
     feeds.add_argument("--feeds-parquet", help="feed table as parquet")
-    land.add_argument("--feeds-table", default="log_consumer_config")
+    land.add_argument("--feeds-table", default=CONFIG_TABLE)
     land.add_argument("--out", required=True)
     land.add_argument("--checkpoint", required=True)
     land.add_argument("--manifest")
@@ -40,10 +41,12 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--ack-count", type=int)
     land.add_argument("--trigger-seconds", type=int, default=20)
     land.add_argument("--available-now", action="store_true", help="process what is there, then stop")
-    land.add_argument("--late-delay", type=int, help="seconds; counts late rows in the manifest")
-    land.add_argument("--cluster", default=None, help="none (live, default) or range (backfill)")
+    land.add_argument("--late-delay", type=int, default=3600, help="seconds; rows further behind are counted as late")
+    land.add_argument("--cluster", default=None, help="none (live, default) or rebalance (backfill)")
     comp = sub.add_parser("compact", help="merge completed hours into a new version")
-    comp.add_argument("--landed", required=True)
+    what = comp.add_mutually_exclusive_group(required=True)
+    what.add_argument("--landed", help="folder of key=value partitions")
+    what.add_argument("--manifest", help="manifest folder of a feed landing")
     comp.add_argument("--out", required=True)
     comp.add_argument("--before-day")
     comp.add_argument("--before-hour", default="00")
@@ -51,24 +54,25 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
-def run_land(spark, a) -> object:
+def run_land(spark, a) -> None:
     from .sources.feeds import read_feeds_jdbc
     from .sources.records import events_as_records, kafka_records, replay_stream
     from .streaming.delivery import delivery_options
-    from .streaming.reload import FeedReloader, start_feed_landing
+    from .streaming.reload import FeedReloader, run_feed_landing
 
     trigger, src_opts = delivery_options(a.ack_mode, a.ack_time_ms, a.ack_count)
     if a.available_now:
         trigger = {"availableNow": True}
     elif not trigger:
         trigger = {"processingTime": f"{a.trigger_seconds} seconds"}
-    if a.replay:
-        schema = spark.read.parquet(a.replay).schema
-        records = events_as_records(replay_stream(spark, a.replay, schema))
-        cluster = a.cluster or "range"
-    else:
-        records = kafka_records(spark, a.bootstrap, a.topics, a.group_id, a.start, options=src_opts)
-        cluster = a.cluster or "none"
+
+    def source(topics, threads):
+        if a.replay:
+            schema = spark.read.parquet(a.replay).schema
+            records = events_as_records(replay_stream(spark, a.replay, schema))
+            return records.filter(records["topic"].isin(topics))
+        return kafka_records(spark, a.bootstrap, topics, a.group_id, a.start, min_partitions=threads or None, options=src_opts)
+
     if a.feeds_jdbc:
         def read(sp):
             return read_feeds_jdbc(sp, a.feeds_jdbc, a.feeds_table)
@@ -76,29 +80,24 @@ def run_land(spark, a) -> object:
         def read(sp):
             return sp.read.parquet(a.feeds_parquet).filter("isEnabled = 1")
     reloader = FeedReloader(read, [lambda changes: print(f"feeds changed: {changes}", flush=True)])
-    return start_feed_landing(records, reloader, a.out, a.checkpoint, manifest_path=a.manifest,
-                              dead_letter_path=a.dead_letter, trigger=trigger,
-                              late_delay_seconds=a.late_delay, cluster=cluster)
+    run_feed_landing(spark, source, reloader, a.out, a.checkpoint, manifest_path=a.manifest, dead_letter_path=a.dead_letter,
+                     trigger=trigger, late_delay_seconds=a.late_delay, cluster=a.cluster or ("rebalance" if a.replay else "none"))
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
-    parser = _parser()
-    a = parser.parse_args(argv)
-    if a.cmd == "land" and a.bootstrap and not a.topics:
-        parser.error("--topics is required with --bootstrap")
+    a = _parser().parse_args(argv)
     from .session import build_session, configure
 
     spark = configure(spark) if spark is not None else build_session(app="quayside-" + a.cmd)
     if a.cmd == "land":
-        q = run_land(spark, a)
-        try:
-            q.awaitTermination()
-        except KeyboardInterrupt:
-            q.stop()  # graceful: the checkpoint holds the last committed batch
-        if q.exception():
-            raise q.exception()
+        run_land(spark, a)
+        return 0
+    from .plans.landing import landed_manifest
+    from .sinks.compaction import compact_files, compact_hours, complete_before
+
+    if a.manifest:
+        compact_files(landed_manifest(spark, a.manifest), a.out)
         return 0
-    from .sinks.compaction import compact_hours, complete_before
 
     where = complete_before(a.before_day, a.before_hour) if a.before_day else None
     compact_hours(spark, a.landed, a.out, where, a.codec)

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Codec classes a feed may name, the Spark text-sink codec each
-# one maps to, and the extension Spark gives the files.
+# one maps to, and the extension it adds to a file's name.
 CODEC_CLASSES = {
     "org.apache.hadoop.io.compress.BZip2Codec": "bzip2",
     "org.apache.hadoop.io.compress.DefaultCodec": "deflate",
@@ -17,10 +17,7 @@ CODEC_CLASSES = {
     "org.apache.hadoop.io.compress.Lz4Codec": "lz4",
     "org.apache.hadoop.io.compress.SnappyCodec": "snappy",
 }
-EXTENSIONS = {
-    None: ".txt", "none": ".txt", "gzip": ".txt.gz", "bzip2": ".txt.bz2",
-    "deflate": ".txt.deflate", "snappy": ".txt.snappy", "lz4": ".txt.lz4",
-}
+EXTENSIONS = {"gzip": ".gz", "bzip2": ".bz2", "deflate": ".deflate", "snappy": ".snappy", "lz4": ".lz4"}
 NO_CODEC = "none"
 
 
@@ -44,8 +41,8 @@ def resolve_codec_py(name: str | None) -> str | None:
         return CODEC_CLASSES[name]
     hit = codec_spellings().get(name.lower())
     if hit is None:
-        raise ValueError(f"unsupported compression codec {name!r}; choose from "
-                         f"None, {', '.join(sorted(c.rsplit('.', 1)[1] for c in CODEC_CLASSES))}")
+        known = ", ".join(sorted(c.rsplit(".", 1)[1] for c in CODEC_CLASSES))
+        raise ValueError(f"codec {name!r} is not one of: None, {known}")
     return hit
 
 
@@ -63,6 +60,6 @@ def resolve_codec(name) -> Column:
 
 
 def codec_extension(codec) -> Column:
+    """The extension of a codec's files; null without a codec."""
     c = F.col(codec) if isinstance(codec, str) else codec
-    return F.coalesce(F.element_at(_map({k: v for k, v in EXTENSIONS.items() if k}), c),
-                      F.lit(EXTENSIONS[None]))
+    return F.element_at(_map(EXTENSIONS), c)

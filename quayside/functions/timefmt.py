@@ -8,6 +8,7 @@ import string
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The ISO stamp, the default date pattern of a path, the hour of a path.
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 DEFAULT_PATH_FORMAT = "yyyy-MM-dd"
 HOUR_FORMAT = "HH"

@@ -7,17 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codecs import resolve_codec
+from ..functions.codecs import codec_extension, resolve_codec
 from ..functions.timefmt import pattern_ok
 from ..schemas import FEED_COLUMNS
 
 PLAIN = "datastream"
 COMPRESSED = "compressedstream"
 
-# Default extension each codec adds to a landed file name.
-HADOOP_EXTENSIONS = {"gzip": ".gz", "bzip2": ".bz2", "deflate": ".deflate",
-                     "snappy": ".snappy", "lz4": ".lz4"}
-
 
 def enabled_feeds(feeds: DataFrame) -> DataFrame:
     return feeds.filter(F.col("isEnabled") == 1).select(*FEED_COLUMNS).orderBy("id")
@@ -44,10 +40,8 @@ def reject_reason(codec_col: str = "_codec") -> F.Column:
 
 
 def file_extension(codec_col: str = "_codec") -> F.Column:
-    ext = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(HADOOP_EXTENSIONS.items()) for x in kv]),
-                       F.col(codec_col))
     return (F.when(F.coalesce(F.col("fileSuffix"), F.lit("")) != "", F.col("fileSuffix"))
-            .otherwise(F.coalesce(ext, F.lit(""))))
+            .otherwise(F.coalesce(codec_extension(codec_col), F.lit(""))))
 
 
 def feed_validation(feeds: DataFrame) -> DataFrame:

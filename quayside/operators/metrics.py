@@ -6,26 +6,33 @@ a hot topic is pre-aggregated per task before any shuffle.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import utf16_length
+from ..functions.timefmt import DEFAULT_PATH_FORMAT
+from ..plans.sizing import sized
+from .routing import HOUR_MODE, route_bucket
 
 MIB = 1024 * 1024
 
 
-def bucket_manifest(routed: DataFrame, clock: str = "timestamp",
-                    keys: tuple[str, ...] = ("topic", "bucket_dir")) -> DataFrame:
-    """One row per (keys, bucket hour): records, chars (UTF-16 units, as the
-    old counters), bytes and the offset range."""
-    aggs = [F.count(F.lit(1)).alias("n_records"),
-            F.sum(utf16_length("line")).cast("bigint").alias("n_chars"),
-            F.sum(F.octet_length("line")).cast("bigint").alias("n_bytes"),
-            F.min("offset").alias("first_offset"),
-            F.max("offset").alias("last_offset")]
-    if "late" in routed.columns:  # event-time mode: rows behind the watermark
-        aggs.append(F.sum(F.col("late").cast("int")).cast("bigint").alias("n_late"))
-    return routed.groupBy(*keys, F.date_trunc("hour", F.col(clock)).alias("bucket_start")).agg(*aggs)
+def bucket_manifest(decoded: DataFrame, base_path: str, fmt: str = DEFAULT_PATH_FORMAT, mode: str | None = HOUR_MODE,
+                    clock: str = "timestamp") -> DataFrame:
+    """One row per (topic, bucket folder, hour): records, chars (UTF-16 units,
+    as the old counters), bytes and the offset range of the framed lines.
+    The measures add up, so records are aggregated by hour (by second, if the
+    date pattern is finer) and only that small table gets its folders."""
+    unit = "second" if re.search("[msSE]", re.sub("'[^']*'", "", fmt)) else "hour"
+    small = decoded.groupBy("topic", F.date_trunc(unit, F.col(clock)).alias(clock)).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(utf16_length("line")).alias("chars"), F.sum(F.octet_length("line")).alias("bytes"),
+        F.min("offset").alias("lo"), F.max("offset").alias("hi"))
+    routed = route_bucket(small.withColumn("partition", F.lit(0)), base_path, fmt, mode, clock)
+    return (routed.groupBy("topic", "bucket_dir", F.date_trunc("hour", F.col(clock)).alias("bucket_start"))
+            .agg(F.sum("n").cast("bigint").alias("n_records"), F.sum("chars").cast("bigint").alias("n_chars"),
+                 F.sum("bytes").cast("bigint").alias("n_bytes"), F.min("lo").alias("first_offset"), F.max("hi").alias("last_offset")))
 
 
 def flow_size(chars_col) -> F.Column:
@@ -49,13 +56,10 @@ def running_totals(per_second: DataFrame, materialize: bool = True) -> DataFrame
     sum inside (topic, day) (at most 86,400 rows) + the prefix.  The join and
     the inner window share one exchange on (topic, day).  The per-second
     table (bounded by seconds x topics, not by volume) feeds both sides, so
-    it is checkpointed once instead of scanning the records twice.
+    it is written once instead of scanning the records twice.
     """
     if materialize:
-        from ..session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(per_second.sparkSession)
-        per_second = per_second.checkpoint(eager=True)
+        per_second = sized(per_second, "per-second")
     s = per_second.withColumn("_day", F.date_trunc("day", F.col("second")))
     days = s.groupBy("topic", "_day").agg(F.sum("qps").alias("_dn"), F.sum("n_chars").alias("_dc"))
     before = Window.partitionBy("topic").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,19 +1,15 @@
-"""Offsets: commit positions, tail replay and duplicate removal."""
+"""Offsets: commit positions, tail replay and duplicate removal (streams:
+``streaming.partials``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.sizing import bounded_broadcast
+from ..plans.sizing import sized
 
 KEY = ["topic", "partition", "offset"]
 
-# (topic, partition) pairs are Kafka metadata: bounded by the cluster's
-# partition count, not by the data volume.
-MAX_TOPIC_PARTITIONS = 1_000_000
-
-
 def commit_offsets(records: DataFrame) -> DataFrame:
     """Last offset seen per partition and the position to commit (last + 1)."""
     return (records.groupBy("topic", "partition")
@@ -24,10 +20,9 @@ def commit_offsets(records: DataFrame) -> DataFrame:
 
 def tail_offsets(records: DataFrame, n: int) -> DataFrame:
     """Keep the last ``n`` offsets of each partition (a negative start
-    offset of -n).  The per-partition maximum is a small, size-checked
-    broadcast; the records are filtered where they are, never shuffled."""
-    last = records.groupBy("topic", "partition").agg(F.max("offset").alias("_last"))
-    last = bounded_broadcast(last, MAX_TOPIC_PARTITIONS)
+    offset of -n).  The per-partition maximum is Kafka metadata: it is
+    computed once, and while it is small the records stay where they are."""
+    last = sized(records.groupBy("topic", "partition").agg(F.max("offset").alias("_last")), "tail")
     return (records.join(last, ["topic", "partition"])
             .filter(F.col("offset") >= F.col("_last") + 1 - n)
             .drop("_last"))
@@ -36,8 +31,3 @@ def tail_offsets(records: DataFrame, n: int) -> DataFrame:
 def dedup_offsets(records: DataFrame) -> DataFrame:
     """Drop replayed copies: one row per (topic, partition, offset)."""
     return records.dropDuplicates(KEY)
-
-
-def dedup_stream(records: DataFrame, delay: str, clock: str = "timestamp") -> DataFrame:
-    """Streaming form: state is bounded by the watermark."""
-    return records.withWatermark(clock, delay).dropDuplicatesWithinWatermark(KEY)

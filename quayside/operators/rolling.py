@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.sizing import sized
 from .sequence import chunked_row_number, offset_chunk, DEFAULT_CHUNK
 
 
@@ -43,7 +44,7 @@ def _greedy_kernel(keys: list[str], kind: str, limit: int, measure: str):
                 yield b.append_column("roll_seq", pa.array([], pa.int64()))
                 continue
             cols = [b.column(k) for k in keys]
-            m = np.asarray(b.column(measure).to_numpy(zero_copy_only=False), dtype=np.int64)
+            m = pc.fill_null(b.column(measure).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
             out = np.empty(n, dtype=np.int64)
             change = np.zeros(n, dtype=bool)
             change[0] = True
@@ -103,12 +104,14 @@ def greedy_roll(df: DataFrame, keys: list[str], order: list[str], measure: str,
 
 def roll_by_size(df: DataFrame, limit_bytes: int, keys: list[str],
                  order: tuple[str, ...] = ("offset", "partition"), size_col: str = "n_bytes") -> DataFrame:
-    return greedy_roll(df, keys, list(order), size_col, "size", limit_bytes)
+    """Rows of unknown size (rejected records) land nowhere, so they roll
+    nothing and are left out."""
+    return greedy_roll(df.filter(F.col(size_col).isNotNull()), keys, list(order), size_col, "size", limit_bytes)
 
 
 def roll_by_interval(df: DataFrame, seconds: int, keys: list[str], clock: str = "timestamp",
                      order: tuple[str, ...] = ("offset", "partition")) -> DataFrame:
-    d = df.withColumn("_us", F.unix_micros(F.col(clock).cast("timestamp")))
+    d = df.filter(F.col(clock).isNotNull()).withColumn("_us", F.unix_micros(F.col(clock).cast("timestamp")))
     return greedy_roll(d, keys, ["_us", *order], "_us", "interval", seconds * 1_000_000).drop("_us")
 
 
@@ -130,20 +133,27 @@ def idle_sessions(records: DataFrame, gap_seconds: int, keys: list[str] = ("topi
 
     No window ever holds more than one chunk of one key.  The slice table
     (bounded by span / gap per key, not by volume) is used three times, so it
-    is checkpointed once and the records are scanned once.
+    is written once and the records are scanned once.
     """
+    slices = session_slices(records, gap_seconds, keys, clock)
+    return sessions_of_slices(sized(slices, "slices") if materialize else slices, gap_seconds, keys, slices_per_chunk)
+
+
+def session_slices(records: DataFrame, gap_seconds: int, keys: list[str] = ("topic",), clock: str = "timestamp") -> DataFrame:
+    """(keys, slice): first and last time and records of each slice of
+    ``gap`` width.  Slices add up, so they may be made batch by batch."""
+    us = F.unix_micros(F.col(clock).cast("timestamp"))
+    return (records.groupBy(*keys, F.floor(us / F.lit(gap_seconds * 1_000_000)).alias("_slice"))
+            .agg(F.min(us).alias("_first"), F.max(us).alias("_last"), F.count(F.lit(1)).alias("_n")))
+
+
+def sessions_of_slices(slices: DataFrame, gap_seconds: int, keys: list[str] = ("topic",),
+                       slices_per_chunk: int | None = None) -> DataFrame:
+    """Sessions of slices (one row for each key and slice); see ``idle_sessions``."""
     keys = list(keys)
     g = gap_seconds * 1_000_000
     per = slices_per_chunk or max(1, DAY_US // g)
-    us = F.unix_micros(F.col(clock).cast("timestamp"))
-    slices = (records.groupBy(*keys, F.floor(us / F.lit(g)).alias("_slice"))
-              .agg(F.min(us).alias("_first"), F.max(us).alias("_last"), F.count(F.lit(1)).alias("_n"))
-              .withColumn("_chunk", F.floor(F.col("_slice") / F.lit(per))))
-    if materialize:
-        from ..session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(records.sparkSession)
-        slices = slices.checkpoint(eager=True)
+    slices = slices.withColumn("_chunk", F.floor(F.col("_slice") / F.lit(per)))
     # previous chunk's last time, per chunk (a small table: chunks per key)
     chunks = slices.groupBy(*keys, "_chunk").agg(F.max("_last").alias("_chunk_last"))
     by_chunk = Window.partitionBy(*keys).orderBy("_chunk")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import decode_value, frame_line, record_status
 from ..functions.timefmt import DEFAULT_PATH_FORMAT, hour_of, path_date
-from ..plans.sizing import bounded_broadcast
+from ..plans.sizing import sized
 
 HOUR_MODE = "hour"
 
@@ -81,46 +81,47 @@ def explode_feed_topics(feeds: DataFrame) -> DataFrame:
             .filter(F.col("topic") != ""))
 
 
-def fan_out(records: DataFrame, feeds: DataFrame, max_feed_rows: int = 100_000) -> DataFrame:
+def fan_out(records: DataFrame, feeds: DataFrame) -> DataFrame:
     """Every enabled feed receives the records of each topic it subscribes.
 
-    The feed side is a config table: it is broadcast after its size is
-    checked, so the record side is never shuffled.
+    The feed side is a config table of known size: while it is small it is
+    broadcast and the record side is not shuffled.
     """
     ft = explode_feed_topics(feeds.filter(F.col("isEnabled") == 1))
-    ft = bounded_broadcast(ft.select(F.col("id").alias("feed_id"), F.col("groupID").alias("group_id"),
-                                     "topic"), max_feed_rows, materialize=False)
+    ft = sized(ft.select(F.col("id").alias("feed_id"), F.col("groupID").alias("group_id"), "topic"), "feeds")
     return records.join(ft, "topic")
 
 
+def partition_counts(records: DataFrame) -> DataFrame:
+    """(topic, n_parts) from the records: the largest partition + 1."""
+    return records.groupBy("topic").agg((F.max("partition") + 1).alias("n_parts"))
+
+
 def group_assignment(feeds: DataFrame, partitions_per_topic: DataFrame) -> DataFrame:
     """(group_id, topic, partition) -> feed_id under range assignment.
 
     Feeds sharing a consumer group split a topic's partitions: members are
     sorted by id; with n partitions and c members the first n % c members
-    take n // c + 1 partitions, the rest n // c.  Both inputs are metadata
-    sized (feeds x partitions)."""
+    take n // c + 1 partitions, the rest n // c.  Each member makes its own
+    range of partitions, so the grid has a row for each partition of a group.
+    Both inputs are metadata sized."""
     ft = explode_feed_topics(feeds.filter(F.col("isEnabled") == 1)).select(
-        F.col("id").alias("feed_id"), F.col("groupID").alias("group_id"), "topic")
+        F.col("id").alias("feed_id"), F.col("groupID").alias("group_id"), "topic").distinct()
     w = Window.partitionBy("group_id", "topic")
     members = ft.withColumns({
         "member": F.row_number().over(w.orderBy("feed_id")) - 1,
         "n_members": F.count(F.lit(1)).over(w),
-    })
-    grid = (members.join(partitions_per_topic, "topic")
-            .withColumn("partition", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))))
-    q = F.floor(F.col("n_parts") / F.col("n_members"))
-    r = F.col("n_parts") % F.col("n_members")
-    p = F.col("partition")
-    owner = F.when(p < r * (q + 1), F.floor(p / (q + 1))).otherwise(r + F.floor((p - r * (q + 1)) / q))
-    return (grid.filter(owner == F.col("member"))
-            .select("group_id", "topic", F.col("partition").cast("int").alias("partition"), "feed_id"))
+    }).join(partitions_per_topic, "topic")
+    q, r, m = F.floor(F.col("n_parts") / F.col("n_members")), F.col("n_parts") % F.col("n_members"), F.col("member")
+    first = m * q + F.least(m, r)
+    last = first + q + F.when(m < r, 1).otherwise(0) - 1
+    own = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+    return members.select("group_id", "topic", F.explode(own).alias("partition"), "feed_id").withColumn("partition", F.col("partition").cast("int"))
 
 
-def group_split(records: DataFrame, feeds: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+def group_split(records: DataFrame, feeds: DataFrame, partitions: DataFrame | None = None) -> DataFrame:
     """Deliver each record once per consumer group, to the member that owns
     its partition.  The partition count per topic is taken from the data
-    (max partition + 1), which a partial aggregate computes cheaply."""
-    parts = records.groupBy("topic").agg((F.max("partition") + 1).alias("n_parts"))
-    assign = bounded_broadcast(group_assignment(feeds, parts), max_rows)
+    (max partition + 1) unless it is given."""
+    assign = sized(group_assignment(feeds, partitions or partition_counts(records)), "assignment")
     return records.join(assign, ["topic", "partition"])

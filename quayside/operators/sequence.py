@@ -37,3 +37,11 @@ def chunked_row_number(df: DataFrame, keys: list[str], order: list[str],
 
 def offset_chunk(col: str = "offset", chunk: int = DEFAULT_CHUNK) -> Column:
     return F.floor(F.col(col) / F.lit(chunk))
+
+
+def sized_chunk(df: DataFrame, order: str, rows: int = DEFAULT_CHUNK) -> Column:
+    """Chunks of an integer column that hold ``rows`` rows on average: their
+    number follows the row count, however sparse the values are."""
+    lo, hi, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    width = max(1, -(-(int(hi) - int(lo) + 1) * rows // n)) if n else 1
+    return F.floor((F.col(order).cast("decimal(20,0)") - F.lit(int(lo or 0))) / F.lit(width)).cast("bigint")

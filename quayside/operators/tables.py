@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sequence import chunked_row_number
+from .sequence import chunked_row_number, sized_chunk
 
 UPDATE_TIME = "updateTime"
 
@@ -40,21 +40,45 @@ def count_rows(df: DataFrame, where: Column | None = None, name: str = "n_rows")
 
 
 def insert_rows(target: DataFrame, rows: DataFrame, key: str, order: str,
-                chunk: int = 1 << 20) -> DataFrame:
+                chunk_rows: int = 1 << 20) -> DataFrame:
     """Append ``rows`` with generated keys max(key) + 1, + 2, ... in ``order``
-    (exact, gap-free numbering without a single-task window)."""
+    (an integer column; exact, gap-free numbering without a single-task
+    window: chunks are as wide as ``chunk_rows`` rows need on average)."""
     top = target.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-    numbered = chunked_row_number(rows, [], [order], F.floor(F.col(order) / F.lit(chunk)), "_rn")
+    numbered = chunked_row_number(rows, [], [order], sized_chunk(rows, order, chunk_rows), "_rn")
     new = numbered.withColumn(key, (top + F.col("_rn")).cast(target.schema[key].dataType)).drop("_rn")
     return target.unionByName(new.select(*target.columns))
 
 
-def batch_update(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Rewrite ``target`` with non-null values from ``updates`` (by key)."""
-    u = updates.select(key, *[F.col(c).alias(f"_u_{c}") for c in updates.columns if c != key])
+def one_update_a_key(updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """``updates`` with one row for each key: the last by ``order``; without
+    an order a repeated key is an error (raised when the rows are read)."""
+    row = F.struct(*updates.columns)
+    if order is not None:
+        return updates.groupBy(key).agg(F.max_by(row, order).alias("u")).select("u.*")
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(F.lit("two updates of key "), F.col(key).cast("string"))).cast(T.StructType(updates.schema.fields)))
+    return updates.groupBy(key).agg(one.otherwise(F.first(row)).alias("u")).select("u.*")
+
+
+def batch_update(target: DataFrame, updates: DataFrame, key: str, order: str | None = None,
+                 set_null: str | None = None) -> DataFrame:
+    """Rewrite ``target`` with the values of ``updates`` (by key).  A null
+    leaves a value alone, unless the column's name stands in the update's
+    ``set_null`` column (array of names).  Two updates of a key: the last by
+    ``order``, else an error."""
+    changed = [c for c in updates.columns if c in target.columns and c != key]
+    u = one_update_a_key(updates, key, order)
+    names = F.col(set_null) if set_null else F.lit(None).cast("array<string>")
+    u = u.select(key, F.lit(True).alias("_hit"), F.coalesce(names, F.array().cast("array<string>")).alias("_null"),
+                 *[F.col(c).alias(f"_u_{c}") for c in changed])
     j = target.join(u, key, "left")
-    return j.select(*[F.coalesce(F.col(f"_u_{c}"), F.col(c)).alias(c) if c in updates.columns and c != key
-                      else F.col(c) for c in target.columns])
+    new = {c: F.when(F.coalesce(F.array_contains("_null", c), F.lit(False)), F.lit(None)).otherwise(F.coalesce(F.col(f"_u_{c}"), F.col(c))) for c in changed}
+    return j.select(*[new[c].cast(target.schema[c].dataType).alias(c) if c in new else F.col(c) for c in target.columns])
+
+
+def updated_count(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """One row, ``n_affected``: the rows of ``target`` that an update hits."""
+    return target.join(updates.select(key).distinct(), key, "left_semi").agg(F.count(F.lit(1)).alias("n_affected"))
 
 
 def delete_by_key(df: DataFrame, key: str, value) -> DataFrame:
@@ -62,6 +86,12 @@ def delete_by_key(df: DataFrame, key: str, value) -> DataFrame:
     return df.filter(~F.col(key).eqNullSafe(F.lit(value)))
 
 
+def deleted_count(df: DataFrame, key: str, value) -> DataFrame:
+    """One row: ``n_affected`` rows go, ``exactly_one`` tells a clean delete."""
+    hit = df.filter(F.col(key) == F.lit(value)).agg(F.count(F.lit(1)).alias("n_affected"))
+    return hit.select("n_affected", (F.col("n_affected") == 1).alias("exactly_one"))
+
+
 def param_query(spark: SparkSession, sql: str, args: list | dict, **frames) -> DataFrame:
     """Positional (``?``) or named (``:x``) parameters, bound by Spark;
     ``{name}`` in the text refers to a DataFrame passed as a keyword."""
@@ -88,6 +118,16 @@ def create_table_ddl(name: str, schema: T.StructType, key: str | None = None) ->
     return f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(cols)}) USING parquet"
 
 
+def append_generated(spark: SparkSession, name: str, rows: DataFrame, order: str) -> None:
+    """Append ``rows`` to a created table, its ``id`` generated from the
+    largest one on and ``updateTime`` filled."""
+    table = spark.table(name)
+    top = table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    numbered = chunked_row_number(rows, [], [order], sized_chunk(rows, order), "_rn")
+    new = with_update_time(numbered.withColumn("id", (F.lit(top) + F.col("_rn")).cast("bigint")))
+    new.select(*table.columns).write.mode("append").insertInto(name)
+
+
 def create_table(spark: SparkSession, name: str, schema: T.StructType, key: str | None = None) -> None:
     spark.sql(create_table_ddl(name, schema, key))
 

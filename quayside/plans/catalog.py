@@ -8,6 +8,7 @@ clock = ts, value = props.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,9 @@ from ..functions.timefmt import BAD_LETTER_CLASS, iso_utc
 from ..operators import feeds as feed_ops
 from ..operators import metrics, offsets, rolling, routing, tables
 from ..session import configure, scratch_path
-from ..sinks import raw, text
+from ..sinks import files, raw, text
 from ..sources.feeds import (FEEDS_FROM_NATION_SQL, FEEDS_FROM_SUPPLIER_SQL, feeds_from_nation,
-                             feeds_from_supplier)
+                             feeds_from_region, feeds_from_supplier)
 from ..sources.records import events_as_records
 from ..sources.tables import read_table
 
@@ -34,8 +35,8 @@ ORACLE: dict[str, str] = {}
 # Query parameters (fixed for the catalogue).
 BASE = "/logs"
 ROLL_COUNT = 10
-ROLL_BYTES = 200
-ROLL_MINUTES = 45
+ROLL_BYTES = 60
+ROLL_MINUTES = 10
 IDLE_MINUTES = 30
 HOUR_DELAY_S = 3600
 TAIL_N = 50
@@ -71,6 +72,10 @@ def _day(df: DataFrame) -> DataFrame:
     return df.withColumn("d", F.date_format("timestamp", "yyyy-MM-dd"))
 
 
+def _hour(df: DataFrame) -> DataFrame:
+    return _day(df).withColumn("h", F.date_format("timestamp", "HH"))
+
+
 # ---------------------------------------------------------------- routing
 
 @query("route_bucket", f"""WITH {REC}
@@ -101,8 +106,7 @@ SELECT topic, '{BASE}/' || topic || '/' || {D} || '/' || {H} AS bucket_dir,
        min("offset") AS first_offset, max("offset") AS last_offset
 FROM rec GROUP BY 1, 2, 3""")
 def q_bucket_manifest(spark, sf):
-    r = routing.decoded(routing.route_bucket(records(spark, sf), BASE), 1)
-    m = metrics.bucket_manifest(r)
+    m = metrics.bucket_manifest(routing.decoded(records(spark, sf), 1), BASE)
     return m.select("topic", "bucket_dir", _ntz("bucket_start"), "n_records", "n_chars", "n_bytes",
                     "first_offset", "last_offset")
 
@@ -122,39 +126,43 @@ def q_fan_out(spark, sf):
                                                              "offset")
 
 
-@query("feed_manifest", f"""WITH {REC}, f AS ({FEEDS_FROM_NATION_SQL}),
-ft0 AS (SELECT id AS feed_id, filePath, filePathMode, unnest(string_split(topics, ',')) AS topic
-        FROM f WHERE isEnabled = 1),
-ft AS (SELECT feed_id, filePath, filePathMode, trim(topic) AS topic FROM ft0)
-SELECT ft.feed_id, r.topic,
-       ft.filePath || '/' || {D} || CASE WHEN ft.filePathMode = 'hour' THEN '/' || {H} ELSE '' END AS bucket_dir,
+# The member of a consumer group that owns a partition (range assignment): {feeds} -> a.
+def assigned(feeds: str) -> str:
+    return f"""f AS ({feeds}),
+ft0 AS (SELECT id AS feed_id, groupID AS group_id, unnest(string_split(topics, ',')) AS topic FROM f WHERE isEnabled = 1),
+ft AS (SELECT feed_id, group_id, trim(topic) AS topic FROM ft0),
+m AS (SELECT *, row_number() OVER (PARTITION BY group_id, topic ORDER BY feed_id) - 1 AS member,
+             count(*) OVER (PARTITION BY group_id, topic) AS n_members FROM ft),
+p AS (SELECT topic, max("partition") + 1 AS n_parts FROM rec GROUP BY topic),
+g0 AS (SELECT m.*, p.n_parts, unnest(range(0, p.n_parts)) AS part FROM m JOIN p USING (topic)),
+g AS (SELECT *, n_parts // n_members AS q, n_parts % n_members AS rr FROM g0),
+a AS (SELECT group_id, topic, part, feed_id FROM g
+      WHERE member = CASE WHEN part < rr * (q + 1) THEN part // (q + 1)
+                          ELSE rr + (part - rr * (q + 1)) // NULLIF(q, 0) END)"""
+
+
+@query("feed_manifest", f"""WITH {REC}, {assigned(FEEDS_FROM_NATION_SQL)}
+SELECT a.feed_id, r.topic,
+       f.filePath || '/' || {D} || CASE WHEN f.filePathMode = 'hour' THEN '/' || {H} ELSE '' END AS bucket_dir,
        date_trunc('hour', ts) AS bucket_start, count(*) AS n_records,
        CAST(sum(length(value) + 1) AS BIGINT) AS n_chars, CAST(sum(strlen(value) + 1) AS BIGINT) AS n_bytes,
        min("offset") AS first_offset, max("offset") AS last_offset,
        date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM rec) - INTERVAL {HOUR_DELAY_S} SECOND
          AS complete
-FROM rec r JOIN ft ON r.topic = ft.topic
+FROM rec r JOIN a ON r.topic = a.topic AND r."partition" = a.part JOIN f ON f.id = a.feed_id
 GROUP BY 1, 2, 3, 4""")
 def q_feed_manifest(spark, sf):
-    from .landing import feed_manifest, route, watermark_of
+    """Each record once for each consumer group of its topic."""
+    from .landing import feed_manifest, watermark_of
 
     feeds = feeds_from_nation(read_table(spark, sf, "nation"))
     recs = records(spark, sf)
-    good = route(recs, feeds).filter(F.col("status") == "ok")
-    m = feed_manifest(good, watermark=watermark_of(recs, HOUR_DELAY_S))
+    m = feed_manifest(recs, feeds, watermark=watermark_of(recs, HOUR_DELAY_S))
     return m.select("feed_id", "topic", "bucket_dir", _ntz("bucket_start"), "n_records", "n_chars", "n_bytes",
                     "first_offset", "last_offset", "complete")
 
 
-@query("group_split", f"""WITH {REC}, {FEEDS_N},
-m AS (SELECT *, row_number() OVER (PARTITION BY group_id, topic ORDER BY feed_id) - 1 AS member,
-             count(*) OVER (PARTITION BY group_id, topic) AS n_members FROM ft),
-p AS (SELECT topic, max("partition") + 1 AS n_parts FROM rec GROUP BY topic),
-g0 AS (SELECT m.*, p.n_parts, unnest(range(0, p.n_parts)) AS part FROM m JOIN p USING (topic)),
-g AS (SELECT *, n_parts // n_members AS q, n_parts % n_members AS rr FROM g0),
-a AS (SELECT group_id, topic, part, feed_id FROM g
-      WHERE member = CASE WHEN part < rr * (q + 1) THEN part // (q + 1)
-                          ELSE rr + (part - rr * (q + 1)) // NULLIF(q, 0) END)
+@query("group_split", f"""WITH {REC}, {assigned(FEEDS_FROM_NATION_SQL)}
 SELECT a.group_id, r.topic, r."partition", r."offset", a.feed_id
 FROM rec r JOIN a ON r.topic = a.topic AND r."partition" = a.part""")
 def q_group_split(spark, sf):
@@ -170,6 +178,72 @@ def q_dead_letter(spark, sf):
     return metrics.status_counts(routing.decoded(records(spark, sf), 1))
 
 
+# Records of which some were damaged on the way: every 13th has no value, every 17th a byte that UTF-8 has not.
+LOST, BROKEN = 13, 17
+DAMAGED = f"""bad AS (SELECT *, CASE WHEN "offset" % {LOST} = 0 THEN 'null_value' WHEN "offset" % {BROKEN} = 0 THEN 'bad_utf8' ELSE 'ok' END AS reason FROM rec)"""
+
+
+def damaged_records(spark, sf):
+    broken = F.concat(F.unhex(F.lit("41FF")), F.col("value"))
+    value = F.when(F.col("offset") % LOST == 0, F.lit(None)).when(F.col("offset") % BROKEN == 0, broken).otherwise(F.col("value"))
+    return records(spark, sf).withColumn("value", value)
+
+
+@query("rejects_landed", f"""WITH {REC}, {DAMAGED}
+SELECT topic, "partition", "offset", ts AS timestamp, reason FROM bad WHERE reason <> 'ok'""")
+def q_rejects_landed(spark, sf):
+    """What a landing of damaged records, delivered twice, leaves in its
+    dead-letter folder."""
+    from .landing import land_batch
+
+    out = scratch_path(spark, "rejects")
+    feeds = feeds_from_region(read_table(spark, sf, "region"))
+    for _ in range(2):
+        land_batch(damaged_records(spark, sf), feeds, out, mode="overwrite")
+    dead = spark.read.parquet(f"{out}-rejected")
+    return dead.select("topic", "partition", "offset", _ntz("timestamp"), "reason")
+
+
+REGION_FEEDS_SQL = f"""f AS (
+  SELECT CAST(r_regionkey AS BIGINT) AS feed_id, ['click', 'error', 'purchase', 'signup', 'view'][r_regionkey % 5 + 1] AS topic,
+         '/logs/' || replace(lower(r_name), ' ', '_') AS path, r_regionkey % 5 AS k FROM region),
+l AS (
+  SELECT f.feed_id, path || '/' || CASE k WHEN 4 THEN strftime(ts, '%Y/%m/%d') ELSE {D} END || CASE WHEN k < 3 THEN '/' || {H} ELSE '' END AS bucket_dir,
+         date_trunc('hour', ts) AS bucket_start, CASE k WHEN 0 THEN '' WHEN 1 THEN '.gz' WHEN 2 THEN '' WHEN 3 THEN '.log' ELSE '.bz2' END AS extension,
+         bad.topic, "partition", "offset", ts, value, CASE WHEN k IN (2, 3) THEN 0 ELSE 1 END AS brk
+  FROM bad JOIN f USING (topic) WHERE reason = 'ok')"""
+
+
+@query("landed_manifest", f"""WITH {REC}, {DAMAGED}, {REGION_FEEDS_SQL}
+SELECT feed_id, bucket_dir, bucket_start, extension, count(*) AS n_records, CAST(sum(length(value) + brk) AS BIGINT) AS n_chars,
+       CAST(sum(strlen(value) + brk) AS BIGINT) AS n_bytes, min("offset") AS first_offset, max("offset") AS last_offset,
+       bucket_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM l) - INTERVAL {HOUR_DELAY_S} SECOND AS complete,
+       CAST(sum(strlen(value) + brk) AS BIGINT) AS bytes_on_disk, true AS in_order
+FROM l GROUP BY 1, 2, 3, 4""")
+def q_landed_manifest(spark, sf):
+    """The manifest of a landing (plain, gzip, no line breaks, gzip without
+    them, bzip2), next to the bytes read back from the files that it names:
+    their number, and whether they stand in the order of the offsets."""
+    from .landing import land_batch
+
+    recs = damaged_records(spark, sf)
+    feeds = feeds_from_region(read_table(spark, sf, "region"))
+    m = land_batch(recs, feeds, scratch_path(spark, "landed-feeds"), delay_seconds=HOUR_DELAY_S)
+    back = files.read_back(m)
+    sent = (recs.filter(routing.record_status("value") == "ok").join(feeds.select(F.col("id").alias("feed_id"), F.col("topics").alias("topic"), "isWriteLineBreaks"), "topic")
+            .groupBy("feed_id", F.date_trunc("hour", "timestamp").alias("bucket_start"))
+            .agg(F.sort_array(F.collect_list(F.struct("partition", "offset", F.concat(F.col("value").cast("string"), F.when(F.col("isWriteLineBreaks") == 1, "\n").otherwise("")).alias("t")))).alias("rows"))
+            .select("feed_id", "bucket_start", F.array_join(F.transform("rows", lambda x: x["t"]), "").alias("text")))
+    landed = (m.join(back, "path").groupBy("feed_id", "bucket_dir", "bucket_start", F.regexp_extract("path", r"\.0(\.[a-z0-9]+)?$", 1).alias("extension"))
+              .agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n_records", "n_chars", "n_bytes")], F.min("first_offset").alias("first_offset"),
+                   F.max("last_offset").alias("last_offset"), F.max("complete").alias("complete"),
+                   F.sum(F.octet_length("body")).cast("bigint").alias("bytes_on_disk"),
+                   F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("path", "body"))), lambda x: x["body"].cast("string")), "").alias("text")))
+    return (landed.withColumnRenamed("text", "got").join(sent, ["feed_id", "bucket_start"])
+            .select("feed_id", "bucket_dir", _ntz("bucket_start"), "extension", "n_records", "n_chars", "n_bytes", "first_offset", "last_offset",
+                    "complete", "bytes_on_disk", (F.col("got") == F.col("text")).alias("in_order")))
+
+
 # ---------------------------------------------------------------- metrics
 
 PER_SECOND = f"""ps AS (SELECT topic, date_trunc('second', ts) AS second, count(*) AS qps,
@@ -247,8 +321,10 @@ def q_dedup_offsets(spark, sf):
 
 # ---------------------------------------------------------------- rolling
 
-ROLL_ROWS = f"""r AS (SELECT topic, {D} AS d, "partition", "offset", ts, strlen(value) + 1 AS sz,
+ROLL_ROWS = f"""r AS (SELECT topic, {D} AS d, "partition", "offset", ts,
              row_number() OVER (PARTITION BY topic, {D} ORDER BY "offset", "partition") AS rn FROM rec)"""
+# A landed file's bucket: topic, hour and Kafka partition (its writer).
+FILE_KEYS = ["topic", "d", "h", "partition"]
 
 
 @query("roll_by_count", f"""WITH {REC}, {ROLL_ROWS}
@@ -259,39 +335,40 @@ def q_roll_by_count(spark, sf):
                                                                        "roll_seq")
 
 
-@query("roll_by_size", f"""WITH RECURSIVE {REC}, {ROLL_ROWS},
-g(topic, d, rn, fill, seq) AS (
-  SELECT topic, d, rn, sz, 0 FROM r WHERE rn = 1
+@query("roll_by_size", f"""WITH RECURSIVE {REC}, {DAMAGED},
+r AS (SELECT topic, {D} AS d, {H} AS h, "partition", "offset", strlen(value) + 1 AS sz,
+             row_number() OVER (PARTITION BY topic, {D}, {H}, "partition" ORDER BY "offset") AS rn FROM bad WHERE reason = 'ok'),
+g(topic, d, h, "partition", rn, fill, seq) AS (
+  SELECT topic, d, h, "partition", rn, sz, 0 FROM r WHERE rn = 1
   UNION ALL
-  SELECT r.topic, r.d, r.rn,
+  SELECT r.topic, r.d, r.h, r."partition", r.rn,
          CASE WHEN g.fill >= {ROLL_BYTES} THEN r.sz ELSE g.fill + r.sz END,
          CASE WHEN g.fill >= {ROLL_BYTES} THEN g.seq + 1 ELSE g.seq END
-  FROM g JOIN r ON r.topic = g.topic AND r.d = g.d AND r.rn = g.rn + 1)
-SELECT r.topic, r.d, r."partition", r."offset", CAST(g.seq AS BIGINT) AS roll_seq
-FROM r JOIN g USING (topic, d, rn)""")
+  FROM g JOIN r ON r.topic = g.topic AND r.d = g.d AND r.h = g.h AND r."partition" = g."partition" AND r.rn = g.rn + 1)
+SELECT r.topic, r.d, r.h, r."partition", r."offset", CAST(g.seq AS BIGINT) AS roll_seq
+FROM r JOIN g USING (topic, d, h, "partition", rn)""")
 def q_roll_by_size(spark, sf):
-    r = _day(records(spark, sf)).withColumn("n_bytes", F.octet_length("value") + 1)
-    r = r.select("topic", "d", "partition", "offset", "n_bytes")
-    return rolling.roll_by_size(r, ROLL_BYTES, ["topic", "d"]).select("topic", "d", "partition", "offset",
-                                                                      "roll_seq")
+    """Rejected records land nowhere and fill no file."""
+    size = F.when(routing.record_status("value") == "ok", F.octet_length("value") + 1)
+    r = _hour(damaged_records(spark, sf)).withColumn("n_bytes", size).select(*FILE_KEYS, "offset", "n_bytes")
+    return rolling.roll_by_size(r, ROLL_BYTES, FILE_KEYS).select(*FILE_KEYS, "offset", "roll_seq")
 
 
 @query("roll_by_interval", f"""WITH RECURSIVE {REC},
-r AS (SELECT topic, {D} AS d, "partition", "offset", ts,
-             row_number() OVER (PARTITION BY topic, {D} ORDER BY ts, "offset", "partition") AS rn FROM rec),
-g(topic, d, rn, anchor, seq) AS (
-  SELECT topic, d, rn, ts, 0 FROM r WHERE rn = 1
+r AS (SELECT topic, {D} AS d, {H} AS h, "partition", "offset", ts,
+             row_number() OVER (PARTITION BY topic, {D}, {H}, "partition" ORDER BY ts, "offset") AS rn FROM rec),
+g(topic, d, h, "partition", rn, anchor, seq) AS (
+  SELECT topic, d, h, "partition", rn, ts, 0 FROM r WHERE rn = 1
   UNION ALL
-  SELECT r.topic, r.d, r.rn,
+  SELECT r.topic, r.d, r.h, r."partition", r.rn,
          CASE WHEN r.ts >= g.anchor + INTERVAL {ROLL_MINUTES} MINUTE THEN r.ts ELSE g.anchor END,
          CASE WHEN r.ts >= g.anchor + INTERVAL {ROLL_MINUTES} MINUTE THEN g.seq + 1 ELSE g.seq END
-  FROM g JOIN r ON r.topic = g.topic AND r.d = g.d AND r.rn = g.rn + 1)
-SELECT r.topic, r.d, r."partition", r."offset", CAST(g.seq AS BIGINT) AS roll_seq
-FROM r JOIN g USING (topic, d, rn)""")
+  FROM g JOIN r ON r.topic = g.topic AND r.d = g.d AND r.h = g.h AND r."partition" = g."partition" AND r.rn = g.rn + 1)
+SELECT r.topic, r.d, r.h, r."partition", r."offset", CAST(g.seq AS BIGINT) AS roll_seq
+FROM r JOIN g USING (topic, d, h, "partition", rn)""")
 def q_roll_by_interval(spark, sf):
-    r = _day(records(spark, sf)).select("topic", "d", "partition", "offset", "timestamp")
-    return rolling.roll_by_interval(r, ROLL_MINUTES * 60, ["topic", "d"]).select(
-        "topic", "d", "partition", "offset", "roll_seq")
+    r = _hour(records(spark, sf)).select(*FILE_KEYS, "offset", "timestamp")
+    return rolling.roll_by_interval(r, ROLL_MINUTES * 60, FILE_KEYS).select(*FILE_KEYS, "offset", "roll_seq")
 
 
 @query("idle_sessions", f"""WITH {REC},
@@ -315,12 +392,26 @@ def q_hours_complete(spark, sf):
     return rolling.hours_complete(records(spark, sf), HOUR_DELAY_S)
 
 
-def _replayed_events(spark, sf):
+REPLAY_FILES = 3
+
+
+def _replayed_events(spark, sf, copies: int = 1):
+    """The events as a stream that delivers history newest first: a file for
+    each third of their time, one file a micro-batch; ``copies`` times over,
+    so that copies come in different batches."""
     from ..sources.records import replay_stream
 
     configure(spark)
-    schema = read_table(spark, sf, "events").schema
-    return events_as_records(replay_stream(spark, sf, schema, glob="events.parquet"))
+    events = read_table(spark, sf, "events")
+    folder = scratch_path(spark, "replay")
+    lo, hi = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    third = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo)) * REPLAY_FILES / F.lit(hi - lo + 1))
+    for c in range(copies):
+        for part in reversed(range(REPLAY_FILES)):
+            events.filter(third == part).coalesce(1).write.parquet(f"{folder}/copy={c}/part={part}")
+            time.sleep(0.05)    # files are read in the order of their times
+    stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
+    return events_as_records(stream.option("pathGlobFilter", "*.parquet").parquet(folder))
 
 
 @query("hours_complete_stream", f"""WITH {REC},
@@ -328,12 +419,13 @@ h AS (SELECT topic, date_trunc('hour', ts) AS hour_start, count(*) AS n_records
 SELECT topic, hour_start, hour_start + INTERVAL 1 HOUR AS hour_end, n_records FROM h
 WHERE hour_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM rec) - INTERVAL {HOUR_DELAY_S} SECOND""")
 def q_hours_complete_stream(spark, sf):
-    """Structured Streaming: watermark + tumbling hour, append mode."""
-    from ..streaming.windows import hours_complete_stream, run_available_now
+    """Structured Streaming, newest third first: every record of the later
+    batches is behind the watermark and still counts for its hour."""
+    from ..streaming import partials
 
-    out = run_available_now(hours_complete_stream(_replayed_events(spark, sf), f"{HOUR_DELAY_S} seconds"),
-                            scratch_path(spark, "hours-stream"), scratch_path(spark, "hours-stream-ckpt"))
-    return spark.read.parquet(out)
+    out = scratch_path(spark, "hours-stream")
+    partials.finished(partials.accumulate(_replayed_events(spark, sf), partials.hour_partials(), out, scratch_path(spark, "ckpt"), {"availableNow": True}))
+    return partials.hours_published(spark, out, HOUR_DELAY_S).drop("n_late")
 
 
 @query("idle_sessions_stream", f"""WITH {REC},
@@ -347,27 +439,26 @@ s AS (SELECT topic, min(ts) AS session_start, max(ts) AS last_record,
       FROM c GROUP BY topic, sid)
 SELECT * FROM s WHERE session_end <= (SELECT max(ts) FROM rec) - INTERVAL {HOUR_DELAY_S} SECOND""")
 def q_idle_sessions_stream(spark, sf):
-    """Structured Streaming: watermark + session window, append mode (a
-    session is published once the watermark passes its idle close)."""
-    from ..streaming.windows import idle_sessions_stream, run_available_now
+    """Structured Streaming, newest third first (a session is published once
+    the watermark passes its idle close; late records lengthen it)."""
+    from ..streaming import partials
 
-    s = idle_sessions_stream(_replayed_events(spark, sf), f"{IDLE_MINUTES} minutes", f"{HOUR_DELAY_S} seconds")
-    out = run_available_now(s, scratch_path(spark, "sessions-stream"), scratch_path(spark, "sessions-stream-ckpt"))
-    return spark.read.parquet(out)
+    out = scratch_path(spark, "sessions-stream")
+    gap = IDLE_MINUTES * 60
+    partials.finished(partials.accumulate(_replayed_events(spark, sf), partials.slice_partials(gap), out, scratch_path(spark, "ckpt"), {"availableNow": True}))
+    return partials.sessions_published(spark, out, gap, HOUR_DELAY_S)
 
 
 @query("dedup_offsets_stream", f"""WITH {REC}
 SELECT DISTINCT topic, "partition", "offset", value FROM rec""")
 def q_dedup_offsets_stream(spark, sf):
-    """Every record delivered twice (two replays of the same files, one
-    stream); state bounded by the watermark drops the second copy."""
-    from ..streaming.windows import run_available_now
+    """Every record delivered twice, the copies in different micro-batches,
+    history newest first."""
+    from ..streaming import partials
 
-    twice = _replayed_events(spark, sf).unionByName(_replayed_events(spark, sf))
-    d = offsets.dedup_stream(twice, f"{HOUR_DELAY_S} seconds").select(
-        "topic", "partition", "offset", F.col("value").cast("string").alias("value"))
-    out = run_available_now(d, scratch_path(spark, "dedup-stream"), scratch_path(spark, "dedup-stream-ckpt"))
-    return spark.read.parquet(out)
+    out = scratch_path(spark, "dedup-stream")
+    partials.finished(partials.start_dedup(_replayed_events(spark, sf, copies=2), out, scratch_path(spark, "ckpt"), {"availableNow": True}))
+    return spark.read.parquet(out).select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
 
 
 @query("file_names", f"""WITH {REC},
@@ -476,13 +567,16 @@ def q_config_removed(spark, sf):
 # ---------------------------------------------------------------- sinks
 
 def _landed_query(spark, sf, codec):
-    r = routing.decoded(_day(records(spark, sf)).withColumn("h", F.date_format("timestamp", "HH")), 0)
+    r = routing.decoded(_hour(records(spark, sf)), 0).filter("status = 'ok'")
     path = scratch_path(spark, "landed")
-    text.write_text(r, path, "line", codec, partition_by=["topic", "d", "h"], cluster_order="offset")
-    return text.read_landed(spark, path, "topic string, d string, h string").select("value", "topic", "d", "h")
+    text.write_text(r, path, "line", codec, partition_by=["topic", "d", "h"])
+    lines = text.read_landed_lines(spark, path, "topic string, d string, h string")
+    return lines.select("value", "topic", "d", "h", F.col("line_no").cast("bigint").alias("line_no"))
 
 
-LANDED_SQL = f"""WITH {REC} SELECT value, topic, {D} AS d, {H} AS h FROM rec"""
+# Lines of a bucket in the order of partition and offset (a bucket is one file at this size).
+LANDED_SQL = f"""WITH {REC} SELECT value, topic, {D} AS d, {H} AS h,
+       row_number() OVER (PARTITION BY topic, {D}, {H} ORDER BY "partition", "offset") - 1 AS line_no FROM rec WHERE value IS NOT NULL"""
 
 
 @query("landed_roundtrip", LANDED_SQL)
@@ -502,7 +596,7 @@ def q_concat_bytes(spark, sf):
     bucket = F.concat(F.lit("topic="), "topic", F.lit("/d="), F.date_format("timestamp", "yyyy-MM-dd"),
                       F.lit("/h="), F.date_format("timestamp", "HH"))
     path = scratch_path(spark, "raw")
-    raw.write_raw(r.select(bucket.alias("bucket"), F.col("value").alias("data"), "offset"), path)
+    raw.write_raw(r.select(bucket.alias("bucket"), F.col("value").alias("data"), "partition", "offset"), path)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     pat = r"topic=([^/]+)/d=([^/]+)/h=([^/]+)/"
     return (files.select(F.regexp_extract("path", pat, 1).alias("topic"),
@@ -511,11 +605,13 @@ def q_concat_bytes(spark, sf):
             .groupBy("topic", "d", "h").agg(F.sum("length").cast("bigint").alias("n_bytes")))
 
 
-@query("stream_landing", LANDED_SQL)
+@query("stream_landing", f"""WITH {REC} SELECT value, topic, {D} AS d, {H} AS h FROM rec WHERE value IS NOT NULL""")
 def q_stream_landing(spark, sf):
-    from ..streaming.landing import land_stream_available_now
+    from ..streaming.landing import start_landing_batches
+    from ..streaming.partials import finished
 
-    out = land_stream_available_now(spark, sf, "events.parquet")
+    out = scratch_path(spark, "stream-out")
+    finished(start_landing_batches(_replayed_events(spark, sf), out, scratch_path(spark, "ckpt"), trigger={"availableNow": True}, cluster="rebalance"))
     return (text.read_landed(spark, out, "batch_id string, topic string, d string, h string")
             .select("value", "topic", "d", "h"))
 
@@ -642,26 +738,46 @@ def q_delete_by_key(spark, sf):
     return tables.delete_by_key(read_table(spark, sf, "supplier"), "s_suppkey", DELETE_KEY)
 
 
-@query("batch_update", """WITH u AS (SELECT s_suppkey, CAST(NULL AS VARCHAR) AS s_name, s_acctbal + 100 AS s_acctbal
-                  FROM supplier WHERE s_nationkey = 3)
-SELECT s.s_suppkey, coalesce(u.s_name, s.s_name) AS s_name, s.s_nationkey,
+UPDATES_SQL = """WITH u AS (SELECT s_suppkey, s_acctbal + 100 AS s_acctbal, s_nationkey % 2 = 1 AS no_name FROM supplier WHERE s_nationkey < 10)"""
+
+
+def _updates(s: DataFrame) -> DataFrame:
+    """A rise for some suppliers (in two steps, the second counts), which
+    take the name of every other one away; a null name elsewhere is no change."""
+    first = s.filter(F.col("s_nationkey") < 10).select(
+        "s_suppkey", F.lit(None).cast("string").alias("s_name"), (F.col("s_acctbal") + 50).alias("s_acctbal"),
+        F.when(F.col("s_nationkey") % 2 == 1, F.array(F.lit("s_name"))).alias("set_null"), F.lit(1).alias("step"))
+    return first.unionByName(first.withColumns({"s_acctbal": F.col("s_acctbal") + 50, "step": F.lit(2)}))
+
+
+@query("batch_update", f"""{UPDATES_SQL}
+SELECT s.s_suppkey, CASE WHEN u.no_name THEN NULL ELSE s.s_name END AS s_name, s.s_nationkey,
        coalesce(u.s_acctbal, s.s_acctbal) AS s_acctbal
 FROM supplier s LEFT JOIN u ON s.s_suppkey = u.s_suppkey""")
 def q_batch_update(spark, sf):
     s = read_table(spark, sf, "supplier")
-    u = s.filter(F.col("s_nationkey") == 3).select(
-        "s_suppkey", F.lit(None).cast("string").alias("s_name"), (F.col("s_acctbal") + 100).alias("s_acctbal"))
-    return tables.batch_update(s, u, "s_suppkey")
+    return tables.batch_update(s, _updates(s), "s_suppkey", order="step", set_null="set_null")
+
+
+@query("update_affected", f"{UPDATES_SQL} SELECT count(*) AS n_affected FROM supplier WHERE s_suppkey IN (SELECT s_suppkey FROM u)")
+def q_update_affected(spark, sf):
+    s = read_table(spark, sf, "supplier")
+    return tables.updated_count(s, _updates(s), "s_suppkey")
+
+
+@query("delete_affected", f"SELECT count(*) AS n_affected, count(*) = 1 AS exactly_one FROM supplier WHERE s_suppkey = {DELETE_KEY}")
+def q_delete_affected(spark, sf):
+    return tables.deleted_count(read_table(spark, sf, "supplier"), "s_suppkey", DELETE_KEY)
 
 
 @query("insert_rows", """WITH top AS (SELECT coalesce(max(s_suppkey), 0) AS m FROM supplier),
 ins AS (SELECT (SELECT m FROM top) + row_number() OVER (ORDER BY c_custkey) AS s_suppkey,
                c_name AS s_name, c_nationkey AS s_nationkey, c_acctbal AS s_acctbal
-        FROM customer WHERE c_acctbal < 0)
+        FROM customer)
 SELECT * FROM supplier UNION ALL SELECT * FROM ins""")
 def q_insert_rows(spark, sf):
     s = read_table(spark, sf, "supplier")
-    c = read_table(spark, sf, "customer").filter(F.col("c_acctbal") < 0).select(
+    c = read_table(spark, sf, "customer").select(
         "c_custkey", F.col("c_name").alias("s_name"), F.col("c_nationkey").alias("s_nationkey"),
         F.col("c_acctbal").alias("s_acctbal"))
     return tables.insert_rows(s, c, "s_suppkey", "c_custkey")

@@ -1,29 +1,22 @@
-"""Broadcast only what has a checked size.
+"""Small sides whose size the optimizer knows.
 
-``bounded_broadcast`` counts a small side and only then marks it for
-broadcast; beyond the bound the plain DataFrame is returned and Spark plans
-a shuffle join.  When the small side is derived from the big one (maxima
-per partition, say) it is first materialised as a reliable checkpoint in
-the shared ``spark.checkpoint.dir``, so the records are scanned once and
-executor loss does not recompute the scan.  A config table is cheap to
-re-read: ``materialize=False`` just counts it.
+A config table, per-partition maxima or an assignment grid is computed once
+and written to the shared scratch folder.  Read back, it has a file size, so
+Catalyst itself decides by bytes (``spark.sql.autoBroadcastJoinThreshold``)
+whether to broadcast it; beyond that the join shuffles.  The written table
+also ends the lineage: the records behind it are scanned once, and a lost
+executor doesn't recompute them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
-# Rows a broadcast side may hold (config tables, per-partition maxima, ...).
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      materialize: bool = True) -> DataFrame:
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def sized(df: DataFrame, name: str = "side") -> DataFrame:
+    """``df`` as a written table of known size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,11 +1,12 @@
 """Raw concatenation sink: record bytes one after another, no separator.
 
-Spark's text sink refuses an empty line separator, so feeds that do not ask
-for line breaks land through this Python data source (batch and stream).
-Rows arrive as Arrow batches; each task writes one ``.tmp`` file per bucket under a hidden ``_tmp-<tag>``
-folder (readers skip ``_`` paths); the driver renames them in ``commit``
-and drops the folder in ``abort``.  File names carry the batch id and
-the task's partition id, so a replayed micro-batch rewrites the same names.
+Spark's text sink refuses an empty line separator, so bytes that want none
+land through this Python data source (batch and stream).  Rows arrive as
+Arrow batches sorted by bucket; a task keeps one file open, under a hidden
+name, and renames it when the bucket changes.  Names carry the write's tag and
+the task's partition, so a retried task or a replayed micro-batch writes the
+same names again; ``abort`` removes the tag's files, and an overwrite ends by
+removing all files of other tags.
 
 Input columns: ``bucket`` (relative folder) and ``data`` (binary).
 """
@@ -23,7 +24,7 @@ FORMAT = "quayside_raw"
 
 @dataclass
 class _Files(WriterCommitMessage):
-    moves: list = field(default_factory=list)  # (tmp, final) pairs
+    paths: list = field(default_factory=list)
     n_records: int = 0
     n_bytes: int = 0
 
@@ -57,7 +58,7 @@ def _runs(col):
 def _write_task(root: str, batches, tag: str) -> _Files:
     """Write Arrow batches (sorted by bucket): each run of one bucket is one
     slice of the binary column's value buffer, written with a single call -
-    no per-record Python."""
+    no per-record Python, one open file."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -67,71 +68,69 @@ def _write_task(root: str, batches, tag: str) -> _Files:
     ctx = TaskContext.get()
     part = ctx.partitionId() if ctx else 0
     msg = _Files()
-    streams = {}
-    try:
-        for b in batches:
-            b = b.filter(pc.is_valid(b.column("data")))
-            if b.num_rows == 0:
-                continue
-            buckets, data = b.column("bucket"), b.column("data")
-            off_type = np.int64 if pa.types.is_large_binary(data.type) else np.int32
-            for s, e in _runs(buckets):
-                bucket = buckets[s].as_py()
-                st = streams.get(bucket)
-                if st is None:
-                    folder = f"{base}/{bucket}".rstrip("/")
-                    staging = f"{base}/_tmp-{tag}/{bucket}".rstrip("/")
-                    fs.create_dir(staging, recursive=True)
-                    final = f"{folder}/part-{tag}-{part:05d}"
-                    tmp = f"{staging}/part-{tag}-{part:05d}-{uuid.uuid4().hex[:8]}.tmp"
-                    st = streams[bucket] = fs.open_output_stream(tmp)
-                    msg.moves.append((tmp, final))
-                run = data.slice(s, e - s)
-                offs = np.frombuffer(run.buffers()[1], dtype=off_type)[run.offset: run.offset + len(run) + 1]
-                lo, hi = int(offs[0]), int(offs[-1])
-                if hi > lo:
-                    st.write(run.buffers()[2][lo:hi])
-                msg.n_records += e - s
-                msg.n_bytes += hi - lo
-    finally:
-        for st in streams.values():
-            st.close()
+    now = out = staged = None
+    seen: dict[str, int] = {}
+
+    def finish() -> None:
+        if out is not None:
+            out.close()
+            fs.move(staged, msg.paths[-1])
+
+    for b in batches:
+        b = b.filter(pc.is_valid(b.column("data")))
+        if b.num_rows == 0:
+            continue
+        buckets, data = b.column("bucket"), b.column("data")
+        off_type = np.int64 if pa.types.is_large_binary(data.type) else np.int32
+        for s, e in _runs(buckets):
+            bucket = buckets[s].as_py() or ""
+            if out is None or bucket != now:
+                finish()
+                now, seen[bucket] = bucket, seen.get(bucket, -1) + 1
+                folder, name = f"{base}/{bucket}".rstrip("/"), f"part-{tag}-{part:05d}-{seen[bucket]:03d}"
+                fs.create_dir(folder, recursive=True)
+                staged = f"{folder}/_{name}.tmp"
+                out = fs.open_output_stream(staged)
+                msg.paths.append(f"{folder}/{name}")
+            run = data.slice(s, e - s)
+            offs = np.frombuffer(run.buffers()[1], dtype=off_type)[run.offset: run.offset + len(run) + 1]
+            lo, hi = int(offs[0]), int(offs[-1])
+            if hi > lo:
+                out.write(run.buffers()[2][lo:hi])
+            msg.n_records += e - s
+            msg.n_bytes += hi - lo
+    finish()
     return msg
 
 
-def _commit(root: str, messages, tag: str, overwrite: bool = False) -> None:
-    """Publish: (overwrite: clear the old contents first), rename every
-    staged file to its final name, drop the staging folder."""
+def _files(root: str):
+    """(filesystem, paths of all files below root)."""
     import pyarrow.fs as pafs
 
     fs, base = _fs(root)
-    staging = f"{base}/_tmp-{tag}"
-    if overwrite:
-        for info in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
-            if info.path.rstrip("/") == staging:
-                continue
-            if info.type == pafs.FileType.Directory:
-                fs.delete_dir(info.path)
-            else:
-                fs.delete_file(info.path)
-    for m in messages:
-        if m is None:
-            continue
-        for tmp, final in m.moves:
-            fs.create_dir(final.rsplit("/", 1)[0], recursive=True)
-            fs.move(tmp, final)
-    try:
-        fs.delete_dir(staging)
-    except (FileNotFoundError, OSError):
-        pass
+    found = fs.get_file_info(pafs.FileSelector(base, allow_not_found=True, recursive=True))
+    return fs, [i.path for i in found if i.type == pafs.FileType.File]
+
+
+def _mine(path: str, tag: str) -> bool:
+    return path.rsplit("/", 1)[1].lstrip("_").startswith(f"part-{tag}-")
+
+
+def _commit(root: str, tag: str, messages) -> None:
+    """An overwrite's end: what other writes left goes, and so do files of
+    this tag that an earlier, interrupted attempt left."""
+    kept = {p for m in messages if m is not None for p in m.paths}
+    fs, paths = _files(root)
+    for p in paths:
+        if p not in kept:
+            fs.delete_file(p)
 
 
 def _abort(root: str, tag: str) -> None:
-    fs, base = _fs(root)
-    try:
-        fs.delete_dir(f"{base}/_tmp-{tag}")
-    except (FileNotFoundError, OSError):
-        pass
+    fs, paths = _files(root)
+    for p in paths:
+        if _mine(p, tag):
+            fs.delete_file(p)
 
 
 class _BatchWriter(DataSourceArrowWriter):
@@ -142,7 +141,8 @@ class _BatchWriter(DataSourceArrowWriter):
         return _write_task(self.root, iterator, self.tag)
 
     def commit(self, messages):
-        _commit(self.root, messages, self.tag, self.overwrite)
+        if self.overwrite:
+            _commit(self.root, self.tag, messages)
 
     def abort(self, messages):
         _abort(self.root, self.tag)
@@ -160,7 +160,7 @@ class _StreamWriter(DataSourceStreamArrowWriter):
         return _write_task(self.root, iterator, f"b{int(batch or 0):010d}")
 
     def commit(self, messages, batchId):
-        _commit(self.root, messages, f"b{batchId:010d}")
+        pass    # the tasks have named their files after the batch
 
     def abort(self, messages, batchId):
         _abort(self.root, f"b{batchId:010d}")
@@ -190,20 +190,18 @@ def register(spark) -> None:
 
 
 def write_raw(df, path: str, bucket_col: str = "bucket", data_col: str = "data", tag: str | None = None,
-              cluster_order: str | None = "offset", num_partitions: int | None = None,
-              mode: str = "append", cluster: str = "range") -> None:
-    """Range-cluster rows on (bucket, order) like the text sink, so a bucket
-    gets one file per task range and a hot bucket is cut over tasks."""
+              order: tuple[str, ...] = ("partition", "offset"), mode: str = "append", cluster: str = "rebalance") -> None:
+    """Bring a bucket's rows together like the text sink (sized by bytes, a
+    hot bucket cut over tasks; ``cluster="none"``: no shuffle) and write them
+    in the order of the ``order`` columns that ``df`` has."""
     from pyspark.sql import functions as F
 
     register(df.sparkSession)
-    d = df
-    if cluster == "range" and cluster_order and cluster_order in df.columns:
-        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        d = df.repartitionByRange(n, bucket_col, cluster_order)
-    w = (d.select(F.col(bucket_col).alias("bucket"), F.col(data_col).cast("binary").alias("data"))
-         .sortWithinPartitions("bucket")
-         .write.format(FORMAT).mode(mode).option("path", path))
+    by = [c for c in order if c in df.columns]
+    d = df.select(F.col(bucket_col).alias("bucket"), F.col(data_col).cast("binary").alias("data"), *by)
+    if cluster != "none":
+        d = d.hint("rebalance", "bucket")
+    w = d.sortWithinPartitions("bucket", *by).select("bucket", "data").write.format(FORMAT).mode(mode).option("path", path)
     if tag:
         w = w.option("tag", tag)
     w.save()

@@ -15,28 +15,30 @@ from ..functions.codecs import resolve_codec_py
 PARTITION_COLUMNS = ["d", "h"]
 
 
+ORDER = ("partition", "offset")
+
+
 def write_text(df: DataFrame, path: str, text_col: str = "text", codec: str | None = None,
                partition_by: list[str] = PARTITION_COLUMNS, mode: str = "append",
-               max_records_per_file: int | None = None, cluster_order: str | None = "offset",
-               num_partitions: int | None = None, dynamic_overwrite: bool = False,
-               cluster: str = "range") -> None:
-    """Land one text column, one line per record (``\\n`` separated).
+               max_records_per_file: int | None = None, order: tuple[str, ...] = ORDER,
+               dynamic_overwrite: bool = False, cluster: str = "rebalance") -> None:
+    """Land one text column, one line per record (``\\n`` separated), in the
+    order of the ``order`` columns that ``df`` has.
 
     ``cluster`` says how rows meet their bucket's writer:
 
-    * ``"range"`` (batch, replays of history): range-partition on (bucket
-      columns, ``cluster_order``) - a bucket gets one file rather than one per
-      input split, and a hot bucket's offset range is cut over several tasks.
-      ``num_partitions`` defaults to ``spark.sql.shuffle.partitions``.
-    * ``"rebalance"``: AQE ``REBALANCE`` hint (sized by bytes, splits skew).
+    * ``"rebalance"`` (batch, replays of history): a bucket's rows come
+      together; partitions are sized by bytes (adaptive execution's advisory
+      size) and a hot bucket is cut over several tasks.
     * ``"none"`` (live micro-batches): no shuffle.  A micro-batch of one
       Kafka partition spans one or two hours, so each task already writes
       about one file per bucket; compaction merges completed hours later.
 
-    Inside a task rows are sorted by bucket so one writer is open at a time.
+    Inside a task rows are sorted by bucket and order, so one writer is open
+    at a time and lines keep their order in each file.
     """
     spark_codec = resolve_codec_py(codec) if codec else None
-    d = prepare_for_write(df, text_col, partition_by, cluster_order, num_partitions, cluster)
+    d = prepare_for_write(df, text_col, partition_by, order, cluster)
     w = d.write.mode(mode).partitionBy(*partition_by)
     if spark_codec:
         w = w.option("compression", spark_codec)
@@ -48,20 +50,23 @@ def write_text(df: DataFrame, path: str, text_col: str = "text", codec: str | No
 
 
 def prepare_for_write(df: DataFrame, text_col: str = "text", partition_by: list[str] = PARTITION_COLUMNS,
-                      cluster_order: str | None = "offset", num_partitions: int | None = None,
-                      cluster: str = "range") -> DataFrame:
+                      order: tuple[str, ...] = ORDER, cluster: str = "rebalance") -> DataFrame:
     """The rows exactly as the text writer receives them (see ``write_text``)."""
-    if cluster == "range" and cluster_order and cluster_order in df.columns and partition_by:
-        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        d = (df.select(F.col(text_col).alias("value"), *partition_by, cluster_order)
-             .repartitionByRange(n, *partition_by, cluster_order).drop(cluster_order))
-    else:
-        d = df.select(F.col(text_col).alias("value"), *partition_by)
-        if cluster in ("range", "rebalance") and partition_by:
-            d = d.hint("rebalance", *partition_by)
-    return d.sortWithinPartitions(*partition_by)
+    by = [c for c in order if c in df.columns and c not in partition_by]
+    d = df.select(F.col(text_col).alias("value"), *partition_by, *by)
+    if cluster != "none" and partition_by:
+        d = d.hint("rebalance", *partition_by)
+    return d.sortWithinPartitions(*partition_by, *by).select("value", *partition_by)
 
 
 def read_landed(spark, path: str, partition_types: str = "d string, h string") -> DataFrame:
     """Read landed text back; partition columns keep their text form."""
     return spark.read.schema(f"value string, {partition_types}").text(path)
+
+
+def read_landed_lines(spark, path: str, partition_types: str = "d string, h string") -> DataFrame:
+    """Landed lines with their place in their file (``line_no`` from 0)."""
+    files = (spark.read.schema(f"value string, {partition_types}").text(path, wholetext=True))
+    keys = [c for c in files.columns if c != "value"]
+    body = F.regexp_replace("value", r"\n\z", "")
+    return files.select(*keys, F.posexplode(F.split(body, "\n")).alias("line_no", "value"))

@@ -2,7 +2,7 @@
 
 * ``read_feeds_jdbc`` - the live config table (filter pushed to the database).
 * ``read_feed_list_xml`` - the legacy XML feed list.
-* ``feeds_from_nation`` / ``feeds_from_supplier`` - feed tables Spark derives
+* ``feeds_from_nation`` / ``feeds_from_region`` / ``feeds_from_supplier`` - feed tables Spark derives
   from the driver's tables, used by the registered queries and tests so
   that every rule (shared groups, two-topic feeds, codecs, rejects) is hit.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import FEED_COLUMNS, FEED_DEFAULTS, FEED_SCHEMA
 
-CONFIG_TABLE = "log_consumer_config"
+CONFIG_TABLE = "feed_config"
 
 # The topics of the replayed record stream (event types).
 TOPICS = ["click", "error", "purchase", "signup", "view"]
@@ -85,6 +85,40 @@ def feeds_from_nation(nation: DataFrame) -> DataFrame:
     ))
 
 
+# Framing and codec of the feeds on regions: (file type, codec, line breaks, suffix, date pattern, mode).
+REGION_FEEDS = [
+    ("DataStream", None, 1, "", "yyyy-MM-dd", "hour"),
+    ("CompressedStream", "gzip", 1, "", "yyyy-MM-dd", "hour"),
+    ("DataStream", None, 0, "", "yyyy-MM-dd", "hour"),
+    ("CompressedStream", "GzipCodec", 0, ".log", "yyyy-MM-dd", "day"),
+    ("CompressedStream", "bzip2", 1, "", "yyyy/MM/dd", "day"),
+]
+
+
+def feeds_from_region(region: DataFrame) -> DataFrame:
+    """One feed a region, each on a topic of its own: plain and gzip with and
+    without line breaks, a suffix in place of the codec's, a date pattern
+    with slashes, hour and day mode."""
+    k = F.col("r_regionkey") % len(REGION_FEEDS)
+    pick = lambda i: F.element_at(F.array(*[F.lit(f[i]) for f in REGION_FEEDS]), k + 1)
+    return normalize_feeds(region.select(
+        F.col("r_regionkey").cast("bigint").alias("id"), _topic(k).alias("topics"),
+        F.concat(F.lit("grp-"), F.col("r_regionkey").cast("string")).alias("groupID"), F.lit(2).alias("numThreads"),
+        pick(0).alias("fileType"), pick(1).alias("codeC"),
+        F.concat(F.lit("/logs/"), F.replace(F.lower("r_name"), F.lit(" "), F.lit("_"))).alias("filePath"),
+        pick(4).alias("filePathFormat"), pick(5).alias("filePathMode"), pick(3).alias("fileSuffix"),
+        pick(2).alias("isWriteLineBreaks"), F.lit(1).alias("isEnabled")))
+
+
+def subscription(feeds: DataFrame) -> tuple[list[str], int]:
+    """(topics, partitions to ask for) of the enabled feeds: what a source
+    must subscribe to, and the sum of their threads."""
+    enabled = feeds.filter(F.col("isEnabled") == 1)
+    topics = enabled.select(F.explode(F.split("topics", ",")).alias("t")).select(F.trim("t").alias("t")).filter("t <> ''").distinct()
+    threads = enabled.agg(F.sum("numThreads")).first()[0]
+    return sorted(r["t"] for r in topics.collect()), int(threads or 0)
+
+
 def feeds_from_supplier(supplier: DataFrame) -> DataFrame:
     """A feed table that grows with the data (one feed per supplier) and hits
     every validation rule: file types in mixed case, codecs by class name,
@@ -150,4 +184,4 @@ FROM nation
 """
 
 __all__ = ["FEED_COLUMNS", "TOPICS", "read_feeds_jdbc", "read_feed_list_xml", "normalize_feeds",
-           "feeds_from_nation", "feeds_from_supplier"]
+           "feeds_from_nation", "feeds_from_region", "feeds_from_supplier", "subscription"]

@@ -1,9 +1,10 @@
-"""Structured Streaming landing.
+"""Structured Streaming landing of a record stream by topic and hour.
 
-records stream -> decode -> bucket columns -> text sink partitioned by
-bucket.  The checkpoint (in the shared checkpoint folder) holds the source
-offsets and the sink's commit log, so a restarted or replayed query neither
-loses nor duplicates files for Spark readers (``_spark_metadata``).
+records stream -> decode -> bucket columns -> text files partitioned by
+bucket, each micro-batch in a ``batch_id=N`` folder of its own.  The
+checkpoint (in the shared checkpoint folder) holds the source offsets; a
+batch that is delivered again rewrites exactly its own files.  Rejected
+records always land in a folder beside the lines.
 """
 
 from __future__ import annotations
@@ -12,53 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.codecs import resolve_codec_py
 from ..operators.routing import decoded
 from ..session import configure, scratch_path
 from ..sources.records import events_as_records, replay_stream
+from .partials import finished
 
 PARTITIONS = ["topic", "d", "h"]
 
 
 def bucketed_lines(records: DataFrame, clock: str = "timestamp", with_offset: bool = False) -> DataFrame:
-    """Good records as (value, topic, d, h[, offset]); the text sink adds
+    """Good records as (value, topic, d, h[, partition, offset]); the text sink adds
     the line break."""
     r = decoded(records, 0)
-    extra = ["offset"] if with_offset else []
+    extra = ["partition", "offset"] if with_offset else []
     return (r.filter(F.col("status") == "ok")
             .select(F.col("line").alias("value"), "topic",
                     F.date_format(clock, "yyyy-MM-dd").alias("d"), F.date_format(clock, "HH").alias("h"), *extra))
 
 
-def start_landing(records: DataFrame, out_path: str, checkpoint: str, codec: str | None = None,
-                  trigger: dict | None = None, partition_by=PARTITIONS,
-                  dead_letter_path: str | None = None) -> StreamingQuery:
-    """Start a landing stream; ``trigger`` e.g. ``{"processingTime": "20 seconds"}``
-    or ``{"availableNow": True}``."""
-    lines = bucketed_lines(records)
-    w = (lines.writeStream.format("text").outputMode("append")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
-         .partitionBy(*partition_by))
-    spark_codec = resolve_codec_py(codec) if codec else None
-    if spark_codec:
-        w = w.option("compression", spark_codec)
-    w = w.trigger(**(trigger or {"processingTime": "20 seconds"}))
-    q = w.start()
-    if dead_letter_path:
-        from ..functions.text import record_status
-
-        dead = records.withColumn("reason", record_status("value")).filter(F.col("reason") != "ok")
-        (dead.writeStream.format("parquet").option("path", dead_letter_path)
-         .option("checkpointLocation", checkpoint.rstrip("/") + "-dead")
-         .trigger(**(trigger or {"processingTime": "20 seconds"})).start())
-    return q
-
-
 def land_micro_batch(batch: DataFrame, batch_id: int, out_path: str, codec: str | None = None,
                      partition_by=PARTITIONS, dead_letter_path: str | None = None,
                      cluster: str = "none") -> None:
     """Land one micro-batch into its own ``batch_id=N`` folder, overwriting
-    that folder: a replayed batch rewrites exactly its own files."""
+    that folder: a replayed batch rewrites exactly its own files.  Rejected
+    records go to ``dead_letter_path`` (``<out_path>-rejected`` by default)."""
     from ..functions.text import record_status
     from ..sinks.text import write_text
 
@@ -67,9 +45,9 @@ def land_micro_batch(batch: DataFrame, batch_id: int, out_path: str, codec: str
         good = bucketed_lines(b.filter(F.col("_status") == "ok").drop("_status"), with_offset=True)
         write_text(good, f"{out_path.rstrip('/')}/batch_id={batch_id}", "value", codec,
                    partition_by=list(partition_by), mode="overwrite", cluster=cluster)
-        if dead_letter_path:
-            (b.filter(F.col("_status") != "ok").withColumnRenamed("_status", "reason")
-             .write.mode("overwrite").parquet(f"{dead_letter_path.rstrip('/')}/batch_id={batch_id}"))
+        dead = (dead_letter_path or f"{out_path.rstrip('/')}-rejected").rstrip("/")
+        (b.filter(F.col("_status") != "ok").withColumnRenamed("_status", "reason")
+         .write.mode("overwrite").parquet(f"{dead}/batch_id={batch_id}"))
     finally:
         b.unpersist()
 
@@ -79,7 +57,7 @@ def start_landing_batches(records: DataFrame, out_path: str, checkpoint: str, co
                           dead_letter_path: str | None = None, cluster: str = "none") -> StreamingQuery:
     """Land each micro-batch with the batch writer (``land_micro_batch``):
     idempotent on replay, readers see ``batch_id`` as one more partition
-    column, and the batch writer can range-cluster rows by bucket."""
+    column, and the batch writer can bring a bucket's rows together."""
     def land(batch: DataFrame, batch_id: int) -> None:
         land_micro_batch(batch, batch_id, out_path, codec, partition_by, dead_letter_path, cluster)
 
@@ -99,8 +77,5 @@ def land_stream_available_now(spark: SparkSession, folder: str, glob: str = "eve
     src = replay_stream(spark, folder, schema, max_files_per_trigger=max_files_per_trigger, glob=glob)
     # a replay of history is a backfill: micro-batches are not time-clustered,
     # so cluster rows by bucket before writing
-    q = start_landing_batches(events_as_records(src), out, ckpt, codec, {"availableNow": True}, cluster="range")
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    finished(start_landing_batches(events_as_records(src), out, ckpt, codec, {"availableNow": True}, cluster="rebalance"))
     return out

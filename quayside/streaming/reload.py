@@ -3,15 +3,16 @@
 Each micro-batch reads the config, compares it with the running snapshot
 (``config_diff``: start / stop / restart), tells the watchers, and lands the
 batch with the new feeds.  A failed config read leaves the running feeds as
-they are.  Snapshots are reliable checkpoints in the shared checkpoint
-folder, so they survive executor loss without re-reading the database.
-A feed whose topic subscription is new still needs the source to subscribe
-to it (subscribe by pattern to avoid a restart).
+they are.  Snapshots are written to the shared scratch folder, so they survive executor loss without re-reading the database.
+A feed with a new topic makes the source subscribe anew
+(``run_feed_landing``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from ..operators.feeds import config_diff, feed_validation
+from ..operators.metrics import flow_size
 from ..plans.landing import land_batch
+from ..plans.sizing import sized
 from ..schemas import FEED_COLUMNS
-from ..session import ensure_checkpoint_dir
+from ..sources.feeds import subscription
+from .windows import observed
 
 log = logging.getLogger(__name__)
 
@@ -40,8 +44,7 @@ class FeedReloader:
 
     def refresh(self, spark: SparkSession) -> DataFrame:
         try:
-            ensure_checkpoint_dir(spark)
-            new = self.read_feeds(spark).select(*FEED_COLUMNS).checkpoint(eager=True)
+            new = sized(self.read_feeds(spark).select(*FEED_COLUMNS), "feeds")
         except Exception as e:  # noqa: BLE001 - a failed read keeps the running feeds
             if self.current is None:
                 raise
@@ -52,11 +55,10 @@ class FeedReloader:
         else:
             changes = [(r["id"], r["action"]) for r in config_diff(self.current, new).collect()]
         # started or restarted feeds that cannot be landed: say why (they are skipped)
-        touched = [i for i, a in changes if a in ("start", "restart")]
-        if touched:
-            bad = (feed_validation(new).filter(F.col("reject_reason").isNotNull() & F.col("id").isin(touched))
-                   .select("id", "reject_reason").collect())
-            changes += [(r["id"], f"reject:{r['reject_reason']}") for r in bad]
+        if any(a in ("start", "restart") for _, a in changes):
+            bad = feed_validation(new).filter("reject_reason IS NOT NULL").select("id", "reject_reason")
+            touched = {i for i, a in changes if a in ("start", "restart")}
+            changes += [(r["id"], f"reject:{r['reject_reason']}") for r in bad.collect() if r["id"] in touched]
         self.current = new
         if changes:
             for w in self.watchers:
@@ -64,103 +66,93 @@ class FeedReloader:
         return new
 
 
-class LateTracker:
-    """Event-time watermark for late counting, moved like Spark's: the
-    watermark used for batch N is (max event time of batches < N) - delay.
-    Late rows still land in their own hour; the manifest counts them.
+def _clock_path(manifest_path: str, batch_id: int) -> str:
+    return f"{manifest_path}/_clock/batch_id={batch_id}"
 
-    With ``state_path`` (a file next to the stream checkpoint, on the shared
-    file system) the state survives a driver restart, and the watermark used
-    by each recent batch id is kept, so a replayed batch is classified the
-    same way again.
-    """
 
-    KEEP_BATCHES = 16
+def clock_before(spark: SparkSession, manifest_path: str, batch_id: int):
+    """Latest clock of all batches before ``batch_id`` (None at first): what
+    the batch before has left, so a batch that is delivered again, or a
+    restart from an older checkpoint, finds the same watermark."""
+    if batch_id == 0:
+        return None
+    return spark.read.schema("clock timestamp").parquet(_clock_path(manifest_path, batch_id - 1)).first()["clock"]
 
-    def __init__(self, delay_seconds: int, clock: str = "timestamp", state_path: str | None = None):
-        self.delay = delay_seconds
-        self.clock = clock
-        self.state_path = state_path
-        self.max_seen = None
-        self.used: dict[int, object] = {}
-        self._load()
 
-    def _load(self) -> None:
-        if not self.state_path:
-            return
-        import datetime as dt
-        import json
+def feed_counters(manifest: DataFrame) -> DataFrame:
+    """Messages, chars and the flow text of each feed in a manifest."""
+    return (manifest.groupBy("feed_id").agg(F.sum("n_records").cast("bigint").alias("messages"), F.sum("n_chars").cast("bigint").alias("chars"))
+            .withColumn("flow_size", flow_size("chars")))
 
-        from ..sinks.raw import _fs
 
-        fs, path = _fs(self.state_path)
-        try:
-            with fs.open_input_stream(path) as fh:
-                st = json.loads(fh.read().decode())
-        except (FileNotFoundError, OSError):
-            return
-        conv = (lambda v: dt.datetime.fromisoformat(v) if v else None)
-        self.max_seen = conv(st.get("max_seen"))
-        self.used = {int(k): conv(v) for k, v in st.get("used", {}).items()}
+def start_feed_landing(records: DataFrame, reloader: FeedReloader, out_path: str, checkpoint: str,
+                       manifest_path: str | None = None, dead_letter_path: str | None = None,
+                       trigger: dict | None = None, transform=None, late_delay_seconds: int = 3600,
+                       cluster: str = "none", on_counters: Callable[[int, list], None] | None = None,
+                       on_feeds: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+    """Stream landing with per-batch config reload.  Batch N lands into
+    ``out_path/batch_id=N``, its rejected records into
+    ``dead_letter_path/batch_id=N`` and its manifest into
+    ``manifest_path/batch_id=N`` (folders beside ``out_path`` by default), all
+    overwritten when the batch comes again.
+
+    Rows behind the watermark (latest clock of earlier batches less
+    ``late_delay_seconds``) land in their own hour and are counted
+    (``n_late``).  ``on_counters`` gets each batch's counters by feed,
+    ``on_feeds`` the feeds it was landed with."""
+    root = out_path.rstrip("/")
+    manifests = (manifest_path or f"{root}-manifest").rstrip("/")
+    dead = (dead_letter_path or f"{root}-rejected").rstrip("/")
 
-    def _save(self) -> None:
-        if not self.state_path:
-            return
-        import json
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        feeds = reloader.refresh(spark)
+        seen = clock_before(spark, manifests, batch_id)
+        mark = seen - dt.timedelta(seconds=late_delay_seconds) if seen else None
+        late = F.coalesce(F.col("timestamp").cast("timestamp") < F.lit(mark), F.lit(False)) if mark else F.lit(False)
+        top = batch.agg(F.max(F.col("timestamp").cast("timestamp"))).first()[0]
+        now = max((c for c in (seen, top) if c is not None), default=None)
+        manifest = land_batch(batch.withColumn("late", late), feeds, f"{root}/batch_id={batch_id}", f"{dead}/batch_id={batch_id}",
+                              transform=transform, mode="overwrite", cluster=cluster, manifest_path=f"{manifests}/batch_id={batch_id}",
+                              watermark=now - dt.timedelta(seconds=late_delay_seconds) if now else None)
+        spark.createDataFrame([(now,)], "clock timestamp").coalesce(1).write.mode("overwrite").parquet(_clock_path(manifests, batch_id))
+        if on_counters:
+            on_counters(batch_id, feed_counters(manifest).collect())
+        if on_feeds:
+            on_feeds(feeds)
+
+    return (observed(records).writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "20 seconds"})).start())
 
-        from ..sinks.raw import _fs
 
-        fs, path = _fs(self.state_path)
-        keep = sorted(self.used)[-self.KEEP_BATCHES:]
-        st = {"max_seen": self.max_seen.isoformat() if self.max_seen else None,
-              "used": {str(k): (self.used[k].isoformat() if self.used[k] else None) for k in keep}}
-        tmp = path + ".tmp"
-        with fs.open_output_stream(tmp) as fh:
-            fh.write(json.dumps(st).encode())
-        fs.move(tmp, path)
+Source = Callable[[list[str], int], DataFrame]
 
-    def mark(self, batch: DataFrame, batch_id: int | None = None) -> DataFrame:
-        import datetime as dt
 
-        from pyspark.sql import functions as F
+def run_feed_landing(spark: SparkSession, source: Source, reloader: FeedReloader, out_path: str, checkpoint: str,
+                     poll_seconds: float = 1.0, **landing) -> None:
+    """Land what the feeds subscribe to until the stream ends (or raises).
 
-        c = F.col(self.clock).cast("timestamp")
-        if batch_id is not None and batch_id in self.used:
-            wm = self.used[batch_id]  # a replayed batch: same watermark as before
-        else:
-            wm = self.max_seen - dt.timedelta(seconds=self.delay) if self.max_seen is not None else None
-        marked = (batch.withColumn("late", F.lit(False)) if wm is None
-                  else batch.withColumn("late", F.coalesce(c < F.lit(wm), F.lit(False))))
-        top = batch.agg(F.max(c)).first()[0]  # one scalar per batch
-        if top is not None and (self.max_seen is None or top > self.max_seen):
-            self.max_seen = top
-        if batch_id is not None:
-            self.used[batch_id] = wm
-        self._save()
-        return marked
+    ``source(topics, partitions)`` makes the record stream of the feeds'
+    topics, read in as many partitions as the feeds have threads.  When a
+    reload brings a topic that isn't subscribed, the query is stopped after
+    its batch and started again from its checkpoint with the new topics."""
+    while True:
+        topics, threads = subscription(reloader.refresh(spark))
+        changed = threading.Event()
 
+        def check(feeds: DataFrame, topics=topics, changed=changed) -> None:
+            if not set(subscription(feeds)[0]) <= set(topics):
+                changed.set()
 
-def start_feed_landing(records: DataFrame, reloader: FeedReloader, out_path: str, checkpoint: str,
-                       manifest_path: str | None = None, dead_letter_path: str | None = None,
-                       trigger: dict | None = None, transform=None,
-                       late_delay_seconds: int | None = None, cluster: str = "none") -> StreamingQuery:
-    """Stream landing with per-batch config reload.  Batch N lands into
-    ``out_path/batch_id=N`` (overwritten on replay); its manifest goes to
-    ``manifest_path/batch_id=N``.  With ``late_delay_seconds`` the manifest
-    gets ``n_late``: rows older than the event-time watermark."""
-    root = out_path.rstrip("/")
-    late = (LateTracker(late_delay_seconds, state_path=f"{checkpoint.rstrip('/')}-late.json")
-            if late_delay_seconds is not None else None)
-
-    def land(batch: DataFrame, batch_id: int) -> None:
-        feeds = reloader.refresh(batch.sparkSession)
-        dead = f"{dead_letter_path.rstrip('/')}/batch_id={batch_id}" if dead_letter_path else None
-        if late is not None:
-            batch = late.mark(batch, batch_id)
-        manifest = land_batch(batch, feeds, f"{root}/batch_id={batch_id}", dead, transform=transform,
-                              mode="overwrite", cluster=cluster)
-        if manifest_path:
-            manifest.write.mode("overwrite").parquet(f"{manifest_path.rstrip('/')}/batch_id={batch_id}")
-
-    return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "20 seconds"})).start())
+        query = start_feed_landing(source(topics, threads), reloader, out_path, checkpoint, on_feeds=check, **landing)
+        try:
+            while not query.awaitTermination(poll_seconds):
+                if changed.is_set():
+                    query.stop()    # lets the running batch commit or be delivered again
+        except KeyboardInterrupt:
+            query.stop()
+            return
+        if query.exception():
+            raise query.exception()
+        if not changed.is_set():
+            return

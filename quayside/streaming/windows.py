@@ -1,49 +1,17 @@
-"""Event-time stream operators: completed hours, idle sessions, dedup.
-
-Arrival time is never late; in event-time mode ``withWatermark`` bounds
-state, and append mode publishes an hour (or a session) once the watermark
-passes its end - the streaming form of ``rolling.hours_complete`` and
-``rolling.idle_sessions``.
-"""
+"""Live counters of a record stream."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def hours_complete_stream(records: DataFrame, delay: str = "1 hour", clock: str = "timestamp") -> DataFrame:
-    return (records.withWatermark(clock, delay)
-            .groupBy("topic", F.window(clock, "1 hour").alias("w"))
-            .agg(F.count(F.lit(1)).alias("n_records"))
-            .select("topic", F.col("w.start").cast("timestamp_ntz").alias("hour_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("hour_end"), "n_records"))
-
-
-def idle_sessions_stream(records: DataFrame, gap: str = "30 minutes", delay: str = "1 hour",
-                         clock: str = "timestamp") -> DataFrame:
-    return (records.withWatermark(clock, delay)
-            .groupBy("topic", F.session_window(clock, gap).alias("s"))
-            .agg(F.count(F.lit(1)).alias("n_records"), F.max(clock).alias("last"))
-            .select("topic", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
-                    F.col("last").cast("timestamp_ntz").alias("last_record"),
-                    F.col("s.end").cast("timestamp_ntz").alias("session_end"), "n_records"))
+from ..functions.text import decode_value, utf16_length
 
 
 def observed(records: DataFrame, name: str = "landing") -> DataFrame:
-    """Live counters (message count, chars) per micro-batch via ``observe``;
-    read them from ``query.lastProgress['observedMetrics']``."""
-    return records.observe(name, F.count(F.lit(1)).alias("messages"),
-                           F.sum(F.length(F.col("value").cast("string"))).alias("chars"))
-
-
-def run_available_now(df: DataFrame, out_path: str, checkpoint: str) -> str:
-    """Run an append-mode streaming result into parquet until the source is
-    drained (the final no-data batch publishes what the watermark passed)."""
-    q = (df.writeStream.format("parquet").outputMode("append")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return out_path
+    """Messages and chars (UTF-16 units, a line break each) of every
+    micro-batch via ``observe``; read them from
+    ``query.lastProgress['observedMetrics']``.  A feed's own counters come
+    with its manifest (``reload.feed_counters``)."""
+    chars = utf16_length(F.coalesce(decode_value("value"), F.lit(""))) + 1
+    return records.observe(name, F.count(F.lit(1)).alias("messages"), F.sum(chars).alias("chars"))

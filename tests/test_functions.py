@@ -129,7 +129,9 @@ def test_cli_argument_checks():
 
     from quayside.__main__ import main
 
-    with pytest.raises(SystemExit):  # Kafka needs topics
-        main(["land", "--bootstrap", "h:9092", "--feeds-parquet", "/x", "--out", "/o", "--checkpoint", "/c"])
+    with pytest.raises(SystemExit):  # a record source is required
+        main(["land", "--feeds-parquet", "/x", "--out", "/o", "--checkpoint", "/c"])
+    with pytest.raises(SystemExit):  # compaction needs a manifest or a folder
+        main(["compact", "--out", "/o"])
     with pytest.raises(SystemExit):  # a feed source is required
         main(["land", "--replay", "/r", "--out", "/o", "--checkpoint", "/c"])

@@ -15,7 +15,7 @@ DRIVER = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 def test_feed_table_roundtrip_and_pushdown(spark):
     url = f"jdbc:derby:memory:qs{uuid.uuid4().hex[:8]};create=true"
     feeds = _feeds(spark)
-    write_jdbc(feeds, url, "log_consumer_config", DRIVER, batch_size=5)
+    write_jdbc(feeds, url, "feed_config", DRIVER, batch_size=5)
     got = read_feeds_jdbc(spark, url, properties=DRIVER)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [*IsNotNull(isEnabled), *EqualTo(isEnabled,1)]" in plan or "EqualTo(isEnabled,1)" in plan

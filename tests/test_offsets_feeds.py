@@ -163,7 +163,7 @@ def test_insert_rows_keys_with_tiny_chunks(spark):
         "c_custkey", F.col("c_name").alias("s_name"), F.col("c_nationkey").alias("s_nationkey"),
         F.col("c_acctbal").alias("s_acctbal"))
     top = s.agg(F.max("s_suppkey")).first()[0]
-    out = insert_rows(s, c, "s_suppkey", "c_custkey", chunk=2)
+    out = insert_rows(s, c, "s_suppkey", "c_custkey", chunk_rows=2)
     new = out.filter(F.col("s_suppkey") > top).select("s_suppkey", "s_name").collect()
     names = [r.c_name for r in read_table(spark, SF001, "customer").orderBy("c_custkey").collect()]
     assert sorted((r.s_suppkey, r.s_name) for r in new) == [(top + i + 1, n) for i, n in enumerate(names)]

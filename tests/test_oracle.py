@@ -1,7 +1,7 @@
 """Every registered query against its DuckDB oracle (small scale factor).
 
-The sink round trips run in test_sinks at one scale; here they are skipped
-to keep the suite quick.  scripts/check_oracle.py runs all at sf0.01.
+scripts/check_oracle.py runs them at sf0.01, with those of the optional
+training-data package (tests/llm).
 """
 
 import pytest
@@ -9,9 +9,9 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 from oracle_util import duck, rows
+from quayside.plans import catalog
 
-SLOW = {"landed_roundtrip", "landed_roundtrip_gz", "stream_landing", "concat_bytes"}
-NAMES = [n for n in E.queries() if n not in SLOW]
+NAMES = list(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(catalog.ORACLE) == set(catalog.QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

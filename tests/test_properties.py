@@ -21,7 +21,7 @@ def recs(spark):
 def test_manifest_adds_up(spark, recs):
     routed = routing.decoded(routing.route_bucket(recs, "/b"), 1)
     good, dead = routing.split_dead_letter(recs)
-    m = metrics.bucket_manifest(routed.filter(F.col("status") == "ok")).agg(F.sum("n_records")).first()[0]
+    m = metrics.bucket_manifest(routed.filter(F.col("status") == "ok"), "/b").agg(F.sum("n_records")).first()[0]
     assert m + dead.count() == recs.count() == good.count() + dead.count()
     assert routed.groupBy("offset", "partition", "topic").count().filter("count > 1").count() == 0
 

@@ -183,3 +183,21 @@ def test_running_totals_brute_force(spark):
         acc[t] = (n + 1, c + 2)
         want[(t, s)] = acc[t]
     assert got == want
+
+
+def test_unknown_sizes_roll_nothing(spark, small_batches):
+    rows = [("a", 0, i, None if i == 3 else 50, datetime(2024, 1, 1)) for i in range(12)]
+    got = rolling.roll_by_size(spark.createDataFrame(rows, SCHEMA), 100, ["topic"]).collect()
+    assert sorted((r.offset, r.roll_seq) for r in got) == [(i, (i - (i > 3)) // 2) for i in range(12) if i != 3]
+
+
+def test_sparse_keys_need_few_chunks(spark):
+    """Ids spread over 64 bits: the chunk table follows the rows."""
+    from quayside.operators.sequence import sized_chunk
+
+    rnd = random.Random(3)
+    ids = [rnd.randrange(-2**62, 2**62) for _ in range(1000)]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    assert df.select(sized_chunk(df, "id", 100).alias("c")).distinct().count() <= 11
+    got = chunked_row_number(df, [], ["id"], sized_chunk(df, "id", 100), "rn").collect()
+    assert [r.id for r in sorted(got, key=lambda r: r.rn)] == sorted(ids)

@@ -4,12 +4,10 @@ import os
 
 from conftest import SF001
 from quayside.operators import rolling
-from quayside.session import scratch_path
 from quayside.sinks import text
 from quayside.sources.records import events_as_records, replay_stream
 from quayside.sources.tables import read_table
 from quayside.streaming.landing import land_stream_available_now
-from quayside.streaming.windows import hours_complete_stream, idle_sessions_stream
 
 
 def _stream(spark):
@@ -17,27 +15,30 @@ def _stream(spark):
     return events_as_records(replay_stream(spark, SF001, schema, glob="events.parquet"))
 
 
-def _run(df, name, mode="append"):
-    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", scratch_path(df.sparkSession, name))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return df.sparkSession.table(name)
-
+def test_late_records_change_published_hours(spark, scratch):
+    """Newest first: what comes behind the watermark is counted, as late."""
+    from quayside.plans.catalog import _replayed_events
+    from quayside.streaming import partials
 
-def test_hours_complete_stream_equals_batch(spark):
-    got = _run(hours_complete_stream(_stream(spark), "1 hour"), "hours_stream")
+    out = os.path.join(scratch, "hours")
+    partials.finished(partials.accumulate(_replayed_events(spark, SF001), partials.hour_partials(), out, os.path.join(scratch, "c"), {"availableNow": True}))
+    assert spark.read.parquet(out).select("batch_id").distinct().count() == 3
+    got = partials.hours_published(spark, out, 3600)
     want = rolling.hours_complete(events_as_records(read_table(spark, SF001, "events")), 3600)
-    assert got.count() == want.count()
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert got.drop("n_late").exceptAll(want).count() == 0 and got.count() == want.count()
+    n, late = got.agg({"n_records": "sum", "n_late": "sum"}).select("sum(n_records)", "sum(n_late)").first()
+    assert n == want.agg({"n_records": "sum"}).first()[0] and n / 2 < late < n
 
 
-def test_idle_sessions_stream_is_subset_of_batch(spark):
-    got = _run(idle_sessions_stream(_stream(spark), "30 minutes", "1 hour"), "sessions_stream")
-    want = rolling.idle_sessions(events_as_records(read_table(spark, SF001, "events")), 1800)
-    # sessions still open at the watermark are not published yet
-    assert 0 < got.count() <= want.count()
-    assert got.exceptAll(want).count() == 0
+def test_replayed_batches_change_nothing(spark, scratch):
+    """The same files once more under a new checkpoint: batch folders are
+    written again, nothing is counted twice."""
+    from quayside.streaming import partials
+
+    out = os.path.join(scratch, "hours")
+    for c in ("c1", "c2"):
+        partials.finished(partials.accumulate(_stream(spark), partials.hour_partials(), out, os.path.join(scratch, c), {"availableNow": True}))
+    assert partials.hours_published(spark, out, 0).agg({"n_records": "sum"}).first()[0] <= read_table(spark, SF001, "events").count()
 
 
 def test_stream_landing_roundtrip(spark, scratch):
@@ -87,7 +88,7 @@ def test_feed_reload_per_batch(spark, scratch):
     out, man = os.path.join(scratch, "out"), os.path.join(scratch, "manifest")
     # replaying weeks of history per micro-batch is a backfill: cluster by bucket
     q = start_feed_landing(stream, reloader, out, os.path.join(scratch, "ckpt"), manifest_path=man,
-                           trigger={"availableNow": True}, cluster="range")
+                           trigger={"availableNow": True}, cluster="rebalance")
     q.awaitTermination()
     assert q.exception() is None
     assert calls["n"] == 3
@@ -95,11 +96,11 @@ def test_feed_reload_per_batch(spark, scratch):
     assert len(seen) == 2  # the failed read changed nothing
     m = spark.read.parquet(man)
     assert m.select("batch_id").distinct().count() == 3
-    # each record lands once per enabled feed of its topic
-    fan = spark.read.parquet(man).agg(F.sum("n_records")).first()[0]
-    from quayside.operators.routing import fan_out
+    # each record lands once for each consumer group of its topic
+    from quayside.operators.routing import group_split
 
-    assert fan == fan_out(events_as_records(ev), feeds_from_nation(nation)).count()
+    landed = spark.read.parquet(man).agg(F.sum("n_records")).first()[0]
+    assert landed == group_split(events_as_records(ev), feeds_from_nation(nation)).count()
 
 
 def test_late_rows_land_and_are_counted(spark, scratch):
@@ -126,7 +127,7 @@ def test_late_rows_land_and_are_counted(spark, scratch):
     man = os.path.join(scratch, "manifest")
     q = start_feed_landing(stream, reloader, os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"),
                            manifest_path=man, trigger={"availableNow": True}, late_delay_seconds=3600,
-                           cluster="range")
+                           cluster="rebalance")
     q.awaitTermination()
     m = spark.read.parquet(man)
     by_batch = {r.batch_id: (r.n, r.late) for r in
@@ -136,20 +137,89 @@ def test_late_rows_land_and_are_counted(spark, scratch):
     assert by_batch[1][1] == by_batch[1][0] > 0
 
 
-def test_late_tracker_survives_restart_and_replay(spark, scratch):
+def test_a_batch_that_comes_again_finds_its_watermark(spark, scratch):
+    """Batch 1 lands twice (a restart from an older checkpoint): the same
+    late rows, files, manifest and rejected records."""
     from datetime import datetime
 
-    from quayside.streaming.reload import LateTracker
-
-    state = os.path.join(scratch, "late.json")
-    rows = lambda hours: spark.createDataFrame(
-        [(datetime(2024, 1, 1, h),) for h in hours], "timestamp timestamp")
-    t = LateTracker(3600, state_path=state)
-    assert t.mark(rows([5, 6]), 0).filter("late").count() == 0
-    b1 = rows([2, 4, 5, 9])
-    assert t.mark(b1, 1).filter("late").count() == 2  # watermark 05:00 - 1h = 04:00
-    # a new driver: the state is read back; replaying batch 1 gives the same answer,
-    # and batch 2 uses max(09:00) - 1h
-    t2 = LateTracker(3600, state_path=state)
-    assert t2.mark(b1, 1).filter("late").count() == 2
-    assert t2.mark(rows([7, 8, 10]), 2).filter("late").count() == 1
+    from quayside.sources.feeds import feeds_from_nation
+    from quayside.streaming import reload
+
+    landed = {}
+    nation = read_table(spark, SF001, "nation")
+    hours = {0: [5, 6], 1: [2, 4, 5, 9], 2: [7, 8, 10]}
+    rows = lambda n: spark.createDataFrame(
+        [(None, b"x" if h != 4 else None, "click", 0, 100 * n + h, datetime(2024, 1, 1, h), 0) for h in hours[n]],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int")
+    out = os.path.join(scratch, "out")
+    land = _foreach_batch(reload, rows(0), reload.FeedReloader(lambda sp: feeds_from_nation(nation)), out, scratch)
+    for n in (0, 1, 1, 2):
+        land(rows(n), n)
+        m = spark.read.parquet(f"{out}-manifest/batch_id={n}")
+        dead = spark.read.parquet(f"{out}-rejected/batch_id={n}").count() if n == 1 else 0
+        per_feed = m.groupBy("feed_id").sum("n_late", "n_records").collect()
+        state = ({(r["sum(n_late)"], r["sum(n_records)"]) for r in per_feed}, dead)
+        assert landed.setdefault(n, state) == state
+    # watermarks: none, 06:00 - 1h, 09:00 - 1h (the rejected row of 04:00 lands nowhere)
+    assert landed == {0: ({(0, 2)}, 0), 1: ({(1, 3)}, 1), 2: ({(1, 3)}, 0)}
+
+
+def _foreach_batch(reload, records, reloader, out, scratch):
+    """The micro-batch function that ``start_feed_landing`` hands to Spark."""
+    class Writer:
+        def foreachBatch(self, f):
+            self.f = f
+            return self
+
+        def option(self, *a):
+            return self
+
+        def trigger(self, **k):
+            return self
+
+        def start(self):
+            return self.f
+
+    class Records:
+        writeStream = Writer()
+
+    original, reload.observed = reload.observed, lambda r: Records()
+    try:
+        return reload.start_feed_landing(records, reloader, out, os.path.join(scratch, "ckpt"))
+    finally:
+        reload.observed = original
+
+
+def test_a_new_topic_is_subscribed(spark, scratch):
+    """The feed table gains a feed of another topic after the first batch:
+    the source starts again with both topics and nothing is lost."""
+    from pyspark.sql import functions as F
+
+    from quayside.sources.feeds import feeds_from_region
+    from quayside.streaming.reload import FeedReloader, run_feed_landing
+
+    ev = read_table(spark, SF001, "events")
+    src = os.path.join(scratch, "src")
+    ev.withColumn("topic", F.col("event_type")).coalesce(1).write.partitionBy("topic").parquet(src)
+    region = read_table(spark, SF001, "region")
+    calls, asked = {"n": 0}, []
+
+    def read(sp):
+        calls["n"] += 1
+        return feeds_from_region(region).filter(F.col("id").isin([0] if calls["n"] < 3 else [0, 4]))
+
+    def source(topics, threads):
+        asked.append((topics, threads))
+        paths = ",".join(f"topic={t}" for t in topics)
+        return events_as_records(spark.readStream.schema(ev.schema).parquet(f"{src}/{{{paths}}}"))
+
+    out, man = os.path.join(scratch, "out"), os.path.join(scratch, "man")
+    counters = []
+    for _ in range(2):   # caught up, then started again
+        run_feed_landing(spark, source, FeedReloader(read), out, os.path.join(scratch, "ckpt"), manifest_path=man, cluster="rebalance",
+                         trigger={"availableNow": True}, poll_seconds=0.2, on_counters=lambda n, rows: counters.extend(rows))
+    assert asked[0] == (["click"], 2) and asked[-1] == (["click", "view"], 4)
+    got = {r["feed_id"]: r["n"] for r in spark.read.parquet(man).groupBy("feed_id").agg(F.sum("n_records").alias("n")).collect()}
+    want = {r["event_type"]: r["count"] for r in ev.groupBy("event_type").count().collect()}
+    assert got == {0: want["click"], 4: want["view"]}
+    assert sum(r["messages"] for r in counters) == want["click"] + want["view"]
