@@ -22,7 +22,7 @@ def _both(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     near = _both(edges)
     least = near.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
-    return near.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct()
+    return near.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

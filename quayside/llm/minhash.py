@@ -12,7 +12,7 @@
    are first compared with one centre: the member that shares most buckets
    with most others, in a group of edited copies the text they come from.
    While a bucket still holds more than one component, members of different
-   components are compared: more and more members (1, 256, 65536 …
+   components are compared: more and more members (256, 65536 …
    in expectation, until all) serve as probes against the bucket's other
    components.  Members that remain apart must be compared with all others of
    their bucket, and no bucket is capped; but a sketch of the set (a bit for
@@ -41,7 +41,7 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 PERCENT = 75
 CHUNK = 1 << 16            # shingles whose coordinates are made at once
-GROWTH = 256               # probes of a round to those of the one before
+PROBES, GROWTH = 256, 256  # probes of a bucket in the first round, and of a round to those of the one before
 TILE = 4096                # members of a bucket that meet its probes in one task
 SKETCH_BITS = 2048
 LONGS = SKETCH_BITS // 64
@@ -171,7 +171,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
     # Place of a node among the probes: the same in all rounds, from 0 to 1.
     place = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) / float(1 << 40)
     wide = members.filter("size > 2").withColumn("place", place)
-    before, now, since = 0.0, 1.0, None
+    before, now, since = 0.0, float(PROBES), None
     while True:
         # Components only spare work, so they are made anew when many links have come.
         if since is None or 20 * since > apart_now:
@@ -183,7 +183,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
             wide, since = own.drop("component"), 0
             longs = [F.coalesce(F.get("sketch", F.lit(i)), F.lit(0)).alias(f"s{i}") for i in range(LONGS)]
             tiles = F.ceil(F.col("size") / TILE)
-            seen = own.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), tiles)).join(sets.select("node", *longs), "node")
+            seen = written(own.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), tiles)).join(sets.select("node", *longs), "node"), "seen")
         if (largest or 0) <= before:
             return links
         asks, asked = F.lit(now) / F.col("size"), F.lit(before) / F.col("size")

@@ -22,7 +22,9 @@ def test_components_match_brute_force(spark):
 def test_chains_and_loose_groups(spark, monkeypatch, seed):
     """Members of a bucket that are not linked with its centre, and chains of
     links: a text that drifts away edit by edit."""
+    monkeypatch.setattr(M, "PROBES", 1)
     monkeypatch.setattr(M, "GROWTH", 2)
+    monkeypatch.setattr(M, "TILE", 7)
     rng = random.Random(seed)
     rows, now = [], prose(rng, 120)
     for i in range(40):
