@@ -20,9 +20,14 @@ MIN_LANGUAGE_SCORE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that are null, have no letter, or whose language is a guess."""
+    """Drops texts that are null, have no letter, or whose language is a
+    guess.  Without labelled rows to learn from, no language can be rejected:
+    only texts without a letter go."""
     queries.prepared(spark)
-    found = docs.select(packed(docs), langid.language(docs, queries.language_model(docs)).alias("found"))
+    model = queries.language_model(docs)
+    if not model.langs:
+        return docs.filter(F.col("text").cast("string").rlike(r"\p{L}"))
+    found = docs.select(packed(docs), langid.language(docs, model).alias("found"))
     known = (F.col("found.lang_pred") != langid.UND) & (F.col("found.score") >= MIN_LANGUAGE_SCORE)
     return unpacked(found.filter(known))
 

@@ -96,3 +96,8 @@ def test_stages_on_empty_and_odd_tables(spark, scratch):
         assert out.columns == docs.columns
         assert out.filter("node <> 'own node' or node is null").count() == 0
     assert P.STAGES[-1][1](spark, docs.limit(0), sf).collect() == []
+
+
+def test_language_stage_without_labels(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 !", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in P.language(spark, docs, "").collect()] == [1]
