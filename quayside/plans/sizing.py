@@ -14,9 +14,27 @@ from pyspark.sql import DataFrame
 
 from ..session import scratch_path
 
+# Estimated bytes for each core below which a write counts as small.
+SMALL_TASK_BYTES = 64 << 20
+
 
 def sized(df: DataFrame, name: str = "side") -> DataFrame:
     """``df`` as a written table of known size."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clustered(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows with equal ``columns`` together, for a write by those columns.
+
+    A large input is rebalanced: tasks are sized by bytes and a hot value is
+    cut over several.  Rebalancing would put a small one into a single task,
+    though its many files cost more than its bytes; it is dealt to all cores.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    if size < cores * SMALL_TASK_BYTES:
+        return df.repartition(cores, *columns)
+    return df.hint("rebalance", *columns)

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.sizing import clustered
+
 
 def partition_keys(spark, landed_root: str) -> list[str]:
     """Names of the layout's partition folders, outermost first."""
@@ -40,7 +42,7 @@ def compact_hours(spark, landed_root: str, out_root: str, where: Column | None =
     # reads a block of a file from the start to the end.
     placed = src.select("value", *keys, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
                         F.monotonically_increasing_id().alias("_line"))
-    d = (placed.hint("rebalance", *keys).sortWithinPartitions(*keys, "_file", "_block", "_line").select("value", *keys))
+    d = (clustered(placed, *keys).sortWithinPartitions(*keys, "_file", "_block", "_line").select("value", *keys))
     w = d.write.mode("overwrite").partitionBy(*keys)
     if codec:
         w = w.option("compression", codec)

@@ -17,6 +17,7 @@ import zlib
 
 from pyspark.sql import DataFrame
 
+from ..plans.sizing import clustered
 from .raw import _fs
 
 FILE_COLUMNS = ["dir", "name", "feed_id", "codec", "extension", "topic", "partition", "offset", "clock", "bucket_start",
@@ -222,7 +223,7 @@ def write_files(rows: DataFrame, root: str, dead: str, manifest: str, tag: str,
     arrow = to_arrow_schema(schema)     # times in UTC, as the session's
     rows = rows.select(*FILE_COLUMNS)
     if cluster != "none":
-        rows = rows.hint("rebalance", "dir", "name")
+        rows = clustered(rows, "dir", "name")
     rows.sortWithinPartitions(*FILE_ORDER).mapInArrow(write, schema).write.mode("overwrite").parquet(manifest)
     return rows.sparkSession.read.schema(schema).parquet(manifest)
 

@@ -196,11 +196,13 @@ def write_raw(df, path: str, bucket_col: str = "bucket", data_col: str = "data",
     in the order of the ``order`` columns that ``df`` has."""
     from pyspark.sql import functions as F
 
+    from ..plans.sizing import clustered
+
     register(df.sparkSession)
     by = [c for c in order if c in df.columns]
     d = df.select(F.col(bucket_col).alias("bucket"), F.col(data_col).cast("binary").alias("data"), *by)
     if cluster != "none":
-        d = d.hint("rebalance", "bucket")
+        d = clustered(d, "bucket")
     w = d.sortWithinPartitions("bucket", *by).select("bucket", "data").write.format(FORMAT).mode(mode).option("path", path)
     if tag:
         w = w.option("tag", tag)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codecs import resolve_codec_py
+from ..plans.sizing import clustered
 
 PARTITION_COLUMNS = ["d", "h"]
 
@@ -55,7 +56,7 @@ def prepare_for_write(df: DataFrame, text_col: str = "text", partition_by: list[
     by = [c for c in order if c in df.columns and c not in partition_by]
     d = df.select(F.col(text_col).alias("value"), *partition_by, *by)
     if cluster != "none" and partition_by:
-        d = d.hint("rebalance", *partition_by)
+        d = clustered(d, *partition_by)
     return d.sortWithinPartitions(*partition_by, *by).select("value", *partition_by)
 
 
