@@ -38,7 +38,7 @@ MAX_WORDS = 30_000
 MAX_GRAMS = 30_000
 SMOOTHING = 0.5
 EVIDENCE_WORDS = 20        # words after which further ones no longer raise the score
-KNOWN_WORDS = 300_000      # words whose score a worker remembers
+KNOWN_WORDS = 120_000      # words whose score a worker remembers
 
 WORD = re.compile(r"[^\W\d_]+")
 

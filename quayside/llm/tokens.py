@@ -21,8 +21,9 @@ from array import array
 
 import numpy as np
 
-# Distinct pieces that one worker keeps before it starts its cache anew.
-CACHE_PIECES = 800_000
+# Distinct pieces (and as many parts) that one worker keeps before it starts anew, some
+# 200 bytes each: reused workers hold them while other jobs run.
+CACHE_PIECES = 500_000
 # Text bytes that are split and gathered at once.
 BLOCK_BYTES = 4 << 20
 
@@ -62,12 +63,12 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
-        self.parts: dict[str, tuple[int, ...]] = {"": ()}
+        self.parts: dict[str, bytes] = {"": b""}
         self._reset()
         # The short way is for tokenizers that lower-case and cut as assumed above.
         probe = ["Aé", "Zürich,", "THE!?", "x*", "ñandú...", "Stop.;"]
         whole = [e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
-        self.plain = [list(self._parts(*PLAIN.fullmatch(p).groups())) for p in probe] == whole
+        self.plain = [list(array("I", self._parts(*PLAIN.fullmatch(p).groups()))) for p in probe] == whole
 
     def _reset(self) -> None:
         self.slot: dict[str, int] = {"": 0}
@@ -75,26 +76,28 @@ class PieceEncoder:
         self.length = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
-    def _part(self, part: str) -> tuple[int, ...]:
+    def _part(self, part: str) -> bytes:
         if (ids := self.parts.get(part)) is None:
             spelt = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
-            ids = self.parts[part] = tuple([t.id for t in self.tokenizer.model.tokenize(spelt)])
+            ids = self.parts[part] = array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
         return ids
 
-    def _parts(self, letters: str, signs: str) -> tuple[int, ...]:
+    def _parts(self, letters: str, signs: str) -> bytes:
         ids = self._part(letters.lower())
         return ids + self._part(signs) if signs else ids
 
-    def _encode(self, pieces: list[str]) -> list:
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece as native unsigned 32-bit integers."""
+        whole = lambda some: [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
         if not self.plain:
-            return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            return whole(pieces)
         if len(self.parts) > CACHE_PIECES:
-            self.parts = {"": ()}
+            self.parts = {"": b""}
         match, parts = PLAIN.fullmatch, self._parts
         found = [parts(*m.groups()) if (m := match(p)) else None for p in pieces]
         others = [i for i, x in enumerate(found) if x is None]
-        for i, e in zip(others, self.tokenizer.encode_batch_fast([pieces[i] for i in others], add_special_tokens=False)):
-            found[i] = e.ids
+        for i, ids in zip(others, whole([pieces[i] for i in others])):
+            found[i] = ids
         return found
 
     def _slots(self, pieces: list[str]) -> np.ndarray:
@@ -106,15 +109,12 @@ class PieceEncoder:
             gc.disable()     # many small objects and no cycles
             ids = self._encode(new)
             gc.enable()
-            lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = array("I")
-            for x in ids:
-                flat.extend(x)
+            lens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             first = len(self.start)
             self.slot.update(zip(new, range(first, first + len(new))))
             self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(lens) - lens])
             self.length = np.concatenate([self.length, lens])
-            self.pool = np.concatenate([self.pool, np.frombuffer(flat, np.uint32)])
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), np.uint32)])
             slots = [self.slot[p] for p in pieces]
         return np.array(slots, np.int64)
 
