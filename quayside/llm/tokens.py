@@ -101,10 +101,11 @@ class PieceEncoder:
         return found
 
     def _slots(self, pieces: list[str]) -> np.ndarray:
-        if len(self.slot) + len(pieces) > CACHE_PIECES:
-            self._reset()
         slots = [self.slot.get(p) for p in pieces]
         new = [p for p, s in zip(pieces, slots) if s is None]
+        if len(self.slot) + len(new) > CACHE_PIECES:
+            self._reset()
+            new = [p for p in pieces if p]
         if new:
             gc.disable()     # many small objects and no cycles
             ids = self._encode(new)
