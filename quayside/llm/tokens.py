@@ -23,7 +23,7 @@ import numpy as np
 
 # Distinct pieces (and as many parts) that one worker keeps before it starts anew, some
 # 200 bytes each: reused workers hold them while other jobs run.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 350_000
 # Text bytes that are split and gathered at once.
 BLOCK_BYTES = 4 << 20
 
