@@ -34,7 +34,7 @@ def clustered(df: DataFrame, *columns: str) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size < cores * SMALL_TASK_BYTES:
         return df.repartition(cores, *columns)
     return df.hint("rebalance", *columns)
