@@ -5,16 +5,21 @@ sentence inside a line (a passage may stand in the midst of a line).  A unit
 is normalised to its words (letters and digits, A-Z folded), and digested.
 
 1. One pass gives a row (digest, document) for each distinct unit of at least
-   ``UNIT_WORDS`` words of a document.
+   ``UNIT_WORDS`` words of a document.  Shorter units (lists, verse, menus) are
+   digested together with their neighbours: from each unit on, and up to each,
+   as many as make ``RUN_WORDS`` words, if two or more of them are short.
 2. Digests are grouped globally; the smallest doc_id is the earliest ranked
    occurrence.  It is a minimum taken before the shuffle, and only digests of
    two documents or more are joined back with the rows; a digest that a third
    of all documents hold is split by adaptive execution.
 3. The digests that a document repeats (at most its own units) meet its text
    again.  Neighbouring repeated units (with shorter units between them) make
-   a run; a run of at least ``RUN_WORDS`` words is cut out.  A unit that
-   occurs before in its own text is repeated too.  Spans keep their offsets
-   in the original text.
+   a run; a run of at least ``RUN_WORDS`` words is cut out.  What occurs
+   before in its own text (without an overlap) is repeated too.  Spans keep
+   their offsets in the original text.
+
+Scripts without blanks: a sentence mark of theirs ends a unit, and a long word
+counts as several (one for each ``WORD_BYTES`` bytes beyond the first).
 
 Nulls and the like: null and empty texts have no units and stay as they are.
 Null doc_ids rank last.  Rows of one doc_id (null too) are one document in the
@@ -35,10 +40,12 @@ from ..session import scratch_path
 from .columns import packed, unpacked
 from .wordhash import LETTERS, Words, blocks, hash_runs, hash_words, mix
 
-UNIT_WORDS = 4             # shorter units are no evidence, but may stand inside a run
+UNIT_WORDS = 4             # shorter units are no evidence alone, but may stand inside a run
 RUN_WORDS = 10
 NO_ID = (1 << 63) - 1      # stands for a null doc_id: the last in rank
+WORD_BYTES = 12            # a word of three times as many counts as two, of four times as three …
 ENDS = np.isin(np.arange(256), [ord(c) for c in ".!?"])
+MARKS = tuple(c.encode() for c in "。！？｡．।॥؟۔።။។")     # sentence marks beyond ASCII
 
 SPAN = T.StructType([T.StructField(c, T.LongType()) for c in ("start", "stop", "n_words", "kept_doc_id")])
 
@@ -47,17 +54,19 @@ SPAN = T.StructType([T.StructField(c, T.LongType()) for c in ("start", "stop", "
 class Units:
     """Units of consecutive texts: ``first[i]:first[i + 1]`` are text i's.
     Words ``word[u]:word[u + 1]`` and bytes ``start[u]:start[u + 1]`` are unit
-    u's (starts run to the next unit's, so the units tile each text)."""
+    u's (starts run to the next unit's, so the units tile each text).
+    ``size`` counts its words, long ones as several."""
 
     first: np.ndarray
     word: np.ndarray
     start: np.ndarray
+    size: np.ndarray
     words: Words
 
 
 def cut(texts) -> Units:
     """Units of an Arrow string array."""
-    w = hash_words(texts, LETTERS)
+    w = hash_words(texts, LETTERS, MARKS)
     n = len(w.hash)
     opens = np.zeros(n, bool)
     opens[w.first[:-1][w.first[:-1] < w.first[1:]]] = True
@@ -65,20 +74,35 @@ def cut(texts) -> Units:
         lines = np.flatnonzero(w.data == 10)
         before = np.searchsorted(lines, w.start)
         opens[1:] |= before[1:] > before[:-1]
-        opens[1:] |= ENDS[w.data[w.end[:-1]]] & (w.start[1:] > w.end[:-1])
+        after = w.data[w.end[:-1]]         # beyond ASCII only a mark ends a word
+        opens[1:] |= (ENDS[after] | (after > 127)) & (w.start[1:] > w.end[:-1])
     word = np.append(np.flatnonzero(opens), n)
     first = np.searchsorted(word[:-1], w.first)
     start = np.append(w.start[word[:-1]], len(w.data))
     start[first[:-1][first[:-1] < first[1:]]] = w.offsets[:-1][first[:-1] < first[1:]]   # a text's first unit begins with it
-    return Units(first, word, start, w)
-
-
-def _digested(u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(unit, text, digest, second digest) of the units that are long enough."""
-    long = np.flatnonzero(np.diff(u.word) >= UNIT_WORDS)
-    row = np.searchsorted(u.first, long, "right") - 1
-    d1, d2 = (hash_runs(u.words.hash, u.word[long], u.word[long + 1], k) for k in (0, 1))
-    return long, row, d1, d2
+    upto = np.concatenate([[0], np.cumsum(np.maximum((w.end - w.start) // WORD_BYTES - 1, 1))])
+    return Units(first, word, start, np.diff(upto[word]), w)
+
+
+def _digested(u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(from unit, to unit, text, digest, second digest) of what is evidence,
+    in order: long units, and short ones with their neighbours."""
+    short = u.size < UNIT_WORDS
+    long = np.flatnonzero(~short)
+    upto, shorts = (np.concatenate([[0], np.cumsum(x)]) for x in (u.size, short))
+    at = np.arange(len(u.size))
+    text = np.searchsorted(u.first, at, "right")     # the next text's number
+    lo = np.concatenate([at, np.searchsorted(upto, upto[1:] - RUN_WORDS, "right") - 1])
+    hi = np.concatenate([np.searchsorted(upto, upto[:-1] + RUN_WORDS), at + 1])
+    whole = (lo >= np.tile(u.first[text - 1], 2)) & (hi <= np.tile(u.first[text], 2)) if len(at) else np.zeros(0, bool)
+    lo, hi = lo[whole], hi[whole]
+    several = shorts[hi] - shorts[lo] > 1
+    lo, hi = np.concatenate([long, lo[several]]), np.concatenate([long + 1, hi[several]])
+    order = np.argsort(lo, kind="stable")
+    lo, hi = lo[order], hi[order]
+    row = np.searchsorted(u.first, lo, "right") - 1
+    d1, d2 = (hash_runs(u.words.hash, u.word[lo], u.word[hi], k) for k in (0, 1))
+    return lo, hi, row, d1, d2
 
 
 def _of_text(row: np.ndarray, digest: np.ndarray) -> np.ndarray:
@@ -87,13 +111,13 @@ def _of_text(row: np.ndarray, digest: np.ndarray) -> np.ndarray:
 
 
 def _digests(batches):
-    """A row for each distinct long unit of each text."""
+    """A row for each distinct digest of each text."""
     import pyarrow as pa
 
     for batch in batches:
         for a, b in blocks(batch.column("text")):
             rows = batch.slice(a, b - a)
-            _, row, d1, d2 = _digested(cut(rows.column("text")))
+            _, _, row, d1, d2 = _digested(cut(rows.column("text")))
             _, once = np.unique(_of_text(row, d1), return_index=True)
             yield pa.RecordBatch.from_pydict({
                 "d1": d1[once].view(np.int64), "d2": d2[once].view(np.int64), "doc": rows.column("doc").take(pa.array(row[once]))})
@@ -116,8 +140,8 @@ def _runs(flagged: np.ndarray, size: np.ndarray, firsts: np.ndarray):
     real = hi >= 0
     lo, hi = lo[real], hi[real] + 1
     upto = np.concatenate([[0], np.cumsum(size)])
-    words = upto[hi] - upto[lo]
-    return lo[words >= RUN_WORDS], hi[words >= RUN_WORDS], words[words >= RUN_WORDS]
+    enough = upto[hi] - upto[lo] >= RUN_WORDS
+    return lo[enough], hi[enough]
 
 
 def _excise(batches):
@@ -136,21 +160,26 @@ def _excise(batches):
             keepers = flat.field("kept").to_numpy(zero_copy_only=False)
             order = np.argsort(marks_of)
 
-            long, row, digest, _ = _digested(u)
+            since, upto, row, digest, _ = _digested(u)
             own = rows.column("doc").to_numpy(zero_copy_only=False)
             key = _of_text(row, digest)
-            _, first_at = np.unique(key, return_index=True)
-            again = np.ones(len(key), bool)
-            again[first_at] = False
+            _, first_at, which = np.unique(key, return_index=True, return_inverse=True)
+            again = since >= upto[first_at[which]]
             place = np.minimum(np.searchsorted(marks_of, key, sorter=order), max(len(order) - 1, 0))
             known = marks_of[order[place]] == key if len(order) else np.zeros(len(key), bool)
-            flagged = np.zeros(len(u.start) - 1, bool)
-            flagged[long] = again | known
-            keeper = np.zeros(len(flagged), np.int64)
-            keeper[long] = own[row]
-            keeper[long[known]] = keepers[order[place[known]]] if len(order) else 0
-
-            lo, hi, n_words = _runs(flagged, np.diff(u.word), u.first[:-1][u.first[:-1] < u.first[1:]])
+            kept_in = own[row]
+            kept_in[known] = keepers[order[place[known]]] if len(order) else 0
+            flagged, keeper = np.zeros(len(u.size), bool), np.zeros(len(u.size), np.int64)
+            hit = np.flatnonzero(again | known)
+            single = upto[hit] - since[hit] == 1
+            for some in (hit[~single][::-1], hit[single]):      # of several, the first that holds a unit names its keeper; a unit's own digest comes before them
+                n = upto[some] - since[some]
+                at = np.repeat(since[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                flagged[at] = True
+                keeper[at] = np.repeat(kept_in[some], n)
+
+            lo, hi = _runs(flagged, u.size, u.first[:-1][u.first[:-1] < u.first[1:]])
+            n_words = u.word[hi] - u.word[lo]
             spans, cleaned = _cut_out(u, lo, hi, n_words, keeper[lo], rows.column("text"))
             yield pa.RecordBatch.from_arrays([rows.column("row"), pa.array(cleaned, pa.string()), pa.array(spans, span)], ["row", "cleaned", "spans"])
 

@@ -2,7 +2,7 @@
 
 Texts stay the UTF-8 bytes of their Arrow array.  Byte tables say which bytes
 belong to words and what they fold to (all separators are ASCII, so bytes
-decide alone).  A running sum of ``code[byte] * B**position`` (mod 2**64)
+decide alone, but for the marks that a caller names).  A running sum of ``code[byte] * B**position`` (mod 2**64)
 gives every word's hash as a difference, taken back to position 0 by the
 inverse power, and mixed.  The same trick hashes runs of words.
 """
@@ -99,8 +99,21 @@ def text_bytes(texts) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def hash_words(texts, table: np.ndarray) -> Words:
-    """Words of an Arrow string array, A-Z folded."""
+def _marked(b: np.ndarray, marks) -> np.ndarray:
+    """Places of the bytes of the characters ``marks`` (UTF-8 tells where a character begins)."""
+    out = np.zeros(len(b), bool)
+    for m in marks:
+        at = np.flatnonzero(b[:max(0, len(b) - len(m) + 1)] == m[0])
+        for k in range(1, len(m)):
+            at = at[b[at + k] == m[k]]
+        for k in range(len(m)):
+            out[at + k] = True
+    return out
+
+
+def hash_words(texts, table: np.ndarray, marks: tuple[bytes, ...] = ()) -> Words:
+    """Words of an Arrow string array, A-Z folded.  ``marks`` are characters
+    beyond ASCII that end words too."""
     data, offsets = text_bytes(texts)
     inner = offsets[1:-1]
     inner = inner[(inner > 0) & (inner < len(data))]
@@ -116,6 +129,8 @@ def hash_words(texts, table: np.ndarray) -> Words:
             to = min(to + SEGMENT, len(data))
         b = data[at:to]
         word = table[b]
+        if marks and b.max() > 127:
+            word &= ~_marked(b, marks)
         cut = inner[np.searchsorted(inner, at, "right"):np.searchsorted(inner, to)] - at
         begins, ends = word.copy(), word.copy()
         begins[1:] &= ~word[:-1]

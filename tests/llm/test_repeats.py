@@ -112,3 +112,31 @@ def test_segments_of_long_words(monkeypatch):
     parts = wordhash.hash_words(texts, wordhash.LETTERS)
     assert (whole.hash == parts.hash).all() and (whole.start == parts.start).all() and (whole.first == parts.first).all()
     assert whole.hash[0] == whole.hash[-1]
+
+
+def test_passages_of_short_lines_go(spark):
+    rng = random.Random(10)
+    menu = "\n".join(f"dish{i}q {i} euro" for i in range(40))
+    refrain = "\n".join(["la la la"] * 30)
+    mixed = "\n".join(f"item{i}z costs" + " rather much in the end" * (i % 4 == 0) for i in range(24))
+    docs = [(i, f"{prose(rng, 30)}\n{p}\n{prose(rng, 30)}") for i, p in enumerate([menu, menu, mixed, mixed])] + [(9, refrain)]
+    got = {r["doc_id"]: r for r in R.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, p in ((0, menu), (2, mixed)):
+        assert got[i]["text"] == docs[i][1]
+        assert [s["kept_doc_id"] for s in got[i + 1]["removed"]] == [i]
+        (s,) = got[i + 1]["removed"]
+        assert docs[i + 1][1][s["start"]:s["stop"]].strip() == p
+    assert got[9]["text"].split() == ["la"] * 12        # the first of its windows stays whole
+
+
+def test_passages_without_blanks_go(spark):
+    rng = random.Random(11)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+    lines = "\n".join(han(25) for _ in range(12))
+    sentences = "".join(han(rng.randrange(5, 30)) + rng.choice("。！？") for _ in range(12))
+    docs = [(0, lines), (1, f"{han(30)}\n{lines}\n{han(30)}"), (2, f"{han(20)}。{sentences}{han(20)}。"), (3, f"{han(40)}。{sentences}{han(40)}。")]
+    got = {r["doc_id"]: r["text"] for r in R.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[0] == docs[0][1] and got[2] == docs[2][1]
+    assert not any(x in got[1] for x in lines.split("\n"))
+    # A short sentence at an end has no neighbour that is short, and may stay.
+    assert len(got[3]) <= 82 + 60 and sentences[30:-30] not in got[3]
