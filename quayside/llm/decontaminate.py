@@ -159,7 +159,9 @@ def _shingles(words: np.ndarray, size: int) -> np.ndarray:
 
 
 def _regions(live: np.ndarray, longest: int):
-    """(from, to) stretches of shingles that hold every window with a live one."""
+    """(from, to) stretches of shingles that hold every window with a live
+    one; two windows long at least, whatever the size of the items."""
+    size = max(REGION, 2 * longest)
     at = np.flatnonzero(live)
     if not len(at):
         return
@@ -167,10 +169,10 @@ def _regions(live: np.ndarray, longest: int):
     for a, b in zip(at[np.append(0, cuts + 1)], at[np.append(cuts, len(at) - 1)]):
         lo, end = max(0, int(a) - longest + 1), min(len(live), int(b) + longest)
         while lo < end:
-            yield lo, min(end, lo + REGION)
-            if lo + REGION >= end:
+            yield lo, min(end, lo + size)
+            if lo + size >= end:
                 break
-            lo += REGION - longest
+            lo += size - longest
 
 
 def _search(batches, index: Index):

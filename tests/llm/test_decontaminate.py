@@ -1,4 +1,5 @@
 import collections
+import itertools
 import random
 
 import numpy as np
@@ -80,3 +81,23 @@ def test_blocks_find_every_fingerprint_within_the_radius():
     prints = np.concatenate([rng.integers(0, 1 << 64, 300, dtype=np.uint64), *(s.prints[k:k + 1] ^ np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, n, replace=False).astype(np.uint64)) for k in range(8) for n in range(1, 30))])
     want = {(w, i) for w in range(len(prints)) for i in range(8) if int(np.bitwise_count(prints[w] ^ s.prints[i])) <= D.RADIUS}
     assert set(zip(*(x.tolist() for x in s.candidates(prints)))) == want
+
+
+def test_items_longer_than_a_region(monkeypatch):
+    monkeypatch.setattr(D, "REGION", 64)
+    for longest in (10, 63, 64, 65, 200):
+        found = list(itertools.islice(D._regions(np.ones(1000, bool), longest), 1000))
+        assert len(found) < 1000
+        assert all(any(lo <= a and a + longest <= hi for lo, hi in found) for a in range(1000 - longest + 1))
+    rng = random.Random(7)
+    item, other = prose(rng, 300, 3000), prose(rng, 20, 3000)
+    index = D.Index([(0, item), (1, other)])
+    doc = prose(rng, 150, 3000) + " " + item + " " + item + " " + other + " " + prose(rng, 500, 3000)
+    w = D.hash_words(texts(doc), D.LETTERS)
+    assert sorted(index.search(w.hash)) == [(0, 150, 300, 1.0), (1, 750, 20, 1.0)]
+
+
+def texts(*every):
+    import pyarrow as pa
+
+    return pa.array(every, pa.string())
