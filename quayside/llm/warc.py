@@ -48,7 +48,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 FILE_BYTES = 1 << 30       # bytes after which a task starts another file
 RANGE_BYTES = 16 << 20     # bytes of a reading task's range
-HEAD_BYTES = 1 << 20       # longest record header that the reader takes for one
+HEAD_BYTES = 1 << 20       # bytes read on at first where a header's end isn't in the range; then more and more
+MOST_BYTES = 64 << 20      # and at most at once
+NAME_BYTES = 1 << 10       # a header's line has its colon within so many bytes
 BATCH_BYTES = 8 << 20      # payload bytes in a batch of read records
 
 FILES = "path string, n_bytes bigint, n_records bigint"
@@ -130,29 +132,43 @@ class _Range:
         self.f, self.lo, self.size = f, lo, f.size()
         f.seek(lo)
         self.data = f.read(min(hi + len(MAGIC), self.size) - lo)
+        self.ends = 0, -1       # no HEAD_END stands between the first and the second
+
+    def head_end(self, at: int) -> int:
+        """Offset of the first ``HEAD_END`` at or behind ``at``; the file's
+        size if there is none."""
+        if not self.ends[0] <= at <= self.ends[1]:
+            found = self.data.find(HEAD_END, at - self.lo)
+            self.ends = at, self.lo + found if found >= 0 else self._later_end(max(at, self.lo + len(self.data) - len(HEAD_END) + 1))
+        return self.ends[1]
+
+    def _later_end(self, at: int) -> int:
+        step = HEAD_BYTES
+        while at + len(HEAD_END) <= self.size:
+            self.f.seek(at)
+            more = self.f.read(step)
+            if (found := more.find(HEAD_END)) >= 0:
+                return at + found
+            at, step = at + len(more) - len(HEAD_END) + 1, min(2 * step, MOST_BYTES)
+        return self.size
 
     def head(self, at: int) -> tuple[dict[str, str], int] | None:
         """(fields, offset of the block) if a well-formed header stands at ``at``."""
+        # What has no field names is no header, however far its end may be.
         a = at - self.lo
         end = self.data.find(HEAD_END, a, a + HEAD_BYTES)
-        head = self.data[a:end]
-        if end < 0:
-            if self.lo + len(self.data) >= min(at + HEAD_BYTES, self.size):
-                return None
-            self.f.seek(at)
-            more = self.f.read(HEAD_BYTES)
-            if (end := more.find(HEAD_END)) < 0:
-                return None
-            head, end = more[:end], end + a
-        if not head.startswith(MAGIC[:-2]):
+        lines = self.data[a:end if end >= 0 else a + HEAD_BYTES].split(b"\r\n")
+        if lines[0] != MAGIC[:-2] or any(b":" not in x for x in lines[1:-1]) or (len(lines[-1]) > NAME_BYTES and b":" not in lines[-1][:NAME_BYTES]):
+            return None
+        if (end := self.head_end(at)) == self.size:
             return None
         fields = {}
-        for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        for line in self.block(at, end).decode("utf-8", "replace").split("\r\n")[1:]:
             name, colon, value = line.partition(":")
             if not colon:
                 return None
             fields[name.strip().lower()] = value.strip()
-        return fields, self.lo + end + len(HEAD_END)
+        return fields, end + len(HEAD_END)
 
     def record(self, at: int) -> tuple[dict[str, str], int, int] | None:
         """(fields, block from, block to); None if no record can stand here."""
@@ -191,25 +207,27 @@ def _candidates(batches):
                     if got := r.record(lo + at):
                         found.append((lo + at, got[2] + len(RECORD_END)))
                     at = r.data.find(MAGIC, at + 1)
-            leaves: dict[int, int] = {}
+            leaves: dict[int, tuple[int, int]] = {}
             for at, after in reversed(found):
                 if after >= hi:
-                    leaves[at] = after
+                    leaves[at] = after, 1
                 elif after in leaves:
-                    leaves[at] = leaves[after]
+                    leaves[at] = leaves[after][0], leaves[after][1] + 1
             n = len(leaves)
             yield pa.RecordBatch.from_pydict({
                 "path": pa.array([path] * n, pa.string()), "offset": pa.array(leaves, pa.int64()),
-                "leaves": pa.array(leaves.values(), pa.int64()), "hi": pa.array([hi] * n, pa.int64())})
+                "leaves": pa.array([x for x, _ in leaves.values()], pa.int64()), "hi": pa.array([hi] * n, pa.int64()),
+                "records": pa.array([x for _, x in leaves.values()], pa.int64())})
 
 
 def chain_entries(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """path, offset, hi: for each byte range that the true chain enters, the
-    first record of it."""
+    first record of it.  A chain that doesn't lead from a file's start to its
+    end, or has another number of records than the file, is an error."""
     spark = files.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     most = files.agg(F.max("n_bytes")).first()[0] or 0
-    candidates = _ranges(files, range_bytes).repartition(tasks).mapInArrow(_candidates, "path string, offset bigint, leaves bigint, hi bigint").checkpoint()
+    candidates = _ranges(files, range_bytes).repartition(tasks).mapInArrow(_candidates, "path string, offset bigint, leaves bigint, hi bigint, records bigint").checkpoint()
     enters = candidates.select("path", F.col("leaves").alias("offset")).distinct()
     nodes = (candidates.join(enters, ["path", "offset"], "left_semi")
              .unionByName(candidates.filter("offset = 0")).distinct().checkpoint())
@@ -221,7 +239,12 @@ def chain_entries(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
             jump = jump.join(far, ["path", "leaves"]).select("path", "offset", F.col("farther").alias("leaves")).checkpoint()
         reached = (reached.join(jump, ["path", "offset"]).select("path", F.col("leaves").alias("offset"))
                    .unionByName(reached).distinct().checkpoint())
-    return nodes.join(reached, ["path", "offset"], "left_semi").select("path", "offset", "hi")
+    chain = nodes.join(reached, ["path", "offset"], "left_semi").checkpoint()
+    ends = chain.groupBy("path").agg(F.max("leaves").alias("ends"), F.sum("records").alias("records"))
+    whole = F.col("ends").eqNullSafe(F.col("n_bytes")) & F.col("records").eqNullSafe(F.col("n_records"))
+    if broken := files.filter("n_bytes > 0").join(ends, "path", "left").filter(~whole).select("path", "n_bytes", "n_records", "ends", "records").take(3):
+        raise ValueError(f"the records of an archive don't lead to its end, or aren't as many as were written: {broken}")
+    return chain.select("path", "offset", "hi")
 
 
 def read_warc(files: DataFrame, range_bytes: int = RANGE_BYTES, with_payload: bool = True) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from helpers import with_clashes
 
 from quayside.llm import warc
@@ -52,3 +53,22 @@ def test_several_files_a_task(spark, monkeypatch):
 def test_no_pages(spark):
     files = warc.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), scratch_path(spark, "w"))
     assert warc.read_warc(files).collect() == []
+
+
+def test_headers_of_any_length(spark):
+    """Urls of more bytes than the reader takes at once: alone, before and behind others, in a revisit."""
+    long, body = "http://h.org/" + "é" * 400_000, "x" * 1500
+    rows = [(1, "u", "one"), (2, long, "two" + FAKE), (3, long, body), (4, long, body), (5, "u", "WARC/1.1\r\n" * 3000), (6, "u", "WARC/1.1\r\n" + "y" * 3000)]
+    files = warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), scratch_path(spark, "w"))
+    assert files.first()["n_bytes"] > 5 * warc.HEAD_BYTES
+    for size in (5000, 1 << 24):
+        got = warc.read_warc(files, range_bytes=size).collect()
+        assert sorted((r["page_id"], r["payload_bytes"], r["payload_digest"], r["warc_type"], -1 if r["refers_to"] is None else r["refers_to"]) for r in got) == want(rows)
+        assert {len(r["target_uri"]) for r in got if r["page_id"] in (2, 3, 4)} == {13 + 6 * 400_000}
+
+
+def test_a_broken_archive_is_an_error(spark):
+    files = warc.write_warc(spark.createDataFrame(pages(), "page_id long, url string, html string").coalesce(1), scratch_path(spark, "w"))
+    for wrong in (files.withColumn("n_records", files["n_records"] + 1), files.withColumn("n_bytes", files["n_bytes"] - 10)):
+        with pytest.raises(ValueError):
+            warc.read_warc(wrong, range_bytes=5000).collect()
