@@ -204,22 +204,29 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
         before, now = now, now * GROWTH
 
 
+def texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, text: that of the row that stands for each of ``nodes`` (node,
+    doc_id, text_hash).  Null and repeated ids are told apart by the text."""
+    nodes = nodes.select("node", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    return rows.join(nodes, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))).select("node", "text")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs`` (doc_id, text): doc_id, text_hash (tells
     rows of equal doc_id apart), n_shingles, component (its least node; null
     for an empty set) and component_id."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = written(rows.withColumn("text_hash", F.xxhash64("text"))
-                      .mapInArrow(_sign, "doc_id bigint, text_hash bigint, n bigint, node binary, bands array<bigint>"), "signed")
-    nodes = written(signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    signed = written(rows.mapInArrow(_sign, "doc_id bigint, text_hash bigint, n bigint, node binary, bands array<bigint>"), "signed")
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    nodes = written(signed.filter("n > 0").groupBy("node").agg(smallest.alias("k"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+                     .select("node", "k.doc_id", "k.text_hash", "n", "bands"), "nodes")
 
     banded = nodes.select(F.explode("bands").alias("band"), "node", "n")
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = written(banded.join(shared, "band"), "members")
 
-    wanted = members.select("node").distinct().join(nodes.select("node", F.col("doc_id").alias("wanted")), "node")
-    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted"))).select("node", "text")
-    sets = written(texts.mapInArrow(_sets, "node binary, found binary, hashes array<bigint>, sketch array<bigint>")
+    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node")
+    sets = written(texts_of(rows, wanted).mapInArrow(_sets, "node binary, found binary, hashes array<bigint>, sketch array<bigint>")
                     .filter("node = found").drop("found").dropDuplicates(["node"]), "sets")
 
     component = connected_components(_links(members, sets), "u", "v")

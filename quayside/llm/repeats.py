@@ -8,8 +8,8 @@ is normalised to its words (letters and digits, A-Z folded), and digested.
    ``UNIT_WORDS`` words of a document.  Shorter units (lists, verse, menus) are
    digested together with their neighbours: from each unit on, and up to each,
    as many as make ``RUN_WORDS`` words, if two or more of them are short.
-2. Digests are grouped globally; the smallest doc_id is the earliest ranked
-   occurrence.  It is a minimum taken before the shuffle, and only digests of
+2. Digests are grouped globally; the smallest doc_id (then hash of the text)
+   is the earliest ranked occurrence.  It is a minimum taken before the shuffle, and only digests of
    two documents or more are joined back with the rows; a digest that a third
    of all documents hold is split by adaptive execution.
 3. The digests that a document repeats (at most its own units) meet its text
@@ -22,9 +22,9 @@ Scripts without blanks: a sentence mark of theirs ends a unit, and a long word
 counts as several (one for each ``WORD_BYTES`` bytes beyond the first).
 
 Nulls and the like: null and empty texts have no units and stay as they are.
-Null doc_ids rank last.  Rows of one doc_id (null too) are one document in the
-ranking: what they share with each other stays in each.  Only repeated passages
-go, never rows.
+Null doc_ids rank last.  Rows of one doc_id (null too) rank by a hash of their
+texts; of rows with equal doc_id and text any one is the first, and what the
+others hold is repeated.  Only repeated passages go, never rows.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 from .columns import packed, unpacked
+from .storage import written
 from .wordhash import LETTERS, Words, blocks, hash_runs, hash_words, mix
 
 UNIT_WORDS = 4             # shorter units are no evidence alone, but may stand inside a run
@@ -120,7 +121,7 @@ def _digests(batches):
             _, _, row, d1, d2 = _digested(cut(rows.column("text")))
             _, once = np.unique(_of_text(row, d1), return_index=True)
             yield pa.RecordBatch.from_pydict({
-                "d1": d1[once].view(np.int64), "d2": d2[once].view(np.int64), "doc": rows.column("doc").take(pa.array(row[once]))})
+                "d1": d1[once].view(np.int64), "d2": d2[once].view(np.int64), **{c: rows.column(c).take(pa.array(row[once])) for c in ("doc", "hash")}})
 
 
 def _runs(flagged: np.ndarray, size: np.ndarray, firsts: np.ndarray):
@@ -164,7 +165,7 @@ def _excise(batches):
             own = rows.column("doc").to_numpy(zero_copy_only=False)
             key = _of_text(row, digest)
             _, first_at, which = np.unique(key, return_index=True, return_inverse=True)
-            again = since >= upto[first_at[which]]
+            again = (since >= upto[first_at[which]]) | rows.column("copy").to_numpy(zero_copy_only=False)[row]
             place = np.minimum(np.searchsorted(marks_of, key, sorter=order), max(len(order) - 1, 0))
             known = marks_of[order[place]] == key if len(order) else np.zeros(len(key), bool)
             kept_in = own[row]
@@ -208,24 +209,45 @@ def _cut_out(u: Units, lo, hi, n_words, keeper, texts) -> tuple[list[list], list
     return spans, cleaned
 
 
+def _keys(docs: DataFrame) -> list:
+    """text, doc (``NO_ID`` for a null doc_id) and hash of the rows."""
+    text = F.col("text").cast("string")
+    return [text.alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("hash")]
+
+
 def repeated_digests(docs: DataFrame) -> DataFrame:
-    """doc, marks (digest, doc in which it stays) of each document that holds
-    units of earlier ones; doc is the doc_id, ``NO_ID`` for null."""
+    """doc, hash, marks (digest, doc in which it stays) of each document that
+    holds units of earlier ones."""
     spark = docs.sparkSession
-    path, schema = scratch_path(spark, "repeats-units"), "d1 bigint, d2 bigint, doc bigint"
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
-    rows.mapInArrow(_digests, schema).write.parquet(path)
+    path, schema = scratch_path(spark, "repeats-units"), "d1 bigint, d2 bigint, doc bigint, hash bigint"
+    docs.select(*_keys(docs)).mapInArrow(_digests, schema).write.parquet(path)
     units = spark.read.schema(schema).parquet(path)
-    earliest = units.groupBy("d1", "d2").agg(F.min("doc").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return units.join(earliest, ["d1", "d2"]).filter("doc > kept").groupBy("doc").agg(F.collect_set(F.struct("d1", "kept")).alias("marks"))
+    rank = F.struct("doc", "hash")
+    earliest = units.groupBy("d1", "d2").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    return (units.join(earliest, ["d1", "d2"]).filter(rank > F.col("first"))
+            .groupBy("doc", "hash").agg(F.collect_set(F.struct("d1", F.col("first.doc").alias("kept"))).alias("marks")))
+
+
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``: whether another row of the same doc and text
+    comes before."""
+    repeated = written(rows.filter("text <> ''").groupBy("doc", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "repeated-rows")
+    none = F.lit(False).alias("copy")
+    if repeated.isEmpty():
+        return rows.select("*", none)
+    # Written, so that a row has one place for all who ask.
+    several = written(rows.join(repeated, ["doc", "hash"], "left_semi").withColumn("place", F.monotonically_increasing_id()), "repeated-texts")
+    first = several.groupBy("doc", "hash").agg(F.min("place").alias("first"))
+    several = several.join(first, ["doc", "hash"]).withColumn("copy", F.col("place") > F.col("first"))
+    return rows.join(repeated, ["doc", "hash"], "left_anti").select(*rows.columns, none).unionByName(several.select(*rows.columns, "copy"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) with ``text`` freed of repeated passages, and
     ``removed``: their spans in the original text (characters, words) with the
     doc_id in which the passage stays.  A column named so is replaced."""
-    rows = (docs.select(packed(docs, ["removed"]), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"))
-            .join(repeated_digests(docs), "doc", "left").select("row", "text", "doc", "marks"))
+    rows = (_told_apart(docs.select(packed(docs, ["removed"]), *_keys(docs)))
+            .join(repeated_digests(docs), ["doc", "hash"], "left").select("row", "text", "doc", "copy", "marks"))
     schema = T.StructType([rows.schema["row"], T.StructField("cleaned", T.StringType()), T.StructField("spans", T.ArrayType(SPAN))])
     out = rows.mapInArrow(_excise, schema)
     return unpacked(out.withColumn("row", F.col("row").withField("text", F.col("cleaned"))), F.col("spans").alias("removed"))

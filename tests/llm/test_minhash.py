@@ -68,3 +68,14 @@ def test_connected_components(spark):
         parent[max(a, b)] = min(a, b)
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "x long, y long"), "x", "y").collect()}
     assert got == {x: find(x) for e in edges for x in e if e[0] != e[1]}
+
+
+def test_rows_without_id_meet_their_own_nodes_only(spark):
+    rng = random.Random(6)
+    base = prose(rng, 80)
+    rows = [(None if i % 2 else 3, edited(rng, base, 2)) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "xxhash64(text) AS text_hash")
+    nodes = df.selectExpr("md5(text) AS node", "doc_id", "text_hash")
+    got = M.texts_of(df, nodes).collect()
+    assert len(got) == 40 and len({r["node"] for r in got}) == 40
+    check(spark, rows)

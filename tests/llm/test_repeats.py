@@ -140,3 +140,14 @@ def test_passages_without_blanks_go(spark):
     assert not any(x in got[1] for x in lines.split("\n"))
     # A short sentence at an end has no neighbour that is short, and may stay.
     assert len(got[3]) <= 82 + 60 and sentences[30:-30] not in got[3]
+
+
+def test_rows_of_one_id_hold_a_passage_once(spark):
+    rng = random.Random(12)
+    passage = prose(rng, 60)
+    for i in (None, 7):
+        docs = [(i, f"{prose(rng, 27)}\n{passage}\n{prose(rng, 27)}") for _ in range(5)] + [(i, passage)] * 3 + [(i, None), (i, None), (i, "")]
+        got = R.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+        middle = passage.split(". ")[3]
+        assert len(got) == len(docs) and sum(middle in (r["text"] or "") for r in got) == 1
+        assert {s["kept_doc_id"] for r in got for s in r["removed"]} == {i}
