@@ -11,7 +11,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.codecs import CODEC_CLASSES, codec_spellings
@@ -27,6 +27,7 @@ from ..sources.feeds import (FEEDS_FROM_NATION_SQL, FEEDS_FROM_SUPPLIER_SQL, fee
                              feeds_from_region, feeds_from_supplier)
 from ..sources.records import events_as_records
 from ..sources.tables import read_table
+from .sizing import sized
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -229,19 +230,47 @@ def q_landed_manifest(spark, sf):
     recs = damaged_records(spark, sf)
     feeds = feeds_from_region(read_table(spark, sf, "region"))
     m = land_batch(recs, feeds, scratch_path(spark, "landed-feeds"), delay_seconds=HOUR_DELAY_S)
-    back = files.read_back(m)
-    sent = (recs.filter(routing.record_status("value") == "ok").join(feeds.select(F.col("id").alias("feed_id"), F.col("topics").alias("topic"), "isWriteLineBreaks"), "topic")
-            .groupBy("feed_id", F.date_trunc("hour", "timestamp").alias("bucket_start"))
-            .agg(F.sort_array(F.collect_list(F.struct("partition", "offset", F.concat(F.col("value").cast("string"), F.when(F.col("isWriteLineBreaks") == 1, "\n").otherwise("")).alias("t")))).alias("rows"))
-            .select("feed_id", "bucket_start", F.array_join(F.transform("rows", lambda x: x["t"]), "").alias("text")))
-    landed = (m.join(back, "path").groupBy("feed_id", "bucket_dir", "bucket_start", F.regexp_extract("path", r"\.0(\.[a-z0-9]+)?$", 1).alias("extension"))
+    hour = ["feed_id", "bucket_start"]
+    bytes_ = F.concat(F.col("value").cast("string"), F.when(F.col("isWriteLineBreaks") == 1, "\n").otherwise(""))
+    sent = sized(recs.filter(routing.record_status("value") == "ok").join(feeds.select(F.col("id").alias("feed_id"), F.col("topics").alias("topic"), "isWriteLineBreaks"), "topic")
+                 .groupBy("feed_id", F.date_trunc("hour", "timestamp").alias("bucket_start"), "partition", F.floor(F.col("offset") / CHECK_OFFSETS).alias("chunk"))
+                 .agg(F.sort_array(F.collect_list(F.struct("offset", bytes_.alias("t")))).alias("rows"))
+                 .select(*hour, "partition", "chunk", F.array_join(F.transform("rows", lambda x: x["t"]), "").cast("binary").alias("body"))
+                 .withColumn("n", F.octet_length("body").cast("bigint")), "sent")
+    chunk = ["partition", "chunk"]
+    want = _cells(sent.join(_places(sent, hour, chunk, "n"), [*hour, *chunk]), hour, "want")
+    got = _cells(files.read_back(m).join(_places(m, hour, ["path"], "n_bytes"), "path"), hour, "got")
+    checked = (got.join(want, [*hour, "cell"], "full").groupBy(*hour)
+               .agg(F.sum(F.octet_length("got")).cast("bigint").alias("bytes_on_disk"), F.bool_and(F.col("got").eqNullSafe(F.col("want"))).alias("in_order")))
+    landed = (m.groupBy("feed_id", "bucket_dir", "bucket_start", F.regexp_extract("path", r"\.0(\.[a-z0-9]+)?$", 1).alias("extension"))
               .agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n_records", "n_chars", "n_bytes")], F.min("first_offset").alias("first_offset"),
-                   F.max("last_offset").alias("last_offset"), F.max("complete").alias("complete"),
-                   F.sum(F.octet_length("body")).cast("bigint").alias("bytes_on_disk"),
-                   F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("path", "body"))), lambda x: x["body"].cast("string")), "").alias("text")))
-    return (landed.withColumnRenamed("text", "got").join(sent, ["feed_id", "bucket_start"])
-            .select("feed_id", "bucket_dir", _ntz("bucket_start"), "extension", "n_records", "n_chars", "n_bytes", "first_offset", "last_offset",
-                    "complete", "bytes_on_disk", (F.col("got") == F.col("text")).alias("in_order")))
+                   F.max("last_offset").alias("last_offset"), F.max("complete").alias("complete")))
+    return (landed.join(checked, hour, "left")
+            .select("feed_id", "bucket_dir", _ntz("bucket_start"), "extension", "n_records", "n_chars", "n_bytes", "first_offset", "last_offset", "complete",
+                    F.coalesce("bytes_on_disk", F.lit(0).cast("bigint")).alias("bytes_on_disk"), F.coalesce("in_order", F.lit(True)).alias("in_order")))
+
+
+# What is sent and what landed are compared in cells of so many bytes; the sent records are joined over so many offsets.
+CELL_BYTES = 64 << 10
+CHECK_OFFSETS = 1000
+
+
+def _places(rows: DataFrame, hour: list[str], order: list[str], size: str) -> DataFrame:
+    """``start``: the bytes of a feed's hour before each of its parts."""
+    in_turn = Window.partitionBy(*hour).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.select(*hour, *order, F.coalesce(F.sum(size).over(in_turn), F.lit(0)).alias("start"))
+
+
+def _cells(rows: DataFrame, hour: list[str], name: str) -> DataFrame:
+    """The bytes (``name``) of each cell of a feed's hour, from parts of any
+    size: ``body`` at byte ``start``."""
+    start, end = F.col("start"), F.col("start") + F.octet_length("body")
+    lo, hi = (lambda c: F.greatest(c * CELL_BYTES, start)), (lambda c: F.least((c + 1) * CELL_BYTES, end))
+    piece = lambda c: F.substring("body", (lo(c) - start + 1).cast("int"), (hi(c) - lo(c)).cast("int")).cast("string")
+    cells = F.sequence(F.floor(start / CELL_BYTES), F.floor((end - 1) / CELL_BYTES))
+    pieces = rows.filter(F.octet_length("body") > 0).select(*hour, F.inline(F.transform(cells, lambda c: F.struct(c.alias("cell"), lo(c).alias("at"), piece(c).alias("piece")))))
+    return (pieces.groupBy(*hour, "cell").agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("p"))
+            .select(*hour, "cell", F.array_join(F.transform("p", lambda x: x["piece"]), "").alias(name)))
 
 
 # ---------------------------------------------------------------- metrics
@@ -574,7 +603,7 @@ def _landed_query(spark, sf, codec):
     return lines.select("value", "topic", "d", "h", F.col("line_no").cast("bigint").alias("line_no"))
 
 
-# Lines of a bucket in the order of partition and offset (a bucket is one file at this size).
+# Lines of a bucket in the order of partition and offset, over all its files.
 LANDED_SQL = f"""WITH {REC} SELECT value, topic, {D} AS d, {H} AS h,
        row_number() OVER (PARTITION BY topic, {D}, {H} ORDER BY "partition", "offset") - 1 AS line_no FROM rec WHERE value IS NOT NULL"""
 

@@ -25,11 +25,12 @@ def sized(df: DataFrame, name: str = "side") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clustered(df: DataFrame, *columns: str) -> DataFrame:
+def clustered(df: DataFrame, *columns: str, order: tuple[str, ...] = ()) -> DataFrame:
     """Rows with equal ``columns`` together, for a write by those columns.
 
     A large input is rebalanced: tasks are sized by bytes and a hot value is
-    cut over several.  Rebalancing would put a small one into a single task,
+    cut over several.  With ``order`` it is cut by ranges of those columns, so
+    that a value's tasks follow each other in that order.  Rebalancing would put a small one into a single task,
     though its many files cost more than its bytes; it is dealt to all cores.
     """
     spark = df.sparkSession
@@ -37,4 +38,6 @@ def clustered(df: DataFrame, *columns: str) -> DataFrame:
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size < cores * SMALL_TASK_BYTES:
         return df.repartition(cores, *columns)
+    if order:
+        return df.repartitionByRange(*columns, *order)    # neighbours are joined by bytes, if small
     return df.hint("rebalance", *columns)

@@ -206,7 +206,8 @@ def write_files(rows: DataFrame, root: str, dead: str, manifest: str, tag: str,
     read from ``manifest``.
 
     ``cluster="rebalance"`` (batches, history) brings a file's rows together,
-    sized by bytes, a hot bucket cut over several tasks; ``"none"`` (live
+    sized by bytes, a hot bucket cut over several tasks whose files follow each
+    other in that order by their numbers; ``"none"`` (live
     micro-batches) writes where the rows are.  Rows are in order of partition
     and offset inside every file either way."""
     def write(batches):
@@ -223,7 +224,7 @@ def write_files(rows: DataFrame, root: str, dead: str, manifest: str, tag: str,
     arrow = to_arrow_schema(schema)     # times in UTC, as the session's
     rows = rows.select(*FILE_COLUMNS)
     if cluster != "none":
-        rows = clustered(rows, "dir", "name")
+        rows = clustered(rows, *FILE_ORDER[:2], order=tuple(FILE_ORDER[2:]))
     rows.sortWithinPartitions(*FILE_ORDER).mapInArrow(write, schema).write.mode("overwrite").parquet(manifest)
     return rows.sparkSession.read.schema(schema).parquet(manifest)
 

@@ -7,11 +7,11 @@ streams), which replaces the old write-``.tmp``-then-rename dance.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codecs import resolve_codec_py
-from ..plans.sizing import clustered
+from ..plans.sizing import clustered, sized
 
 PARTITION_COLUMNS = ["d", "h"]
 
@@ -29,8 +29,8 @@ def write_text(df: DataFrame, path: str, text_col: str = "text", codec: str | No
     ``cluster`` says how rows meet their bucket's writer:
 
     * ``"rebalance"`` (batch, replays of history): a bucket's rows come
-      together; partitions are sized by bytes (adaptive execution's advisory
-      size) and a hot bucket is cut over several tasks.
+      together; partitions are sized by bytes and a hot bucket is cut over
+      several tasks, whose files follow each other in order.
     * ``"none"`` (live micro-batches): no shuffle.  A micro-batch of one
       Kafka partition spans one or two hours, so each task already writes
       about one file per bucket; compaction merges completed hours later.
@@ -56,7 +56,7 @@ def prepare_for_write(df: DataFrame, text_col: str = "text", partition_by: list[
     by = [c for c in order if c in df.columns and c not in partition_by]
     d = df.select(F.col(text_col).alias("value"), *partition_by, *by)
     if cluster != "none" and partition_by:
-        d = clustered(d, *partition_by)
+        d = clustered(d, *partition_by, order=tuple(by))
     return d.sortWithinPartitions(*partition_by, *by).select("value", *partition_by)
 
 
@@ -66,8 +66,14 @@ def read_landed(spark, path: str, partition_types: str = "d string, h string") -
 
 
 def read_landed_lines(spark, path: str, partition_types: str = "d string, h string") -> DataFrame:
-    """Landed lines with their place in their file (``line_no`` from 0)."""
+    """Landed lines with their place in their bucket (``line_no`` from 0).  A
+    bucket's files follow each other by their tasks' numbers: of one write."""
     files = (spark.read.schema(f"value string, {partition_types}").text(path, wholetext=True))
     keys = [c for c in files.columns if c != "value"]
-    body = F.regexp_replace("value", r"\n\z", "")
-    return files.select(*keys, F.posexplode(F.split(body, "\n")).alias("line_no", "value"))
+    files = files.withColumn("_file", F.col("_metadata.file_path"))
+    lines = F.split(F.regexp_replace("value", r"\n\z", ""), "\n")
+    in_turn = Window.partitionBy(*keys).orderBy(F.regexp_extract("_file", r"part-(\d+)-[^/]*$", 1).cast("bigint"), "_file")
+    before = F.coalesce(F.sum("n").over(in_turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ahead = sized(files.select(*keys, "_file", F.size(lines).alias("n")).select("_file", before.alias("ahead")), "lines-ahead")
+    return (files.join(ahead, "_file").select(*keys, "ahead", F.posexplode(lines).alias("place", "value"))
+            .select(*keys, (F.col("ahead") + F.col("place")).alias("line_no"), "value"))

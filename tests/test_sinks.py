@@ -1,11 +1,13 @@
 """Sinks: text and gzip round trips, raw concatenation bytes, dead letter,
 batch landing with feeds, and idempotent replay of a micro-batch."""
 
+import contextlib
 import glob
 import gzip
 import os
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -230,3 +232,40 @@ def test_live_micro_batch_lands_without_shuffle(spark, scratch):
     back_fill = prepare_for_write(lines, "value", parts)._jdf.queryExecution().executedPlan()
     assert "Exchange" not in live
     assert "Exchange hashpartitioning(topic" in back_fill.toString()
+
+
+@contextlib.contextmanager
+def many_tasks(spark):
+    """No joining of small tasks: a bucket is cut as a hot one is."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("name", ["landed_roundtrip", "landed_roundtrip_gz", "landed_manifest"])
+def test_landing_of_many_files_a_bucket_gives_the_same(spark, monkeypatch, name):
+    from quayside.plans import catalog, sizing
+
+    few = sorted(map(str, catalog.QUERIES[name](spark, SF001).collect()))
+    monkeypatch.setattr(sizing, "SMALL_TASK_BYTES", 1)
+    monkeypatch.setattr(catalog, "CELL_BYTES", 50)
+    monkeypatch.setattr(catalog, "CHECK_OFFSETS", 7)
+    with many_tasks(spark):
+        many = sorted(map(str, catalog.QUERIES[name](spark, SF001).collect()))
+    assert few == many and "in_order=False" not in "".join(many)
+
+
+def test_lines_of_a_hot_bucket_are_numbered_over_its_files(spark, scratch, monkeypatch):
+    from quayside.plans import sizing
+    from quayside.sinks import text
+
+    monkeypatch.setattr(sizing, "SMALL_TASK_BYTES", 1)
+    rows = spark.range(5000).selectExpr("cast(id AS string) AS text", "if(id % 75 = 0, 'c', 'd') AS d", "if(id % 50 = 0, 'x', 'hot') AS h", "cast(id DIV 2000 AS int) AS partition", "id AS offset").repartition(5)
+    with many_tasks(spark):
+        text.write_text(rows, f"{scratch}/hot")
+    assert spark.read.text(f"{scratch}/hot/d=d/h=hot").selectExpr("_metadata.file_path AS f").distinct().count() > 3
+    got = sorted((r["line_no"], int(r["value"])) for r in text.read_landed_lines(spark, f"{scratch}/hot").collect() if (r["d"], r["h"]) == ("d", "hot"))
+    want = [i for i in range(5000) if i % 50 and i % 75]
+    assert got == list(enumerate(want))
