@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 from ..sources.tables import read_table
-from . import decontaminate, langid, license_scan, minhash, neighbours, packing, repeats, token_files, url_rules, warc
+from . import bpe, decontaminate, importance, langid, license_scan, minhash, neighbours, packing, repeats, token_files, url_rules, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -149,3 +149,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+@query("op11_importance")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = read_table(spark, sf_dir, "documents").select("doc_id", bpe.encoded(F.col("text"), tokenizer_path()).alias("ids"))
+    both = ids.select("doc_id", "ids", bpe.decoded(F.col("ids"), tokenizer_path()).alias("decoded"))
+    decimals = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(decimals.cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
