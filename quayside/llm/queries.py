@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 from ..sources.tables import read_table
-from . import bpe, decontaminate, importance, langid, license_scan, minhash, neighbours, packing, repeats, token_files, url_rules, warc
+from . import bpe, decontaminate, importance, langid, license_scan, minhash, neighbours, packing, phrases, repeats, token_files, url_rules, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -164,3 +164,31 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     decimals = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(decimals.cast("binary"), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+PHRASES_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') AS ws FROM p),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) v(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, f AS a, k, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cut AS (SELECT lang, phrase, a, ws, k, unnest(range(1, k)) AS cut_at FROM c),
+scored AS (
+  SELECT cut.lang, cut.phrase, a, cut_at, l.f AS l, r.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = array_to_string(ws[1:cut_at], ' ')
+           JOIN f r ON r.lang = cut.lang AND r.phrase = array_to_string(ws[cut_at + 1:cut.k], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1),
+part AS (SELECT lang, a, k, ws, unnest(range(2, k)) AS m FROM c WHERE k > 2),
+inside AS (SELECT lang, a, m, ws, unnest(range(1, k - m + 2)) AS i FROM part),
+around AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM inside GROUP BY 1, 2),
+kept AS (SELECT best.* FROM best LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query("op13_phrases", PHRASES_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))

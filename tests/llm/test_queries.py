@@ -14,6 +14,9 @@ COLUMNS = {
     "op7_": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op8_": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op10_": {"doc_id": "bigint"},
+    "op11_": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
+    "op12_": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+    "op13_": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint"},
 }
 
 
@@ -32,7 +35,7 @@ def test_query_gives_its_columns(spark, prefix):
     types = dict(got.dtypes)
     assert {c: types.get(c) for c in COLUMNS[prefix]} == COLUMNS[prefix]
     n = spark.read.parquet(f"{SF001}/documents.parquet").count()
-    if prefix in ("op1_", "op7_", "op8_"):
+    if prefix in ("op1_", "op7_", "op8_", "op11_", "op12_"):
         assert got.count() == n
 
 
