@@ -5,9 +5,7 @@
 * ``roll_by_size`` / ``roll_by_interval`` - greedy rolls: a file closes once
   it holds at least ``limit`` bytes (the record that crosses stays in it), or
   once a record arrives ``limit`` seconds after the file's first record.
-  Greedy rolls are sequential inside a bucket; rows are clustered by bucket,
-  sorted, and streamed through an Arrow kernel that carries (bucket, seq,
-  fill) across batches - constant memory per task.
+  A bucket of any size runs on all tasks (see ``greedy``).
 * ``idle_sessions`` - a file idles out ``gap`` after its last write
   (time slices, linked chunk by chunk: no window over a whole key).
 * ``hours_complete`` - hours the watermark has passed.
@@ -17,9 +15,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..plans.sizing import sized
+from .greedy import greedy_roll
 from .sequence import chunked_row_number, offset_chunk, DEFAULT_CHUNK
 
 
@@ -31,88 +29,17 @@ def roll_by_count(df: DataFrame, n: int, keys: list[str],
     return ranked.withColumn("roll_seq", F.floor((F.col("_rn") - 1) / n).cast("bigint")).drop("_rn")
 
 
-def _greedy_kernel(keys: list[str], kind: str, limit: int, measure: str):
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        cur, seq, fill, anchor = None, 0, 0, 0
-        for b in batches:
-            n = b.num_rows
-            if n == 0:
-                yield b.append_column("roll_seq", pa.array([], pa.int64()))
-                continue
-            cols = [b.column(k) for k in keys]
-            m = pc.fill_null(b.column(measure).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
-            out = np.empty(n, dtype=np.int64)
-            change = np.zeros(n, dtype=bool)
-            change[0] = True
-            for c in cols:
-                a, z = c.slice(1), c.slice(0, n - 1)
-                neq = pc.or_kleene(pc.not_equal(a, z), pc.xor(pc.is_null(a), pc.is_null(z)))
-                change[1:] |= np.asarray(pc.fill_null(neq, False).to_numpy(zero_copy_only=False), dtype=bool)
-            starts = np.flatnonzero(change).tolist()
-            ends = starts[1:] + [n]
-            for s, e in zip(starts, ends):
-                key = tuple(c[s].as_py() for c in cols)
-                i = s
-                if key != cur:
-                    cur, seq, fill = key, 0, 0
-                    anchor = m[s]
-                if kind == "size":
-                    csum = np.cumsum(m[s:e])
-                    while i < e:
-                        if fill >= limit:
-                            seq, fill = seq + 1, 0
-                        prev = csum[i - s - 1] if i > s else 0
-                        # first j >= i where fill + csum[j] - prev >= limit
-                        j = int(np.searchsorted(csum, limit - fill + prev, side="left")) + s
-                        j = max(j, i)
-                        if j >= e:
-                            out[i:e] = seq
-                            fill = fill + int(csum[e - s - 1] - prev)
-                            i = e
-                        else:
-                            out[i:j + 1] = seq
-                            fill = fill + int(csum[j - s] - prev)
-                            i = j + 1
-                else:  # interval, m holds microseconds in order
-                    seg = m[s:e]
-                    while i < e:
-                        if m[i] >= anchor + limit:
-                            seq, anchor = seq + 1, m[i]
-                        j = int(np.searchsorted(seg, anchor + limit, side="left")) + s
-                        j = max(j, i + 1)
-                        out[i:j] = seq
-                        i = j
-            yield b.append_column("roll_seq", pa.array(out, pa.int64()))
-    return run
-
-
-def greedy_roll(df: DataFrame, keys: list[str], order: list[str], measure: str,
-                kind: str, limit: int) -> DataFrame:
-    """Cluster by bucket, sort, then stream the Arrow kernel."""
-    from ..session import ship_package
-
-    ship_package(df.sparkSession)
-    schema = T.StructType(df.schema.fields + [T.StructField("roll_seq", T.LongType(), False)])
-    return (df.repartition(*keys)
-            .sortWithinPartitions(*keys, *order)
-            .mapInArrow(_greedy_kernel(keys, kind, limit, measure), schema))
-
-
 def roll_by_size(df: DataFrame, limit_bytes: int, keys: list[str],
-                 order: tuple[str, ...] = ("offset", "partition"), size_col: str = "n_bytes") -> DataFrame:
+                 order: tuple[str, ...] = ("offset", "partition"), size_col: str = "n_bytes", parts: int | None = None) -> DataFrame:
     """Rows of unknown size (rejected records) land nowhere, so they roll
     nothing and are left out."""
-    return greedy_roll(df.filter(F.col(size_col).isNotNull()), keys, list(order), size_col, "size", limit_bytes)
+    return greedy_roll(df.filter(F.col(size_col).isNotNull()), keys, list(order), size_col, "size", limit_bytes, parts)
 
 
 def roll_by_interval(df: DataFrame, seconds: int, keys: list[str], clock: str = "timestamp",
-                     order: tuple[str, ...] = ("offset", "partition")) -> DataFrame:
+                     order: tuple[str, ...] = ("offset", "partition"), parts: int | None = None) -> DataFrame:
     d = df.filter(F.col(clock).isNotNull()).withColumn("_us", F.unix_micros(F.col(clock).cast("timestamp")))
-    return greedy_roll(d, keys, ["_us", *order], "_us", "interval", seconds * 1_000_000).drop("_us")
+    return greedy_roll(d, keys, ["_us", *order], "_us", "interval", seconds * 1_000_000, parts).drop("_us")
 
 
 DAY_US = 86_400 * 1_000_000

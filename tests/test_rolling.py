@@ -7,10 +7,11 @@ paths that the oracle queries (one chunk, one batch) do not reach.
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators import metrics, rolling
+from quayside.operators import greedy, metrics, rolling
 from quayside.operators.sequence import chunked_row_number
 
 
@@ -98,6 +99,59 @@ def test_roll_by_interval_matches_greedy(spark, small_batches, secs):
     assert got == _greedy_interval(rows, secs)
 
 
+@pytest.mark.parametrize("parts,fan", [(5, 64), (30, 3)])
+def test_a_bucket_cut_over_parts_rolls_as_one(spark, parts, fan):
+    """One bucket holds most rows and lies in many parts, whose tables are
+    composed over several levels; some keys are null, some rows empty."""
+    rows = _rows(600, keys=("a", "a", "a", "a", "a", "b", None), min_size=0)
+    rows = [(t, p, o, 0 if o % 5 == 0 else sz, ts) for t, p, o, sz, ts in rows]
+    df = spark.createDataFrame(rows, SCHEMA)
+    named = [(r[0] or "", *r[1:]) for r in rows]
+    by = {"size": ["offset", "partition"], "interval": ["us", "offset", "partition"]}
+    df = df.withColumn("us", F.unix_micros("timestamp"))
+    for kind, measure, limit in [("size", "n_bytes", n) for n in (30, 1500)] + [("interval", "us", 7200 * 1_000_000)]:
+        rolled = greedy.greedy_roll(df, ["topic"], by[kind], measure, kind, limit, parts, fan)
+        want = _greedy_size(named, limit) if kind == "size" else _greedy_interval(named, limit / 1_000_000)
+        assert {(r.topic or "", r.partition, r.offset): r.roll_seq for r in rolled.collect()} == want
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_transfer_tables_compose(seed):
+    """Tables of random places, equal ones among them, against a walk over all rows."""
+    rnd = np.random.default_rng(seed)
+    x = np.sort(rnd.integers(0, 400, 200)) * 3
+    for limit in (1, 7, 50, 5000):
+        cuts = np.sort(rnd.choice(np.arange(1, 200), 12, replace=False))
+        parts = [p for p in np.split(x, cuts) if len(p)]
+        tables = [greedy.transfer(p, limit) for p in parts[1:]]
+        whole = greedy.composed(tables, int(parts[1][0]), limit)
+        for anchor in parts[0][parts[0] + limit > parts[0][-1]]:
+            rolls, at = 0, anchor
+            for v in np.concatenate(parts[1:]):
+                if v >= at + limit:
+                    rolls, at = rolls + 1, v
+            got = greedy.through(whole, np.zeros(1, np.int64), np.array([anchor]), limit)
+            assert (int(got[0][0]), int(got[1][0])) == (rolls, at)
+
+
+def test_a_large_bucket_uses_all_tasks(spark):
+    """A third of all rows in one bucket: no part reads much more than the others."""
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"), "id", (F.col("id") % 97).alias("n"))
+    rolled = greedy.greedy_roll(df, ["k"], ["id"], "n", "size", 5000, 12)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert rolled.filter("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count() >= 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = [(r.n, r.roll_seq) for r in rolled.filter("k = 'hot'").orderBy("id").collect()]
+    seq = fill = 0
+    for n, got in hot:
+        if fill >= 5000:
+            seq, fill = seq + 1, 0
+        fill += n
+        assert got == seq
+
+
 @pytest.mark.parametrize("chunk", [1, 5, 64, 1 << 20])
 def test_chunked_row_number(spark, chunk):
     rows = _rows(300)
