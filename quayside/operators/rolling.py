@@ -116,3 +116,37 @@ def hours_complete(records: DataFrame, delay_seconds: int = 3600, keys: list[str
     return (hourly.filter(F.col("w.end") <= watermark)
             .select(*keys, F.col("w.start").cast("timestamp_ntz").alias("hour_start"),
                     F.col("w.end").cast("timestamp_ntz").alias("hour_end"), "n_records"))
+
+
+def low_marks(clocks: DataFrame, idle_seconds: float | None, by: tuple[str, ...] = (), now=None, silent: str = "clock") -> DataFrame:
+    """(by, low): the smallest ``clock`` of the partitions that are not idle.
+
+    A partition is idle when its ``silent`` column lies more than
+    ``idle_seconds`` behind ``now`` (by default the latest of its group).
+    When all are, the latest clock counts: nothing is on its way.  An empty
+    table without ``by`` gives one row, null."""
+    by = list(by)
+    if now is not None:
+        edge, rows = F.lit(now).cast("timestamp"), clocks
+    elif by:
+        edge, rows = F.col("_edge"), clocks.join(clocks.groupBy(*by).agg(F.max(silent).alias("_edge")), by)
+    else:
+        edge, rows = clocks.agg(F.max(silent)).scalar(), clocks
+    active = F.lit(True) if idle_seconds is None else F.col(silent) >= edge - F.make_interval(secs=F.lit(idle_seconds))
+    return rows.groupBy(*by).agg(F.coalesce(F.min(F.when(active, F.col("clock"))), F.max("clock")).alias("low"))
+
+
+def hours_complete_low(records: DataFrame, delay_seconds: int = 3600, idle_seconds: float | None = None, clock: str = "timestamp") -> DataFrame:
+    """Hourly counts by topic for the hours that every partition of the topic
+    has passed: its low watermark is the smallest latest clock of the
+    partitions that are not idle (``idle_seconds`` behind the topic's latest),
+    less the delay.  A slow partition holds an hour open, a silent one doesn't."""
+    c = F.col(clock).cast("timestamp")
+    # A row for each partition and hour: counts and clocks come from one scan.
+    hourly = sized(records.groupBy("topic", "partition", F.date_trunc("hour", c).alias("hour"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.max(c).alias("clock")), "hours")
+    low = low_marks(hourly.groupBy("topic", "partition").agg(F.max("clock").alias("clock")), idle_seconds, ("topic",))
+    end = F.col("hour") + F.expr("INTERVAL 1 HOUR")
+    return (hourly.groupBy("topic", "hour").agg(F.sum("n").alias("n_records")).join(low, "topic")
+            .filter(end <= F.col("low") - F.make_interval(secs=F.lit(delay_seconds)))
+            .select("topic", F.col("hour").cast("timestamp_ntz").alias("hour_start"), end.cast("timestamp_ntz").alias("hour_end"), "n_records"))

@@ -8,7 +8,6 @@ clock = ts, value = props.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -421,26 +420,34 @@ def q_hours_complete(spark, sf):
     return rolling.hours_complete(records(spark, sf), HOUR_DELAY_S)
 
 
-REPLAY_FILES = 3
+REPLAY_RUNS = 3
 
 
-def _replayed_events(spark, sf, copies: int = 1):
-    """The events as a stream that delivers history newest first: a file for
-    each third of their time, one file a micro-batch; ``copies`` times over,
-    so that copies come in different batches."""
+def replay_newest_first(spark, sf, start, copies: int = 1, keep=None) -> None:
+    """The events as a stream that delivers history newest first: a third of
+    their time is recorded (in as many files as Spark makes) and then taken by
+    one run of the same query, as one micro-batch; ``copies`` times over, so
+    that copies come in different batches.  ``start`` makes the
+    ``availableNow`` query of a record stream; ``keep`` (run -> condition)
+    leaves rows out of a run, they come in one more run at the end."""
     from ..sources.records import replay_stream
+    from ..streaming.partials import finished
 
     configure(spark)
     events = read_table(spark, sf, "events")
     folder = scratch_path(spark, "replay")
-    lo, hi = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
-    third = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo)) * REPLAY_FILES / F.lit(hi - lo + 1))
-    for c in range(copies):
-        for part in reversed(range(REPLAY_FILES)):
-            events.filter(third == part).coalesce(1).write.parquet(f"{folder}/copy={c}/part={part}")
-            time.sleep(0.05)    # files are read in the order of their times
-    stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
-    return events_as_records(stream.option("pathGlobFilter", "*.parquet").parquet(folder))
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(us), F.max(us)).first()
+    third = F.floor((us - F.lit(lo)) * REPLAY_RUNS / F.lit(hi - lo + 1))
+    held = F.lit(False)
+    runs = []
+    for part in reversed(range(REPLAY_RUNS)):
+        wanted = keep(part) if keep else F.lit(True)
+        runs.append((third == part) & wanted)
+        held = held | ((third == part) & ~wanted)
+    for condition in (runs + [held] if keep else runs) * copies:
+        events.filter(condition).write.mode("append").parquet(folder)
+        finished(start(events_as_records(replay_stream(spark, folder, events.schema))))
 
 
 @query("hours_complete_stream", f"""WITH {REC},
@@ -452,11 +459,69 @@ def q_hours_complete_stream(spark, sf):
     batches is behind the watermark and still counts for its hour."""
     from ..streaming import partials
 
-    out = scratch_path(spark, "hours-stream")
-    partials.finished(partials.accumulate(_replayed_events(spark, sf), partials.hour_partials(), out, scratch_path(spark, "ckpt"), {"availableNow": True}))
+    out, chk = scratch_path(spark, "hours-stream"), scratch_path(spark, "ckpt")
+    replay_newest_first(spark, sf, lambda r: partials.accumulate(r, partials.hour_partials(), out, chk, {"availableNow": True}))
     return partials.hours_published(spark, out, HOUR_DELAY_S).drop("n_late")
 
 
+# Partitions that lag: partition 2 of every topic by days, partition 1 of one topic fell silent.
+SLOW_DAYS, SILENT_DAYS, IDLE_DAYS = 3, 15, 7
+LAGGING = f"""lag AS (SELECT * FROM rec
+  WHERE NOT ("partition" = 2 AND ts > (SELECT max(ts) FROM rec) - INTERVAL {SLOW_DAYS} DAY)
+    AND NOT ("partition" = 1 AND topic = 'error' AND ts > (SELECT max(ts) FROM rec) - INTERVAL {SILENT_DAYS} DAY)),
+c AS (SELECT topic, "partition", max(ts) AS clock FROM lag GROUP BY 1, 2),
+h AS (SELECT topic, date_trunc('hour', ts) AS hour_start, count(*) AS n_records FROM lag GROUP BY 1, 2)"""
+
+
+def _lagging(r: DataFrame, top) -> DataFrame:
+    after = lambda days: F.col("timestamp") > F.lit(top) - F.make_interval(days=F.lit(days))
+    slow = (F.col("partition") == 2) & after(SLOW_DAYS)
+    silent = (F.col("partition") == 1) & (F.col("topic") == "error") & after(SILENT_DAYS)
+    return r.filter(~slow & ~silent)
+
+
+@query("hours_complete_low", f"""WITH {REC}, {LAGGING},
+e AS (SELECT topic, max(clock) AS edge FROM c GROUP BY 1),
+low AS (SELECT topic, min(clock) AS low FROM c JOIN e USING (topic) WHERE clock >= edge - INTERVAL {IDLE_DAYS} DAY GROUP BY 1)
+SELECT topic, hour_start, hour_start + INTERVAL 1 HOUR AS hour_end, n_records FROM h JOIN low USING (topic)
+WHERE hour_start + INTERVAL 1 HOUR <= low - INTERVAL {HOUR_DELAY_S} SECOND""")
+def q_hours_complete_low(spark, sf):
+    """No hour is complete that a slow partition has not passed; a partition
+    silent for a week holds none open."""
+    r = records(spark, sf)
+    return rolling.hours_complete_low(_lagging(r, r.agg(F.max("timestamp")).first()[0]), HOUR_DELAY_S, IDLE_DAYS * 86400)
+
+
+@query("hours_complete_low_stream", f"""WITH {REC}, {LAGGING}
+SELECT topic, hour_start, hour_start + INTERVAL 1 HOUR AS hour_end, n_records FROM h
+WHERE hour_start + INTERVAL 1 HOUR <= (SELECT min(clock) FROM c) - INTERVAL {HOUR_DELAY_S} SECOND""")
+def q_hours_complete_low_stream(spark, sf):
+    """The same in a stream, newest third first: the smallest clock over all
+    partitions, kept in the progress table from batch to batch."""
+    from ..streaming import partials
+
+    out, chk = scratch_path(spark, "low-stream"), scratch_path(spark, "ckpt")
+    top = records(spark, sf).agg(F.max("timestamp")).first()[0]
+    replay_newest_first(spark, sf, lambda r: partials.accumulate(_lagging(r, top), partials.hour_partials(), out, chk, {"availableNow": True}, by_partition=True))
+    return partials.hours_published(spark, out, HOUR_DELAY_S, by_partition=True).drop("n_late")
+
+
+@query("group_split_stream", f"""WITH {REC}, {assigned(FEEDS_FROM_NATION_SQL)}
+SELECT a.group_id, r.topic, r."partition", r."offset", a.feed_id
+FROM rec r JOIN a ON r.topic = a.topic AND r."partition" = a.part""")
+def q_group_split_stream(spark, sf):
+    """Consumer groups over four micro-batches, of which two lack partitions:
+    every record goes to the member that owns its partition in the full table."""
+    from ..streaming import partials
+
+    feeds = feeds_from_nation(read_table(spark, sf, "nation"))
+    out, chk = scratch_path(spark, "groups-stream"), scratch_path(spark, "ckpt")
+    partition = F.col("user_id") % 3
+    replay_newest_first(spark, sf, lambda r: partials.start_group_split(r, feeds, out, chk, {"availableNow": True}),
+                        keep=lambda run: partition <= {2: 2, 1: 0, 0: 1}[run])
+    return spark.read.parquet(out).select("group_id", "topic", "partition", "offset", "feed_id")
+
+
 @query("idle_sessions_stream", f"""WITH {REC},
 a AS (SELECT topic, ts, lag(ts) OVER (PARTITION BY topic ORDER BY ts) AS prev FROM rec),
 b AS (SELECT *, CASE WHEN prev IS NULL OR ts - prev >= INTERVAL {IDLE_MINUTES} MINUTE THEN 1 ELSE 0 END AS new
@@ -472,9 +537,9 @@ def q_idle_sessions_stream(spark, sf):
     the watermark passes its idle close; late records lengthen it)."""
     from ..streaming import partials
 
-    out = scratch_path(spark, "sessions-stream")
+    out, chk = scratch_path(spark, "sessions-stream"), scratch_path(spark, "ckpt")
     gap = IDLE_MINUTES * 60
-    partials.finished(partials.accumulate(_replayed_events(spark, sf), partials.slice_partials(gap), out, scratch_path(spark, "ckpt"), {"availableNow": True}))
+    replay_newest_first(spark, sf, lambda r: partials.accumulate(r, partials.slice_partials(gap), out, chk, {"availableNow": True}))
     return partials.sessions_published(spark, out, gap, HOUR_DELAY_S)
 
 
@@ -485,8 +550,8 @@ def q_dedup_offsets_stream(spark, sf):
     history newest first."""
     from ..streaming import partials
 
-    out = scratch_path(spark, "dedup-stream")
-    partials.finished(partials.start_dedup(_replayed_events(spark, sf, copies=2), out, scratch_path(spark, "ckpt"), {"availableNow": True}))
+    out, chk = scratch_path(spark, "dedup-stream"), scratch_path(spark, "ckpt")
+    replay_newest_first(spark, sf, lambda r: partials.start_dedup(r, out, chk, {"availableNow": True}), copies=2)
     return spark.read.parquet(out).select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
 
 
@@ -637,10 +702,9 @@ def q_concat_bytes(spark, sf):
 @query("stream_landing", f"""WITH {REC} SELECT value, topic, {D} AS d, {H} AS h FROM rec WHERE value IS NOT NULL""")
 def q_stream_landing(spark, sf):
     from ..streaming.landing import start_landing_batches
-    from ..streaming.partials import finished
 
-    out = scratch_path(spark, "stream-out")
-    finished(start_landing_batches(_replayed_events(spark, sf), out, scratch_path(spark, "ckpt"), trigger={"availableNow": True}, cluster="rebalance"))
+    out, chk = scratch_path(spark, "stream-out"), scratch_path(spark, "ckpt")
+    replay_newest_first(spark, sf, lambda r: start_landing_batches(r, out, chk, trigger={"availableNow": True}, cluster="rebalance"))
     return (text.read_landed(spark, out, "batch_id string, topic string, d string, h string")
             .select("value", "topic", "d", "h"))
 

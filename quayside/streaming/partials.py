@@ -20,17 +20,24 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.offsets import KEY
 from ..operators.rolling import session_slices, sessions_of_slices
+from ..operators.routing import group_split
+from . import progress
 
 Partial = Callable[[DataFrame], DataFrame]
 
 
-def accumulate(records: DataFrame, partial: Partial, path: str, checkpoint: str,
-               trigger: dict | None = None) -> StreamingQuery:
-    """Start a stream that writes ``partial(micro-batch)`` to ``path``."""
+def accumulate(records: DataFrame, partial: Partial, path: str, checkpoint: str, trigger: dict | None = None,
+               by_partition: bool = False, idle_seconds: float | None = None) -> StreamingQuery:
+    """Start a stream that writes ``partial(micro-batch)`` to ``path``, with
+    ``passed``: the mark of the batches before (``progress.mark``), whose
+    versions lie in ``path/_progress``."""
     root = path.rstrip("/")
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        partial(batch).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        passed = progress.mark(progress.version(spark, f"{root}/_progress", batch_id - 1), idle_seconds, by_partition)
+        progress.advance(batch, f"{root}/_progress", batch_id)
+        partial(batch).withColumn("passed", F.lit(passed).cast("timestamp")).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "20 seconds"})).start())
@@ -51,21 +58,26 @@ def hour_partials(clock: str = "timestamp") -> Partial:
                           .agg(F.count(F.lit(1)).alias("n_records"), F.max(c).alias("max_clock")))
 
 
-def hours_published(spark: SparkSession, path: str, delay_seconds: int) -> DataFrame:
+def latest_progress(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of the stream's progress."""
+    versions = spark.read.schema(f"{progress.SCHEMA}, batch_id int").parquet(f"{path.rstrip('/')}/_progress")
+    return versions.filter(F.col("batch_id") == versions.agg(F.max("batch_id")).scalar())
+
+
+def hours_published(spark: SparkSession, path: str, delay_seconds: int, by_partition: bool = False,
+                    idle_seconds: float | None = None, now=None) -> DataFrame:
     """topic, hour_start, hour_end, n_records of the hours that the watermark
     has passed, late records included, and ``n_late``: those that came in
-    batches after the hour was passed."""
+    batches after the hour was passed.  ``by_partition`` and ``idle_seconds``
+    as the stream was started with; ``now`` (the time of asking) lets
+    partitions become idle though no batch comes any more."""
     p = spark.read.parquet(path)
     delay = F.make_interval(secs=F.lit(delay_seconds))
-    batches = p.groupBy("batch_id").agg(F.max("max_clock").alias("clock"))
-    before = (batches.alias("b").join(batches.alias("e"), F.col("e.batch_id") < F.col("b.batch_id"), "left")
-              .groupBy(F.col("b.batch_id").alias("batch_id")).agg((F.max("e.clock") - delay).alias("passed")))
     end = F.col("hour_start") + F.expr("INTERVAL 1 HOUR")
-    late = F.when(end <= F.col("passed"), F.col("n_records")).otherwise(0)
-    hours = (p.join(before, "batch_id").groupBy("topic", "hour_start")
-             .agg(F.sum("n_records").cast("bigint").alias("n_records"), F.sum(late).cast("bigint").alias("n_late")))
-    watermark = p.agg(F.max("max_clock") - delay).scalar()
-    return (hours.filter(end <= watermark)
+    late = F.when(end <= F.col("passed") - delay, F.col("n_records")).otherwise(0)
+    hours = p.groupBy("topic", "hour_start").agg(F.sum("n_records").cast("bigint").alias("n_records"), F.sum(late).cast("bigint").alias("n_late"))
+    low = progress.mark(latest_progress(spark, path), idle_seconds, by_partition, now)
+    return (hours.filter(end <= F.lit(low).cast("timestamp") - delay)
             .select("topic", F.col("hour_start").cast("timestamp_ntz").alias("hour_start"), end.cast("timestamp_ntz").alias("hour_end"), "n_records", "n_late"))
 
 
@@ -104,3 +116,20 @@ def start_dedup(records: DataFrame, path: str, checkpoint: str, trigger: dict |
 
     return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "20 seconds"})).start())
+
+
+# ------------------------------------------------------------- consumer groups
+
+def start_group_split(records: DataFrame, feeds: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                      known: DataFrame | None = None) -> StreamingQuery:
+    """Deliver each record once for each consumer group, to the member that
+    owns its partition.  Owners follow from all partitions seen so far (and
+    those ``known``: topic, n_parts), so they stay when a batch lacks some."""
+    root = path.rstrip("/")
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        seen = progress.advance(batch, f"{root}/_progress", batch_id, known)
+        group_split(batch, feeds, progress.partition_totals(seen)).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+
+    return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "20 seconds"})).start())

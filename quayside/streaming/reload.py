@@ -26,6 +26,7 @@ from ..plans.landing import land_batch
 from ..plans.sizing import sized
 from ..schemas import FEED_COLUMNS
 from ..sources.feeds import subscription
+from . import progress
 from .windows import observed
 
 log = logging.getLogger(__name__)
@@ -66,19 +67,6 @@ class FeedReloader:
         return new
 
 
-def _clock_path(manifest_path: str, batch_id: int) -> str:
-    return f"{manifest_path}/_clock/batch_id={batch_id}"
-
-
-def clock_before(spark: SparkSession, manifest_path: str, batch_id: int):
-    """Latest clock of all batches before ``batch_id`` (None at first): what
-    the batch before has left, so a batch that is delivered again, or a
-    restart from an older checkpoint, finds the same watermark."""
-    if batch_id == 0:
-        return None
-    return spark.read.schema("clock timestamp").parquet(_clock_path(manifest_path, batch_id - 1)).first()["clock"]
-
-
 def feed_counters(manifest: DataFrame) -> DataFrame:
     """Messages, chars and the flow text of each feed in a manifest."""
     return (manifest.groupBy("feed_id").agg(F.sum("n_records").cast("bigint").alias("messages"), F.sum("n_chars").cast("bigint").alias("chars"))
@@ -89,33 +77,39 @@ def start_feed_landing(records: DataFrame, reloader: FeedReloader, out_path: str
                        manifest_path: str | None = None, dead_letter_path: str | None = None,
                        trigger: dict | None = None, transform=None, late_delay_seconds: int = 3600,
                        cluster: str = "none", on_counters: Callable[[int, list], None] | None = None,
-                       on_feeds: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+                       on_feeds: Callable[[DataFrame], None] | None = None,
+                       topic_partitions: Callable[[SparkSession], DataFrame] | None = None, idle_seconds: float | None = 3600) -> StreamingQuery:
     """Stream landing with per-batch config reload.  Batch N lands into
     ``out_path/batch_id=N``, its rejected records into
     ``dead_letter_path/batch_id=N`` and its manifest into
     ``manifest_path/batch_id=N`` (folders beside ``out_path`` by default), all
     overwritten when the batch comes again.
 
-    Rows behind the watermark (latest clock of earlier batches less
-    ``late_delay_seconds``) land in their own hour and are counted
-    (``n_late``).  ``on_counters`` gets each batch's counters by feed,
+    Who of a consumer group gets a partition, and the watermark, follow from
+    the progress table (``progress``; version N under
+    ``manifest_path/_progress``), not from what the batch holds.
+    ``topic_partitions`` may report the topics' partitions (topic, n_parts),
+    so that the first batch need not show them all.
+
+    Rows behind the watermark (smallest latest clock of the partitions that
+    are not idle, less ``late_delay_seconds``) land in their own hour and are
+    counted (``n_late``).  ``on_counters`` gets each batch's counters by feed,
     ``on_feeds`` the feeds it was landed with."""
     root = out_path.rstrip("/")
     manifests = (manifest_path or f"{root}-manifest").rstrip("/")
     dead = (dead_letter_path or f"{root}-rejected").rstrip("/")
+    versions = f"{manifests}/_progress"
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         feeds = reloader.refresh(spark)
-        seen = clock_before(spark, manifests, batch_id)
-        mark = seen - dt.timedelta(seconds=late_delay_seconds) if seen else None
-        late = F.coalesce(F.col("timestamp").cast("timestamp") < F.lit(mark), F.lit(False)) if mark else F.lit(False)
-        top = batch.agg(F.max(F.col("timestamp").cast("timestamp"))).first()[0]
-        now = max((c for c in (seen, top) if c is not None), default=None)
+        seen = progress.mark(progress.version(spark, versions, batch_id - 1), idle_seconds)
+        now = progress.advance(batch, versions, batch_id, topic_partitions(spark) if topic_partitions else None)
+        before, after = (m - dt.timedelta(seconds=late_delay_seconds) if m else None for m in (seen, progress.mark(now, idle_seconds)))
+        late = F.coalesce(F.col("timestamp").cast("timestamp") < F.lit(before), F.lit(False)) if before else F.lit(False)
         manifest = land_batch(batch.withColumn("late", late), feeds, f"{root}/batch_id={batch_id}", f"{dead}/batch_id={batch_id}",
                               transform=transform, mode="overwrite", cluster=cluster, manifest_path=f"{manifests}/batch_id={batch_id}",
-                              watermark=now - dt.timedelta(seconds=late_delay_seconds) if now else None)
-        spark.createDataFrame([(now,)], "clock timestamp").coalesce(1).write.mode("overwrite").parquet(_clock_path(manifests, batch_id))
+                              watermark=after, partitions=progress.partition_totals(now))
         if on_counters:
             on_counters(batch_id, feed_counters(manifest).collect())
         if on_feeds:

@@ -17,11 +17,11 @@ def _stream(spark):
 
 def test_late_records_change_published_hours(spark, scratch):
     """Newest first: what comes behind the watermark is counted, as late."""
-    from quayside.plans.catalog import _replayed_events
+    from quayside.plans.catalog import replay_newest_first
     from quayside.streaming import partials
 
     out = os.path.join(scratch, "hours")
-    partials.finished(partials.accumulate(_replayed_events(spark, SF001), partials.hour_partials(), out, os.path.join(scratch, "c"), {"availableNow": True}))
+    replay_newest_first(spark, SF001, lambda r: partials.accumulate(r, partials.hour_partials(), out, os.path.join(scratch, "c"), {"availableNow": True}))
     assert spark.read.parquet(out).select("batch_id").distinct().count() == 3
     got = partials.hours_published(spark, out, 3600)
     want = rolling.hours_complete(events_as_records(read_table(spark, SF001, "events")), 3600)
