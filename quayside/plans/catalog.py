@@ -19,7 +19,7 @@ from ..functions.coerce import allowed_value, first_failure, null_defaults, try_
 from ..functions.text import fill_template as fill_template_col
 from ..functions.timefmt import BAD_LETTER_CLASS, iso_utc
 from ..operators import feeds as feed_ops
-from ..operators import metrics, offsets, rolling, routing, tables
+from ..operators import metrics, offsets, ranges, rolling, routing, tables
 from ..session import configure, scratch_path
 from ..sinks import files, raw, text
 from ..sources.feeds import (FEEDS_FROM_NATION_SQL, FEEDS_FROM_SUPPLIER_SQL, feeds_from_nation,
@@ -347,6 +347,34 @@ def q_dedup_offsets(spark, sf):
             .select("topic", "partition", "offset", F.col("value").cast("string").alias("value")))
 
 
+# Offsets with long runs: the good ones of damaged records, numbered through, a partition for every thousand.
+RUNS = f"""{REC}, {DAMAGED}, good AS (SELECT 'all' AS topic, CAST("offset" // 1000 % 3 AS INTEGER) AS "partition", "offset" FROM bad WHERE reason = 'ok')"""
+ISLANDS = """SELECT topic, "partition", min("offset") AS lo, max("offset") AS hi
+FROM (SELECT *, "offset" - row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS run FROM good)
+GROUP BY topic, "partition", run"""
+
+
+def _runs(r: DataFrame) -> DataFrame:
+    good = r.filter((F.col("offset") % LOST != 0) & (F.col("offset") % BROKEN != 0))
+    return good.withColumns({"topic": F.lit("all"), "partition": (F.floor(F.col("offset") / 1000) % 3).cast("int")})
+
+
+@query("landed_ranges", f"WITH {RUNS} {ISLANDS}")
+def q_landed_ranges(spark, sf):
+    return ranges.ranges_of(_runs(records(spark, sf)))
+
+
+@query("landed_ranges_stream", f"WITH {RUNS} {ISLANDS}")
+def q_landed_ranges_stream(spark, sf):
+    """The state of a stream that lands every offset once: all records
+    delivered twice, history newest first."""
+    from ..streaming import partials
+
+    out, chk = scratch_path(spark, "ranges-stream"), scratch_path(spark, "ckpt")
+    replay_newest_first(spark, sf, lambda r: partials.start_dedup(_runs(r), out, chk, {"availableNow": True}), copies=2)
+    return partials.landed_ranges(spark, out)
+
+
 # ---------------------------------------------------------------- rolling
 
 ROLL_ROWS = f"""r AS (SELECT topic, {D} AS d, "partition", "offset", ts,

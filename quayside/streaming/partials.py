@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import ranges
 from ..operators.offsets import KEY
 from ..operators.rolling import session_slices, sessions_of_slices
 from ..operators.routing import group_split
@@ -100,24 +101,29 @@ def sessions_published(spark: SparkSession, path: str, gap_seconds: int, delay_s
 
 def start_dedup(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Land each (topic, partition, offset) once, however late its copies
-    come: a batch lands what no earlier batch has landed.  Earlier rows are
-    read by key alone and only in the batch's range of offsets."""
+    come: a batch lands what no earlier batch has landed.  What has landed is
+    kept as ranges (``path/_landed``, version N after batch N), which grow
+    with the gaps, not with the records; no earlier batch is read again."""
     root = path.rstrip("/")
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = batch.dropDuplicates(KEY)
-        lo, hi = batch.agg(F.min("offset"), F.max("offset")).first()
-        if batch_id and lo is not None:
-            landed = (spark.read.schema(f"{batch.schema.simpleString()[7:-1].replace(':', ' ')}, batch_id bigint").parquet(root)
-                      .filter(F.col("batch_id") < batch_id).filter(F.col("offset").between(lo, hi)).select(*KEY))
-            new = new.join(landed, KEY, "left_anti")
-        new.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        landed = progress.version(spark, f"{root}/_landed", batch_id - 1, ranges.SCHEMA)
+        folder = f"{root}/batch_id={batch_id}"
+        ranges.without(batch.dropDuplicates(KEY), landed).write.mode("overwrite").parquet(folder)
+        new = ranges.ranges_of(spark.read.schema(batch.schema).parquet(folder))
+        progress.put(ranges.merged(landed.unionByName(new)), f"{root}/_landed", batch_id)
 
     return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "20 seconds"})).start())
 
 
+def landed_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """The ranges that a ``start_dedup`` stream has landed so far."""
+    versions = spark.read.schema(f"{ranges.SCHEMA}, batch_id int").parquet(f"{path.rstrip('/')}/_landed")
+    return versions.filter(F.col("batch_id") == versions.agg(F.max("batch_id")).scalar()).drop("batch_id")
+
+
 # ------------------------------------------------------------- consumer groups
 
 def start_group_split(records: DataFrame, feeds: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,

@@ -35,12 +35,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def version(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """Version ``batch_id`` (empty before the first batch).  A landing that has
+def version(spark: SparkSession, path: str, batch_id: int, schema: str = SCHEMA) -> DataFrame:
+    """Version ``batch_id`` (empty before the first batch).  A stream that has
     no version yet begins with an empty one; a version that is gone is an error."""
     if batch_id < 0 or not _exists(spark, path):
-        return spark.createDataFrame([], SCHEMA)
-    return spark.read.schema(SCHEMA).parquet(_folder(path, batch_id))
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(_folder(path, batch_id))
+
+
+def put(new: DataFrame, path: str, batch_id: int) -> None:
+    """Write version ``batch_id``; versions that no restart needs any more go."""
+    new.write.mode("overwrite").parquet(_folder(path, batch_id))
+    _expire(new.sparkSession, path, batch_id - KEEP)
 
 
 def advance(batch: DataFrame, path: str, batch_id: int, known: DataFrame | None = None, now: dt.datetime | None = None) -> DataFrame:
@@ -56,8 +62,7 @@ def advance(batch: DataFrame, path: str, batch_id: int, known: DataFrame | None
         parts = known.select("topic", F.explode(F.sequence(F.lit(0), F.col("n_parts").cast("int") - 1)).alias("partition"))
         every = every.unionByName(parts, allowMissingColumns=True)
     new = every.groupBy("topic", "partition").agg(*[F.max(c).alias(c) for c in ("clock", "last_offset", "seen_at")])
-    new.coalesce(1).write.mode("overwrite").parquet(_folder(path, batch_id))     # a row a partition of the topics
-    _expire(spark, path, batch_id - KEEP)
+    put(new.coalesce(1), path, batch_id)     # a row a partition of the topics
     return version(spark, path, batch_id)
 
 
