@@ -1,8 +1,9 @@
 """Sets of offsets as ranges: (topic, partition, lo, hi), ends included.
 
 What landed of a partition is a few long ranges, however many records they
-hold: their number grows with the gaps.  All windows stay inside bounded
-slices of a partition, so one partition may hold a third of all offsets.
+hold: their number grows with the gaps.  Records are only numbered inside
+bounded blocks, ranges inside slices; windows over a whole partition see its
+slices (or, for ``gaps``, its ranges) alone.
 """
 
 from __future__ import annotations

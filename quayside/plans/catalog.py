@@ -338,6 +338,26 @@ def q_tail_offsets(spark, sf):
     return offsets.tail_offsets(records(spark, sf), TAIL_N).select("topic", "partition", "offset")
 
 
+# Where a replay starts: 50 records from the end, but one topic 200 and one of its partitions at an offset.
+REPLAY_STARTS = [(None, None, -TAIL_N), ("click", None, -4 * TAIL_N), ("click", 1, 500)]
+
+
+@query("replay_from", f"""WITH {REC},
+m AS (SELECT topic, "partition", min("offset") AS first, max("offset") + 1 AS end_ FROM rec GROUP BY 1, 2),
+s AS (SELECT topic, "partition", greatest(first, least(end_, CASE WHEN topic = 'click' AND "partition" = 1 THEN 500
+                                                                  WHEN topic = 'click' THEN end_ - {4 * TAIL_N} ELSE end_ - {TAIL_N} END)) AS start_ FROM m)
+SELECT r.topic, r."partition", r."offset", r.value FROM rec r JOIN s USING (topic, "partition") WHERE r."offset" >= s.start_""")
+def q_replay_from(spark, sf):
+    """All records archived, then replayed from named offsets and from
+    offsets counted from the end."""
+    from ..sources import archive
+
+    recs, path = records(spark, sf), scratch_path(spark, "archive")
+    archive.write_archive(recs, path, "all")
+    got = archive.replay_from(spark, path, spark.createDataFrame(REPLAY_STARTS, archive.STARTS))
+    return got.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+
+
 @query("dedup_offsets", f"""WITH {REC}
 SELECT DISTINCT topic, "partition", "offset", value FROM rec""")
 def q_dedup_offsets(spark, sf):
