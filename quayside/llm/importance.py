@@ -33,10 +33,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import quoted
+from .ranking import numbered
 from .storage import written
 from .wordhash import LETTERS
 from .wordruns import Runs, frequent, walk
@@ -203,21 +204,6 @@ def weighed(docs: DataFrame, gain: np.ndarray, head, text: str = "text"):
     return weigh(quoted(text).cast("string"))
 
 
-def numbered(rows: DataFrame, *order, out: str = "rank") -> DataFrame:
-    """``rows`` (a written table) with their places from 1 on in ``order``:
-    range partitions, numbered inside, after the rows of those before.  Equal
-    rows are dealt by their place in the table, so none fill one task."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = rows.withColumn("_salt", F.monotonically_increasing_id())
-    dealt = salted.repartitionByRange(n, *order, "_salt").sortWithinPartitions(*order, "_salt").withColumn("_at", F.monotonically_increasing_id())
-    dealt = written(dealt.drop("_salt"), "ordered")
-    part = F.shiftright("_at", 33)
-    sizes = dealt.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))     # a row a partition
-    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    place = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1
-    return dealt.join(before, part == F.col("_part")).withColumn(out, place.cast("bigint")).drop("_at", "_part", "_before")
-
-
 def resample(docs: DataFrame, target: DataFrame, keep: list[str] = ("doc_id",), id: str = "doc_id", text: str = "text",
              percent: int = DRAW_PERCENT, min_words: int = MIN_WORDS, seed: int = SEED) -> DataFrame:
     """The columns ``keep`` of every document with n_words, n_features,

@@ -35,10 +35,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import quoted
+from .ranking import numbered
 from .storage import written
 from .wordhash import mix, word_table
 from .wordruns import Runs, frequent, walk
@@ -405,10 +406,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     around = (phrases.filter("size > 2").select("lang", F.explode(F.array_distinct(inner)).alias("phrase"), "n").groupBy("lang", "phrase").agg(F.max("n").alias("longer")))
     kept = (scored.join(around, ["lang", "phrase"], "left")
             .filter(F.col("longer").isNull() | (exact("longer", 100) < exact("a", inside_percent))).drop("longer"))
-    # First inside slices of a language, so no task holds all its phrases.
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    slices = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = kept.withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(slices)))
-    first = sliced.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order))).filter(F.col("rank") <= top)
-    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
+    # Numbered through over all languages, whatever a language's share; its own places begin at its first.
+    places = numbered(written(kept, "kept"), F.asc("lang"), *order, out="place")
+    begin = places.groupBy("lang").agg(F.min("place").alias("begin"))
+    ranked = places.join(begin, "lang").withColumn("rank", F.col("place") - F.col("begin") + 1).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
