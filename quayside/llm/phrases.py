@@ -386,17 +386,17 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
                  inside_percent: int = INSIDE_PERCENT, top: int = TOP) -> DataFrame:
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l,
     r, n, score (see the module)."""
-    runs, numbered, totals = frequent_runs(docs, text, lang, min_count, max_words)
+    runs, head, totals = frequent_runs(docs, text, lang, min_count, max_words)
     runs = runs.withColumn("phrase", F.col("phrase").cast("string"))
-    numbered = numbered.select("lang", F.col("phrase").cast("string").alias("part"), F.col("n").alias("f"))
+    head = head.select("lang", F.col("phrase").cast("string").alias("part"), F.col("n").alias("f"))
     phrases = runs.filter("size > 1").withColumn("words", F.split("phrase", " "))
     part = lambda a, n: F.array_join(F.slice("words", a, n), " ")
     cuts = F.transform(F.sequence(F.lit(1), F.col("size") - 1), lambda k: F.struct(k.alias("k"), part(F.lit(1), k).alias("left"), part(k + 1, F.col("size") - k).alias("right")))
     cut = phrases.select("lang", "phrase", F.col("n").alias("a"), F.explode(cuts).alias("cut"))
     sides = cut.select("lang", "phrase", "a", "cut.k", F.explode(F.array(F.struct(F.lit(True).alias("is_left"), F.col("cut.left").alias("part")), F.struct(F.lit(False).alias("is_left"), F.col("cut.right").alias("part")))).alias("s")).select("lang", "phrase", "a", "k", "s.*")
     # Parts that many phrases share are numbered runs, of which there are so many at most; the others are joined by key.
-    met = sides.join(F.broadcast(numbered), ["lang", "part"], "left")
-    others = runs.select("lang", F.col("phrase").alias("part"), F.col("n").alias("f")).join(F.broadcast(numbered.select("lang", "part")), ["lang", "part"], "left_anti")
+    met = sides.join(F.broadcast(head), ["lang", "part"], "left")
+    others = runs.select("lang", F.col("phrase").alias("part"), F.col("n").alias("f")).join(F.broadcast(head.select("lang", "part")), ["lang", "part"], "left_anti")
     valued = met.filter("f IS NOT NULL").unionByName(met.filter("f IS NULL").drop("f").join(others, ["lang", "part"]))
     both = valued.groupBy("lang", "phrase", "a", "k").agg(F.max(F.when(F.col("is_left"), F.col("f"))).alias("l"), F.max(F.when(~F.col("is_left"), F.col("f"))).alias("r"))
     score = F.expr("CAST(2000000 * CAST(a AS DECIMAL(19, 0)) div (CAST(l AS DECIMAL(19, 0)) + CAST(r AS DECIMAL(19, 0))) AS BIGINT)")
@@ -407,6 +407,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     kept = (scored.join(around, ["lang", "phrase"], "left")
             .filter(F.col("longer").isNull() | (exact("longer", 100) < exact("a", inside_percent))).drop("longer"))
     # Numbered through over all languages, whatever a language's share; its own places begin at its first.
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     places = numbered(written(kept, "kept"), F.asc("lang"), *order, out="place")
     begin = places.groupBy("lang").agg(F.min("place").alias("begin"))
     ranked = places.join(begin, "lang").withColumn("rank", F.col("place") - F.col("begin") + 1).filter(F.col("rank") <= top)
