@@ -249,6 +249,55 @@ def q_landed_manifest(spark, sf):
                     F.coalesce("bytes_on_disk", F.lit(0).cast("bigint")).alias("bytes_on_disk"), F.coalesce("in_order", F.lit(True)).alias("in_order")))
 
 
+@query("versioned_compaction", f"""WITH {REC}, {DAMAGED}, {REGION_FEEDS_SQL}
+SELECT version, feed_id, count(DISTINCT bucket_dir || strftime(bucket_start, '|%Y-%m-%d %H')) AS n_buckets, count(*) AS n_records,
+       CAST(sum(strlen(value) + brk) AS BIGINT) AS n_bytes, CAST(sum(strlen(value) + brk) AS BIGINT) AS bytes_on_disk
+FROM l, (VALUES (2), (3)) v(version) GROUP BY 1, 2""")
+def q_versioned_compaction(spark, sf):
+    """Two landings (even and odd offsets) published as versions 1 and 2, then
+    merged bucket by bucket into version 3: a reader of 2, during and after
+    the compaction, and one of 3 read the same bytes, each once."""
+    from ..sinks.versions import FileTable, compact_table
+    from .landing import land_batch
+
+    recs, feeds = damaged_records(spark, sf), feeds_from_region(read_table(spark, sf, "region"))
+    table = FileTable(spark, scratch_path(spark, "versions"))
+    for odd in (0, 1):
+        table.publish(land_batch(recs.filter(F.col("offset") % 2 == odd), feeds, scratch_path(spark, f"landed-{odd}")))
+    table.pin("reader")
+    compact_table(table, scratch_path(spark, "merged"))
+    table.expire(keep=1)        # version 1 goes, the pinned one stays
+
+    def seen(version: int) -> DataFrame:
+        files_ = table.files(version)
+        body = files.read_back(files_).select("path", F.octet_length("body").cast("bigint").alias("on_disk"))
+        return (files_.join(body, "path").groupBy("feed_id").agg(
+            F.count_distinct("bucket_dir", "bucket_start").alias("n_buckets"), *[F.sum(c).cast("bigint").alias(c) for c in ("n_records", "n_bytes")],
+            F.sum("on_disk").cast("bigint").alias("bytes_on_disk")).select(F.lit(version).alias("version"), "*"))
+
+    return seen(2).unionByName(seen(3))
+
+
+@query("recovery_sweep", f"""WITH {REC}, {DAMAGED}, {REGION_FEEDS_SQL}
+SELECT feed_id, CASE WHEN feed_id = 0 AND hour(ts) = 0 THEN 'missing' ELSE 'landed' END AS status, count(*) AS n_records FROM l WHERE feed_id <> 4 GROUP BY 1, 2
+UNION ALL SELECT NULL, 'orphan', NULL FROM (SELECT 1 FROM l WHERE feed_id = 4 LIMIT 1)""")
+def q_recovery_sweep(spark, sf):
+    """A landing whose writer was killed before the manifest of one feed, and
+    of which the first hour of another was lost: what the sweep finds.  What
+    it removed is gone: a second one finds the rest alone."""
+    from ..sinks import recovery
+    from .landing import land_batch
+
+    out = scratch_path(spark, "swept")
+    landed = land_batch(damaged_records(spark, sf), feeds_from_region(read_table(spark, sf, "region")), out).drop("complete")
+    recovery.delete_files(landed.filter((F.col("feed_id") == 0) & (F.hour("bucket_start") == 0)))
+    known = landed.filter("feed_id <> 4")
+    first = recovery.sweep(known, out, 0)
+    again = recovery.reconcile(known, out)
+    found = first.filter("status = 'orphan' AND removed").unionByName(again.withColumn("removed", F.lit(False)))
+    return found.groupBy("feed_id", "status").agg(F.sum("n_records").cast("bigint").alias("n_records"))
+
+
 # What is sent and what landed are compared in cells of so many bytes; the sent records are joined over so many offsets.
 CELL_BYTES = 64 << 10
 CHECK_OFFSETS = 1000

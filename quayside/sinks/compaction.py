@@ -77,6 +77,8 @@ def compact_files(manifest: DataFrame, out_root: str) -> DataFrame:
     def merge(batches):
         import pyarrow as pa
 
+        import uuid
+
         from .files import compressor, decompressed
         from .raw import _fs
 
@@ -97,7 +99,7 @@ def compact_files(manifest: DataFrame, out_root: str) -> DataFrame:
                         yield finish()
                     folder, name = f"{base}/{r['bucket_dir'].strip('/')}", r["path"].rsplit("/", 1)[1]
                     fs.create_dir(folder, recursive=True)
-                    staged = f"{folder}/_{name}.tmp"
+                    staged = f"{folder}/_{name}.{uuid.uuid4().hex}.tmp"
                     out = fs.open_output_stream(staged, compression=None)
                     row = {**{k: r[k] for k in keys}, "path": f"{folder}/{name}", "n_files": 0, "n_records": 0, "n_bytes": 0}
                     now = {"key": key, "staged": staged, "out": out, "packer": compressor(out, r["codec"]), "row": row}

@@ -13,6 +13,7 @@ Input columns: ``FILE_COLUMNS``; a row with a ``reason`` is a rejected record.
 from __future__ import annotations
 
 import bz2
+import uuid
 import zlib
 
 from pyspark.sql import DataFrame
@@ -112,7 +113,7 @@ class _File:
         ext = first["extension"] or ""
         folder = f"{root}/{first['dir'].strip('/')}"
         self.fs, self.first, self.final = fs, first, f"{folder}/{first['name']}_{tag}{task:05d}.0{ext}"
-        self.staged = f"{folder}/_{first['name']}_{tag}{task:05d}.0{ext}.tmp"
+        self.staged = f"{folder}/_{first['name']}_{tag}{task:05d}.{uuid.uuid4().hex}{ext}.tmp"     # an attempt's own
         fs.create_dir(folder, recursive=True)
         self.out = fs.open_output_stream(self.staged, compression=None)
         self.packer = compressor(self.out, first["codec"])
@@ -173,7 +174,7 @@ def write_task(batches, root: str, dead: str, tag: str, task: int):
             if dead_out is None:
                 dead_fs, dead_base = _fs(dead)
                 dead_fs.create_dir(dead_base, recursive=True)
-                dead_final, dead_staged = f"{dead_base}/part-{tag}{task:05d}.parquet", f"{dead_base}/_part-{tag}{task:05d}.tmp"
+                dead_final, dead_staged = f"{dead_base}/part-{tag}{task:05d}.parquet", f"{dead_base}/_part-{tag}{task:05d}.{uuid.uuid4().hex}.tmp"
                 dead_out = pq.ParquetWriter(dead_staged, table.schema, filesystem=dead_fs)
             dead_out.write_table(table)
         good = b.filter(pc.is_null(b.column("reason")))

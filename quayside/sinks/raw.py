@@ -89,7 +89,7 @@ def _write_task(root: str, batches, tag: str) -> _Files:
                 now, seen[bucket] = bucket, seen.get(bucket, -1) + 1
                 folder, name = f"{base}/{bucket}".rstrip("/"), f"part-{tag}-{part:05d}-{seen[bucket]:03d}"
                 fs.create_dir(folder, recursive=True)
-                staged = f"{folder}/_{name}.tmp"
+                staged = f"{folder}/_{name}.{uuid.uuid4().hex}.tmp"
                 out = fs.open_output_stream(staged)
                 msg.paths.append(f"{folder}/{name}")
             run = data.slice(s, e - s)
