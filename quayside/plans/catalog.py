@@ -960,6 +960,24 @@ def q_delete_affected(spark, sf):
     return tables.deleted_count(read_table(spark, sf, "supplier"), "s_suppkey", DELETE_KEY)
 
 
+@query("table_changes", f"""{UPDATES_SQL}
+SELECT 'now' AS seen, s.s_suppkey, CASE WHEN u.no_name THEN NULL ELSE s.s_name END AS s_name, s.s_nationkey, coalesce(u.s_acctbal, s.s_acctbal) AS s_acctbal
+FROM supplier s LEFT JOIN u ON s.s_suppkey = u.s_suppkey WHERE s.s_suppkey <> {DELETE_KEY}
+UNION ALL SELECT 'before', s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""")
+def q_table_changes(spark, sf):
+    """A table that is updated and loses a key, each change one version that
+    rewrites the files it touches; its first version is still there."""
+    from ..sinks.tables import ParquetTable
+
+    s = read_table(spark, sf, "supplier")
+    table = ParquetTable.create(s.repartitionByRange("s_suppkey"), scratch_path(spark, "table"))
+    table.update(_updates(s), "s_suppkey", order="step", set_null="set_null")
+    table.delete_by_key("s_suppkey", DELETE_KEY)
+    names = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
+    return (table.read().select(F.lit("now").alias("seen"), *names)
+            .unionByName(table.read(1).select(F.lit("before").alias("seen"), *names)))
+
+
 @query("insert_rows", """WITH top AS (SELECT coalesce(max(s_suppkey), 0) AS m FROM supplier),
 ins AS (SELECT (SELECT m FROM top) + row_number() OVER (ORDER BY c_custkey) AS s_suppkey,
                c_name AS s_name, c_nationkey AS s_nationkey, c_acctbal AS s_acctbal
