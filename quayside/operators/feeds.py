@@ -76,3 +76,20 @@ def config_removed(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of ``old`` absent from ``new`` (removed or changed): a left anti
     join on a null-safe equality of every column (a hash join)."""
     return old.join(new, _same_row(old, new, old.columns), "left_anti")
+
+
+def topic_threads(feeds: DataFrame) -> DataFrame:
+    """(topic, threads): the topics that enabled feeds subscribe to, with the
+    sum of those feeds' threads (one at least)."""
+    topic = F.explode(F.split("topics", ",")).alias("topic")
+    one = feeds.filter(F.col("isEnabled") == 1).select("id", F.greatest(F.coalesce("numThreads", F.lit(1)), F.lit(1)).alias("n"), topic)
+    one = one.withColumn("topic", F.trim("topic")).filter("topic <> ''").distinct()
+    return one.groupBy("topic").agg(F.sum("n").cast("int").alias("threads"))
+
+
+def subscription_diff(old: DataFrame, new: DataFrame) -> DataFrame:
+    """topic, old_threads, new_threads, action: what a running subscription
+    does when the feed table changes - start or stop a topic, or resize it."""
+    o, n = topic_threads(old).withColumnRenamed("threads", "old_threads"), topic_threads(new).withColumnRenamed("threads", "new_threads")
+    action = F.when(F.col("new_threads").isNull(), "stop").when(F.col("old_threads").isNull(), "start").when(F.col("old_threads") != F.col("new_threads"), "resize")
+    return o.join(n, "topic", "full_outer").withColumn("action", action).filter("action IS NOT NULL")

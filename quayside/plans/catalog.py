@@ -748,6 +748,22 @@ def q_config_diff(spark, sf):
     return feed_ops.config_diff(old, new, key="s_suppkey")
 
 
+TOPIC_THREADS = """SELECT topic, CAST(sum(n) AS INTEGER) AS threads FROM (
+  SELECT s_nationkey % 4 + 1 AS n, unnest(['all', 'n' || s_nationkey, 's' || s_suppkey]) AS topic FROM {0} WHERE s_acctbal <= 9000) GROUP BY topic"""
+
+
+@query("subscription_diff", f"""WITH {SNAPSHOTS}, ot AS ({TOPIC_THREADS.format("o")}), nt AS ({TOPIC_THREADS.format("n")})
+SELECT topic, ot.threads AS old_threads, nt.threads AS new_threads,
+       CASE WHEN nt.threads IS NULL THEN 'stop' WHEN ot.threads IS NULL THEN 'start' ELSE 'resize' END AS action
+FROM ot FULL OUTER JOIN nt USING (topic) WHERE ot.threads IS DISTINCT FROM nt.threads""")
+def q_subscription_diff(spark, sf):
+    """What a subscription does when the feeds change: every feed has a topic
+    of its own, one that its nation shares, and one that all share."""
+    topics = F.concat(F.lit("all, n"), F.col("s_nationkey"), F.lit(",s"), F.col("s_suppkey"))
+    old, new = (feeds_from_supplier(d).join(d.select(F.col("s_suppkey").alias("id"), topics.alias("own")), "id").withColumn("topics", F.col("own")) for d in _snapshots(spark, sf))
+    return feed_ops.subscription_diff(old, new)
+
+
 @query("config_removed", f"""WITH {SNAPSHOTS}
 SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE {SAME})""")
 def q_config_removed(spark, sf):
