@@ -7,11 +7,12 @@ its longest n-grams that are known: lengths ``MAX_GRAM`` down to 1, the first
 length of which it has any.  The language with the largest mean over the
 words wins, ties go to the first by name.
 
-Training reads a bounded sample (``sample_per_lang`` rows of each language in
-expectation, chosen by a hash of the row), counts words and n-grams in Spark
-and keeps the ``max_words`` and ``max_grams`` most frequent of each language,
-so the model's size has a fixed bound, whatever the corpus, and is broadcast.
-Prediction reads every whole text.
+Training reads a bounded sample: a hash of the row's key and text draws
+``sample_per_lang`` rows of each language in expectation, and rows of one key
+and text count once.  Words and n-grams are counted in Spark, and all that the
+sample holds are kept, so the sample bounds the model, which is broadcast.
+Prediction reads every whole text; the score is the winner's posterior from
+all of its words.  Letters that no language has are evidence for none.
 
 Nulls and the like: a text that is null or has no letter is ``und`` with
 score 0; so is every text when nothing was learned.  Rows with a null
@@ -26,19 +27,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import packed, quoted, unpacked
 
 UND = "und"
 MAX_GRAM = 4
-SAMPLE_PER_LANG = 4000
-MAX_WORDS = 30_000
-MAX_GRAMS = 30_000
+SAMPLE_PER_LANG = 1500
 SMOOTHING = 0.5
-EVIDENCE_WORDS = 20        # words after which further ones no longer raise the score
-KNOWN_WORDS = 120_000      # words whose score a worker remembers
+KNOWN_WORDS = 80_000       # words whose score a worker remembers
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -88,8 +86,7 @@ class Model:
         self.seen_logs = np.concatenate([self.seen_logs, means.astype(np.float32)])
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, score from 0 to 1: the posterior of the winner, from the
-        mean evidence of a word times at most ``EVIDENCE_WORDS`` words)."""
+        """(language, score from 0 to 1: the posterior of the winner)."""
         counts = Counter(words_of(text)) if text and self.langs else None
         if not counts:
             return UND, 0.0
@@ -102,11 +99,12 @@ class Model:
             total += np.array([counts[w] for w in unseen]) @ self.seen_logs[[self.seen[w] for w in unseen]]
         if known := [w for w in counts if w in self.words]:
             total += np.array([counts[w] for w in known]) @ self.word_logs[[self.words[w] for w in known]]
-        n = sum(counts.values())
-        mean = total / n
-        best = int(np.argmax(mean))
-        odds = np.exp((mean - mean[best]) * min(n, EVIDENCE_WORDS))
-        return self.langs[best], float(1 / odds.sum())
+        best = int(np.argmax(total))
+        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+
+    def guess(self) -> float:
+        """The score of a text that holds no evidence: all languages are alike."""
+        return 1 / len(self.langs) if self.langs else 0.0
 
     def _again(self, unseen: list[str]) -> list[str]:
         """After the memory was emptied halfway: learn this text's words anew."""
@@ -128,25 +126,19 @@ def _count(batches):
             yield pd.DataFrame([(lang, size, g, n) for (size, g), n in found.items()], columns=["lang", "size", "piece", "n"])
 
 
-def train(rows: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG, max_words: int = MAX_WORDS,
-          max_grams: int = MAX_GRAMS) -> Model:
+def train(rows: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     """A model of ``rows`` (text, lang, key): ``key`` is any column that tells
-    rows apart, its hash draws the sample."""
+    rows apart."""
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = rows.groupBy("lang").count().collect()     # a row for each language of the model
     if not sizes:
         return Model([], {}, np.zeros((0, 0)), [{}] * (MAX_GRAM + 1), np.zeros((0, 0)))
     share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], sample_per_lang / r["count"])))
-    draw = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(draw < share[F.col("lang")]).select("lang", "text")
+    draw = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30)) / float(1 << 30)
+    sample = rows.filter(draw < share[F.col("lang")]).dropDuplicates(["lang", "key", "text"]).select("lang", "text")
     counts = sample.mapInPandas(_count, "lang string, size int, piece string, n bigint").groupBy("lang", "size", "piece").agg(F.sum("n").alias("n")).checkpoint()
-    totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    by_count = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "piece")
-    top = (counts.withColumn("place", F.row_number().over(by_count))
-           .filter(F.col("place") <= F.when(F.col("size") == 0, max_words).otherwise(max_grams // MAX_GRAM)))
-    got = top.select("lang", "size", "piece", "n").toPandas()
-    total = {(r["lang"], r["size"]): (r["total"], r["kinds"]) for r in totals.collect()}
-    return _model(got, total)
+    got = counts.select("lang", "size", "piece", "n").toPandas()       # the sample's words and n-grams
+    return _model(got, {k: (int(v.sum()), len(v)) for k, v in got.groupby(["lang", "size"])["n"]})
 
 
 def _model(got, total: dict) -> Model:
@@ -167,6 +159,7 @@ def _model(got, total: dict) -> Model:
         for lang, i in column.items():
             occurrences, kinds = total.get((lang, size), (0, 0))
             table[at:at + n, i] = np.log((table[at:at + n, i] + SMOOTHING) / (occurrences + SMOOTHING * (kinds + 1)))
+    tables[1][0] = tables[1][0].mean()
     grams = [{}] + [{p: int(first[s]) + i for p, i in where[s].items()} for s in range(1, MAX_GRAM + 1)]
     return Model(langs, where[0], tables[0].astype(np.float32), grams, tables[1].astype(np.float32))
 

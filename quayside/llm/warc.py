@@ -133,6 +133,7 @@ class _Range:
         f.seek(lo)
         self.data = f.read(min(hi + len(MAGIC), self.size) - lo)
         self.ends = 0, -1       # no HEAD_END stands between the first and the second
+        self.lines = -1, -1, -1, None       # of the header end looked at last: see _lines_before
 
     def head_end(self, at: int) -> int:
         """Offset of the first ``HEAD_END`` at or behind ``at``; the file's
@@ -180,6 +181,40 @@ class _Range:
         to = block + int(fields["content-length"])
         return (fields, block, to) if to + len(RECORD_END) <= self.size else None
 
+    def successor(self, at: int) -> int | None:
+        """Where the record behind the one at ``at`` would stand; None if none
+        can stand at ``at``.  Asked for ascending offsets, every byte is looked
+        at once: what the lines before a header's end say holds for all
+        headers that end there."""
+        a = at - self.lo + len(MAGIC)
+        line, more, _ = self.data[a:a + NAME_BYTES].partition(b"\r\n")
+        if b":" not in line and (more or len(line) == NAME_BYTES):
+            return None         # no field name, however far the header's end may be
+        if (end := self.head_end(at)) == self.size:
+            return None
+        if self.lines[0] != end:
+            self.lines = end, *self._lines_before(at, end)
+        _, broken, where, length = self.lines
+        if broken > at or where <= at or length is None:
+            return None
+        to = end + len(HEAD_END) + length + len(RECORD_END)
+        return to if to <= self.size else None
+
+    def _lines_before(self, lo: int, end: int) -> tuple[int, int, int | None]:
+        """Of the lines from ``lo`` to ``end``: offset of the last without a
+        colon, offset of the last Content-Length behind it (-1: none), and its
+        number (None: not one)."""
+        where, length, at = -1, None, end
+        for line in reversed(self.block(lo, end).split(b"\r\n")):
+            at -= len(line)
+            name, colon, value = line.partition(b":")
+            if not colon:
+                return at, where, length
+            if where < 0 and name.strip().lower() == b"content-length":
+                where, length = at, int(value) if re.fullmatch(rb"\s*[0-9]{1,18}\s*", value) else None
+            at -= 2
+        return -1, where, length
+
     def block(self, lo: int, hi: int) -> bytes:
         if hi <= self.lo + len(self.data):
             return self.data[lo - self.lo:hi - self.lo]
@@ -204,8 +239,8 @@ def _candidates(batches):
                 r, found = _Range(f, lo, hi), []
                 at = r.data.find(MAGIC)
                 while 0 <= at < hi - lo:
-                    if got := r.record(lo + at):
-                        found.append((lo + at, got[2] + len(RECORD_END)))
+                    if after := r.successor(lo + at):
+                        found.append((lo + at, after))
                     at = r.data.find(MAGIC, at + 1)
             leaves: dict[int, tuple[int, int]] = {}
             for at, after in reversed(found):

@@ -72,3 +72,35 @@ def test_a_broken_archive_is_an_error(spark):
     for wrong in (files.withColumn("n_records", files["n_records"] + 1), files.withColumn("n_bytes", files["n_bytes"] - 10)):
         with pytest.raises(ValueError):
             warc.read_warc(wrong, range_bytes=5000).collect()
+
+
+@pytest.mark.parametrize("line", ["WARC/1.1\r\nA: b\r\n", "A: WARC/1.1\r\n", "WARC/1.1\r\n", "WARC/1.1\r\nContent-Length: 1\r\n", "WARC/1.1\r\n" + "x" * 1000 + "\r\n"])
+def test_dense_magic_is_read_in_linear_time(spark, line):
+    """16 MB of a payload that looks like headers: every byte is looked at a few times."""
+    import time
+
+    body = line * ((16 << 20) // len(line))
+    rows = [(1, "u", "one"), (2, "u", body), (3, "u", body + "\r\n\r\n"), (4, "u", "four")]
+    files = warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), scratch_path(spark, "w"))
+    began = time.monotonic()
+    got = warc.read_warc(files, with_payload=False).collect()
+    assert sorted((r["page_id"], r["payload_bytes"], r["payload_digest"], r["warc_type"], -1) for r in got) == want(rows)
+    assert time.monotonic() - began < 90
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_successors_are_those_of_parsed_records(tmp_path, seed):
+    """The quick look at any bytes says what parsing the header says."""
+    from quayside.llm.storage import input_file
+
+    rng = random.Random(seed)
+    parts = [b"WARC/1.1\r\n", b"\r\n", b"\r\n\r\n", b"A: b", b"Content-Length: 7", b"Content-Length: 7\r\n\r\n", b"content-length : 3 ", b"Content-Length: x", b"no colon", b"x:WARC/1.1\r\n", b"y" * 30]
+    data = b"".join(rng.choice(parts) + (b"\r\n" if rng.random() < .5 else b"") for _ in range(6000))
+    (tmp_path / "w").write_bytes(data)
+    with input_file(str(tmp_path / "w")) as f:
+        r, at, n = warc._Range(f, 0, len(data)), data.find(warc.MAGIC), 0
+        while at >= 0:
+            parsed = warc._Range(f, at, len(data)).record(at)
+            assert r.successor(at) == (parsed[2] + 4 if parsed else None), at
+            at, n = data.find(warc.MAGIC, at + 1), n + bool(parsed)
+        assert n
