@@ -15,20 +15,20 @@ from quayside.llm.columns import packed, quoted, unpacked
 from quayside.session import scratch_path
 from quayside.sources.tables import read_table
 
-# Score below which a language is a guess: with four languages, hardly better than chance.
-MIN_LANGUAGE_SCORE = 0.4
+# A language is a guess when its score hardly exceeds that of a text without evidence, however many languages there are.
+ABOVE_GUESS = 1e-6
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that are null, have no letter, or whose language is a
-    guess.  Without labelled rows to learn from, no language can be rejected:
+    """Drops texts that are null, have no letter, or hold no evidence for one
+    language rather than another.  Without labelled rows to learn from, no language can be rejected:
     only texts without a letter go."""
     queries.prepared(spark)
     model = queries.language_model(docs)
     if not model.langs:
         return docs.filter(F.col("text").cast("string").rlike(r"\p{L}"))
     found = docs.select(packed(docs), langid.language(docs, model).alias("found"))
-    known = (F.col("found.lang_pred") != langid.UND) & (F.col("found.score") >= MIN_LANGUAGE_SCORE)
+    known = (F.col("found.lang_pred") != langid.UND) & (F.col("found.score") > model.guess() + ABOVE_GUESS)
     return unpacked(found.filter(known))
 
 
