@@ -21,7 +21,7 @@ from ..functions.timefmt import BAD_LETTER_CLASS, iso_utc
 from ..operators import feeds as feed_ops
 from ..operators import metrics, offsets, ranges, rolling, routing, tables
 from ..session import configure, scratch_path
-from ..sinks import files, raw, text
+from ..sinks import files, raw, recovery, text
 from ..sources.feeds import (FEEDS_FROM_NATION_SQL, FEEDS_FROM_SUPPLIER_SQL, feeds_from_nation,
                              feeds_from_region, feeds_from_supplier)
 from ..sources.records import events_as_records
@@ -238,7 +238,7 @@ def q_landed_manifest(spark, sf):
                  .withColumn("n", F.octet_length("body").cast("bigint")), "sent")
     chunk = ["partition", "chunk"]
     want = _cells(sent.join(_places(sent, hour, chunk, "n"), [*hour, *chunk]), hour, "want")
-    got = _cells(files.read_back(m).join(_places(m, hour, ["path"], "n_bytes"), "path"), hour, "got")
+    got = _cells(files.read_back(m).join(_places(m, hour, ["path"], "n_bytes"), "path").withColumn("start", F.col("start") + F.col("at")), hour, "got")
     checked = (got.join(want, [*hour, "cell"], "full").groupBy(*hour)
                .agg(F.sum(F.octet_length("got")).cast("bigint").alias("bytes_on_disk"), F.bool_and(F.col("got").eqNullSafe(F.col("want"))).alias("in_order")))
     landed = (m.groupBy("feed_id", "bucket_dir", "bucket_start", F.regexp_extract("path", r"\.0(\.[a-z0-9]+)?$", 1).alias("extension"))
@@ -270,7 +270,7 @@ def q_versioned_compaction(spark, sf):
 
     def seen(version: int) -> DataFrame:
         files_ = table.files(version)
-        body = files.read_back(files_).select("path", F.octet_length("body").cast("bigint").alias("on_disk"))
+        body = files.read_back(files_).groupBy("path").agg(F.sum(F.octet_length("body")).alias("on_disk"))
         return (files_.join(body, "path").groupBy("feed_id").agg(
             F.count_distinct("bucket_dir", "bucket_start").alias("n_buckets"), *[F.sum(c).cast("bigint").alias(c) for c in ("n_records", "n_bytes")],
             F.sum("on_disk").cast("bigint").alias("bytes_on_disk")).select(F.lit(version).alias("version"), "*"))
@@ -797,19 +797,26 @@ def q_landed_roundtrip_gz(spark, sf):
 
 
 @query("concat_bytes", f"""WITH {REC}
-SELECT topic, {D} AS d, {H} AS h, CAST(sum(strlen(value)) AS BIGINT) AS n_bytes FROM rec GROUP BY 1, 2, 3""")
+SELECT topic, {D} AS d, {H} AS h, CAST(sum(strlen(value)) AS BIGINT) AS n_bytes, true AS same_bytes FROM rec GROUP BY 1, 2, 3""")
 def q_concat_bytes(spark, sf):
-    r = records(spark, sf)
-    bucket = F.concat(F.lit("topic="), "topic", F.lit("/d="), F.date_format("timestamp", "yyyy-MM-dd"),
-                      F.lit("/h="), F.date_format("timestamp", "HH"))
+    """Values one after another, without a separator: how many bytes a bucket's
+    files hold, and whether they are the values in the order of the offsets."""
+    r = _hour(records(spark, sf)).withColumn("bucket", F.concat(F.lit("topic="), "topic", F.lit("/d="), "d", F.lit("/h="), "h"))
     path = scratch_path(spark, "raw")
-    raw.write_raw(r.select(bucket.alias("bucket"), F.col("value").alias("data"), "partition", "offset"), path)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    pat = r"topic=([^/]+)/d=([^/]+)/h=([^/]+)/"
-    return (files.select(F.regexp_extract("path", pat, 1).alias("topic"),
-                         F.regexp_extract("path", pat, 2).alias("d"),
-                         F.regexp_extract("path", pat, 3).alias("h"), "length")
-            .groupBy("topic", "d", "h").agg(F.sum("length").cast("bigint").alias("n_bytes")))
+    raw.write_raw(r.select("bucket", F.col("value").alias("data"), "partition", "offset"), path)
+    bucket = ["bucket"]
+    sent = sized(r.filter("value IS NOT NULL").groupBy("bucket", "partition", F.floor(F.col("offset") / CHECK_OFFSETS).alias("chunk"))
+                 .agg(F.sort_array(F.collect_list(F.struct("offset", F.col("value").cast("string").alias("t")))).alias("rows"))
+                 .select("bucket", "partition", "chunk", F.array_join(F.transform("rows", lambda x: x["t"]), "").cast("binary").alias("body"))
+                 .withColumn("n", F.octet_length("body").cast("bigint")), "sent")
+    want = _cells(sent.join(_places(sent, bucket, ["partition", "chunk"], "n"), ["bucket", "partition", "chunk"]), bucket, "want")
+    landed = recovery.listing(spark, path).filter(~F.col("path").rlike("/[_.][^/]*$"))
+    landed = sized(landed.select("path", "size", F.lit(None).cast("string").alias("codec"), F.regexp_extract("path", "(topic=[^/]+/d=[^/]+/h=[^/]+)/", 1).alias("bucket")), "raw-files")
+    placed = files.read_back(landed).join(_places(landed, bucket, ["path"], "size"), "path").withColumn("start", F.col("start") + F.col("at"))
+    checked = (_cells(placed, bucket, "got").join(want, ["bucket", "cell"], "full").groupBy("bucket")
+               .agg(F.sum(F.octet_length("got")).cast("bigint").alias("n_bytes"), F.bool_and(F.col("got").eqNullSafe(F.col("want"))).alias("same_bytes")))
+    part = lambda k: F.regexp_extract("bucket", f"(?:^|/){k}=([^/]+)", 1).alias(k)
+    return checked.select(part("topic"), part("d"), part("h"), "n_bytes", "same_bytes")
 
 
 @query("stream_landing", f"""WITH {REC} SELECT value, topic, {D} AS d, {H} AS h FROM rec WHERE value IS NOT NULL""")

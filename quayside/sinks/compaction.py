@@ -5,7 +5,7 @@ landing's own folders, through its manifest.
 
 Each task lands its own file per bucket, so an hour may hold many small
 files.  Completed hours are rewritten into a new versioned folder: the rows of
-an hour come together, sized by bytes (a hot hour is cut over several tasks),
+an hour come together (a hot hour is cut over several tasks),
 and only the selected hours are read (partition pruning on ``d``/``h``).  Readers switch to the new version via the manifest.
 """
 
@@ -42,7 +42,7 @@ def compact_hours(spark, landed_root: str, out_root: str, where: Column | None =
     # reads a block of a file from the start to the end.
     placed = src.select("value", *keys, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
                         F.monotonically_increasing_id().alias("_line"))
-    d = (clustered(placed, *keys).sortWithinPartitions(*keys, "_file", "_block", "_line").select("value", *keys))
+    d = (clustered(placed, *keys, order=("_file", "_block", "_line")).sortWithinPartitions(*keys, "_file", "_block", "_line").select("value", *keys))
     w = d.write.mode("overwrite").partitionBy(*keys)
     if codec:
         w = w.option("compression", codec)
@@ -65,7 +65,7 @@ def compact_files(manifest: DataFrame, out_root: str) -> DataFrame:
     """Merge the landed files of each complete bucket (``manifest`` of a feed
     landing) into one file under ``out_root``, same folders, codec and order
     of batches; returns the new files: feed_id, bucket_dir, bucket_start,
-    path, n_files, n_records, n_bytes.  One file is in memory at a time."""
+    path, n_files, n_records, n_bytes.  A part of one file is in memory at a time."""
     keys = ["feed_id", "bucket_dir", "bucket_start"]
     schema = "feed_id bigint, bucket_dir string, bucket_start timestamp, path string, n_files bigint, n_records bigint, n_bytes bigint"
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -79,7 +79,7 @@ def compact_files(manifest: DataFrame, out_root: str) -> DataFrame:
 
         import uuid
 
-        from .files import compressor, decompressed
+        from .files import compressor, plain_parts
         from .raw import _fs
 
         fs, base = _fs(out_root)
@@ -105,7 +105,8 @@ def compact_files(manifest: DataFrame, out_root: str) -> DataFrame:
                     now = {"key": key, "staged": staged, "out": out, "packer": compressor(out, r["codec"]), "row": row}
                 src, path = _fs(r["path"])
                 with src.open_input_stream(path, compression=None) as f:
-                    now["packer"].write(decompressed(f.read(), r["codec"]))
+                    for part in plain_parts(f, r["codec"]):
+                        now["packer"].write(part)
                 for k, n in (("n_files", 1), ("n_records", r["n_records"]), ("n_bytes", r["n_bytes"])):
                     now["row"][k] += n
         if now is not None:

@@ -30,6 +30,7 @@ MANIFEST = ("feed_id bigint, bucket_dir string, bucket_start timestamp, path str
             "n_bytes bigint, file_bytes bigint, first_offset bigint, last_offset bigint, n_late bigint, max_clock timestamp")
 # Hadoop's block codecs: bytes of plain text in a block.
 BLOCK_BYTES = 64 << 10
+PART_BYTES = 1 << 20       # bytes of a landed file that are read at once
 
 
 class _Gzip:
@@ -106,6 +107,34 @@ def decompressed(data: bytes, codec: str | None) -> bytes:
     return b"".join(out)
 
 
+def plain_parts(f, codec: str | None, part_bytes: int = PART_BYTES):
+    """The plain bytes of an open landed file, a part after the other; none
+    is much larger than ``part_bytes``."""
+    if codec is None:
+        while part := f.read(part_bytes):
+            yield part
+    elif codec in ("gzip", "deflate", "bzip2"):
+        new = bz2.BZ2Decompressor if codec == "bzip2" else lambda: zlib.decompressobj(wbits=31 if codec == "gzip" else 15)
+        z = new()
+        while data := f.read(part_bytes):
+            while data:
+                if z.eof:
+                    z = new()       # members one after another
+                if part := z.decompress(data, part_bytes):
+                    yield part
+                if z.eof:
+                    data = z.unused_data
+                elif codec == "bzip2":      # it keeps what it has not unpacked yet
+                    while not z.needs_input and not z.eof and (part := z.decompress(b"", part_bytes)):
+                        yield part
+                    data = z.unused_data if z.eof else b""
+                else:
+                    data = z.unconsumed_tail
+    else:
+        while head := f.read(8):
+            yield decompressed(head + f.read(int.from_bytes(head[4:], "big")), codec)
+
+
 class _File:
     """One landed file while it is written."""
 
@@ -207,7 +236,7 @@ def write_files(rows: DataFrame, root: str, dead: str, manifest: str, tag: str,
     read from ``manifest``.
 
     ``cluster="rebalance"`` (batches, history) brings a file's rows together,
-    sized by bytes, a hot bucket cut over several tasks whose files follow each
+    a hot bucket cut over several tasks whose files follow each
     other in that order by their numbers; ``"none"`` (live
     micro-batches) writes where the rows are.  Rows are in order of partition
     and offset inside every file either way."""
@@ -230,16 +259,22 @@ def write_files(rows: DataFrame, root: str, dead: str, manifest: str, tag: str,
     return rows.sparkSession.read.schema(schema).parquet(manifest)
 
 
-def read_back(manifest: DataFrame) -> DataFrame:
-    """path, body: the plain bytes of each file of a manifest (columns path
-    and codec), in memory; for checks."""
+def read_back(manifest: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """path, at, body: the plain bytes of each file of a manifest (columns
+    path and codec), in parts of bounded size that begin at byte ``at``; an
+    empty file has one empty part."""
     def read(batches):
         import pyarrow as pa
 
         for b in batches:
             for path, codec in zip(b.column("path").to_pylist(), b.column("codec").to_pylist()):
-                fs, at = _fs(path)
-                with fs.open_input_stream(at, compression=None) as f:
-                    yield pa.RecordBatch.from_pydict({"path": [path], "body": pa.array([decompressed(f.read(), codec)], pa.binary())})
-
-    return manifest.select("path", "codec").mapInArrow(read, "path string, body binary")
+                fs, name = _fs(path)
+                with fs.open_input_stream(name, compression=None) as f:
+                    at = 0
+                    for body in plain_parts(f, codec, part_bytes):
+                        yield pa.RecordBatch.from_pydict({"path": [path], "at": [at], "body": pa.array([body], pa.binary())})
+                        at += len(body)
+                    if not at:
+                        yield pa.RecordBatch.from_pydict({"path": [path], "at": [0], "body": pa.array([b""], pa.binary())})
+
+    return manifest.select("path", "codec").mapInArrow(read, "path string, at bigint, body binary")

@@ -191,9 +191,10 @@ def register(spark) -> None:
 
 def write_raw(df, path: str, bucket_col: str = "bucket", data_col: str = "data", tag: str | None = None,
               order: tuple[str, ...] = ("partition", "offset"), mode: str = "append", cluster: str = "rebalance") -> None:
-    """Bring a bucket's rows together like the text sink (sized by bytes, a
-    hot bucket cut over tasks; ``cluster="none"``: no shuffle) and write them
-    in the order of the ``order`` columns that ``df`` has."""
+    """Bring a bucket's rows together like the text sink (a hot bucket is cut
+    over tasks; ``cluster="none"``: no shuffle) and write them in the order of
+    the ``order`` columns that ``df`` has; a bucket's files follow each other
+    by their tasks' numbers."""
     from pyspark.sql import functions as F
 
     from ..plans.sizing import clustered
@@ -202,7 +203,7 @@ def write_raw(df, path: str, bucket_col: str = "bucket", data_col: str = "data",
     by = [c for c in order if c in df.columns]
     d = df.select(F.col(bucket_col).alias("bucket"), F.col(data_col).cast("binary").alias("data"), *by)
     if cluster != "none":
-        d = clustered(d, "bucket")
+        d = clustered(d, "bucket", order=tuple(by))
     w = d.sortWithinPartitions("bucket", *by).select("bucket", "data").write.format(FORMAT).mode(mode).option("path", path)
     if tag:
         w = w.option("tag", tag)

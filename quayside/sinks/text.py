@@ -29,8 +29,8 @@ def write_text(df: DataFrame, path: str, text_col: str = "text", codec: str | No
     ``cluster`` says how rows meet their bucket's writer:
 
     * ``"rebalance"`` (batch, replays of history): a bucket's rows come
-      together; partitions are sized by bytes and a hot bucket is cut over
-      several tasks, whose files follow each other in order.
+      together; a hot bucket is cut over several tasks, whose files follow
+      each other in order.
     * ``"none"`` (live micro-batches): no shuffle.  A micro-batch of one
       Kafka partition spans one or two hours, so each task already writes
       about one file per bucket; compaction merges completed hours later.
@@ -67,13 +67,18 @@ def read_landed(spark, path: str, partition_types: str = "d string, h string") -
 
 def read_landed_lines(spark, path: str, partition_types: str = "d string, h string") -> DataFrame:
     """Landed lines with their place in their bucket (``line_no`` from 0).  A
-    bucket's files follow each other by their tasks' numbers: of one write."""
-    files = (spark.read.schema(f"value string, {partition_types}").text(path, wholetext=True))
-    keys = [c for c in files.columns if c != "value"]
-    files = files.withColumn("_file", F.col("_metadata.file_path"))
-    lines = F.split(F.regexp_replace("value", r"\n\z", ""), "\n")
-    in_turn = Window.partitionBy(*keys).orderBy(F.regexp_extract("_file", r"part-(\d+)-[^/]*$", 1).cast("bigint"), "_file")
-    before = F.coalesce(F.sum("n").over(in_turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ahead = sized(files.select(*keys, "_file", F.size(lines).alias("n")).select("_file", before.alias("ahead")), "lines-ahead")
-    return (files.join(ahead, "_file").select(*keys, "ahead", F.posexplode(lines).alias("place", "value"))
-            .select(*keys, (F.col("ahead") + F.col("place")).alias("line_no"), "value"))
+    bucket's files follow each other by their tasks' numbers: of one write.
+
+    Lines are numbered inside the blocks that Spark reads files in, and
+    blocks after those before them; no file is ever one value."""
+    keys = [c.split()[0] for c in partition_types.split(", ")]
+    lines = (spark.read.schema(f"value string, {partition_types}").option("lineSep", "\n").text(path)
+             .select(*keys, "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_id")))
+    task = F.regexp_extract("_file", r"part-(\d+)-[^/]*$", 1).cast("bigint")
+    in_turn = Window.partitionBy(*keys).orderBy(task, "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy(*keys, "_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = sized(blocks.select("_file", "_block", F.coalesce(F.sum("_n").over(in_turn), F.lit(0)).alias("_ahead")), "lines-ahead")
+    in_block = Window.partitionBy("_file", "_block").orderBy("_id")
+    return (lines.withColumn("_place", F.row_number().over(in_block) - 1).join(ahead, ["_file", "_block"])
+            .select(*keys, (F.col("_ahead") + F.col("_place")).alias("line_no"), "value"))

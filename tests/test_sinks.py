@@ -269,3 +269,24 @@ def test_lines_of_a_hot_bucket_are_numbered_over_its_files(spark, scratch, monke
     got = sorted((r["line_no"], int(r["value"])) for r in text.read_landed_lines(spark, f"{scratch}/hot").collect() if (r["d"], r["h"]) == ("d", "hot"))
     want = [i for i in range(5000) if i % 50 and i % 75]
     assert got == list(enumerate(want))
+
+
+@pytest.mark.parametrize("codec", [None, "gzip", "deflate", "bzip2", "snappy", "lz4"])
+def test_files_are_read_in_parts_of_bounded_size(codec):
+    """Any codec, several members of a stream, parts smaller than a line."""
+    import io
+    import random
+
+    from quayside.sinks.files import compressor, plain_parts
+
+    rng = random.Random(7)
+    plain = b"".join(b"%d " % rng.randrange(10**9) * rng.choice([1, 400]) for _ in range(3000))
+    out = io.BytesIO()
+    for part in (plain[:70_000], plain[70_000:]):
+        w = compressor(out, codec)
+        w.write(part)
+        w.finish()
+    for size in (1000, 1 << 20):
+        parts = list(plain_parts(io.BytesIO(out.getvalue()), codec, size))
+        assert b"".join(parts) == plain and all(len(p) <= max(size, 64 << 10) for p in parts)
+    assert list(plain_parts(io.BytesIO(b""), codec)) == []
