@@ -11,12 +11,16 @@ and only the selected hours are read (partition pruning on ``d``/``h``).  Reader
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.sizing import clustered
 
 
+BUCKET = ["feed_id", "bucket_dir", "bucket_start"]
+PART_BYTES = 1 << 30       # plain bytes that one merged file holds, roughly
+
+
 def partition_keys(spark, landed_root: str) -> list[str]:
     """Names of the layout's partition folders, outermost first."""
     return [c for c in spark.read.text(landed_root).columns if c != "value"]
@@ -61,13 +65,27 @@ def compact_hour(spark, landed_root: str, d: str, h: str, out_root: str, codec:
     return f"{out_root.rstrip('/')}/d={d}/h={h}"
 
 
-def compact_files(manifest: DataFrame, out_root: str) -> DataFrame:
+def in_parts(manifest: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """``manifest`` with ``part``: the files of a bucket and codec, in the order
+    of batches, fall into parts of about so many plain bytes.  The window over
+    a bucket sees its files, a row each."""
+    order = ["batch_id", "path"] if "batch_id" in manifest.columns else ["path"]
+    in_turn = Window.partitionBy(*BUCKET, "codec").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return manifest.withColumn("part", F.floor(F.coalesce(F.sum("n_bytes").over(in_turn), F.lit(0)) / part_bytes))
+
+
+def compact_files(manifest: DataFrame, out_root: str, part_bytes: int = PART_BYTES) -> DataFrame:
     """Merge the landed files of each complete bucket (``manifest`` of a feed
-    landing) into one file under ``out_root``, same folders, codec and order
-    of batches; returns the new files: feed_id, bucket_dir, bucket_start,
-    path, n_files, n_records, n_bytes.  A part of one file is in memory at a time."""
-    keys = ["feed_id", "bucket_dir", "bucket_start"]
-    schema = "feed_id bigint, bucket_dir string, bucket_start timestamp, path string, n_files bigint, n_records bigint, n_bytes bigint"
+    landing) under ``out_root``, same folders, codec and order of batches, into
+    one file, or one for each ``part_bytes`` of a large bucket (``in_parts``),
+    written by a task of its own; returns the new files: feed_id, bucket_dir,
+    bucket_start, codec, part, path, n_files, n_records, n_bytes.  A part of
+    one file is in memory at a time."""
+    keys = [*BUCKET, "codec", "part"]
+    schema = ("feed_id bigint, bucket_dir string, bucket_start timestamp, codec string, part bigint, path string, n_files bigint, "
+              "n_records bigint, n_bytes bigint")
+    if "part" not in manifest.columns:
+        manifest = in_parts(manifest.filter("complete"), part_bytes)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -112,7 +130,7 @@ def compact_files(manifest: DataFrame, out_root: str) -> DataFrame:
         if now is not None:
             yield finish()
 
-    rows = manifest.filter("complete").select(*keys, "path", "codec", "n_records", "n_bytes", *[c for c in order if c != "path"])
+    rows = manifest.filter("complete").select(*keys, "path", "n_records", "n_bytes", *[c for c in order if c != "path"])
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     merged = rows.repartition(n, *keys).sortWithinPartitions(*keys, *order).mapInArrow(merge, schema)
     path = f"{out_root.rstrip('/')}/_manifest"

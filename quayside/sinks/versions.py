@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.sizing import sized
 from .files import MANIFEST
 
 SNAPSHOT_EVERY = 10
@@ -196,25 +197,27 @@ class FileTable:
         return deleted
 
 
-def compact_table(table: FileTable, out_root: str, complete=None, version: int | None = None) -> int | None:
+def compact_table(table: FileTable, out_root: str, complete=None, version: int | None = None, part_bytes: int | None = None) -> int | None:
     """Merge the files of each complete bucket (``complete``: a condition on
-    the manifest; all by default) and publish the result in their place, in
-    one version.  None if no bucket has two files.  Readers of older versions
-    keep the old files until ``expire``."""
-    from .compaction import compact_files
-
-    files = table.files(version)
-    bucket = ["feed_id", "bucket_dir", "bucket_start"]
-    several = files.filter(F.lit(True) if complete is None else complete).groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    same = [files[c].eqNullSafe(several[c]) for c in bucket]
-    old = files.join(several, same[0] & same[1] & same[2], "left_semi").withColumn("complete", F.lit(True))
+    the manifest; all by default) part by part (``compaction.in_parts``) and
+    publish the result in their place, in one version.  None if no part has
+    two files.  Readers of older versions keep the old files until ``expire``."""
+    from .compaction import BUCKET, PART_BYTES, compact_files, in_parts
+
+    keys = [*BUCKET, "codec", "part"]
+    files = sized(in_parts(table.files(version).filter(F.lit(True) if complete is None else complete), part_bytes or PART_BYTES), "parts")
+
+    def same(a: DataFrame, b: DataFrame):
+        return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
+
+    several = files.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    old = sized(files.join(several, same(files, several), "left_semi").withColumn("complete", F.lit(True)), "merged")
     if old.isEmpty():
         return None
     merged = compact_files(old, f"{out_root.rstrip('/')}/{uuid.uuid4().hex[:12]}")
-    sums = old.groupBy(*bucket).agg(F.first("codec").alias("codec"), F.sum("n_chars").alias("n_chars"), F.sum("n_late").alias("n_late"),
-                                    F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"), F.max("max_clock").alias("max_clock"))
-    keys = [merged[c].eqNullSafe(sums[c]) for c in bucket]
-    new = merged.join(sums, keys[0] & keys[1] & keys[2]).select(
-        *[merged[c] for c in (*bucket, "path", "n_records", "n_bytes")], "codec", "n_chars", "n_late", "first_offset", "last_offset", "max_clock",
+    sums = old.groupBy(*keys).agg(F.sum("n_chars").alias("n_chars"), F.sum("n_late").alias("n_late"), F.min("first_offset").alias("first_offset"),
+                                  F.max("last_offset").alias("last_offset"), F.max("max_clock").alias("max_clock"))
+    new = merged.join(sums, same(merged, sums)).select(
+        *[merged[c] for c in (*BUCKET, "codec", "path", "n_records", "n_bytes")], "n_chars", "n_late", "first_offset", "last_offset", "max_clock",
         F.lit(None).cast("bigint").alias("file_bytes"))
     return table.publish(new, old.select("path"), note="compaction")

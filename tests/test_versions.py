@@ -105,6 +105,24 @@ def test_compaction_under_readers(spark, scratch):
     assert len(lines(t.files())) == 30
 
 
+def test_a_large_bucket_is_merged_in_parts(spark, scratch):
+    """Files of one bucket merge part by part, each in a task of its own; a
+    bucket whose feed changed its codec keeps the codecs apart."""
+    t = FileTable(spark, os.path.join(scratch, "t"))
+    for n in range(6):
+        t.publish(land(spark, os.path.join(scratch, f"out{n}"), 6 * n, 6 * n + 6))
+    gz = land(spark, os.path.join(scratch, "gz"), 36, 42)
+    t.publish(gz)
+    want = lines(t.files())
+    one = t.files().filter("feed_id = 0").agg(F.max("n_bytes")).first()[0]
+    assert compact_table(t, os.path.join(scratch, "merged"), part_bytes=2 * one) is not None
+    assert lines(t.files()) == want
+    per_bucket = [r["count"] for r in t.files().groupBy("feed_id", "bucket_start").count().collect()]
+    assert all(3 <= n <= 5 for n in per_bucket)
+    assert compact_table(t, os.path.join(scratch, "merged")) is not None and lines(t.files()) == want
+    assert t.files().count() == len(per_bucket)
+
+
 def test_a_crash_before_publishing_loses_nothing(spark, scratch, monkeypatch):
     t, out = FileTable(spark, os.path.join(scratch, "t")), os.path.join(scratch, "out")
     t.publish(land(spark, out, 0, 6))
