@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -106,7 +108,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quayside-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/quayside-{name}-{uuid.uuid4().hex[:12]}"
+    if scopes := getattr(_SCRATCH, "scopes", None):
+        scopes[-1].append(path)
+    return path
+
+
+_SCRATCH = threading.local()
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch folders that this thread makes inside the block go at its end:
+    for a micro-batch, or a query whose result has been taken.  A DataFrame
+    that still reads them must not be used afterwards."""
+    if not hasattr(_SCRATCH, "scopes"):
+        _SCRATCH.scopes = []
+    made: list[str] = []
+    _SCRATCH.scopes.append(made)
+    try:
+        yield
+    finally:
+        _SCRATCH.scopes.remove(made)
+        for path in made:
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def local_path(path: str) -> str:

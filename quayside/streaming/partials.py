@@ -22,6 +22,7 @@ from ..operators import ranges
 from ..operators.offsets import KEY
 from ..operators.rolling import session_slices, sessions_of_slices
 from ..operators.routing import group_split
+from ..session import scratch_scope
 from . import progress
 
 Partial = Callable[[DataFrame], DataFrame]
@@ -38,7 +39,8 @@ def accumulate(records: DataFrame, partial: Partial, path: str, checkpoint: str,
         spark = batch.sparkSession
         passed = progress.mark(progress.version(spark, f"{root}/_progress", batch_id - 1), idle_seconds, by_partition)
         progress.advance(batch, f"{root}/_progress", batch_id)
-        partial(batch).withColumn("passed", F.lit(passed).cast("timestamp")).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        with scratch_scope(spark):
+            partial(batch).withColumn("passed", F.lit(passed).cast("timestamp")).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "20 seconds"})).start())
@@ -110,9 +112,10 @@ def start_dedup(records: DataFrame, path: str, checkpoint: str, trigger: dict |
         spark = batch.sparkSession
         landed = progress.version(spark, f"{root}/_landed", batch_id - 1, ranges.SCHEMA)
         folder = f"{root}/batch_id={batch_id}"
-        ranges.without(batch.dropDuplicates(KEY), landed).write.mode("overwrite").parquet(folder)
-        new = ranges.ranges_of(spark.read.schema(batch.schema).parquet(folder))
-        progress.put(ranges.merged(landed.unionByName(new)), f"{root}/_landed", batch_id)
+        with scratch_scope(spark):
+            ranges.without(batch.dropDuplicates(KEY), landed).write.mode("overwrite").parquet(folder)
+            new = ranges.ranges_of(spark.read.schema(batch.schema).parquet(folder))
+            progress.put(ranges.merged(landed.unionByName(new)), f"{root}/_landed", batch_id)
 
     return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "20 seconds"})).start())
@@ -135,7 +138,8 @@ def start_group_split(records: DataFrame, feeds: DataFrame, path: str, checkpoin
 
     def land(batch: DataFrame, batch_id: int) -> None:
         seen = progress.advance(batch, f"{root}/_progress", batch_id, known)
-        group_split(batch, feeds, progress.partition_totals(seen)).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        with scratch_scope(batch.sparkSession):
+            group_split(batch, feeds, progress.partition_totals(seen)).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     return (records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "20 seconds"})).start())

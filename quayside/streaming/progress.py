@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rolling import low_marks
+from ..session import remove_folder
 
 SCHEMA = "topic string, partition int, clock timestamp, last_offset bigint, seen_at timestamp"
 KEEP = 100        # versions kept, as many as Spark keeps batches of a checkpoint
@@ -68,8 +69,7 @@ def advance(batch: DataFrame, path: str, batch_id: int, known: DataFrame | None
 
 def _expire(spark: SparkSession, path: str, batch_id: int) -> None:
     if batch_id >= 0:
-        p = spark._jvm.org.apache.hadoop.fs.Path(_folder(path, batch_id))
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        remove_folder(spark, _folder(path, batch_id))
 
 
 def partition_totals(progress: DataFrame) -> DataFrame:

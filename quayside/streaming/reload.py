@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from ..operators.feeds import config_diff, feed_validation, topic_threads
 from ..operators.metrics import flow_size
 from ..plans.landing import land_batch
-from ..plans.sizing import sized
 from ..schemas import FEED_COLUMNS
+from ..session import remove_folder, scratch_path, scratch_scope
 from . import progress
 from .monitor import Drain, Drained, ended
 from .windows import observed
@@ -43,10 +43,13 @@ class FeedReloader:
         self.read_feeds = read_feeds
         self.watchers = list(watchers or [])
         self.current: DataFrame | None = None
+        self._folder: str | None = None
 
     def refresh(self, spark: SparkSession) -> DataFrame:
         try:
-            new = sized(self.read_feeds(spark).select(*FEED_COLUMNS), "feeds")
+            folder = scratch_path(spark, "feeds")
+            self.read_feeds(spark).select(*FEED_COLUMNS).write.parquet(folder)
+            new = spark.read.parquet(folder)
         except Exception as e:  # noqa: BLE001 - a failed read keeps the running feeds
             if self.current is None:
                 raise
@@ -61,7 +64,12 @@ class FeedReloader:
             bad = feed_validation(new).filter("reject_reason IS NOT NULL").select("id", "reject_reason")
             touched = {i for i, a in changes if a in ("start", "restart")}
             changes += [(r["id"], f"reject:{r['reject_reason']}") for r in bad.collect() if r["id"] in touched]
-        self.current = new
+        if self.current is not None and not changes:
+            remove_folder(spark, folder)        # the running snapshot is the same
+            return self.current
+        if self._folder is not None:
+            remove_folder(spark, self._folder)
+        self.current, self._folder = new, folder
         if changes:
             for w in self.watchers:
                 w(changes)
@@ -112,14 +120,15 @@ def start_feed_landing(records: DataFrame, reloader: FeedReloader, out_path: str
         seen = progress.mark(progress.version(spark, versions, batch_id - 1), idle_seconds)
         now = progress.advance(batch, versions, batch_id, topic_partitions(spark) if topic_partitions else None)
         before, after = (m - dt.timedelta(seconds=late_delay_seconds) if m else None for m in (seen, progress.mark(now, idle_seconds)))
-        late = F.coalesce(F.col("timestamp").cast("timestamp") < F.lit(before), F.lit(False)) if before else F.lit(False)
-        manifest = land_batch(batch.withColumn("late", late), feeds, f"{root}/batch_id={batch_id}", f"{dead}/batch_id={batch_id}",
-                              transform=transform, mode="overwrite", cluster=cluster, manifest_path=f"{manifests}/batch_id={batch_id}",
-                              watermark=after, partitions=progress.partition_totals(now))
-        if on_counters:
-            on_counters(batch_id, feed_counters(manifest).collect())
-        if on_feeds:
-            on_feeds(feeds)
+        with scratch_scope(spark):      # what the landing of a batch writes aside goes with it
+            late = F.coalesce(F.col("timestamp").cast("timestamp") < F.lit(before), F.lit(False)) if before else F.lit(False)
+            manifest = land_batch(batch.withColumn("late", late), feeds, f"{root}/batch_id={batch_id}", f"{dead}/batch_id={batch_id}",
+                                  transform=transform, mode="overwrite", cluster=cluster, manifest_path=f"{manifests}/batch_id={batch_id}",
+                                  watermark=after, partitions=progress.partition_totals(now))
+            if on_counters:
+                on_counters(batch_id, feed_counters(manifest).collect())
+            if on_feeds:
+                on_feeds(feeds)
 
     return (observed(records).writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "20 seconds"})).start())

@@ -97,3 +97,18 @@ def test_reported_partitions_decide_from_the_first_batch_on(spark, scratch):
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
     partials.finished(partials.start_group_split(stream, feeds, out, os.path.join(scratch, "c"), {"availableNow": True}, known))
     assert [r.feed_id for r in spark.read.parquet(out).collect()] == [min(r.id for r in feeds.collect())]
+
+
+def test_a_landing_leaves_no_scratch(spark, scratch):
+    """Folders that a micro-batch writes aside go with it; the feeds' snapshot is one."""
+    from quayside.session import ensure_checkpoint_dir, local_path
+    from quayside.streaming import reload
+
+    feeds, out = _feeds(spark), os.path.join(scratch, "out")
+    land = _foreach_batch(reload, batch(spark), reload.FeedReloader(lambda sp: feeds), out, scratch)
+    folder = local_path(ensure_checkpoint_dir(spark))
+    land(batch(spark, (0, 1, 1)), 0)
+    before = set(os.listdir(folder))
+    for n in (1, 2):
+        land(batch(spark, (0, n + 1, n + 1)), n)
+    assert set(os.listdir(folder)) == before
