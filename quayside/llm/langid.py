@@ -27,6 +27,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ from .columns import packed, quoted, unpacked
 
 UND = "und"
 MAX_GRAM = 4
-SAMPLE_PER_LANG = 1500
+SAMPLE_PER_LANG = 1000
 SMOOTHING = 0.5
 KNOWN_WORDS = 80_000       # words whose score a worker remembers
 
@@ -137,31 +139,30 @@ def train(rows: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     draw = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.filter(draw < share[F.col("lang")]).dropDuplicates(["lang", "key", "text"]).select("lang", "text")
     counts = sample.mapInPandas(_count, "lang string, size int, piece string, n bigint").groupBy("lang", "size", "piece").agg(F.sum("n").alias("n")).checkpoint()
-    got = counts.select("lang", "size", "piece", "n").toPandas()       # the sample's words and n-grams
-    return _model(got, {k: (int(v.sum()), len(v)) for k, v in got.groupby(["lang", "size"])["n"]})
+    return _model(counts.select("lang", "size", "piece", "n").toArrow())       # the sample's words and n-grams
 
 
-def _model(got, total: dict) -> Model:
-    langs = sorted(got["lang"].unique())
-    column = {x: i for i, x in enumerate(langs)}
-    where: list[dict[str, int]] = [{} for _ in range(MAX_GRAM + 1)]
-    sizes = got["size"].to_numpy()
-    for size in range(MAX_GRAM + 1):
-        where[size] = {p: i for i, p in enumerate(sorted(set(got["piece"][sizes == size])))}
+def _model(got: pa.Table) -> Model:
+    """The model of counts (lang, size, piece, n; size 0: words)."""
+    got = got.combine_chunks()
+    lang, size, piece, n = (got.column(c).combine_chunks() if got.num_rows else got.column(c) for c in ("lang", "size", "piece", "n"))
+    langs = sorted(pc.unique(lang).to_pylist())
+    pieces = [pc.unique(piece.filter(pc.equal(size, s))) for s in range(MAX_GRAM + 1)]
+    pieces = [p.take(pc.sort_indices(p)) for p in pieces]
     # n-grams of all lengths share one table; its row 0 is for words of unknown letters.
-    first = np.cumsum([0, 1, *(len(where[s]) for s in range(1, MAX_GRAM))])
-    tables = [np.zeros((len(where[0]), len(langs))), np.zeros((1 + sum(map(len, where[1:])), len(langs)))]
-    spans = [(tables[0], 0, len(where[0])), *((tables[1], int(first[s]), len(where[s])) for s in range(1, MAX_GRAM + 1))]
-    for lang, size, piece, n in got.itertuples(index=False, name=None):
-        table, at, _ = spans[size]
-        table[at + where[size][piece], column[lang]] = n
-    for size, (table, at, n) in enumerate(spans):
-        for lang, i in column.items():
-            occurrences, kinds = total.get((lang, size), (0, 0))
-            table[at:at + n, i] = np.log((table[at:at + n, i] + SMOOTHING) / (occurrences + SMOOTHING * (kinds + 1)))
+    first = np.cumsum([0, 1, *map(len, pieces[1:MAX_GRAM])])
+    tables = [np.zeros((len(pieces[0]), len(langs)), np.float32), np.zeros((1 + sum(map(len, pieces[1:])), len(langs)), np.float32)]
+    spans = [(tables[0], 0), *((tables[1], int(first[s])) for s in range(1, MAX_GRAM + 1))]
+    for s, (table, at) in enumerate(spans):
+        for i, name in enumerate(langs):
+            mine = pc.and_(pc.equal(size, s), pc.equal(lang, name))
+            counted = n.filter(mine).to_numpy(zero_copy_only=False).astype(np.float64)
+            seen = np.zeros(len(pieces[s]))
+            seen[pc.index_in(piece.filter(mine), value_set=pieces[s]).to_numpy(zero_copy_only=False)] = counted
+            table[at:at + len(seen), i] = np.log((seen + SMOOTHING) / (counted.sum() + SMOOTHING * (len(counted) + 1)))
     tables[1][0] = tables[1][0].mean()
-    grams = [{}] + [{p: int(first[s]) + i for p, i in where[s].items()} for s in range(1, MAX_GRAM + 1)]
-    return Model(langs, where[0], tables[0].astype(np.float32), grams, tables[1].astype(np.float32))
+    number = lambda s, at: {p: at + i for i, p in enumerate(pieces[s].to_pylist())}
+    return Model(langs, number(0, 0), tables[0], [{}] + [number(s, int(first[s])) for s in range(1, MAX_GRAM + 1)], tables[1])
 
 
 def language(docs: DataFrame, model: Model, text: str = "text") -> Column:

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from helpers import with_clashes
 
@@ -61,8 +62,7 @@ def trained():
     counts = next(langid._count([pdf[pdf["lang"] == "aa"]])), next(langid._count([pdf[pdf["lang"] == "bb"]])), next(langid._count([pdf[pdf["lang"] == "cc"]]))
     got = pd.concat(counts)
     got = got[(got["size"] > 0) | (got["piece"].str.len() < 6)]
-    total = {k: (int(v["n"].sum()), len(v)) for k, v in got.groupby(["lang", "size"])}
-    return langid._model(got, total)
+    return langid._model(pa.Table.from_pandas(got, preserve_index=False))
 
 
 def test_nothing_to_learn_from(spark):
