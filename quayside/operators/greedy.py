@@ -228,18 +228,18 @@ def open_files(tables: DataFrame, keys: list[str], kind: str, limit: int, fan: i
         "_parts": F.count(F.lit(1)).over(Window.partitionBy(*keys)),
     }).filter("_parts > 1").withColumn("_bucket", F.min("_part").over(Window.partitionBy(*keys)))
     # (A part begins at most one bucket that goes on in others, so its number names the bucket.)
-    parts = sized(parts, "parts")
+    # All tables here come from the written transfer tables; only what is composed again is written too.
     same = (F.col("p.key") == F.col("t.key")) & (F.col("p._part") == F.col("t._part"))
     placed = tables.withColumn("key", key).alias("t").join(parts.withColumn("key", key).alias("p"), same).select(
         "p._bucket", "p._node", (F.col("p._first") + F.col("p._base")).alias("_from"), (F.col("t._upto") + F.col("p._base")).alias("_upto"), "t._rolls", (F.col("t._anchor") + F.col("p._base")).alias("_anchor"))
-    levels = [sized(placed, "transfer")]
     width = parts.agg(F.max("_node")).first()[0]
+    levels = [placed if width is None or width < fan else sized(placed, "transfer")]
     while width is not None and width >= fan:
         levels.append(sized(_groups(levels[-1], limit, fan), "transfer"))
         width //= fan
     entries = parts.filter("_node = 0").select("_bucket", F.lit(0).cast("bigint").alias("_node"), F.lit(0).cast("bigint").alias("_seq"), F.col("_first").cast("bigint").alias("_open"))
     for level in reversed(levels):
-        entries = sized(_opened(level, entries, limit, fan), "opened")
+        entries = _opened(level, entries, limit, fan)
     return (parts.join(entries, ["_bucket", "_node"]).filter("_node > 0")
             .select(*keys, "_part", F.col("_seq").alias("_seq0"), (F.col("_open") - F.col("_base")).alias("_open0")))
 
