@@ -8,15 +8,20 @@ url asks with one key for each level of its host (``org``, ``org.example``,
 of them: the keys that begin with it are one interval of the sorted order,
 and intervals of rules nest or are apart.
 
-1. Distinct (host, path) pairs give their level keys.
+1. Distinct (host, path) pairs give their level keys; each distinct key is
+   swept once, however many pairs share it (all home pages of ``org`` do).
 2. Split points over the keys (a sample: they only decide the balance) cut
    the order into slices.  A key goes to its slice; a rule goes to every slice
    that its interval meets.  At a split point only prefixes of that point
    are open, so the copies are the nesting depth, not the number of rules.
 3. Each slice is sorted; a sweep keeps a stack of the rules that are open and
    answers a key with the longest of them.
-4. The longest rule over a url's keys is its rule; the answer goes back to
-   all rows with that (host, path).
+4. Answers go back to the pairs by key, and the longest rule over a pair's
+   keys goes back to all rows with that (host, path).
+
+Hot groups: a key or a pair that holds more than a ``slices``-th of its rows is
+hot.  There are fewer than ``slices`` of them, whatever the input, so their
+answers are broadcast, and their rows stay where they are or are spread.
 
 No rule list is broadcast: both sides may be large.
 
@@ -35,12 +40,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .columns import packed, quoted, unpacked
+from .storage import written
 
 ALLOW, BLOCK = "allow", "block"
 SAMPLE_KEYS = 20_000       # keys that choose the split points
 SLICES = 4                 # slices for each partition, so that partitions come out even
 LEVEL_END = "\x01"         # ends the host in a key; below any character of a host
-COLUMNS = ["key", "host", "path", "size", "host_size", "rule", "verdict"]
+COLUMNS = ["key", "hot", "size", "host_size", "rule", "verdict"]
+ANSWER = "key string, hot boolean, size int, host_size int, rule string, verdict string"
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -59,8 +66,7 @@ def rules_table(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> D
     return spark.createDataFrame(list(rules), "verdict string, host string, path string")
 
 
-def _split_points(keys: DataFrame, slices: int) -> list[str]:
-    n = keys.count()
+def _split_points(keys: DataFrame, n: int, slices: int) -> list[str]:
     if n == 0 or slices < 2:
         return []
     part = min(1.0, SAMPLE_KEYS / n)
@@ -68,6 +74,14 @@ def _split_points(keys: DataFrame, slices: int) -> list[str]:
     return sorted({got[len(got) * i // slices] for i in range(1, slices)}) if got else []
 
 
+def _counted(rows: DataFrame, by: list[str], slices: int, name: str) -> tuple[DataFrame, int]:
+    """Distinct ``by`` with ``hot`` (whether more than a ``slices``-th of the
+    rows have it), written once, and how many there are."""
+    counts = written(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")), name)
+    groups, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return counts.select(*by, (F.col("n") * slices > F.lit(total)).alias("hot")), groups
+
+
 def _place(points: np.ndarray):
     """Adds ``slices``: one for a key, all that its interval meets for a rule."""
     def place(batches):
@@ -89,7 +103,7 @@ def _sweep(batches):
     at, stack = None, []
     for pdf in batches:
         found = []
-        for s, key, host, path, size, host_size, rule, verdict in pdf[["slice", *COLUMNS]].itertuples(index=False, name=None):
+        for s, key, hot, size, host_size, rule, verdict in pdf[["slice", *COLUMNS]].itertuples(index=False, name=None):
             if s != at:
                 at, stack = s, []
             while stack and not key.startswith(stack[-1][0]):
@@ -97,8 +111,8 @@ def _sweep(batches):
             if rule is not None:
                 stack.append((key, size, host_size, rule, verdict))
             elif stack:
-                found.append((host, path, *stack[-1][1:]))
-        yield pd.DataFrame(found, columns=["host", "path", "size", "host_size", "rule", "verdict"])
+                found.append((key, hot, *stack[-1][1:]))
+        yield pd.DataFrame(found, columns=COLUMNS)
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url",
@@ -110,11 +124,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url",
     host, path = url_parts(quoted(url).cast("string"))
     pages = pages.select(packed(pages, ["host", "path", "rule", "verdict"]), host.alias("host"), path.alias("path"))
 
+    pairs, _ = _counted(pages.filter("host <> ''"), ["host", "path"], SLICES * n, "url-pairs")
     labels = F.reverse(F.split("host", r"\."))
     levels = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, F.lit(1), k), "."))
-    keys = (pages.select("host", "path").filter("host <> ''").distinct()
-            .select("host", "path", F.explode(levels).alias("level"))
-            .select(F.concat("level", F.lit(LEVEL_END), "path").alias("key"), "host", "path"))
+    asked = (pairs.select("host", "path", F.explode(levels).alias("level"))
+             .select(F.concat("level", F.lit(LEVEL_END), "path").alias("key"), "host", "path"))
+    keys, n_keys = _counted(asked, ["key"], SLICES * n, "url-keys")
 
     lower = F.translate("host", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     rules = (rules.select(lower.alias("h"), F.coalesce("path", F.lit("")).alias("p"), "verdict").filter("h <> ''")
@@ -123,13 +138,24 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url",
                      (F.length("h") + F.length("p")).alias("size"), F.length("h").alias("host_size"),
                      F.concat("h", "p").alias("rule"), "verdict"))
 
-    points = np.array(_split_points(keys.select("key"), SLICES * n), dtype=object)
+    points = np.array(_split_points(keys.select("key"), n_keys, SLICES * n), dtype=object)
     rows = keys.unionByName(rules, allowMissingColumns=True).select(*COLUMNS)
-    schema = "key string, host string, path string, size int, host_size int, rule string, verdict string"
-    swept = (rows.mapInPandas(_place(points), f"{schema}, slices array<int>")
-             .select(F.explode("slices").alias("slice"), *COLUMNS)
-             .repartition(n, "slice").sortWithinPartitions("slice", "key", F.col("rule").isNull())
-             .mapInPandas(_sweep, "host string, path string, size int, host_size int, rule string, verdict string"))
-    best = (swept.groupBy("host", "path").agg(F.max(F.struct("size", "host_size", "rule", "verdict")).alias("best"))
-            .select("host", "path", "best.rule", "best.verdict"))
-    return unpacked(pages.join(best, ["host", "path"], "left"), "host", "path", "rule", "verdict")
+    answers = written(rows.mapInPandas(_place(points), f"{ANSWER}, slices array<int>")
+                      .select(F.explode("slices").alias("slice"), *COLUMNS)
+                      .repartition(n, "slice").sortWithinPartitions("slice", "key", F.col("rule").isNull())
+                      .mapInPandas(_sweep, ANSWER), "url-answers")
+
+    hot_keys = F.broadcast(keys.filter("hot").select("key"))
+    fitting = (asked.join(F.broadcast(answers.filter("hot")), "key")
+               .unionByName(asked.join(hot_keys, "key", "left_anti").join(answers.filter("not hot"), "key")))
+    best = (fitting.groupBy("host", "path").agg(F.max(F.struct("size", "host_size", "rule", "verdict")).alias("best"))
+            .select("host", "path", F.struct("best.rule", "best.verdict").alias("best")))
+
+    # Rows of a hot pair take its answer from the broadcast and are spread, where no other answer meets them.
+    hot_pairs = pairs.filter("hot").select("host", "path").join(best, ["host", "path"], "left")
+    pages = pages.join(F.broadcast(hot_pairs.select("host", "path", F.lit(True).alias("hot"), F.col("best").alias("hot_best"))), ["host", "path"], "left")
+    lone = F.col("hot") | (F.col("host") == "")
+    pages = pages.withColumn("spread", F.when(lone, 1 + F.pmod(F.monotonically_increasing_id(), F.lit(SLICES * n))).otherwise(0))
+    judged = pages.join(best.withColumn("spread", F.lit(0).cast("bigint")), ["host", "path", "spread"], "left")
+    judged = judged.withColumn("best", F.coalesce("best", "hot_best"))
+    return unpacked(judged, "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))

@@ -48,3 +48,20 @@ def test_no_pages_and_no_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.org/"), (2, None)], "page_id long, url string")
     assert [r["rule"] for r in U.judge_urls(pages, U.rules_table(spark, [])).collect()] == [None, None]
     assert U.judge_urls(pages.limit(0), U.rules_table(spark, RULES)).collect() == []
+
+
+def test_a_third_of_all_rows_on_one_key_or_pair(spark):
+    home = [f"http://h{i}.example.org/" for i in range(300)]      # their keys for org and example.org are equal
+    data = list(enumerate(home + ["http://one.com/fr/x"] * 300 + [None] * 300 + urls()))
+    pages = spark.createDataFrame(data, "page_id long, url string").repartition(4)
+    rules = RULES + [("block", "example.org", "/"), ("block", "h7.example.org", "/")]
+    got = U.judge_urls(pages, U.rules_table(spark, rules), partitions=3).collect()
+    assert len(got) == len(data)
+    for r in got:
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == brute(r["url"], rules), r["url"]
+
+
+def test_hot_groups_are_few(spark):
+    rows = spark.createDataFrame([("a",)] * 50 + [(f"k{i}",) for i in range(100)], "key string")
+    counted, n = U._counted(rows, ["key"], 8, "test-keys")
+    assert n == 101 and [r["key"] for r in counted.filter("hot").collect()] == ["a"]
