@@ -11,9 +11,14 @@
    padded size stays in the budget and all batches but a bucket's last are
    full.  Pieces are numbered in the order of a hash, a chunk of the hash range
    at a time, so that no bucket, however common its lengths, is one task.
+   Pieces that agree in all that is hashed (rows without an id, of one length)
+   and fill more than a chunk are hashed with their place in the table, too;
+   they are one for each ``CHUNK_ROWS`` pieces at most.
 
-Nulls and the like: a null or empty text is one piece that holds the end id.
-Null and repeated doc_ids are kept as they are; each row is packed.
+Nulls and the like: a null or empty text is one piece that holds the end id; a
+long text is as many pieces as it needs.  Null and repeated doc_ids are kept as
+they are; each row is packed.  No pieces give no batches.  Columns of ``pieces``
+stay, whatever their names, but for those that the result replaces.
 """
 
 from __future__ import annotations
@@ -23,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sequence import chunked_row_number
-from ..session import scratch_path
+from .columns import packed, unpacked
+from .storage import written
 from .tokens import encoder
 
 MAX_TOKENS = 4096
@@ -83,18 +89,21 @@ def best_ends(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
 def pack(pieces: DataFrame, token_budget: int = TOKEN_BUDGET, buckets: int = BUCKETS) -> DataFrame:
     """``pieces`` with bucket_tokens (the padded length), batch (a number in
     its bucket), slot (place in the batch) and padding."""
-    path = scratch_path(pieces.sparkSession, "packing-pieces")
-    pieces.write.parquet(path)
-    pieces = pieces.sparkSession.read.schema(pieces.schema).parquet(path)
+    pieces = written(pieces, "packing-pieces")
     histogram = pieces.groupBy("n_tokens").count().orderBy("n_tokens").collect()
     ends = best_ends([r[0] for r in histogram], [r[1] for r in histogram], buckets)
     chunks = max(1, -(-sum(r[1] for r in histogram) // CHUNK_ROWS))
+    hashed = ["doc_id", "piece", "n_tokens"]
+    alike = written(pieces.groupBy(*hashed).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CHUNK_ROWS)
+                    .select(F.struct(*hashed).alias("alike"), F.lit(True).alias("many")), "packing-alike")
+    rows = pieces.select(packed(pieces, ["bucket_tokens", "batch", "slot", "padding"]), *hashed, F.monotonically_increasing_id().alias("at"))
+    rows = rows.join(alike, F.struct(*hashed).eqNullSafe(F.col("alike")), "left")
+    place = F.pmod(F.xxhash64(*hashed, F.when(F.col("many"), F.col("at"))), F.lit(1 << HASH_BITS))
     end = F.element_at(F.filter(F.array(*map(F.lit, ends or [0])), lambda e: e >= F.col("n_tokens")), 1)
-    place = F.pmod(F.xxhash64("doc_id", "piece", "n_tokens"), F.lit(1 << HASH_BITS))
-    placed = pieces.withColumn("bucket_tokens", end).withColumn("_place", place)
-    numbered = chunked_row_number(placed, ["bucket_tokens"], ["_place", "doc_id", "piece"],
-                                  F.floor(F.col("_place") * chunks / F.lit(1 << HASH_BITS)), "_n")
+    placed = rows.select("row", *hashed, end.alias("bucket_tokens"), place.alias("place"))
+    numbered = chunked_row_number(placed, ["bucket_tokens"], ["place", "doc_id", "piece"],
+                                  F.floor(F.col("place") * chunks / F.lit(1 << HASH_BITS)), "n")
     per = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.col("bucket_tokens")))
-    return (numbered.withColumn("batch", F.floor((F.col("_n") - 1) / per).cast("bigint"))
-            .withColumn("slot", F.pmod(F.col("_n") - 1, per).cast("int"))
-            .withColumn("padding", (F.col("bucket_tokens") - F.col("n_tokens")).cast("int")).drop("_n", "_place"))
+    return unpacked(numbered, "bucket_tokens", F.floor((F.col("n") - 1) / per).cast("bigint").alias("batch"),
+                    F.pmod(F.col("n") - 1, per).cast("int").alias("slot"),
+                    (F.col("bucket_tokens") - F.col("n_tokens")).cast("int").alias("padding"))

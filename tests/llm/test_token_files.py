@@ -156,3 +156,22 @@ def test_batches_hold_every_piece_within_the_budget(spark, monkeypatch):
 def test_packing_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(packing.token_pieces(df, tokenizer_path())).collect() == []
+
+
+def test_a_third_of_all_pieces_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK_ROWS", 20)
+    rows = [(None, 0, 7, "x")] * 150 + [(i, i % 3, 5 + i % 11, "y") for i in range(300)] + [(4, 1, 9, "z")] * 30
+    schema = "doc_id long, piece int, n_tokens int, _place string"
+    pieces = spark.createDataFrame(rows, schema).selectExpr("*", "'c' AS _n", "1 AS _chunk", "2 AS place", "3 AS row", "4 AS many", "5 AS batch")
+    got = packing.pack(pieces, token_budget=100, buckets=3)
+    assert got.columns == [c for c in pieces.columns if c != "batch"] + ["bucket_tokens", "batch", "slot", "padding"]
+    got = got.collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["piece"], r["n_tokens"], r["_place"]) for r in got) == sorted((d is None, d or 0, p, n, x) for d, p, n, x in rows)
+    places = {(r["bucket_tokens"], r["batch"], r["slot"]) for r in got}
+    assert len(places) == len(rows)
+    for end in {r["bucket_tokens"] for r in got}:
+        per, inside = 100 // end, sorted((r["batch"], r["slot"]) for r in got if r["bucket_tokens"] == end)
+        assert inside == [(i // per, i % per) for i in range(len(inside))]
+    # Nothing else than a chunk's share of the rows without an id stands together.
+    batches = {r["batch"] for r in got if r["doc_id"] is None}
+    assert len(batches) > 150 // 10
