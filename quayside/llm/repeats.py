@@ -14,7 +14,11 @@ is normalised to its words (letters and digits, A-Z folded), and digested.
    of all documents hold is split by adaptive execution.
 3. The digests that a document repeats (at most its own units) meet its text
    again.  Neighbouring repeated units (with shorter units between them) make
-   a run; a run of at least ``RUN_WORDS`` words is cut out.  What occurs
+   a run; a run of at least ``CUT_WORDS`` words is cut out, so that a sentence
+   or line that happens to stand elsewhere too leaves a document as it is.
+   A passage's first and last sentence may be cut short by what is around it
+   and then are no part of the run: of ``PASSAGE_WORDS`` words, half must be
+   found in whole units.  What occurs
    before in its own text (without an overlap) is repeated too.  Spans keep
    their offsets in the original text.
 
@@ -42,7 +46,9 @@ from .storage import written
 from .wordhash import LETTERS, Words, blocks, hash_runs, hash_words, mix
 
 UNIT_WORDS = 4             # shorter units are no evidence alone, but may stand inside a run
-RUN_WORDS = 10
+RUN_WORDS = 10             # words of short units that are digested together
+PASSAGE_WORDS = 50         # a passage has more
+CUT_WORDS = PASSAGE_WORDS // 2
 NO_ID = (1 << 63) - 1      # stands for a null doc_id: the last in rank
 WORD_BYTES = 12            # a word of three times as many counts as two, of four times as three …
 ENDS = np.isin(np.arange(256), [ord(c) for c in ".!?"])
@@ -141,7 +147,7 @@ def _runs(flagged: np.ndarray, size: np.ndarray, firsts: np.ndarray):
     real = hi >= 0
     lo, hi = lo[real], hi[real] + 1
     upto = np.concatenate([[0], np.cumsum(size)])
-    enough = upto[hi] - upto[lo] >= RUN_WORDS
+    enough = upto[hi] - upto[lo] >= CUT_WORDS
     return lo[enough], hi[enough]
 
 

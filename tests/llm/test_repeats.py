@@ -50,7 +50,7 @@ def brute(rows):
                 j += 1
                 end = j if flags[j] else end
             n = sum(len(u[2]) for u in us[k:end + 1])
-            if n >= R.RUN_WORDS:
+            if n >= R.CUT_WORDS:
                 keeper = flags[k][0]
                 spans.append((us[k][0], us[end][1], n, None if keeper == last else keeper))
             k = end + 1
@@ -63,7 +63,7 @@ def rows():
     shared = prose(rng, 60)
     line = "All of this line stands in many of the documents here"
     out = corpus() + [(500 + i, prose(rng, 20) + "\n" + line + "\n" + prose(rng, 20)) for i in range(8)]
-    out += [(600, f"{line}\n{line}\né {shared} ü"), (601, f"Ünter {shared}"), (602, shared.upper()), (603, "Yes. No. " + line + ". Yes."), (604, line + "\r\n" + "short one")]
+    out += [(600, f"{line}\n{line}\n{line}\né {shared} ü"), (601, f"Ünter {shared}"), (602, shared.upper()), (603, "Yes. No. " + line + ". Yes."), (604, line + "\r\n" + "short one")]
     return out
 
 
@@ -151,3 +151,13 @@ def test_rows_of_one_id_hold_a_passage_once(spark):
         middle = passage.split(". ")[3]
         assert len(got) == len(docs) and sum(middle in (r["text"] or "") for r in got) == 1
         assert {s["kept_doc_id"] for r in got for s in r["removed"]} == {i}
+
+
+def test_a_sentence_that_stands_elsewhere_stays(spark):
+    rng = random.Random(13)
+    common = "This page was last changed on a day that nobody wrote down anywhere at all"
+    passage = prose(rng, 60)
+    docs = [(i, f"{prose(rng, 27)}\n{common}.\n{prose(rng, 27)}") for i in range(6)] + [(10 + i, f"{prose(rng, 27)}\n{passage}\n{prose(rng, 27)}") for i in range(3)]
+    got = {r["doc_id"]: r for r in R.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [got[i]["text"] for i in range(6)] == [t for _, t in docs[:6]]
+    assert [len(got[i]["removed"]) for i in (10, 11, 12)] == [0, 1, 1]
